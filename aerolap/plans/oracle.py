@@ -26,6 +26,16 @@ _DEP_TIME = ("CASE WHEN l_tax = 0.08 THEN NULL ELSE "
              "+ (l_orderkey * 11 + l_linenumber) % 60 AS INTEGER) END")
 
 
+_DEP_HUNDREDTHS = ("CASE WHEN l_linenumber = 7 THEN NULL ELSE "
+                   "CAST(round(l_extendedprice * 100) AS BIGINT) // 1000 END")
+_ARR_HUNDREDTHS = ("CASE WHEN l_linenumber = 6 THEN NULL ELSE "
+                   "CAST(round(l_quantity * 100) AS BIGINT) END")
+
+
+def _two_decimals(h: str) -> str:
+    return f"CAST(({h}) // 100 AS VARCHAR) || '.' || lpad(CAST(({h}) % 100 AS VARCHAR), 2, '0')"
+
+
 def trunc_sql(x: str) -> str:
     """FN-1 in DuckDB: through FLOAT, then truncate (a plain cast rounds)."""
     return f"CAST(trunc(CAST({x} AS FLOAT)) AS INTEGER)"
@@ -45,8 +55,8 @@ FLIGHTS = f"""flights AS (
 # The concise text fields, as rendered by ``tables.concise_fields``.
 CONCISE = f"""concise AS (
   SELECT p_brand AS carrier, so.n_name AS origin, dn.n_name AS dest,
-    CAST(CAST({_DEP_DELAY} AS DECIMAL(12,2)) AS VARCHAR) AS dep_delay_min,
-    CAST(CAST({_ARR_DELAY} AS DECIMAL(12,2)) AS VARCHAR) AS arr_delay_min,
+    {_two_decimals(_DEP_HUNDREDTHS)} AS dep_delay_min,
+    {_two_decimals(_ARR_HUNDREDTHS)} AS arr_delay_min,
     lpad(CAST({_DEP_TIME} AS VARCHAR), 4, '0') AS dep_time,
     CAST(year(l_shipdate) AS VARCHAR) AS year,
     CAST(month(l_shipdate) AS VARCHAR) AS month,
@@ -231,3 +241,171 @@ ZIPF_FIT = with_flights(
     "airport ASC NULLS LAST) AS rank FROM (SELECT airport, count(*) AS flights FROM "
     "(SELECT origin AS airport FROM flights UNION ALL SELECT dest FROM flights) "
     "GROUP BY airport))")
+
+
+# --- operators on the text path (concise lines -> parsed) ---------------------
+
+PARSED_COLS = ("carrier, origin, dest, dep_delay_min, arr_delay_min, dep_time, "
+               "flight_date, day_of_week, airline_id")
+
+PARSE_MESSAGE = with_parsed(
+    f"SELECT {PARSED_COLS}, bucket, CAST(NULL AS VARCHAR) AS reject_reason FROM parsed")
+
+PARSED_NO_BUCKET = with_parsed(
+    f"SELECT {PARSED_COLS}, CAST(NULL AS VARCHAR) AS reject_reason FROM parsed")
+
+TRUNC_MINUTES = with_parsed(
+    f"SELECT dep_delay_min AS dep_delay_text, {trunc_sql('dep_delay_min')} AS dep_minutes, "
+    f"arr_delay_min AS arr_delay_text, {trunc_sql('arr_delay_min')} AS arr_minutes "
+    f"FROM concise")
+
+DATE_PARTS = with_parsed(
+    "SELECT year, month, day_of_month, d AS flight_date, "
+    "CAST(d - INTERVAL 2 DAY AS DATE) AS two_days_before, "
+    "strftime(d, '%Y-%m-%d') AS day_text FROM (SELECT year, month, day_of_month, "
+    "make_date(CAST(year AS INTEGER), CAST(month AS INTEGER), "
+    "CAST(day_of_month AS INTEGER)) AS d FROM concise)")
+
+_ALL_FLIGHT_COLS = ("carrier, origin, dest, dep_delay_min, arr_delay_min, dep_time, "
+                    "flight_date, day_of_week, airline_id, bucket")
+
+FILTER_REQUIRED = with_flights(
+    f"SELECT {_ALL_FLIGHT_COLS} FROM flights WHERE origin IS NOT NULL AND origin <> '' "
+    "AND carrier IS NOT NULL AND carrier <> '' AND dep_delay_min IS NOT NULL "
+    "AND dep_time IS NOT NULL AND flight_date IS NOT NULL")
+
+FILL_ZERO = with_flights(
+    "SELECT origin, carrier, coalesce(dep_delay_min, 0) AS dep_delay_min, "
+    "coalesce(arr_delay_min, 0) AS arr_delay_min FROM flights")
+
+UNPIVOT_ENDPOINTS = with_flights(
+    "SELECT origin AS airport FROM flights UNION ALL SELECT dest FROM flights")
+
+COUNT_BY_KEY = with_flights(
+    "SELECT airport, CAST(count(*) AS BIGINT) AS flights FROM "
+    "(SELECT origin AS airport FROM flights UNION ALL SELECT dest FROM flights) "
+    "GROUP BY airport")
+
+SUM_BY_KEY = with_flights(
+    "SELECT airline_id, CAST(sum(arr_delay_min) AS BIGINT) AS total_arr_delay "
+    "FROM flights WHERE airline_id IS NOT NULL AND airline_id <> '' "
+    "AND arr_delay_min IS NOT NULL GROUP BY airline_id")
+
+SUM_BY_COMPOSITE_KEY = with_flights(
+    "SELECT origin, dest, carrier, CAST(sum(dep_delay_min) AS BIGINT) AS total_dep_delay "
+    "FROM flights WHERE origin IS NOT NULL AND origin <> '' AND dest IS NOT NULL "
+    "AND dest <> '' AND carrier IS NOT NULL AND carrier <> '' "
+    "AND dep_delay_min IS NOT NULL GROUP BY origin, dest, carrier")
+
+TOPK_DESC = with_flights(topk_sql(
+    "(SELECT origin, dest, CAST(count(*) AS BIGINT) AS flights FROM flights "
+    "GROUP BY origin, dest)", 10, "flights", item=["origin", "dest"], ascending=False))
+
+TOPK_ASC = with_flights(topk_sql(
+    "(SELECT origin, dest, carrier, CAST(sum(dep_delay_min) AS BIGINT) AS total_dep_delay "
+    "FROM flights WHERE origin IS NOT NULL AND origin <> '' AND dest IS NOT NULL "
+    "AND dest <> '' AND carrier IS NOT NULL AND carrier <> '' "
+    "AND dep_delay_min IS NOT NULL GROUP BY origin, dest, carrier)",
+    10, "total_dep_delay", item=["origin", "dest", "carrier"]))
+
+TOPK_ROWS = with_flights(top_per_group_sql(["origin"], ["carrier"], missing="zero"))
+
+TOPK_DISTINCT = with_flights(
+    "SELECT 'global' AS scope, CAST(NULL AS VARCHAR) AS grp, airline_id AS item, "
+    "total_arr_delay AS total, rank FROM ("
+    + topk_sql("(SELECT airline_id, CAST(sum(arr_delay_min) AS BIGINT) AS total_arr_delay "
+               "FROM flights WHERE airline_id IS NOT NULL AND airline_id <> '' "
+               "AND arr_delay_min IS NOT NULL GROUP BY airline_id)",
+               10, "total_arr_delay", item=["airline_id"], ties="distinct")
+    + ") UNION ALL SELECT 'per_origin', origin, carrier, total_dep_delay, rank FROM ("
+    + top_per_group_sql(["origin"], ["carrier"], ties="distinct") + ")")
+
+
+def arrays_sql(ranked: str, group: Sequence[str], group_out: Sequence[str], item: str,
+               names_out: str, values_out: str, extra: Sequence[str] = (),
+               value: str = "total") -> str:
+    """``topk.ranked_arrays`` in DuckDB: ordered lists per group."""
+    sel = ", ".join([*extra, *[f"{g} AS {o}" for g, o in zip(group, group_out)]])
+    keys = ", ".join([*extra, *group])
+    return (f"SELECT {sel}, list({item} ORDER BY rank) AS {names_out}, "
+            f"list({value} ORDER BY rank) AS {values_out} FROM ({ranked}) AS _a "
+            f"GROUP BY {keys}")
+
+
+PARALLEL_ARRAYS = with_flights(arrays_sql(
+    top_per_group_sql(["origin"], ["carrier"]), ["origin"], ["airport"], "carrier",
+    "top_carriers", "top_carriers_depdelay", value="total_dep_delay"))
+
+KV_ROUNDTRIP = with_flights(
+    "SELECT origin, carrier, total_dep_delay FROM ("
+    + top_per_group_sql(["origin"], ["carrier"]) + ")")
+
+
+def _leg_split_sql() -> str:
+    leg1, leg2 = legs_sql()
+    return with_flights(
+        "SELECT 1 AS leg, src AS origin, mid AS dest, mid, start_date, dep1 AS dep_time, "
+        "delay1 AS delay FROM leg1 UNION ALL SELECT 2, mid, dst, mid, start_date, dep2, "
+        "delay2 FROM leg2", leg1, leg2)
+
+
+LEG_SPLIT = _leg_split_sql()
+
+# (stream job name) -> (group, item, group_out, names_out, values_out)
+STREAM_JOBS = {
+    "carriers_per_airport": (["origin"], "carrier", ["airport"],
+                             "top_carriers", "top_carriers_depdelay"),
+    "dests_per_airport": (["origin"], "dest", ["source_airport"],
+                          "top_dst_airports", "top_dst_airports_depdelay"),
+    "carriers_per_route": (["origin", "dest"], "carrier", ["source", "destination"],
+                           "top_carriers", "top_carriers_depdelay"),
+}
+
+
+def ranking_sql(job: str, source: str, extra: Sequence[str] = ()) -> str:
+    """Arrays of the k=10 ranking per (extra, group) with missing delay = 0."""
+    group, item, group_out, names_out, values_out = STREAM_JOBS[job]
+    keys = [*extra, *group, item]
+    sums = (f"(SELECT {', '.join(keys)}, CAST(sum(coalesce(dep_delay_min, 0)) AS BIGINT) "
+            f"AS total FROM {source} GROUP BY {', '.join(keys)})")
+    ranked = topk_sql(sums, 10, "total", [*extra, *group], [item])
+    return arrays_sql(ranked, group, group_out, item, names_out, values_out, extra=extra)
+
+
+def latest_ranking_sql(job: str, source: str = "parsed") -> str:
+    """Per key, the ranking of the last bucket (= micro-batch) holding it."""
+    _, _, group_out, names_out, values_out = STREAM_JOBS[job]
+    per_bucket = ranking_sql(job, source, extra=["bucket"])
+    keys = ", ".join(group_out)
+    return (f"SELECT {keys}, {names_out}, {values_out} FROM ({per_bucket}) AS _b "
+            f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY bucket DESC) = 1")
+
+
+LATEST_PER_KEY = with_flights(latest_ranking_sql("carriers_per_airport", "flights"))
+STREAM_CARRIERS_PER_AIRPORT = with_parsed(latest_ranking_sql("carriers_per_airport"))
+STREAM_DESTS_PER_AIRPORT = with_parsed(latest_ranking_sql("dests_per_airport"))
+STREAM_CARRIERS_PER_ROUTE = with_parsed(latest_ranking_sql("carriers_per_route"))
+STREAM_RUNNING = with_parsed(ranking_sql("carriers_per_airport", "parsed"))
+STREAM_WINDOW = with_parsed(
+    "SELECT CAST(window_start AS TIMESTAMP) AS window_start, "
+    "CAST(window_start + INTERVAL 1 DAY AS TIMESTAMP) AS window_end, airport, "
+    "top_carriers, top_carriers_depdelay FROM ("
+    + ranking_sql("carriers_per_airport",
+                  "(SELECT *, CAST(flight_date AS TIMESTAMP) AS window_start FROM parsed "
+                  "WHERE flight_date IS NOT NULL)", extra=["window_start"]) + ")")
+
+
+def stream_itinerary_sql(k: int = 10) -> str:
+    out = []
+    for b in range(4):
+        leg1, leg2 = legs_sql(delay_col="dep_delay_min", noon_inclusive=True,
+                              source=f"(SELECT * FROM parsed WHERE bucket = {b})")
+        out.append(
+            f"SELECT {b} AS batch_id, * FROM (" + with_parsed(
+                f"SELECT start_date, src, mid, dst, CAST(count(*) AS BIGINT) AS n_pairs, "
+                f"list({{'total': total_delay, 'dep1': dep1, 'dep2': dep2}} "
+                f"ORDER BY total_delay, dep1, dep2) FILTER (WHERE _rn <= {k}) AS pairs "
+                f"FROM (SELECT *, row_number() OVER (PARTITION BY start_date, src, mid, dst "
+                f"ORDER BY total_delay, dep1, dep2, delay1) AS _rn FROM pairs) "
+                f"GROUP BY start_date, src, mid, dst", leg1, leg2, _PAIRS) + ")")
+    return " UNION ALL ".join(out)

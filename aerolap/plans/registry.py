@@ -100,3 +100,134 @@ def ext_carriers_per_route_arrival(spark, sf_dir):
 @register("ext_zipf_fit", O.ZIPF_FIT)
 def ext_zipf_fit(spark, sf_dir):
     return jobs.zipf_fit(flight_view(spark, sf_dir))
+
+
+# --- operators in isolation ---------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from aerolap.functions.parse import fill_zero, flight_date, format_day, trunc_minutes  # noqa: E402
+from aerolap.operators.aggregate import count_by, sum_by  # noqa: E402
+from aerolap.operators.clean import require  # noqa: E402
+from aerolap.operators.itinerary import split_legs  # noqa: E402
+from aerolap.operators.reshape import unpivot_endpoints  # noqa: E402
+from aerolap.operators.topk import ranked_arrays, top_k  # noqa: E402
+from aerolap.sources.tables import concise_fields, concise_lines  # noqa: E402
+
+
+@register("op_trunc_minutes", O.TRUNC_MINUTES)
+def op_trunc_minutes(spark, sf_dir):
+    c = concise_fields(spark, sf_dir)
+    return c.select(F.col("dep_delay_min").alias("dep_delay_text"),
+                    trunc_minutes("dep_delay_min").alias("dep_minutes"),
+                    F.col("arr_delay_min").alias("arr_delay_text"),
+                    trunc_minutes("arr_delay_min").alias("arr_minutes"))
+
+
+@register("op_date_parts", O.DATE_PARTS)
+def op_date_parts(spark, sf_dir):
+    c = concise_fields(spark, sf_dir)
+    d = flight_date("year", "month", "day_of_month")
+    return c.select("year", "month", "day_of_month", d.alias("flight_date"),
+                    F.date_sub(d, 2).alias("two_days_before"),
+                    format_day(d).alias("day_text"))
+
+
+@register("op_parse_message", O.PARSE_MESSAGE)
+def op_parse_message(spark, sf_dir):
+    from aerolap.sources.csv import parse_concise
+    return parse_concise(concise_lines(spark, sf_dir), keep=("bucket",))
+
+
+@register("op_filter_required", O.FILTER_REQUIRED)
+def op_filter_required(spark, sf_dir):
+    return require(flight_view(spark, sf_dir),
+                   ["origin", "carrier", "dep_delay_min", "dep_time", "flight_date"])
+
+
+@register("op_fill_zero", O.FILL_ZERO)
+def op_fill_zero(spark, sf_dir):
+    f = flight_view(spark, sf_dir)
+    return f.select("origin", "carrier", fill_zero("dep_delay_min").alias("dep_delay_min"),
+                    fill_zero("arr_delay_min").alias("arr_delay_min"))
+
+
+@register("op_unpivot_endpoints", O.UNPIVOT_ENDPOINTS)
+def op_unpivot_endpoints(spark, sf_dir):
+    return unpivot_endpoints(flight_view(spark, sf_dir))
+
+
+@register("op_count_by_key", O.COUNT_BY_KEY)
+def op_count_by_key(spark, sf_dir):
+    return count_by(unpivot_endpoints(flight_view(spark, sf_dir)), ["airport"], "flights")
+
+
+@register("op_sum_by_key", O.SUM_BY_KEY)
+def op_sum_by_key(spark, sf_dir):
+    f = require(flight_view(spark, sf_dir), ["airline_id", "arr_delay_min"])
+    return sum_by(f, ["airline_id"], "arr_delay_min", "total_arr_delay")
+
+
+@register("op_sum_by_composite_key", O.SUM_BY_COMPOSITE_KEY)
+def op_sum_by_composite_key(spark, sf_dir):
+    keys = ["origin", "dest", "carrier"]
+    f = require(flight_view(spark, sf_dir), keys + ["dep_delay_min"])
+    return sum_by(f, keys, "dep_delay_min", "total_dep_delay")
+
+
+@register("op_topk_desc", O.TOPK_DESC)
+def op_topk_desc(spark, sf_dir):
+    routes = count_by(flight_view(spark, sf_dir), ["origin", "dest"], "flights")
+    return top_k(routes, 10, by="flights", item=["origin", "dest"], ascending=False)
+
+
+@register("op_topk_asc", O.TOPK_ASC)
+def op_topk_asc(spark, sf_dir):
+    return top_k(op_sum_by_composite_key(spark, sf_dir), 10, by="total_dep_delay",
+                 item=["origin", "dest", "carrier"])
+
+
+@register("op_topk_rows", O.TOPK_ROWS)
+def op_topk_rows(spark, sf_dir):
+    return jobs.top_carriers_per_airport(flight_view(spark, sf_dir), missing="zero")
+
+
+@register("op_topk_distinct", O.TOPK_DISTINCT)
+def op_topk_distinct(spark, sf_dir):
+    f = flight_view(spark, sf_dir)
+    glob = jobs.top_airlines(f, ties="distinct").select(
+        F.lit("global").alias("scope"), F.lit(None).cast("string").alias("grp"),
+        F.col("airline_id").alias("item"), F.col("total_arr_delay").alias("total"), "rank")
+    per = jobs.top_carriers_per_airport(f, ties="distinct").select(
+        F.lit("per_origin").alias("scope"), F.col("origin").alias("grp"),
+        F.col("carrier").alias("item"), F.col("total_dep_delay").alias("total"), "rank")
+    return glob.unionByName(per)
+
+
+@register("op_parallel_arrays", O.PARALLEL_ARRAYS)
+def op_parallel_arrays(spark, sf_dir):
+    ranked = jobs.top_carriers_per_airport(flight_view(spark, sf_dir))
+    return ranked_arrays(ranked, ["origin"], "carrier", "total_dep_delay",
+                         "top_carriers", "top_carriers_depdelay"
+                         ).withColumnRenamed("origin", "airport")
+
+
+@register("op_leg_split", O.LEG_SPLIT)
+def op_leg_split(spark, sf_dir):
+    leg1, leg2 = split_legs(flight_view(spark, sf_dir))
+    a = leg1.select(F.lit(1).alias("leg"), F.col("src").alias("origin"),
+                    F.col("mid").alias("dest"), "mid", "start_date",
+                    F.col("dep1").alias("dep_time"), F.col("delay1").alias("delay"))
+    b = leg2.select(F.lit(2).alias("leg"), F.col("mid").alias("origin"),
+                    F.col("dst").alias("dest"), "mid", "start_date",
+                    F.col("dep2").alias("dep_time"), F.col("delay2").alias("delay"))
+    return a.unionByName(b)
+
+
+@register("op_latest_per_key", O.LATEST_PER_KEY)
+def op_latest_per_key(spark, sf_dir):
+    from aerolap.streaming.rankings import CARRIERS_PER_AIRPORT, rank_flights
+    from aerolap.streaming.upsert import latest_rows
+    per_bucket = rank_flights(flight_view(spark, sf_dir), CARRIERS_PER_AIRPORT,
+                              extra_group=("bucket",))
+    return latest_rows(per_bucket, ["airport"], version_col="bucket")

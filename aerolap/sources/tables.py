@@ -67,6 +67,22 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Derived-value expressions, the same text as the DuckDB fixture view.
 _DEP_DELAY = "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice / 1000.0 END"
 _ARR_DELAY = "CASE WHEN l_linenumber = 6 THEN NULL ELSE l_quantity END"
+# Delay text with two decimals, from whole hundredths of a minute: the
+# departure delay is truncated to hundredths, so its text truncates to the
+# same whole minute as the exact value. Integer arithmetic only, so every
+# engine prints the same digits.
+_DEP_HUNDREDTHS = ("CASE WHEN l_linenumber = 7 THEN NULL ELSE "
+                   "CAST(round(l_extendedprice * 100) AS BIGINT) div 1000 END")
+_ARR_HUNDREDTHS = ("CASE WHEN l_linenumber = 6 THEN NULL ELSE "
+                   "CAST(round(l_quantity * 100) AS BIGINT) END")
+
+
+def _two_decimals(hundredths: str):
+    h = F.expr(hundredths)
+    return F.concat(F.expr(f"({hundredths}) div 100").cast("string"), F.lit("."),
+                    F.lpad((h % 100).cast("string"), 2, "0"))
+
+
 _DEP_TIME = ("CASE WHEN l_tax = 0.08 THEN NULL ELSE "
              "CAST(((l_partkey * 7 + l_suppkey * 13 + l_orderkey) % 24) * 100 "
              "+ (l_orderkey * 11 + l_linenumber) % 60 AS INT) END")
@@ -93,7 +109,7 @@ def concise_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flights as the eleven concise text fields (+ ``bucket``).
 
     Delays are printed with two decimals (``68.42``) so truncation is
-    exercised; departure time is zero-padded (``0930``); blanks are NULL,
+    exercised (the text truncates to the same minute as ``flight_view``); departure time is zero-padded (``0930``); blanks are NULL,
     which the CSV writer prints as an empty field.
     """
     day = F.col("l_shipdate").cast("date")
@@ -101,8 +117,8 @@ def concise_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("carrier"),
         F.col("origin"),
         F.col("dest"),
-        F.expr(_DEP_DELAY).cast("decimal(12,2)").cast("string").alias("dep_delay_min"),
-        F.expr(_ARR_DELAY).cast("decimal(12,2)").cast("string").alias("arr_delay_min"),
+        _two_decimals(_DEP_HUNDREDTHS).alias("dep_delay_min"),
+        _two_decimals(_ARR_HUNDREDTHS).alias("arr_delay_min"),
         F.lpad(F.expr(_DEP_TIME).cast("string"), 4, "0").alias("dep_time"),
         F.year(day).cast("string").alias("year"),
         F.month(day).cast("string").alias("month"),
