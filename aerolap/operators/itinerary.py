@@ -33,43 +33,77 @@ from aerolap.operators.clean import require, time_of_day
 LEG1_KEY = ["src", "mid", "start_date"]
 LEG2_KEY = ["mid", "dst", "start_date"]
 TRIP_KEY = ["start_date", "src", "mid", "dst"]
+# Unified leg key: ``other`` is X for a first leg and Z for a second leg.
+LEG_KEY = ["leg", "other", "mid", "start_date"]
 
 
-def split_legs(flights: DataFrame, delay_col: str = "arr_delay_min",
-               noon: int = 1200, noon_inclusive: bool = False,
-               gap_days: int = 2, year: int | None = None
-               ) -> tuple[DataFrame, DataFrame]:
-    """PRJ-10, FLT-3/4/5, FN-4: the two leg candidates, both keyed by start date.
+def leg_candidates(flights: DataFrame, delay_col: str = "arr_delay_min",
+                   noon: int = 1200, noon_inclusive: bool = False,
+                   gap_days: int = 2, year: int | None = None) -> DataFrame:
+    """PRJ-10, FLT-3/4/5, FN-4: both legs in one projection of one scan.
 
-    ``delay_col`` is the measure (arrival delay in the batch job, departure
-    delay in the stream job); rows without it, a departure time, a date or
-    an airport are dropped. ``year`` keeps trips starting in that year.
+    Columns ``leg`` (1 = morning X->Y, 2 = afternoon Y->Z), ``other`` (X or
+    Z), ``mid`` (Y), ``start_date`` (the first leg's day; a second leg's
+    date minus ``gap_days``), ``dep``, ``delay``. ``delay_col`` is the
+    measure (arrival delay in the batch job, departure delay in the stream
+    job); rows without it, a departure time, a date or an airport are
+    dropped. ``year`` keeps trips starting in that year.
     """
     base = require(flights, ["origin", "dest", "dep_time", "flight_date", delay_col])
-    leg1 = base.filter(time_of_day("dep_time", noon, "morning")).select(
-        F.col("origin").alias("src"), F.col("dest").alias("mid"),
-        F.col("flight_date").alias("start_date"),
-        F.col("dep_time").alias("dep1"), F.col(delay_col).alias("delay1"))
-    leg2 = base.filter(time_of_day("dep_time", noon, "afternoon", noon_inclusive)).select(
-        F.col("origin").alias("mid"), F.col("dest").alias("dst"),
-        F.date_sub(F.col("flight_date"), gap_days).alias("start_date"),
-        F.col("dep_time").alias("dep2"), F.col(delay_col).alias("delay2"))
+    am = time_of_day("dep_time", noon, "morning")
+    pm = time_of_day("dep_time", noon, "afternoon", noon_inclusive)
+    legs = base.filter(am | pm).select(
+        F.when(am, F.lit(1)).otherwise(F.lit(2)).alias("leg"),
+        F.when(am, F.col("origin")).otherwise(F.col("dest")).alias("other"),
+        F.when(am, F.col("dest")).otherwise(F.col("origin")).alias("mid"),
+        F.when(am, F.col("flight_date"))
+        .otherwise(F.date_sub(F.col("flight_date"), gap_days)).alias("start_date"),
+        F.col("dep_time").alias("dep"), F.col(delay_col).alias("delay"))
     if year is not None:
-        leg1 = leg1.filter(F.year("start_date") == year)
-        leg2 = leg2.filter(F.year("start_date") == year)
+        legs = legs.filter(F.year("start_date") == year)
+    return legs
+
+
+def _as_first(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("leg") == 1).withColumnRenamed("other", "src").drop("leg")
+
+
+def _as_second(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("leg") == 2).withColumnRenamed("other", "dst").drop("leg")
+
+
+def split_legs(flights: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
+    """The two legs as separate frames: (src, mid, start_date, dep1, delay1)
+    and (mid, dst, start_date, dep2, delay2)."""
+    legs = leg_candidates(flights, **kw)
+    leg1 = _as_first(legs).select(*LEG1_KEY, F.col("dep").alias("dep1"),
+                                  F.col("delay").alias("delay1"))
+    leg2 = _as_second(legs).select(*LEG2_KEY, F.col("dep").alias("dep2"),
+                                   F.col("delay").alias("delay2"))
     return leg1, leg2
 
 
-def best_itineraries(leg1: DataFrame, leg2: DataFrame) -> DataFrame:
+def _pair_up(per_leg: DataFrame, cols1: dict, cols2: dict) -> DataFrame:
+    """Join first-leg rows with second-leg rows of the same (Y, start day).
+
+    Both sides are filters of one frame, so Spark computes (and shuffles)
+    that frame once and reuses the exchange for both sides.
+    """
+    a = _as_first(per_leg).select(*LEG1_KEY, *[F.col(c).alias(n) for c, n in cols1.items()])
+    b = _as_second(per_leg).select(*LEG2_KEY, *[F.col(c).alias(n) for c, n in cols2.items()])
+    return a.join(b, ["mid", "start_date"])
+
+
+def best_itineraries(legs: DataFrame) -> DataFrame:
     """JN-3: the best pair per (start_date, X, Y, Z).
 
     Best = least total delay; among equal delays the earlier departure.
     Each leg is reduced to its best flight per (route, day) with a packed
-    BIGINT minimum (HashAggregate with a partial pre-shuffle step).
+    BIGINT minimum (HashAggregate with a partial step before the shuffle),
+    then one row per leg key meets the other leg's rows.
     """
-    b1 = leg1.groupBy(*LEG1_KEY).agg(F.min(pack_min_key("delay1", "dep1")).alias("_b1"))
-    b2 = leg2.groupBy(*LEG2_KEY).agg(F.min(pack_min_key("delay2", "dep2")).alias("_b2"))
-    j = b1.join(b2, ["mid", "start_date"])
+    best = legs.groupBy(*LEG_KEY).agg(F.min(pack_min_key("delay", "dep")).alias("_b"))
+    j = _pair_up(best, {"_b": "_b1"}, {"_b": "_b2"})
     d1, d2 = unpack_hi("_b1"), unpack_hi("_b2")
     return j.select(
         "start_date", "src", "mid", "dst",
@@ -78,61 +112,74 @@ def best_itineraries(leg1: DataFrame, leg2: DataFrame) -> DataFrame:
         (d1.cast("long") + d2).alias("total_delay"))
 
 
-def _leg_top(leg: DataFrame, key: list[str], delay: str, dep: str, k: int) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(F.col(delay).asc(), F.col(dep).asc())
-    return leg.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+def itinerary_pair_summary(legs: DataFrame) -> DataFrame:
+    """Exact statistics over *all* pairs of each trip, without making pairs:
+    n_pairs = n1*n2, min/max total = sums of leg minima/maxima, sum of
+    totals = n2*S1 + n1*S2."""
+    stats = legs.groupBy(*LEG_KEY).agg(
+        F.count(F.lit(1)).alias("n"), F.min("delay").alias("lo"),
+        F.max("delay").alias("hi"), F.sum("delay").alias("s"))
+    j = _pair_up(stats, {"n": "n1", "lo": "min1", "hi": "max1", "s": "sum1"},
+                 {"n": "n2", "lo": "min2", "hi": "max2", "s": "sum2"})
+    return j.select(
+        *TRIP_KEY,
+        (F.col("n1") * F.col("n2")).alias("n_pairs"),
+        (F.col("min1").cast("long") + F.col("min2")).alias("min_total"),
+        (F.col("max1").cast("long") + F.col("max2")).alias("max_total"),
+        (F.col("n2") * F.col("sum1") + F.col("n1") * F.col("sum2")).alias("sum_total"))
+
+
+def _k_best_candidates(legs: DataFrame, k: int) -> DataFrame:
+    """Per leg key: its k best flights, each carrying the key's flight count.
+
+    The count (a grouped aggregate) and the top-k (a window with a partial
+    WindowGroupLimit) both start from one round-robin exchange of the leg
+    rows, which Spark reuses: one scan of the flights, no skewed task (a hot
+    key is spread evenly before either step), and both steps shrink the data
+    before their own shuffle by the leg key. The join of the two is then
+    co-partitioned.
+    """
+    n = int(legs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = legs.repartition(n)
+    w = Window.partitionBy(*LEG_KEY).orderBy(F.col("delay").asc(), F.col("dep").asc())
+    top = spread.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+    counts = spread.groupBy(*LEG_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return top.join(counts, LEG_KEY)
 
 
-def k_best_itineraries(leg1: DataFrame, leg2: DataFrame, k: int) -> DataFrame:
+def k_best_itineraries(legs: DataFrame, k: int) -> DataFrame:
     """The k best pairs per trip, ranked by (total, dep1, dep2), exact.
 
-    Each leg keeps its k best flights per (route, day) (a WindowGroupLimit
-    before the shuffle), the join sees at most k*k candidates per trip, and
-    a final per-trip row_number keeps k. Ties are identical output rows, so
-    the result is the exact k-best multiset of all pairs.
+    Each leg keeps its k best flights per (route, day), the join sees at most
+    k*k candidates per trip, and a per-trip row_number keeps k. Any pair
+    using a first leg outside its k best is beaten or tied by k pairs with
+    the same second leg (ties are identical output rows), so the result is
+    the exact k-best multiset of all pairs. Also carries n_pairs.
     """
-    t1 = _leg_top(leg1, LEG1_KEY, "delay1", "dep1", k)
-    t2 = _leg_top(leg2, LEG2_KEY, "delay2", "dep2", k)
-    j = t1.join(t2, ["mid", "start_date"]).withColumn(
-        "total_delay", F.col("delay1").cast("long") + F.col("delay2"))
-    w = Window.partitionBy(*TRIP_KEY).orderBy(
-        "total_delay", "dep1", "dep2", "delay1")
+    cand = _k_best_candidates(legs, k)
+    j = _pair_up(cand, {"dep": "dep1", "delay": "delay1", "n": "n1"},
+                 {"dep": "dep2", "delay": "delay2", "n": "n2"})
+    j = j.withColumn("total_delay", F.col("delay1").cast("long") + F.col("delay2"))
+    w = Window.partitionBy(*TRIP_KEY).orderBy("total_delay", "dep1", "dep2", "delay1")
     return (j.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= k)
-            .select(*TRIP_KEY, "dep1", "dep2", "delay1", "delay2",
-                    "total_delay", "rank"))
-
-
-def itinerary_pair_summary(leg1: DataFrame, leg2: DataFrame) -> DataFrame:
-    """Exact statistics over *all* pairs of each trip, without making pairs."""
-    s1 = leg1.groupBy(*LEG1_KEY).agg(
-        F.count(F.lit(1)).alias("n1"), F.min("delay1").alias("min1"),
-        F.max("delay1").alias("max1"), F.sum("delay1").alias("sum1"))
-    s2 = leg2.groupBy(*LEG2_KEY).agg(
-        F.count(F.lit(1)).alias("n2"), F.min("delay2").alias("min2"),
-        F.max("delay2").alias("max2"), F.sum("delay2").alias("sum2"))
-    j = s1.join(s2, ["mid", "start_date"])
-    return j.select(
-        *TRIP_KEY,
-        (F.col("n1") * F.col("n2")).alias("n_pairs"),
-        (F.col("min1").cast("long") + F.col("min2")).alias("min_total"),
-        (F.col("max1").cast("long") + F.col("max2")).alias("max_total"),
-        (F.col("n2") * F.col("sum1") + F.col("n1") * F.col("sum2")).alias("sum_total"))
+            .select(*TRIP_KEY, "dep1", "dep2", "delay1", "delay2", "total_delay", "rank",
+                    (F.col("n1") * F.col("n2")).alias("n_pairs")))
 
 
-def itinerary_lists(leg1: DataFrame, leg2: DataFrame, k: int) -> DataFrame:
+def itinerary_lists(legs: DataFrame, k: int) -> DataFrame:
     """AGG-6: per trip, the k best pairs as a sorted ``ARRAY<STRUCT<total,
     dep1, dep2>>`` plus the exact number of all pairs.
 
-    The collect runs after the k-best step, so an array never holds more
-    than k elements however many flights the trip has.
+    The collect runs after the k-best step (same partitioning, no extra
+    shuffle), so an array never holds more than k elements.
     """
-    best = k_best_itineraries(leg1, leg2, k)
-    lists = best.groupBy(*TRIP_KEY).agg(F.array_sort(F.collect_list(F.struct(
-        F.col("total_delay").alias("total"), F.col("dep1"), F.col("dep2"))))
+    best = k_best_itineraries(legs, k)
+    return best.groupBy(*TRIP_KEY).agg(
+        F.max("n_pairs").alias("n_pairs"),
+        F.array_sort(F.collect_list(F.struct(
+            F.col("total_delay").alias("total"), F.col("dep1"), F.col("dep2"))))
         .alias("pairs"))
-    counts = itinerary_pair_summary(leg1, leg2).select(*TRIP_KEY, "n_pairs")
-    return lists.join(counts, TRIP_KEY).select(*TRIP_KEY, "n_pairs", "pairs")
 
 
 def itinerary_labels(best: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from aerolap.operators.aggregate import count_by, sum_by
 from aerolap.operators.clean import require, zero_fill
 from aerolap.operators.itinerary import (
-    best_itineraries, itinerary_lists, itinerary_pair_summary, split_legs)
+    best_itineraries, itinerary_lists, itinerary_pair_summary, leg_candidates)
 from aerolap.operators.reshape import unpivot_endpoints
 from aerolap.operators.topk import top_k
 
@@ -73,20 +73,17 @@ def top_carriers_per_route(flights: DataFrame, k: int = 10, **kw) -> DataFrame:
 
 def itinerary_best(flights: DataFrame, year: int | None = None, **kw) -> DataFrame:
     """Q6 as specified / JN-3 / EX-5: best pair per trip and start day."""
-    leg1, leg2 = split_legs(flights, year=year, **kw)
-    return best_itineraries(leg1, leg2)
+    return best_itineraries(leg_candidates(flights, year=year, **kw))
 
 
 def itinerary_summary(flights: DataFrame, **kw) -> DataFrame:
     """JN-1: exact facts over all pairs of each trip (no pair enumeration)."""
-    leg1, leg2 = split_legs(flights, **kw)
-    return itinerary_pair_summary(leg1, leg2)
+    return itinerary_pair_summary(leg_candidates(flights, **kw))
 
 
 def itinerary_pair_lists(flights: DataFrame, k: int = 10, **kw) -> DataFrame:
     """AGG-6: per trip the k best pairs, sorted, and the number of pairs."""
-    leg1, leg2 = split_legs(flights, **kw)
-    return itinerary_lists(leg1, leg2, k)
+    return itinerary_lists(leg_candidates(flights, **kw), k)
 
 
 def days_of_week(flights: DataFrame) -> DataFrame:

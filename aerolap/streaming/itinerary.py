@@ -17,15 +17,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from aerolap.operators.itinerary import itinerary_lists, split_legs
+from aerolap.operators.itinerary import itinerary_lists, leg_candidates
 from aerolap.sources.csv import accepted
 from aerolap.streaming.rankings import _trigger
 from aerolap.streaming.upsert import batch_writer
 
 
 def itinerary_batch(flights: DataFrame, k: int = 10) -> DataFrame:
-    leg1, leg2 = split_legs(flights, delay_col="dep_delay_min", noon_inclusive=True)
-    return itinerary_lists(leg1, leg2, k)
+    legs = leg_candidates(flights, delay_col="dep_delay_min", noon_inclusive=True)
+    return itinerary_lists(legs, k)
 
 
 def start_itinerary(parsed: DataFrame, out_path: str, checkpoint: str, k: int = 10,
