@@ -1,0 +1,89 @@
+"""File sources and sinks: raw CSV by name, zip, concise CSV, key/value text."""
+
+from __future__ import annotations
+
+import os
+import zipfile
+
+from conftest import flights
+
+from aerolap.schema import RAW_HEADER_NAMES
+from aerolap.sources import csv as C
+from aerolap.sources.files import read_zipped
+from aerolap.sources.kv_text import read_kv_text, write_kv_text
+
+ROW = {"Carrier": "AA", "Origin": "ORD", "Dest": "LAX", "DepDelayMinutes": "12.99",
+       "ArrDelayMinutes": "3.70", "DepTime": "0930", "Year": "2008", "Month": "1",
+       "DayofMonth": "5", "DayOfWeek": "6", "AirlineID": "19805"}
+
+
+def _write_raw(path, header, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="") as fh:
+        fh.write(",".join(header) + "\n")
+        for r in rows:
+            fh.write(",".join(r.get(h, "z") for h in header) + "\n")
+
+
+def test_raw_files_with_different_column_order(spark, tmp_dir):
+    a = RAW_HEADER_NAMES + ["Extra"]
+    b = ["Extra"] + list(reversed(RAW_HEADER_NAMES))
+    _write_raw(f"{tmp_dir}/a/one.csv", a, [ROW])
+    _write_raw(f"{tmp_dir}/b/two.csv", b, [dict(ROW, Carrier="BB")])
+    _write_raw(f"{tmp_dir}/b/two.concise.csv", b, [dict(ROW, Carrier="XX")])
+    df = C.typed_from_fields(C.read_raw(spark, tmp_dir))
+    rows = sorted(df.collect(), key=lambda r: r.carrier)
+    assert [r.carrier for r in rows] == ["AA", "BB"]
+    assert all((r.origin, r.dest, r.dep_delay_min, r.dep_time) == ("ORD", "LAX", 12, 930)
+               for r in rows)
+
+
+def test_zip_archives(spark, tmp_dir):
+    csv_path = f"{tmp_dir}/src/m.csv"
+    _write_raw(csv_path, list(reversed(RAW_HEADER_NAMES)), [ROW, dict(ROW, Origin="")])
+    os.makedirs(f"{tmp_dir}/zips/2008", exist_ok=True)
+    with zipfile.ZipFile(f"{tmp_dir}/zips/2008/jan.zip", "w") as zf:
+        zf.write(csv_path, "On_Time_2008_1.csv")
+        zf.writestr("readme.txt", "not a csv")
+    raw = read_zipped(spark, f"{tmp_dir}/zips")
+    rows = raw.collect()
+    assert len(rows) == 2
+    assert {r.origin for r in rows} == {"ORD", None}
+    assert rows[0].member == "On_Time_2008_1.csv"
+    typed = C.typed_from_fields(raw).collect()
+    assert {r.dep_delay_min for r in typed} == {12}
+
+
+def test_concise_roundtrip_crlf(spark, tmp_dir):
+    lines = ['"A""B",ORD,LAX,12.99,,0930,2008,1,5,6,1', "AA,ORD,LAX,1,2,1300,2008,1,5,6,2"]
+    f = C.parse_concise(spark.createDataFrame([(x,) for x in lines], "value string"))
+    fields = f.selectExpr(
+        "carrier", "origin", "dest", "CAST(dep_delay_min AS STRING) AS dep_delay_min",
+        "CAST(arr_delay_min AS STRING) AS arr_delay_min",
+        "lpad(CAST(dep_time AS STRING), 4, '0') AS dep_time",
+        "CAST(year(flight_date) AS STRING) AS year",
+        "CAST(month(flight_date) AS STRING) AS month",
+        "CAST(day(flight_date) AS STRING) AS day_of_month",
+        "CAST(day_of_week AS STRING) AS day_of_week", "airline_id")
+    C.write_concise(fields, f"{tmp_dir}/out")
+    raw = open([os.path.join(f"{tmp_dir}/out", p) for p in os.listdir(f"{tmp_dir}/out")
+                if p.startswith("part-") and os.path.getsize(os.path.join(f"{tmp_dir}/out", p))][0],
+               "rb").read()
+    assert b"\r\n" in raw
+    back = C.read_concise(spark, f"{tmp_dir}/out").collect()
+    assert sorted((r.carrier, r.dep_delay_min, r.arr_delay_min) for r in back) == \
+        sorted([('A"B', 12, None), ("AA", 1, 2)])
+    assert all(r.reject_reason is None for r in back)
+
+
+def test_kv_text_roundtrip(spark, tmp_dir):
+    f = flights(spark, ["AA,ORD,LAX,5,5,0800,2008,1,5,6,1", "BB,ORD,LAX,7,5,0800,2008,1,5,6,1"])
+    from aerolap.plans import jobs
+
+    ranked = jobs.top_carriers_per_airport(f)
+    write_kv_text(ranked, f"{tmp_dir}/kv", ["origin"], ["carrier", "total_dep_delay"])
+    text = sorted(spark.read.text(f"{tmp_dir}/kv").collect())
+    assert [r.value for r in text] == ["ORD\tAA,5", "ORD\tBB,7"]
+    back = read_kv_text(spark, f"{tmp_dir}/kv", ["origin"], ["carrier", "total_dep_delay"],
+                        types={"total_dep_delay": "bigint"})
+    assert sorted(tuple(r) for r in back.collect()) == [("ORD", "AA", 5), ("ORD", "BB", 7)]
