@@ -28,11 +28,28 @@ def itinerary_batch(flights: DataFrame, k: int = 10) -> DataFrame:
     return itinerary_lists(legs, k)
 
 
-def start_itinerary(parsed: DataFrame, out_path: str, checkpoint: str, k: int = 10,
-                    trigger: str | None = None) -> StreamingQuery:
+def start_itinerary(parsed: DataFrame, out_path: str | None, checkpoint: str, k: int = 10,
+                    trigger: str | None = None, print_rows: int | None = None
+                    ) -> StreamingQuery:
+    """Start the itinerary stream.
+
+    ``out_path`` receives each batch's rows (``batch_id=N`` folders);
+    ``print_rows`` also prints that many rows of each batch to the driver's
+    console (SNK-4; the reference prints 40). With ``out_path=None`` the
+    console is the only output.
+    """
     flights = accepted(parsed)
     build = lambda df, _id: itinerary_batch(df, k)
+    write = batch_writer(out_path, build) if out_path else None
+
+    def each_batch(df: DataFrame, batch_id: int) -> None:
+        if write is not None:
+            write(df, batch_id)
+        if print_rows:
+            print(f"-------- batch {batch_id} --------")
+            build(df, batch_id).show(print_rows, truncate=False)
+
     writer = (flights.writeStream.outputMode("append")
-              .foreachBatch(batch_writer(out_path, build))
+              .foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint))
     return _trigger(writer, trigger).start()
