@@ -76,6 +76,21 @@ def event_time(day: ColumnOrName, dep_time: ColumnOrName | None = None) -> Colum
     return F.timestamp_seconds(secs)
 
 
+def ntz_from_instant(ts: ColumnOrName) -> Column:
+    """TIMESTAMP instant -> the TIMESTAMP_NTZ of its UTC wall time.
+
+    Built from epoch seconds with date arithmetic only, so the result does
+    not depend on the session time zone (a plain cast would).
+    """
+    secs = F.unix_seconds(_col(ts))
+    day = F.date_from_unix_date(F.floor(secs / 86400).cast("int"))
+    rem = F.pmod(secs, F.lit(86400))
+    return F.make_timestamp_ntz(
+        F.year(day), F.month(day), F.dayofmonth(day),
+        F.floor(rem / 3600).cast("int"), F.floor(F.pmod(rem, F.lit(3600)) / 60).cast("int"),
+        F.pmod(rem, F.lit(60)).cast("decimal(8,6)"))
+
+
 _TWO32 = 4294967296
 _TWO31 = 2147483648
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aerolap.functions.parse import event_time, fill_zero
+from aerolap.functions.parse import event_time, fill_zero, ntz_from_instant
 from aerolap.operators.aggregate import sum_by
 from aerolap.operators.topk import ranked_arrays, top_k
 from aerolap.sources.csv import accepted
@@ -109,8 +109,8 @@ def start_ranking(parsed: DataFrame, job: RankingJob, out_path: str, checkpoint:
                  .withWatermark("event_time", watermark))
         src = (timed.groupBy(F.window("event_time", window).alias("w"), *keys)
                .agg(F.sum(DELAY).cast("long").alias("total"))
-               .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                       F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+               .select(ntz_from_instant("w.start").alias("window_start"),
+                       ntz_from_instant("w.end").alias("window_end"),
                        *keys, "total"))
         build = lambda df, _id: rank_totals(
             df, job, k, extra_group=("window_start", "window_end"))
