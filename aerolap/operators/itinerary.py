@@ -133,14 +133,17 @@ def _k_best_candidates(legs: DataFrame, k: int) -> DataFrame:
     """Per leg key: its k best flights, each carrying the key's flight count.
 
     The count (a grouped aggregate) and the top-k (a window with a partial
-    WindowGroupLimit) both start from one round-robin exchange of the leg
-    rows, which Spark reuses: one scan of the flights, no skewed task (a hot
-    key is spread evenly before either step), and both steps shrink the data
-    before their own shuffle by the leg key. The join of the two is then
-    co-partitioned.
+    WindowGroupLimit) both start from one exchange of the leg rows, hashed on
+    a per-row id, which Spark reuses for both: one scan of the flights, and
+    no skewed task (a hot key is spread evenly before either step; both steps
+    shrink the data before their own shuffle by the leg key). The row id is
+    a function of the input split and row position, so a recomputed task
+    sends every row to the same place (no sort is needed, unlike round-robin).
+    The join of the two results is co-partitioned.
     """
     n = int(legs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = legs.repartition(n)
+    spread = (legs.withColumn("_row", F.monotonically_increasing_id())
+              .repartition(n, "_row").drop("_row"))
     w = Window.partitionBy(*LEG_KEY).orderBy(F.col("delay").asc(), F.col("dep").asc())
     top = spread.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
     counts = spread.groupBy(*LEG_KEY).agg(F.count(F.lit(1)).alias("n"))
