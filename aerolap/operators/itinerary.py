@@ -102,7 +102,16 @@ def best_itineraries(legs: DataFrame) -> DataFrame:
     BIGINT minimum (HashAggregate with a partial step before the shuffle),
     then one row per leg key meets the other leg's rows.
     """
-    best = legs.groupBy(*LEG_KEY).agg(F.min(pack_min_key("delay", "dep")).alias("_b"))
+    return pair_leg_minima(leg_minima(legs))
+
+
+def leg_minima(legs: DataFrame) -> DataFrame:
+    """Best flight per (leg, route, day) as one packed BIGINT ``_b``."""
+    return legs.groupBy(*LEG_KEY).agg(F.min(pack_min_key("delay", "dep")).alias("_b"))
+
+
+def pair_leg_minima(best: DataFrame) -> DataFrame:
+    """Join the per-leg minima of both legs into best itineraries."""
     j = _pair_up(best, {"_b": "_b1"}, {"_b": "_b2"})
     d1, d2 = unpack_hi("_b1"), unpack_hi("_b2")
     return j.select(

@@ -175,12 +175,12 @@ _PAIRS = ("pairs AS (SELECT l1.start_date, src, l1.mid, dst, dep1, dep2, delay1,
           "ON l1.mid = l2.mid AND l1.start_date = l2.start_date)")
 
 
-def itinerary_best_sql(year: int | None = None, **kw) -> str:
-    leg1, leg2 = legs_sql(year=year, **kw)
+def itinerary_best_sql(year: int | None = None, parsed: bool = False, **kw) -> str:
+    leg1, leg2 = legs_sql(year=year, source="parsed" if parsed else "flights", **kw)
     body = ("SELECT start_date, src, mid, dst, dep1, dep2, delay1, delay2, total_delay "
             "FROM (SELECT *, row_number() OVER (PARTITION BY start_date, src, mid, dst "
             "ORDER BY total_delay, dep1, dep2) AS _rn FROM pairs) WHERE _rn = 1")
-    return with_flights(body, leg1, leg2, _PAIRS)
+    return (with_parsed if parsed else with_flights)(body, leg1, leg2, _PAIRS)
 
 
 def itinerary_summary_sql(**kw) -> str:

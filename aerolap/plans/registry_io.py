@@ -158,4 +158,21 @@ def stream_itinerary(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("stream_itinerary_running",
+          O.itinerary_best_sql(parsed=True, delay_col="dep_delay_min", noon_inclusive=True))
+def stream_itinerary_running(spark, sf_dir):
+    from aerolap.operators.itinerary import TRIP_KEY
+    from aerolap.streaming.itinerary import start_itinerary_running
+    base = scratch_path(spark, "stream-itin-run")
+    staged = _staged_lines(spark, sf_dir, base)
+    inp, out, ckpt = f"{base}/input", f"{base}/out", f"{base}/ckpt"
+
+    def start():
+        parsed = parsed_stream(message_stream(spark, "files", inp))
+        return start_itinerary_running(parsed, out, ckpt, trigger="available_now")
+
+    replay(spark, staged, inp, BUCKETS, start)
+    return latest_per_key(spark, out, TRIP_KEY)
+
+
 __all__ = ["CONCISE_FIELDS", "batch_writer"]

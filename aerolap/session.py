@@ -40,14 +40,41 @@ _DEFAULTS = {
 }
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Sizing for a cluster run over ``input_bytes`` of flight data.
+
+    The initial shuffle width is input / 256 MB (at least 200), so every
+    shuffle partition of the first, largest exchange fits an executor task
+    comfortably; AQE then coalesces small partitions (the rankings shrink
+    to a few thousand rows after the partial aggregate) and splits skewed
+    sort-merge join partitions. Scans split files at the same size.
+    """
+    n = max(200, -(-input_bytes // target_partition_bytes))
+    size = f"{target_partition_bytes >> 20}m"
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * (target_partition_bytes >> 20)}m",
+    }
+
+
 def build_session(master: str | None = None, app: str = "aerolap",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the engine's defaults."""
+                  extra: dict | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
+    """Create (or reuse) a session with the engine's defaults.
+
+    ``input_bytes`` (cluster runs) sizes shuffles and scan splits with
+    ``cluster_conf``; tests and the bench pass ``shuffle_partitions``.
+    """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(_DEFAULTS)
+    if input_bytes is not None:
+        conf.update(cluster_conf(input_bytes))
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -4,12 +4,14 @@ The reference keys every flight by its middle airport only (no date check,
 D6), pairs every first leg with every second leg of a batch, and prints each
 (X, Y, Z, date) with its list of pairs sorted by total departure delay.
 
-Here each micro-batch runs the batch itinerary code: legs split with the
+Two modes. ``start_itinerary`` (per batch, like the reference): each
+micro-batch runs the batch itinerary code: legs split with the
 streaming noon rule (1200 goes to the afternoon, D7), departure delay as the
 measure (D8), joined on (Y, start date). Per trip the batch output holds the
 exact number of pairs and the k best pairs, sorted (``itinerary_lists``);
 no step enumerates all pairs. Output lands per ``batch_id`` like the
-rankings.
+rankings. ``start_itinerary_running``: the best itinerary per trip over the
+whole stream so far, from a stateful per-leg minimum.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from aerolap.operators.itinerary import itinerary_lists, leg_candidates
+from aerolap.operators.itinerary import (
+    itinerary_lists, leg_candidates, leg_minima, pair_leg_minima)
 from aerolap.sources.csv import accepted
 from aerolap.streaming.rankings import _trigger
 from aerolap.streaming.upsert import batch_writer
@@ -53,3 +56,22 @@ def start_itinerary(parsed: DataFrame, out_path: str | None, checkpoint: str, k:
               .foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint))
     return _trigger(writer, trigger).start()
+
+
+def start_itinerary_running(parsed: DataFrame, out_path: str, checkpoint: str,
+                            trigger: str | None = None) -> StreamingQuery:
+    """Best itinerary per trip over everything seen so far (stream rules).
+
+    The only state is one packed minimum per (leg, route, start day), kept by
+    a streaming aggregate (partial aggregation before its shuffle). Each
+    trigger receives the full table of minima (``complete`` output) and pairs
+    the two legs with the batch code; no flight pair is ever formed. The
+    answer of the latest batch is complete: read it with
+    ``upsert.latest_per_key(out_path, TRIP_KEY)``.
+    """
+    legs = leg_candidates(accepted(parsed), delay_col="dep_delay_min", noon_inclusive=True)
+    build = lambda df, _id: pair_leg_minima(df)
+    writer = (leg_minima(legs).writeStream.outputMode("complete")
+              .foreachBatch(batch_writer(out_path, build))
+              .option("checkpointLocation", checkpoint))
+    return _trigger(writer, trigger).start()

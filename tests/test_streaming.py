@@ -41,3 +41,16 @@ def test_event_time_windows(spark):
 
 def test_stream_itinerary_per_batch(spark):
     _check(spark, "stream_itinerary")
+
+
+def test_running_itinerary_equals_batch_best(spark):
+    _check(spark, "stream_itinerary_running")
+
+
+def test_cluster_conf_scales_with_input():
+    from aerolap.session import cluster_conf
+
+    small = cluster_conf(10 << 30)
+    big = cluster_conf(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
