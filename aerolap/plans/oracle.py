@@ -409,3 +409,8 @@ def stream_itinerary_sql(k: int = 10) -> str:
                 f"ORDER BY total_delay, dep1, dep2, delay1) AS _rn FROM pairs) "
                 f"GROUP BY start_date, src, mid, dst", leg1, leg2, _PAIRS) + ")")
     return " UNION ALL ".join(out)
+
+
+INGESTED = with_parsed(
+    f"SELECT {PARSED_COLS}, CAST(year(flight_date) AS INTEGER) AS year, "
+    "CAST(month(flight_date) AS INTEGER) AS month FROM parsed")

@@ -70,6 +70,15 @@ def op_zip_ingest(spark, sf_dir):
     return typed.select(*FLIGHT_COLUMNS, "reject_reason")
 
 
+@register("op_ingest_parquet", O.INGESTED)
+def op_ingest_parquet(spark, sf_dir):
+    from aerolap.sources.ingest import ingest, read_ingested
+    base = scratch_path(spark, "ingest")
+    C.write_concise(concise_fields(spark, sf_dir), f"{base}/csv")
+    ingest(spark, f"{base}/csv", f"{base}/parquet")
+    return read_ingested(spark, f"{base}/parquet")
+
+
 def _staged_lines(spark, sf_dir, base):
     return stage(concise_lines(spark, sf_dir), f"{base}/staged")
 

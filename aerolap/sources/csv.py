@@ -66,8 +66,7 @@ def typed_from_fields(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     has_parts = c["year"].isNotNull() & c["month"].isNotNull() & c["day_of_month"].isNotNull()
     reason = (F.when(bad_number, F.lit("bad number"))
               .when(has_parts & day.isNull(), F.lit("invalid date")))
-    return df.select(
-        *keep,
+    typed = F.struct(
         c["carrier"].alias("carrier"), c["origin"].alias("origin"), c["dest"].alias("dest"),
         parsed["dep_delay_min"].alias("dep_delay_min"),
         parsed["arr_delay_min"].alias("arr_delay_min"),
@@ -76,6 +75,9 @@ def typed_from_fields(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         parsed["day_of_week"].alias("day_of_week"),
         c["airline_id"].alias("airline_id"),
         reason.alias("reject_reason"))
+    # Generate barrier again: a filter on the reason (accepted / rejected)
+    # then reads computed columns instead of re-running every cast.
+    return df.select(*keep, F.inline(F.array(typed)))
 
 
 def parse_concise(lines: DataFrame, value_col: str = "value", keep: Sequence[str] = (),
@@ -85,8 +87,12 @@ def parse_concise(lines: DataFrame, value_col: str = "value", keep: Sequence[str
     Only the first record of a line is used (a stream message holds one).
     """
     v = F.regexp_replace(F.col(value_col), "\r$", "")
-    fields = F.from_csv(v, CONCISE_DDL, CSV_OPTIONS)
-    staged = lines.select(*keep, v.alias("_line"), fields.alias("_f"))
+    # ``inline`` of a one-element array is a Generate node: later filters on
+    # the parsed fields cannot be pushed below it, so ``from_csv`` runs once
+    # per line (pushed through a plain projection, each field reference
+    # would re-run the parser).
+    parsed = F.struct(v.alias("_line"), F.from_csv(v, CONCISE_DDL, CSV_OPTIONS).alias("_f"))
+    staged = lines.select(*keep, F.inline(F.array(parsed)))
     reason_pre = (F.when(F.col("_line").isNull() | (F.trim(F.col("_line")) == ""),
                          F.lit("empty message"))
                   .when(field_count(F.col("_line")) < len(CONCISE_FIELDS),

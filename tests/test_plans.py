@@ -45,3 +45,11 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     scan = [line for line in p.splitlines() if "lineitem.parquet" in line][0]
     assert "l_shipdate" not in scan  # not needed for airline totals
     assert "PushedFilters" in scan
+
+
+def test_parser_runs_once_per_line_under_filters(spark):
+    from aerolap.sources.csv import accepted, parse_concise
+
+    lines = spark.createDataFrame([("AA,ORD,LAX,1,2,0800,2008,1,5,6,1",)], "value string")
+    plan = accepted(parse_concise(lines))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1
