@@ -83,12 +83,24 @@ def split_legs(flights: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
     return leg1, leg2
 
 
+def _fence(df: DataFrame) -> DataFrame:
+    """Pass rows through ``inline(array(struct(...)))`` (a Generate node).
+
+    Filters above it cannot be pushed below it. Without it, Catalyst pushes
+    the ``leg = 1`` / ``leg = 2`` filters of the two join sides down to the
+    scan, the two sides stop being the same plan, and the flights are read
+    and joined twice instead of once with a reused exchange.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def _pair_up(per_leg: DataFrame, cols1: dict, cols2: dict) -> DataFrame:
     """Join first-leg rows with second-leg rows of the same (Y, start day).
 
-    Both sides are filters of one frame, so Spark computes (and shuffles)
-    that frame once and reuses the exchange for both sides.
+    Both sides are filters of one fenced frame, so Spark computes (and
+    shuffles) that frame once and reuses the exchange for both sides.
     """
+    per_leg = _fence(per_leg)
     a = _as_first(per_leg).select(*LEG1_KEY, *[F.col(c).alias(n) for c, n in cols1.items()])
     b = _as_second(per_leg).select(*LEG2_KEY, *[F.col(c).alias(n) for c, n in cols2.items()])
     return a.join(b, ["mid", "start_date"])
@@ -151,8 +163,8 @@ def _k_best_candidates(legs: DataFrame, k: int) -> DataFrame:
     The join of the two results is co-partitioned.
     """
     n = int(legs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = (legs.withColumn("_row", F.monotonically_increasing_id())
-              .repartition(n, "_row").drop("_row"))
+    spread = _fence(legs.withColumn("_row", F.monotonically_increasing_id())
+                    .repartition(n, "_row").drop("_row"))
     w = Window.partitionBy(*LEG_KEY).orderBy(F.col("delay").asc(), F.col("dep").asc())
     top = spread.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
     counts = spread.groupBy(*LEG_KEY).agg(F.count(F.lit(1)).alias("n"))

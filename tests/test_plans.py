@@ -53,3 +53,17 @@ def test_parser_runs_once_per_line_under_filters(spark):
     lines = spark.createDataFrame([("AA,ORD,LAX,1,2,0800,2008,1,5,6,1",)], "value string")
     plan = accepted(parse_concise(lines))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_csv") == 1
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_itineraries_scan_flights_once(spark):
+    legs = leg_candidates(flight_view(spark, SF_SMALL))
+    for df in (best_itineraries(legs), itinerary_lists(legs, 3)):
+        p = _final_plan(df)
+        scans = [ln for ln in p.splitlines() if "FileScan parquet" in ln and "l_orderkey" in ln]
+        assert len(scans) == 1, p
+        assert "ReusedExchange" in p
