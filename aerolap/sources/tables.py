@@ -40,7 +40,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
-_HANDLES: dict[tuple[int, str], DataFrame] = {}
+_HANDLES: dict[tuple, DataFrame] = {}
+
+
+def _session_key(spark: SparkSession) -> tuple:
+    # the application id changes with every new SparkContext, so a handle
+    # never outlives the session it was resolved in
+    return (spark.sparkContext.applicationId, id(spark))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
@@ -52,7 +58,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     enough. ``refresh=True`` resolves again (for tables that change).
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (*_session_key(spark), path)
     if refresh or key not in _HANDLES:
         _HANDLES[key] = spark.read.parquet(path)
     return _HANDLES[key]
@@ -107,13 +113,13 @@ _DEP_TIME = ("CASE WHEN l_tax = 0.08 THEN NULL ELSE "
              "+ (l_orderkey * 11 + l_linenumber) % 60 AS INT) END")
 
 
-_VIEWS: dict[tuple[int, str, str], DataFrame] = {}
+_VIEWS: dict[tuple, DataFrame] = {}
 
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
     """One analysed plan per (session, folder): DataFrames are immutable,
     lazy plans, so every query can start from the same one."""
-    key = (id(spark), kind, sf_dir.rstrip("/"))
+    key = (*_session_key(spark), kind, sf_dir.rstrip("/"))
     if key not in _VIEWS:
         _VIEWS[key] = build()
     return _VIEWS[key]
