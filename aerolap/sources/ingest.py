@@ -49,6 +49,7 @@ def ingest(spark: SparkSession, path: str, out: str, kind: str = "concise",
     C.rejected(parsed).write.mode(mode).parquet(f"{out.rstrip('/')}/_rejected")
 
 
-def read_ingested(spark: SparkSession, out: str) -> DataFrame:
-    """The typed flight frame from an ingested folder."""
-    return spark.read.parquet(out).select(*FLIGHT_COLUMNS, "year", "month")
+def read_ingested(spark: SparkSession, out: str | list[str]) -> DataFrame:
+    """The typed flight frame from an ingested folder (or several)."""
+    paths = [out] if isinstance(out, str) else list(out)
+    return spark.read.parquet(*paths).select(*FLIGHT_COLUMNS, "year", "month")
