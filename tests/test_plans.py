@@ -67,3 +67,22 @@ def test_itineraries_scan_flights_once(spark):
         scans = [ln for ln in p.splitlines() if "FileScan parquet" in ln and "l_orderkey" in ln]
         assert len(scans) == 1, p
         assert "ReusedExchange" in p
+
+
+def test_without_broadcast_falls_back_to_sort_merge(spark):
+    """Above the size check every join is a shuffled sort-merge join, same rows."""
+    f = flight_view(spark, SF_SMALL)
+    expect = sorted(tuple(r) for r in jobs.top_carriers_per_route(f).collect())
+    keys = ["spark.sql.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = jobs.top_carriers_per_route(flight_view(spark, SF_SMALL))
+        p = _final_plan(df)
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+        assert sorted(tuple(r) for r in df.collect()) == expect
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -54,3 +54,14 @@ def test_cluster_conf_scales_with_input():
     big = cluster_conf(100 << 40)
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+
+
+def test_kafka_source_needs_its_connector(spark):
+    import pytest
+
+    from aerolap.streaming.source import message_stream
+
+    with pytest.raises(ValueError):
+        message_stream(spark, "kafka")  # topics and servers are required
+    with pytest.raises(Exception, match="(?i)kafka"):
+        message_stream(spark, "kafka", topics="flights", bootstrap="localhost:9")
