@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from aerolap.plans import jobs
 from aerolap.plans import oracle as O
 from aerolap.plans.registry import register
-from aerolap.schema import CONCISE_FIELDS, FLIGHT_COLUMNS, RAW_HEADER_NAMES
+from aerolap.schema import FLIGHT_COLUMNS, RAW_HEADER_NAMES
 from aerolap.session import scratch_path
 from aerolap.sources import csv as C
 from aerolap.sources.tables import concise_fields, concise_lines, flight_view
 from aerolap.streaming import rankings as R
 from aerolap.streaming.replay import replay, run_until_done, stage
 from aerolap.streaming.source import message_stream, parsed_stream
-from aerolap.streaming.upsert import batch_writer, latest_per_key
+from aerolap.streaming.upsert import latest_per_key
 
 BUCKETS = [0, 1, 2, 3]
 
@@ -183,5 +183,3 @@ def stream_itinerary_running(spark, sf_dir):
     replay(spark, staged, inp, BUCKETS, start)
     return latest_per_key(spark, out, TRIP_KEY)
 
-
-__all__ = ["CONCISE_FIELDS", "batch_writer"]

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolap.functions.parse import trunc_minutes
-from aerolap.schema import CONCISE_FIELDS, FLIGHT_COLUMNS
+from aerolap.schema import CONCISE_FIELDS
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
@@ -181,6 +181,3 @@ def concise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = concise_fields(spark, sf_dir)
     return df.select(to_concise_line(*CONCISE_FIELDS).alias("value"), "bucket")
 
-
-__all__ = ["TABLES", "read_table", "flight_view", "concise_fields",
-           "concise_lines", "FLIGHT_COLUMNS"]
