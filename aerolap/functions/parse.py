@@ -76,6 +76,11 @@ def event_time(day: ColumnOrName, dep_time: ColumnOrName | None = None) -> Colum
     return F.timestamp_seconds(secs)
 
 
+def day_of_instant(ts: ColumnOrName) -> Column:
+    """TIMESTAMP instant -> its UTC calendar day, whatever the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(_col(ts)) / 86400).cast("int"))
+
+
 def ntz_from_instant(ts: ColumnOrName) -> Column:
     """TIMESTAMP instant -> the TIMESTAMP_NTZ of its UTC wall time.
 

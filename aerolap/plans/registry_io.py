@@ -183,3 +183,22 @@ def stream_itinerary_running(spark, sf_dir):
     replay(spark, staged, inp, BUCKETS, start)
     return latest_per_key(spark, out, TRIP_KEY)
 
+
+
+# A valid first leg far past any flight date: it moves the watermark so every
+# real start day closes; its own day never closes and is never emitted.
+_FLUSH_LEG = "FLUSH,FLUSH_X,FLUSH_Y,0,0,0900,2999,1,1,2,0"
+
+
+@register("stream_itinerary_window",
+          O.itinerary_best_sql(parsed=True, delay_col="dep_delay_min", noon_inclusive=True))
+def stream_itinerary_window(spark, sf_dir):
+    from aerolap.streaming.itinerary import start_itinerary_windowed
+    base = scratch_path(spark, "stream-itin-win")
+    inp, out, ckpt = f"{base}/input", f"{base}/out", f"{base}/ckpt"
+    concise_lines(spark, sf_dir).select("value").write.text(f"{inp}/data")
+    spark.createDataFrame([(_FLUSH_LEG,)], "value string").write.text(f"{inp}/flush")
+    parsed = parsed_stream(message_stream(spark, "files", inp,
+                                          options={"recursiveFileLookup": "true"}))
+    run_until_done(start_itinerary_windowed(parsed, out, ckpt, trigger="available_now"))
+    return spark.read.parquet(out).drop("batch_id")

@@ -12,6 +12,8 @@ exact number of pairs and the k best pairs, sorted (``itinerary_lists``);
 no step enumerates all pairs. Output lands per ``batch_id`` like the
 rankings. ``start_itinerary_running``: the best itinerary per trip over the
 whole stream so far, from a stateful per-leg minimum.
+``start_itinerary_windowed``: event time with a watermark; each start day's
+best itineraries are emitted once, when final, and its state is evicted.
 """
 
 from __future__ import annotations
@@ -75,3 +77,37 @@ def start_itinerary_running(parsed: DataFrame, out_path: str, checkpoint: str,
               .foreachBatch(batch_writer(out_path, build))
               .option("checkpointLocation", checkpoint))
     return _trigger(writer, trigger).start()
+
+
+def start_itinerary_windowed(parsed: DataFrame, out_path: str, checkpoint: str,
+                             lateness: str = "1 day", gap_days: int = 2,
+                             trigger: str | None = None) -> StreamingQuery:
+    """Best itinerary per trip, emitted once per start day when it is final.
+
+    Each leg's best flight per (route, start day) is a windowed streaming
+    minimum on the trip's start day. A second leg of start day d departs on
+    d + ``gap_days``, so the watermark trails the newest start day by the gap
+    plus ``lateness``: when day d's window closes, both legs of every trip
+    starting on d are complete and leave the state in the same trigger, and
+    ``foreachBatch`` pairs exactly those rows. State stays bounded (closed
+    days are evicted); flights later than the watermark are dropped, as in
+    any event-time aggregation.
+    """
+    from pyspark.sql import functions as F
+
+    from aerolap.functions.parse import day_of_instant, event_time, pack_min_key
+
+    legs = leg_candidates(accepted(parsed), delay_col="dep_delay_min",
+                          noon_inclusive=True, gap_days=gap_days)
+    delay = f"{gap_days} days {lateness}" if lateness else f"{gap_days} days"
+    minima = (legs.withColumn("start_ts", event_time("start_date"))
+              .withWatermark("start_ts", delay)
+              .groupBy(F.window("start_ts", "1 day").alias("w"), "leg", "other", "mid")
+              .agg(F.min(pack_min_key("delay", "dep")).alias("_b"))
+              .select("leg", "other", "mid",
+                      day_of_instant("w.start").alias("start_date"), "_b"))
+    build = lambda df, _id: pair_leg_minima(df)
+    writer = (minima.writeStream.outputMode("append")
+              .foreachBatch(batch_writer(out_path, build))
+              .option("checkpointLocation", checkpoint))
+    return _trigger(writer, trigger).start()

@@ -65,3 +65,7 @@ def test_kafka_source_needs_its_connector(spark):
         message_stream(spark, "kafka")  # topics and servers are required
     with pytest.raises(Exception, match="(?i)kafka"):
         message_stream(spark, "kafka", topics="flights", bootstrap="localhost:9")
+
+
+def test_windowed_itinerary_equals_batch_best(spark):
+    _check(spark, "stream_itinerary_window")
