@@ -158,7 +158,8 @@ def _itineraries(flights: DataFrame, args) -> None:
 
 def _stream(spark: SparkSession, args) -> None:
     from aerolap.streaming import rankings as R
-    from aerolap.streaming.itinerary import start_itinerary, start_itinerary_running
+    from aerolap.streaming.itinerary import (
+        start_itinerary, start_itinerary_running, start_itinerary_windowed)
     from aerolap.streaming.source import message_stream, parsed_stream
 
     messages = message_stream(spark, args.source, path=args.path, topics=args.topics,
@@ -167,6 +168,9 @@ def _stream(spark: SparkSession, args) -> None:
     if args.job == "stream-itineraries":
         if args.mode == "running":
             q = start_itinerary_running(parsed, args.output, args.checkpoint, args.trigger)
+        elif args.mode == "window":
+            q = start_itinerary_windowed(parsed, args.output, args.checkpoint,
+                                         trigger=args.trigger)
         else:
             q = start_itinerary(parsed, args.output, args.checkpoint, k=args.top,
                                 trigger=args.trigger, print_rows=args.print_rows)
