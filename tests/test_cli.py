@@ -42,3 +42,18 @@ def test_cli_batch_jobs(spark, tmp_dir):
           "--output", f"{tmp_dir}/q2"])
     rows = spark.read.parquet(f"{tmp_dir}/q2").orderBy("rank").collect()
     assert [(r.airline_id, r.total_arr_delay) for r in rows] == [("19806", 1), ("19805", 5)]
+
+
+def test_cli_stream_job(spark, tmp_dir):
+    from aerolap.streaming.upsert import latest_per_key
+
+    src = f"{tmp_dir}/msgs"
+    os.makedirs(src)
+    with open(f"{src}/batch0.txt", "w") as fh:
+        fh.write("\n".join(LINES + ["AA,ORD,LAX,,,,2008,1,5,6,19805"]) + "\n")
+    main(["stream-carriers-per-airport", "--path", src, "--output", f"{tmp_dir}/q7",
+          "--checkpoint", f"{tmp_dir}/ck7", "--trigger", "available_now"])
+    rows = {r.airport: (list(r.top_carriers), list(r.top_carriers_depdelay))
+            for r in latest_per_key(spark, f"{tmp_dir}/q7", ["airport"]).collect()}
+    # the stream rule counts the missing delay as 0; the short line is rejected
+    assert rows == {"ORD": (["BB", "AA"], [1, 12]), "LAX": (["AA"], [5])}
