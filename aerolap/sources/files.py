@@ -47,6 +47,18 @@ def open_binary(uri: str, mode: str = "rb"):
     return fs.open_input_file(p)
 
 
+def _move(src: str, dst: str) -> None:
+    lp_src, lp_dst = local_path(src), local_path(dst)
+    if lp_src is not None and lp_dst is not None:
+        os.replace(lp_src, lp_dst)
+        return
+    import pyarrow.fs as pafs
+
+    fs, p_src = pafs.FileSystem.from_uri(src)
+    _, p_dst = pafs.FileSystem.from_uri(dst)
+    fs.move(p_src, p_dst)
+
+
 def _members(zf, member_glob: str, exclude_suffix: str | None):
     for info in zf.infolist():
         name = info.filename
@@ -110,12 +122,18 @@ def zip_files(spark: SparkSession, src: str, dst: str, glob: str = "*.csv") -> D
     def compress(batches):
         import zipfile
 
+        from pyspark import TaskContext
+
+        attempt = TaskContext.get().taskAttemptId() if TaskContext.get() else 0
         for pdf in batches:
             written = []
             for p in pdf["path"]:
                 name = os.path.basename(p)
                 target = f"{base}/{name}.zip"
-                with open_binary(p) as fin, open_binary(target, "wb") as fout, \
+                # write under an attempt-private name, then move into place:
+                # a retried or speculative task never leaves a torn archive
+                tmp = f"{base}/_tmp-{attempt}-{name}.zip"
+                with open_binary(p) as fin, open_binary(tmp, "wb") as fout, \
                         zipfile.ZipFile(fout, "w", zipfile.ZIP_DEFLATED) as zf, \
                         zf.open(name, "w") as member:
                     while True:
@@ -123,6 +141,7 @@ def zip_files(spark: SparkSession, src: str, dst: str, glob: str = "*.csv") -> D
                         if not buf:
                             break
                         member.write(buf)
+                _move(tmp, target)
                 written.append(target)
             yield pd.DataFrame({"archive": written})
 
