@@ -3,7 +3,7 @@
 The reference unzips a tree of archives on one machine (four at a time) and
 converts each CSV with a separate script. Here one Spark job does both:
 
-* ``binaryFile`` lists the archives (only ``path``/``length`` are selected,
+* ``binaryFile`` lists the archives (only ``path`` is selected,
   so the scan does not load file bodies into the JVM); Spark packs small
   archives into one task and gives a big archive its own task;
 * ``mapInPandas`` opens each archive where it lives (local path or any
