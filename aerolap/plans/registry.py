@@ -11,10 +11,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from aerolap.functions.parse import fill_zero, flight_date, format_day, trunc_minutes
+from aerolap.operators.aggregate import count_by, sum_by
+from aerolap.operators.clean import require
+from aerolap.operators.itinerary import itinerary_labels, split_legs
+from aerolap.operators.reshape import unpivot_endpoints
+from aerolap.operators.topk import ranked_arrays, top_k
 from aerolap.plans import jobs
 from aerolap.plans import oracle as O
-from aerolap.sources.tables import flight_view
+from aerolap.sources.csv import parse_concise
+from aerolap.sources.tables import concise_fields, concise_lines, flight_view
+from aerolap.streaming.rankings import CARRIERS_PER_AIRPORT, rank_flights
+from aerolap.streaming.upsert import latest_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,7 +85,6 @@ def q_itinerary_lists(spark, sf_dir):
 
 @register("q_itinerary_labels", O.itinerary_labels_sql())
 def q_itinerary_labels(spark, sf_dir):
-    from aerolap.operators.itinerary import itinerary_labels
     return itinerary_labels(jobs.itinerary_best(flight_view(spark, sf_dir)))
 
 
@@ -104,16 +113,6 @@ def ext_zipf_fit(spark, sf_dir):
 
 # --- operators in isolation ---------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from aerolap.functions.parse import fill_zero, flight_date, format_day, trunc_minutes  # noqa: E402
-from aerolap.operators.aggregate import count_by, sum_by  # noqa: E402
-from aerolap.operators.clean import require  # noqa: E402
-from aerolap.operators.itinerary import split_legs  # noqa: E402
-from aerolap.operators.reshape import unpivot_endpoints  # noqa: E402
-from aerolap.operators.topk import ranked_arrays, top_k  # noqa: E402
-from aerolap.sources.tables import concise_fields, concise_lines  # noqa: E402
-
 
 @register("op_trunc_minutes", O.TRUNC_MINUTES)
 def op_trunc_minutes(spark, sf_dir):
@@ -135,7 +134,6 @@ def op_date_parts(spark, sf_dir):
 
 @register("op_parse_message", O.PARSE_MESSAGE)
 def op_parse_message(spark, sf_dir):
-    from aerolap.sources.csv import parse_concise
     return parse_concise(concise_lines(spark, sf_dir), keep=("bucket",))
 
 
@@ -226,8 +224,6 @@ def op_leg_split(spark, sf_dir):
 
 @register("op_latest_per_key", O.LATEST_PER_KEY)
 def op_latest_per_key(spark, sf_dir):
-    from aerolap.streaming.rankings import CARRIERS_PER_AIRPORT, rank_flights
-    from aerolap.streaming.upsert import latest_rows
     per_bucket = rank_flights(flight_view(spark, sf_dir), CARRIERS_PER_AIRPORT,
                               extra_group=("bucket",))
     return latest_rows(per_bucket, ["airport"], version_col="bucket")
