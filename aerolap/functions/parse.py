@@ -62,9 +62,12 @@ def fill_zero(c: ColumnOrName) -> Column:
 
 
 def dep_label(airport: ColumnOrName, dep_time: ColumnOrName) -> Column:
-    """PRJ-11 / FN-8: ``AIRPORT@HHMM`` with the time zero-padded to 4 digits."""
+    """PRJ-11 / FN-8: ``AIRPORT@HHMM`` with the time zero-padded to 4 digits.
+
+    NULL when either part is missing (no half-built label).
+    """
     hhmm = F.lpad(_col(dep_time).cast("string"), 4, "0")
-    return F.concat_ws("@", _col(airport), hhmm)
+    return F.concat(_col(airport), F.lit("@"), hhmm)
 
 
 def event_time(day: ColumnOrName, dep_time: ColumnOrName | None = None) -> Column:
