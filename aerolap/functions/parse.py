@@ -109,8 +109,11 @@ def pack_min_key(hi: ColumnOrName, lo: ColumnOrName) -> Column:
     ``min`` over the packed value is a HashAggregate (``min(struct)`` would be
     a SortAggregate) and is exact for every pair of 32-bit integers.
     """
-    return (_col(hi).cast("long") * F.lit(_TWO32)
-            + (_col(lo).cast("long") + F.lit(_TWO31)))
+    # hi in the upper 32 bits, lo + 2^31 (0 .. 2^32-1) in the lower ones. A
+    # shift and an OR, not a sum: Catalyst regroups constant terms of sums,
+    # which can overflow an intermediate (ANSI raises) at the int extremes.
+    low = _col(lo).cast("long") + F.lit(_TWO31)
+    return F.shiftleft(_col(hi).cast("long"), 32).bitwiseOR(low)
 
 
 def unpack_hi(c: ColumnOrName) -> Column:
