@@ -29,7 +29,10 @@ from pyspark.sql import functions as F
 from aerolap.functions.parse import flight_date, parse_int, trunc_minutes
 from aerolap.schema import CONCISE_DDL, CONCISE_FIELDS, FLIGHT_COLUMNS, RAW_HEADER_NAMES
 
-CSV_OPTIONS = {"quote": '"', "escape": '"'}
+# Spark's CSV writer trims leading/trailing spaces by default; field text
+# must survive a write and a read unchanged, so trimming is off both ways.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
 
 # A quoted field, with doubled quotes inside it.
 _QUOTED = '"([^"]|"")*"'

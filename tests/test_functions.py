@@ -48,3 +48,24 @@ def test_ntz_from_instant_ignores_session_zone(spark):
         assert out == {"2001-09-09 01:46:40"}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+text = st.text(alphabet=st.characters(blacklist_categories=("Cs", "Cc")), min_size=1,
+               max_size=8)
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(text, text, text), min_size=1, max_size=20))
+def test_concise_line_roundtrip(spark, rows):
+    """Any carrier/airport text survives writing and parsing a concise line."""
+    from aerolap.schema import CONCISE_FIELDS
+    from aerolap.sources.csv import parse_concise, to_concise_line
+
+    df = spark.createDataFrame(rows, "carrier string, origin string, dest string")
+    cols = [F.col(c) if c in ("carrier", "origin", "dest") else F.lit("1").alias(c)
+            for c in CONCISE_FIELDS]
+    lines = df.select(to_concise_line(*cols).alias("value"))
+    back = parse_concise(lines).select("carrier", "origin", "dest", "reject_reason").collect()
+    assert sorted((r.carrier, r.origin, r.dest) for r in back) == sorted(rows)
+    assert all(r.reject_reason is None or r.reject_reason == "invalid date" for r in back)
