@@ -25,6 +25,11 @@ from aerolap.streaming.upsert import latest_per_key
 BUCKETS = [0, 1, 2, 3]
 
 
+def _cores(spark) -> int:
+    """State partitions for the registered streams: one per core."""
+    return spark.sparkContext.defaultParallelism
+
+
 @register("op_kv_roundtrip", O.KV_ROUNDTRIP)
 def op_kv_roundtrip(spark, sf_dir):
     from aerolap.sources.kv_text import read_kv_text, write_kv_text
@@ -105,7 +110,8 @@ def _stream_ranking(spark, sf_dir, job, mode, keys):
 
     def start():
         parsed = parsed_stream(message_stream(spark, "files", inp))
-        return R.start_ranking(parsed, job, out, ckpt, mode=mode, trigger="available_now")
+        return R.start_ranking(parsed, job, out, ckpt, mode=mode, trigger="available_now",
+                               state_partitions=_cores(spark))
 
     replay(spark, staged, inp, BUCKETS, start)
     return latest_per_key(spark, out, keys)
@@ -147,7 +153,8 @@ def stream_window_topk(spark, sf_dir):
     parsed = parsed_stream(message_stream(spark, "files", inp,
                                           options={"recursiveFileLookup": "true"}))
     q = R.start_ranking(parsed, R.CARRIERS_PER_AIRPORT, out, ckpt, mode="window",
-                        window="1 day", watermark="2 days", trigger="available_now")
+                        window="1 day", watermark="2 days", trigger="available_now",
+                        state_partitions=_cores(spark))
     run_until_done(q)
     return spark.read.parquet(out).drop("batch_id")
 
@@ -178,7 +185,8 @@ def stream_itinerary_running(spark, sf_dir):
 
     def start():
         parsed = parsed_stream(message_stream(spark, "files", inp))
-        return start_itinerary_running(parsed, out, ckpt, trigger="available_now")
+        return start_itinerary_running(parsed, out, ckpt, trigger="available_now",
+                                       state_partitions=_cores(spark))
 
     replay(spark, staged, inp, BUCKETS, start)
     return latest_per_key(spark, out, TRIP_KEY)
@@ -200,5 +208,6 @@ def stream_itinerary_window(spark, sf_dir):
     spark.createDataFrame([(_FLUSH_LEG,)], "value string").write.text(f"{inp}/flush")
     parsed = parsed_stream(message_stream(spark, "files", inp,
                                           options={"recursiveFileLookup": "true"}))
-    run_until_done(start_itinerary_windowed(parsed, out, ckpt, trigger="available_now"))
+    run_until_done(start_itinerary_windowed(parsed, out, ckpt, trigger="available_now",
+                                            state_partitions=_cores(spark)))
     return spark.read.parquet(out).drop("batch_id")

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from aerolap.operators.itinerary import (
     itinerary_lists, leg_candidates, leg_minima, pair_leg_minima)
 from aerolap.sources.csv import accepted
-from aerolap.streaming.rankings import _trigger
+from aerolap.streaming.rankings import _trigger, start_stream
 from aerolap.streaming.upsert import batch_writer
 
 
@@ -61,7 +61,8 @@ def start_itinerary(parsed: DataFrame, out_path: str | None, checkpoint: str, k:
 
 
 def start_itinerary_running(parsed: DataFrame, out_path: str, checkpoint: str,
-                            trigger: str | None = None) -> StreamingQuery:
+                            trigger: str | None = None,
+                            state_partitions: int | None = None) -> StreamingQuery:
     """Best itinerary per trip over everything seen so far (stream rules).
 
     The only state is one packed minimum per (leg, route, start day), kept by
@@ -76,12 +77,13 @@ def start_itinerary_running(parsed: DataFrame, out_path: str, checkpoint: str,
     writer = (leg_minima(legs).writeStream.outputMode("complete")
               .foreachBatch(batch_writer(out_path, build))
               .option("checkpointLocation", checkpoint))
-    return _trigger(writer, trigger).start()
+    return start_stream(_trigger(writer, trigger), parsed.sparkSession, state_partitions)
 
 
 def start_itinerary_windowed(parsed: DataFrame, out_path: str, checkpoint: str,
                              lateness: str = "1 day", gap_days: int = 2,
-                             trigger: str | None = None) -> StreamingQuery:
+                             trigger: str | None = None,
+                             state_partitions: int | None = None) -> StreamingQuery:
     """Best itinerary per trip, emitted once per start day when it is final.
 
     Each leg's best flight per (route, start day) is a windowed streaming
@@ -110,4 +112,4 @@ def start_itinerary_windowed(parsed: DataFrame, out_path: str, checkpoint: str,
     writer = (minima.writeStream.outputMode("append")
               .foreachBatch(batch_writer(out_path, build))
               .option("checkpointLocation", checkpoint))
-    return _trigger(writer, trigger).start()
+    return start_stream(_trigger(writer, trigger), parsed.sparkSession, state_partitions)

@@ -81,16 +81,38 @@ def _trigger(writer, trigger):
     return writer.trigger(processingTime=trigger or "10 seconds")
 
 
+def start_stream(writer, spark, state_partitions: int | None = None) -> StreamingQuery:
+    """Start ``writer``; ``state_partitions`` sets the state store width.
+
+    A stateful query fixes its number of state partitions from
+    ``spark.sql.shuffle.partitions`` when it first starts (and keeps it in
+    its checkpoint). Batch jobs on a large cluster want thousands of shuffle
+    partitions; a stream's state usually wants about one per core. The
+    stream copies the session's settings when it starts, so the value is
+    set only around ``start()``.
+    """
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 def start_ranking(parsed: DataFrame, job: RankingJob, out_path: str, checkpoint: str,
                   mode: str = "batch", k: int = 10, window: str = "1 day",
                   watermark: str = "2 days", trigger: str | None = None,
-                  query_name: str | None = None) -> StreamingQuery:
+                  query_name: str | None = None,
+                  state_partitions: int | None = None) -> StreamingQuery:
     """Start one streaming ranking; results land under ``out_path``.
 
     ``parsed`` is a stream from ``source.parsed_stream`` (typed flights with
     ``reject_reason``). ``trigger``: a processing-time interval (default
     ``"10 seconds"``, the reference's batch interval), ``"available_now"``
-    or ``"once"``.
+    or ``"once"``. ``state_partitions``: see ``start_stream``.
     """
     flights = accepted(parsed)
     keys = [*job.group, job.item]
@@ -122,4 +144,4 @@ def start_ranking(parsed: DataFrame, job: RankingJob, out_path: str, checkpoint:
               .option("checkpointLocation", checkpoint))
     if query_name:
         writer = writer.queryName(query_name)
-    return _trigger(writer, trigger).start()
+    return start_stream(_trigger(writer, trigger), parsed.sparkSession, state_partitions)

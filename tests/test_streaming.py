@@ -69,3 +69,22 @@ def test_kafka_source_needs_its_connector(spark):
 
 def test_windowed_itinerary_equals_batch_best(spark):
     _check(spark, "stream_itinerary_window")
+
+
+def test_state_partitions_leave_session_setting_alone(spark, tmp_dir):
+    from aerolap.streaming import rankings as R
+    from aerolap.streaming.replay import run_until_done
+    from aerolap.streaming.source import message_stream, parsed_stream
+
+    import os
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.txt", "w") as fh:
+        fh.write("AA,ORD,LAX,5,5,0800,2008,1,5,6,1\n")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    parsed = parsed_stream(message_stream(spark, "files", f"{tmp_dir}/in"))
+    q = R.start_ranking(parsed, R.CARRIERS_PER_AIRPORT, f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                        mode="running", trigger="available_now", state_partitions=3)
+    run_until_done(q)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    state = os.listdir(f"{tmp_dir}/ck/state/0")
+    assert len([s for s in state if s.isdigit()]) == 3  # one folder per state partition
