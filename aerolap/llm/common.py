@@ -140,6 +140,23 @@ class Block:
         ends = np.flatnonzero(inside & (after | edge[1:])) + 1
         return starts, ends, np.searchsorted(starts, self.offsets)
 
+    def lines(self) -> tuple[np.ndarray, ...]:
+        """Per line (cut at \\n): row, start, end, start and end without the
+        white space at its ends (equal if the line has no word)."""
+        breaks = np.flatnonzero(self.data == 0x0A)
+        start = np.sort(np.concatenate([self.offsets[:-1], breaks + 1]), kind="stable")
+        end = np.sort(np.concatenate([breaks, self.offsets[1:]]), kind="stable")
+        owner = np.searchsorted(self.offsets, breaks, side="right") - 1
+        row = np.sort(np.concatenate([np.arange(self.rows), owner]), kind="stable")
+        words, word_ends, _ = self.words()
+        a = b = start
+        if len(words):
+            i, j = np.searchsorted(words, start), np.searchsorted(words, end)
+            some = j > i
+            a = np.where(some, words[np.minimum(i, len(words) - 1)], start)
+            b = np.where(some, word_ends[np.maximum(j, 1) - 1], start)
+        return row, start, end, a, b
+
 
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     data, offsets = text_buffer(column)

@@ -8,7 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolap.llm import chat
 from aerolap.llm.common import table
+from aerolap.llm.html import extract
+from aerolap.llm.line_dedup import remove_lines
+from aerolap.llm.quality import judge, train
+from aerolap.llm.sharding import shard
 from aerolap.llm.substring_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +29,68 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+OP2_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(15 + length(role) + length(text)
+    + length(regexp_replace(role || text, '[^\\<>]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+@register("op2_chat_format", OP2_SQL)
+def op2_chat_format(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    told = F.lit("\\### Assistant: </turn> ok")
+    extra = spark.range(1).select(F.lit(-7).cast("bigint").alias("conv_id"),
+                                  told.alias("prompt"), told.alias("response"))
+    turns = (chat.from_columns(chat.gather_turns(rows), "conv_id")
+             .unionByName(chat.from_columns(extra, "conv_id")))
+    done = chat.format_turns(turns).select("conv_id", "formatted", "loss")
+    back = done.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+                       chat.read_loss(F.col("formatted"), F.col("loss")).alias("learned"))
+    lines = F.array_join(F.transform("turns", lambda x: F.concat(
+        x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(lines, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("bigint").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+OP8_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (
+  SELECT k.*, (r.key IS NOT NULL AND doc_id <> keeper) AS gone FROM k LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+@register("op8_line_dedup", OP8_SQL)
+def op8_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = remove_lines(docs)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 OP9_SQL = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -49,3 +116,24 @@ def op9_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = remove_repeats(docs, one_space=True)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op10_sharding")
+def op10_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = shard(docs, shards=8)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op4_quality_rules")
+def op4_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    forest = train(docs, table(spark, sf_dir, "labels"))
+    return judge(docs, forest).drop("text")
+
+
+@register("op5_html_extraction")
+def op5_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract(pages).select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
