@@ -20,6 +20,7 @@ from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 # HTML element names by what they do here.
 BLOCKS = frozenset("""
@@ -285,5 +286,5 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     source = pages.select(*[c for c in pages.columns if c != "text"])
     at = source.columns.index("html")
-    schema = source.drop("html").schema.add("text", "string")
+    schema = T.StructType([*source.drop("html").schema.fields, T.StructField("text", T.StringType())])
     return source.mapInArrow(lambda it: _extract(it, at), schema)

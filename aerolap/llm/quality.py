@@ -1,10 +1,10 @@
 """Quality rules as statistics, judged by an isolation forest.
 
 Each document gets counts over its whole text; fixed base rules reject some at
-once. The rest go by an isolation forest over ratios of the counts: trees of
-random splits, built on a bounded sample of labelled rows, in which a document
-that few splits isolate is an anomaly. The threshold on the mean path length
-is calibrated on the labelled rows.
+once. The rest go by isolation forests over ratios of the counts (one per
+ratio, one over all): trees of random splits, built on a bounded sample of
+labelled rows, in which a document that few splits isolate is an anomaly. Each
+forest's threshold on the mean path length is calibrated on the labelled rows.
 
 The model is fitted on at most ``max_labelled`` labelled rows (a documented
 parameter) and is a few hundred KB; every document is counted and scored in
@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolap.llm.common import U64, WORD_BREAK, Block, blocks, byte_codes, mix, span_hash
 
@@ -153,23 +154,43 @@ def grow(x: np.ndarray, trees: int, sample: int, seed: int) -> Forest:
     return Forest(feature, cut, length, float(max(expected_length(sample), 1.0)))
 
 
-def fit(x: np.ndarray, good: np.ndarray, *, trees: int = 200, sample: int = 256,
-        share: float = 0.05, max_clean_loss: float = 0.003, seed: int = 11) -> Forest | None:
-    """Forest over the good rows and, as ``share`` of them, rejected ones (an
-    anomaly must be rare to be isolated early). The threshold rejects most
-    rejected rows while losing at most ``max_clean_loss`` of the good ones."""
+@dataclass
+class Rules:
+    """Forests over subsets of the ratios; one that finds an anomaly rejects."""
+    forests: list[tuple[list[int], Forest]]
+
+    def anomalous(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x), dtype=bool)
+        for columns, forest in self.forests:
+            out |= forest.score(x[:, columns]) >= forest.threshold
+        return out
+
+
+def fit(x: np.ndarray, good: np.ndarray, *, trees: int = 100, sample: int = 256, share: float = 0.05,
+        max_clean_loss: float = 0.0005, seed: int = 11) -> Rules | None:
+    """A forest over each ratio and one over all of them.
+
+    Each is grown on the good rows and, as ``share`` of them, rejected ones (an
+    anomaly must be rare to be isolated early). Its threshold is calibrated on
+    all rows: it rejects as many rejected rows as it can while losing at most
+    ``max_clean_loss`` of the good ones.
+    """
     rng = np.random.Generator(np.random.PCG64(seed))
     clean, bad = np.flatnonzero(good), np.flatnonzero(~good)
     if len(clean) < 2 or not len(bad):
         return None
     few = rng.permutation(bad)[: max(1, int(share * len(clean)))]
-    forest = grow(x[np.concatenate([clean, few])], trees, sample, seed)
-    s = forest.score(x)
-    allowed = np.sort(s[clean])[::-1][int(max_clean_loss * len(clean))]
-    # from the lowest threshold allowed, up through the gap above it
-    above = np.sort(s[bad][s[bad] > allowed])
-    forest.threshold = float((allowed + above[0]) / 2) if len(above) else np.inf
-    return forest
+    grown = x[np.concatenate([clean, few])]
+    forests = []
+    for t, columns in enumerate([*([i] for i in range(x.shape[1])), list(range(x.shape[1]))]):
+        forest = grow(grown[:, columns], trees, sample, seed + t)
+        s = forest.score(x[:, columns])
+        allowed = np.sort(s[clean])[::-1][int(max_clean_loss * len(clean))]
+        above = s[bad][s[bad] > allowed]
+        if len(above):                   # in the middle of the gap above the good rows
+            forest.threshold = float((allowed + above.min()) / 2)
+            forests.append((columns, forest))
+    return Rules(forests)
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[pa.RecordBatch, dict]]:
@@ -197,7 +218,7 @@ def labelled_counts(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Da
             .mapInArrow(run, "quality int, " + ", ".join(f"{n} bigint" for n in names)))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, **options) -> Forest | None:
+def train(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, **options) -> Rules | None:
     """Fit on labelled rows that pass the base rules. None if the labels do not
     hold both kinds; then only the base rules decide."""
     rows = labelled_counts(docs, labels, max_labelled).toPandas()
@@ -209,7 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, **o
     return fit(x[order], good[order], **options)
 
 
-def judge(docs: DataFrame, forest: Forest | None, *, only_kept: bool = False) -> DataFrame:
+def judge(docs: DataFrame, rules: Rules | None, *, only_kept: bool = False) -> DataFrame:
     """Counts, ``base_failed`` and ``kept`` for every document.
 
     Returns the columns of ``docs`` plus the counts and verdicts, or with
@@ -227,8 +248,8 @@ def judge(docs: DataFrame, forest: Forest | None, *, only_kept: bool = False) ->
         for batch, c in _count_rows(batches, text_at):
             failed = base_failed(c)
             kept = ~failed
-            if forest is not None:
-                kept &= forest.score(features(c)) < forest.threshold
+            if rules is not None:
+                kept &= ~rules.anomalous(features(c))
             if only_kept:
                 yield batch.filter(pa.array(kept))
                 continue
@@ -237,9 +258,8 @@ def judge(docs: DataFrame, forest: Forest | None, *, only_kept: bool = False) ->
                 [*columns, *(pa.array(c[n].astype(np.int64)) for n in COUNTS), pa.array(failed), pa.array(kept)],
                 names=[*inputs, *added])
 
-    schema = source.schema
+    schema = list(source.schema.fields)
     if not only_kept:
-        for n in COUNTS:
-            schema = schema.add(n, "long")
-        schema = schema.add("base_failed", "boolean").add("kept", "boolean")
-    return source.mapInArrow(run, schema)
+        schema += [T.StructField(n, T.LongType()) for n in COUNTS]
+        schema += [T.StructField(n, T.BooleanType()) for n in ("base_failed", "kept")]
+    return source.mapInArrow(run, T.StructType(schema))

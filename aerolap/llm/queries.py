@@ -5,17 +5,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolap.llm import chat
 from aerolap.llm.common import table
+from aerolap.llm.ann import nearest
+from aerolap.llm.bpe import encode_digests
 from aerolap.llm.html import extract
 from aerolap.llm.line_dedup import remove_lines
+from aerolap.llm.near_dedup import classes
+from aerolap.llm.packing import pack
 from aerolap.llm.quality import judge, train
 from aerolap.llm.sharding import shard
 from aerolap.llm.substring_dedup import remove_repeats
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -129,11 +136,32 @@ def op10_sharding(spark, sf_dir):
 @register("op4_quality_rules")
 def op4_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    forest = train(docs, table(spark, sf_dir, "labels"))
-    return judge(docs, forest).drop("text")
+    rules = train(docs, table(spark, sf_dir, "labels"))
+    return judge(docs, rules).drop("text")
 
 
 @register("op5_html_extraction")
 def op5_html_extraction(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract(pages).select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@register("op6_bpe")
+def op6_bpe(spark, sf_dir):
+    return encode_digests(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@register("op3_packing")
+def op3_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end=2)
+
+
+@register("op7_near_dedup")
+def op7_near_dedup(spark, sf_dir):
+    return classes(table(spark, sf_dir, "documents"), width=3, similarity=(85, 100))
+
+
+@register("op1_ann")
+def op1_ann(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
