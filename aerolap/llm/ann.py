@@ -8,8 +8,8 @@ window around its own value in every sorted array and widens all of them step
 by step (virtual rehashing: a wider window is a coarser bucket centred on the
 query, nothing is hashed again). Each widening counts only the newly covered
 entries; vectors whose count passes the threshold are verified with the exact
-inner product. A block's search ends when enough vectors are verified and the
-k-th best is closer than the window's radius, or when the windows cover it.
+inner product. A block's search ends after the widening that brings enough
+verified vectors, or when the windows cover the block.
 
 Blocks of queries meet blocks of vectors by block id; counts stay inside a
 block, only each block's k best per query shuffle.
@@ -29,7 +29,7 @@ from aerolap.llm.common import spool
 
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
-RATIO = 1.3                              # growth of the radius per widening
+RATIO = 1.5                              # growth of the radius per widening
 
 
 def window_width(c: float = RATIO) -> float:
@@ -85,7 +85,6 @@ class BlockIndex:
         n, m = len(self.ids), len(self.shift)
         least = threshold(m)
         centre = query @ self.along
-        length = float(query @ query)
         starts = np.arange(m) * n
         lo = hi = np.searchsorted(self.sorted, np.clip(centre, self.low, self.high) + self.shift)
         counts = np.zeros(n, dtype=np.int64)
@@ -111,11 +110,8 @@ class BlockIndex:
                 scores = np.concatenate([scores, (self.vectors[new] * query).sum(axis=1)])
             if (hi - lo == n).all() and (lo == starts).all():
                 break
-            if len(rows) >= max(k, min(enough, n - 1)):
-                # distance of the k-th best against the radius now searched
-                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                if self.top + length - 2 * kth <= radius * radius or len(rows) >= 2 * enough:
-                    break
+            if len(rows) >= min(enough, n - 1):
+                break
             radius *= RATIO
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return rows[best], scores[best]
@@ -150,7 +146,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _probe(batches: Iterator[pa.RecordBatch], top: float, projections: int, k: int,
-           share: float) -> Iterator[pa.RecordBatch]:
+           share: float, least: int) -> Iterator[pa.RecordBatch]:
     last, index = None, None
     for batch in batches:
         for r in batch.to_pylist():
@@ -162,7 +158,7 @@ def _probe(batches: Iterator[pa.RecordBatch], top: float, projections: int, k: i
             points = np.frombuffer(r["q_vectors"], "<f8").reshape(len(queries), -1)
             out = ([], [], [])
             for q, point in zip(queries.tolist(), points):
-                rows, scores = index.search(q, point, k, k + math.ceil(share * len(ids)))
+                rows, scores = index.search(q, point, k, k + max(math.ceil(share * len(ids)), least))
                 for part, x in zip(out, (np.full(len(rows), q), index.ids[rows], scores)):
                     part.append(x)
             yield pa.record_batch([pa.array(np.concatenate(x)) for x in out],
@@ -170,14 +166,15 @@ def _probe(batches: Iterator[pa.RecordBatch], top: float, projections: int, k: i
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, projections: int = 64,
-            share: float = 0.05) -> DataFrame:
+            share: float = 0.1, least: int = 200) -> DataFrame:
     """The ``k`` best of ``vectors`` for every row of ``queries``.
 
     Both have ``vec_id`` and ``embedding`` (array of float or double). Returns
     query_id, rank (from 1), vec_id and score (inner product in double
     precision), best first, ties to the smaller vec_id. A vector with the
     query's own vec_id is no candidate. ``projections`` sorted arrays are kept
-    per block; at least ``share`` of a block is verified per query.
+    per block; at least ``share`` of a block, and ``least`` vectors, are verified
+    per query (recall is measured in the tests).
 
     Null and zero vectors, those with null or non-finite components, those
     with another length than most, and rows without vec_id take no part.
@@ -212,7 +209,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, projections:
            .select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
                    F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("block")))
     found = (table.join(ask, "block").select("block", "ids", "vectors", "q_ids", "q_vectors")
-             .mapInArrow(lambda it: _probe(it, float(top or 0), projections, k, share),
+             .mapInArrow(lambda it: _probe(it, float(top or 0), projections, k, share, least),
                          "query_id bigint, vec_id bigint, score double"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
