@@ -83,6 +83,7 @@ class BlockIndex:
     def search(self, query_id: int, query: np.ndarray, k: int, enough: int) -> tuple[np.ndarray, np.ndarray]:
         """(rows, scores) of the k best verified vectors other than the query's own."""
         n, m = len(self.ids), len(self.shift)
+        others = n - int((self.ids == query_id).sum())
         least = threshold(m)
         centre = query @ self.along
         starts = np.arange(m) * n
@@ -110,7 +111,7 @@ class BlockIndex:
                 scores = np.concatenate([scores, (self.vectors[new] * query).sum(axis=1)])
             if (hi - lo == n).all() and (lo == starts).all():
                 break
-            if len(rows) >= min(enough, n - 1):
+            if len(rows) >= min(enough, others):
                 break
             radius *= RATIO
         best = np.lexsort((self.ids[rows], -scores))[:k]

@@ -129,10 +129,13 @@ def from_json(df: DataFrame, key: str, record: str) -> DataFrame:
     """
     arrays = sorted({x.turns for x in LAYOUTS if x.turns})
     raw = F.col(record)
-    nested = [F.transform(
-        F.coalesce(F.json_object_keys(F.get_json_object(raw, f"$.{a}[0]")), F.array().cast("array<string>")),
-        lambda k, a=a: F.concat(F.lit(f"{a}[]."), k)) for a in arrays]
-    paths = F.concat(F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>")), *nested)
+
+    def nested(top: str) -> Column:
+        keys = F.json_object_keys(F.get_json_object(raw, f"$.{top}[0]"))
+        return F.transform(F.coalesce(keys, F.array().cast("array<string>")),
+                           lambda k: F.concat(F.lit(f"{top}[]."), k))
+
+    paths = F.concat(F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>")), *map(nested, arrays))
     chosen, name = F.lit(None).cast(TURNS), F.lit(None).cast("string")
     for layout in sorted(LAYOUTS, key=lambda x: len(x.paths)):
         shared = F.array_sort(F.array_distinct(

@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolap.session import scratch_path
 
@@ -55,6 +57,27 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def marked_texts(docs: DataFrame, marks: DataFrame, name: str,
+                 added: list[str]) -> tuple[DataFrame, T.StructType, int]:
+    """Join ``marks`` (doc_id, ``name``) to the documents, as the last column
+    (null where there are none). Returns the join, the schema of the documents
+    followed by the ``added`` counts, and the index of ``text``."""
+    key, mark = fresh(docs, "_key"), fresh(docs, "_marks")
+    kept = [c for c in docs.columns if c not in added]
+    side = marks.select(F.col("doc_id").alias(key), F.col(name).alias(mark))
+    joined = docs.select(*kept).join(side, F.col("doc_id") == F.col(key), "left").select(*kept, mark)
+    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(c, T.LongType()) for c in added)])
+    return joined, schema, kept.index("text")
+
+
+def replaced(batch: pa.RecordBatch, text_at: int, texts: list[bytes], **counts: list[int]) -> pa.RecordBatch:
+    """The batch with new texts and counts in place of its last column."""
+    columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+    columns[text_at] = pa.array(texts, pa.binary()).cast(pa.string())
+    return pa.record_batch([*columns, *(pa.array(c, pa.int64()) for c in counts.values())],
+                           names=[*batch.schema.names[:-1], *counts])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finalizer (the public splitmix64 constants)."""
     x = x ^ (x >> U64(30))

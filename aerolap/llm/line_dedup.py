@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolap.llm.common import LOWER, U64, Block, blocks, byte_codes, signed, span_hash
-from aerolap.llm.substring_dedup import with_columns_of
+from aerolap.llm.common import (
+    LOWER, U64, Block, blocks, byte_codes, marked_texts, replaced, signed, span_hash, spool)
 
 _ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8")])
 _SUSPECTS = "h1 bigint, h2 bigint, doc_id bigint"
@@ -126,11 +126,11 @@ def _rows(e: np.ndarray) -> pa.RecordBatch:
                            names=["h1", "h2", "doc_id"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch], min_points: int) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], text_at: int, min_points: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         total, dropped, texts = [], [], []
-        drops = batch.column(2)
-        for block in blocks(batch.column(1)):
+        drops = batch.column(batch.num_columns - 1)
+        for block in blocks(batch.column(text_at)):
             listed = [r for r in range(block.rows) if drops[block.lo + r].is_valid]
             n = 1 + np.bincount(np.searchsorted(block.offsets, np.flatnonzero(block.data == 0x0A), side="right") - 1,
                                 minlength=block.rows)[: block.rows]
@@ -152,10 +152,7 @@ def _cut(batches: Iterator[pa.RecordBatch], min_points: int) -> Iterator[pa.Reco
             total += n.tolist()
             dropped += gone.tolist()
             texts += raw
-        yield pa.record_batch([
-            batch.column(0), pa.array(total, pa.int64()), pa.array(dropped, pa.int64()),
-            pa.array(texts, pa.binary()).cast(pa.string()),
-        ], names=["doc_id", "n_lines", "n_dropped", "text"])
+        yield replaced(batch, text_at, texts, n_lines=total, n_dropped=dropped)
 
 
 def remove_lines(docs: DataFrame, *, min_points: int = 20, min_docs: int = 3) -> DataFrame:
@@ -182,12 +179,12 @@ def remove_lines(docs: DataFrame, *, min_points: int = 20, min_docs: int = 3) ->
                             "segment int, entries binary, marks binary, known binary")
                 .repartition(segments, "segment")
                 .mapInArrow(_suspects, _SUSPECTS))
-    repeated = (suspects.groupBy("h1", "h2")
-                .agg(F.count("*").alias("c"), F.max("doc_id").alias("keeper"))
-                .where(F.col("c") >= min_docs).select("h1", "h2", "keeper"))
+    # stored, so that both sides of the join below are plain shuffles and AQE
+    # can split a line that very many documents hold
+    repeated = spool(suspects.groupBy("h1", "h2")
+                     .agg(F.count("*").alias("c"), F.max("doc_id").alias("keeper"))
+                     .where(F.col("c") >= min_docs).select("h1", "h2", "keeper"), "lines")
     drops = (suspects.join(repeated, ["h1", "h2"]).where("doc_id < keeper")
              .groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("drops")))
-    cut = (text.join(drops, "doc_id", "left")
-           .mapInArrow(lambda it: _cut(it, min_points),
-                       "doc_id bigint, n_lines bigint, n_dropped bigint, text string"))
-    return with_columns_of(docs, cut, ["n_lines", "n_dropped"])
+    marked, schema, at = marked_texts(docs, drops, "drops", ["n_lines", "n_dropped"])
+    return marked.mapInArrow(lambda it: _cut(it, at, min_points), schema)

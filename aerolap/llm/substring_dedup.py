@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolap.llm.common import (
-    Block, blocks, byte_codes, fresh, signed, span_hash, spool)
+    Block, blocks, byte_codes, marked_texts, replaced, signed, span_hash, spool)
 
 _PATHS = "doc_id bigint, start int, n int, edge bigint, h1 bigint, h2 bigint"
 
@@ -120,11 +120,11 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             ], names=["w1", "w2", "h1", "h2", "lo", "off"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch], window: int, one_space: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], text_at: int, window: int, one_space: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spans = batch.column(2)
+        spans = batch.column(batch.num_columns - 1)
         total, removed, texts = [], [], []
-        for block in blocks(batch.column(1)):
+        for block in blocks(batch.column(text_at)):
             starts, ends, first = block.words()
             for r in range(block.rows):
                 lo, hi = first[r], first[r + 1]
@@ -153,10 +153,7 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int, one_space: bool) -> Ite
                     base = block.offsets[r]
                     texts.append(b"\n".join(raw[starts[lo + i] - base: ends[lo + j - 1] - base]
                                             for i, j in zip(a, b)))
-        yield pa.record_batch([
-            batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
-            pa.array(texts, pa.binary()).cast(pa.string()),
-        ], names=["doc_id", "n_words", "n_removed", "text"])
+        yield replaced(batch, text_at, texts, n_words=total, n_removed=removed)
 
 
 def remove_repeats(docs: DataFrame, *, window: int = 50, k: int = 12,
@@ -205,9 +202,11 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, k: int = 12,
              .groupBy("h1", "h2").agg(F.min("lo").alias("lo_"),
                                       F.collect_set(F.struct("off", "least")).alias("extra")))
 
-    judged = (paths.where("lo < hi").select("h1", "h2", "lo")
-              .join(extra, ["h1", "h2"], "full")
-              .select("h1", "h2", F.coalesce("lo", "lo_").alias("lo"), "extra"))
+    # stored, so that both sides of the join below are plain shuffles and AQE
+    # can split a passage that very many documents hold
+    judged = spool(paths.where("lo < hi").select("h1", "h2", "lo")
+                   .join(extra, ["h1", "h2"], "full")
+                   .select("h1", "h2", F.coalesce("lo", "lo_").alias("lo"), "extra"), "judged")
     whole = F.array(F.struct(F.col("start"), F.col("n")))
     parts = F.transform(
         F.filter("extra", lambda x: x["least"] < F.col("doc_id")),
@@ -218,20 +217,5 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, k: int = 12,
                      .alias("s"))
              .where("size(s) > 0")
              .groupBy("doc_id").agg(F.flatten(F.collect_list("s")).alias("spans")))
-    cut = (text.join(spans, "doc_id", "left")
-           .select("doc_id", "text", F.coalesce(
-               "spans", F.array().cast("array<struct<start:int,n:int>>")).alias("spans"))
-           .mapInArrow(lambda it: _cut(it, window, one_space),
-                       "doc_id bigint, n_words bigint, n_removed bigint, text string"))
-    return with_columns_of(docs, cut, ["n_words", "n_removed"])
-
-
-def with_columns_of(docs: DataFrame, result: DataFrame, added: list[str]) -> DataFrame:
-    """Put the other columns of ``docs`` back beside an operator's rows."""
-    rest = [c for c in docs.columns if c not in ("doc_id", "text", *added)]
-    if not rest:
-        return result.select("doc_id", "text", *added)
-    key = fresh(docs, "_key")
-    side = docs.select(F.col("doc_id").alias(key), *rest).where(F.col(key).isNotNull()).dropDuplicates([key])
-    return (result.join(side, F.col("doc_id") == F.col(key), "left")
-            .select(*[c for c in docs.columns if c not in added], *added))
+    marked, schema, at = marked_texts(docs, spans, "spans", ["n_words", "n_removed"])
+    return marked.mapInArrow(lambda it: _cut(it, at, window, one_space), schema)

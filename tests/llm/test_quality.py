@@ -1,0 +1,77 @@
+"""Counts against plain Python; the forest on held-out labels."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from aerolap.llm import quality
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    seen, dups = set(), 0
+    for line in (text or "").split("\n"):
+        if line.strip("\x20\t\n\x0b\x0c\r"):
+            dups += line in seen
+            seen.add(line)
+    windows = [tuple(words[i: i + 5]) for i in range(len(words) - 4)]
+    n = Counter(windows)
+    covered = {j for i, w in enumerate(windows) if n[w] > 1 for j in range(i, i + 5)}
+    return (len(words), sum(map(len, words)), sum((text or "").count(c) for c in quality.SYMBOLS), dups, len(covered))
+
+
+def test_counts_equal_brute_force(make_docs, awkward):
+    rng = random.Random(1)
+    rows = [(i, rng.choice(["", " "]).join(rng.choice(["a", "b ", "é", "#", "\n", "x\ny", " | ", "\t"])
+                                           for _ in range(rng.randint(0, 200)))) for i in range(150)]
+    for df in (make_docs(rows), awkward):
+        out = quality.judge(df, None)
+        assert out.count() == df.count()
+        for r in out.collect():
+            want = brute(r["text"])
+            assert tuple(r[c] for c in quality.COUNTS) == want
+            assert r["base_failed"] == (want[0] < 10 or 100 * want[4] > 20 * want[0])
+            assert r["kept"] == (not r["base_failed"])
+
+
+def test_empty_and_unlabelled(spark, empty, awkward):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert quality.train(awkward, labels) is None
+    odd = spark.createDataFrame([(None, 1, 0), (4, None, 0), (77, 0, 0)], labels.schema)
+    assert quality.train(awkward, odd) is None
+    assert quality.judge(empty, None).collect() == []
+    assert quality.judge(empty, None, only_kept=True).columns == empty.columns
+    kept = quality.judge(awkward, None, only_kept=True)
+    assert kept.columns == awkward.columns
+    assert kept.collect() == []                     # all short or repetitive
+
+
+def test_forest_on_held_out_labels(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    big = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rules = quality.train(big, labels.where("doc_id % 2 = 0"))
+    again = quality.train(big, labels.where("doc_id % 2 = 0"))
+    assert [f.threshold for _, f in rules.forests] == [f.threshold for _, f in again.forests]
+    held = (quality.judge(big, rules).join(labels.where("doc_id % 2 = 1"), "doc_id")
+            .where("NOT base_failed").select("quality", "kept").toPandas())
+    good, bad = held[held.quality == 1], held[held.quality == 0]
+    assert len(bad) > 50
+    assert good.kept.mean() > 0.99 and bad.kept.mean() < 0.05
+    assert quality.judge(docs, rules).count() == docs.count()
+
+
+def test_path_lengths():
+    rng = np.random.default_rng(0)
+    x = np.concatenate([rng.normal(size=(500, 2)), [[8, 8], [-9, 7]]])
+    s = quality.grow(x, 100, 256, 1).score(x)
+    assert set(np.argsort(-s)[:2]) == {500, 501}
+    assert quality.expected_length([0, 1, 2]).tolist() == [0, 0, 1]
+    assert quality.grow(np.zeros((5, 2)), 3, 256, 1).score(np.zeros((2, 2))) == pytest.approx([0.5, 0.5], abs=0.2)
