@@ -3,14 +3,16 @@
     python -m aerolap top-airports   --input 'data/*/*.csv' --output out/q1 [--top 10]
     python -m aerolap carriers-per-route --input ingested/ --input-format parquet \\
         --output out/q5 --format text --ties distinct
-    python -m aerolap itineraries --input ... --output out/q6 [--year 2008] [--pairs best|summary|lists]
+    python -m aerolap itineraries --input ... --output out/q6 [--year 2008] [--pairs best|summary|k-best --k 10]
     python -m aerolap ingest --input raw/ --input-format zip --output ingested/
     python -m aerolap stream-carriers-per-airport --source kafka --bootstrap host:9092 \\
         --topics flights --output out/q7 --checkpoint ckpt/q7 [--mode batch|running|window]
 
 ``--format text`` writes the reference's ``key<TAB>value`` lines (composite
 parts joined by commas); the default is Parquet. Batch inputs: concise CSV
-(default), raw headered CSV, zipped raw CSV, or ingested Parquet.
+(default), raw headered CSV, zipped raw CSV, or ingested Parquet. A job drops
+only rows whose needed columns could not be read; ``--strict`` fails on any
+fault. ``--input-bytes`` sizes shuffles and scan splits for a cluster run.
 """
 
 from __future__ import annotations
@@ -23,15 +25,12 @@ from pyspark.sql import functions as F
 from aerolap.plans import jobs
 
 RANKINGS = {
-    # job: (function, text key columns, text value columns)
+    # job: (function, text key columns, text value columns before the measure)
     "top-airports": (jobs.top_airports, ["airport"], ["flights"]),
-    "top-airlines": (jobs.top_airlines, ["airline_id"], ["total_arr_delay"]),
-    "carriers-per-airport": (jobs.top_carriers_per_airport, ["origin"],
-                             ["carrier", "total_dep_delay"]),
-    "dests-per-airport": (jobs.top_dests_per_airport, ["origin"],
-                          ["dest", "total_dep_delay"]),
-    "carriers-per-route": (jobs.top_carriers_per_route, ["origin", "dest"],
-                           ["carrier", "total_dep_delay"]),
+    "top-airlines": (jobs.top_airlines, ["airline_id"], []),
+    "carriers-per-airport": (jobs.top_carriers_per_airport, ["origin"], ["carrier"]),
+    "dests-per-airport": (jobs.top_dests_per_airport, ["origin"], ["dest"]),
+    "carriers-per-route": (jobs.top_carriers_per_route, ["origin", "dest"], ["carrier"]),
 }
 STREAMS = {
     "stream-carriers-per-airport": "CARRIERS_PER_AIRPORT",
@@ -40,13 +39,14 @@ STREAMS = {
 }
 
 
-def load_flights(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+def load_flights(spark: SparkSession, path: str | list[str], fmt: str, needs: list[str],
+                 strict: bool = False) -> DataFrame:
     from aerolap.sources.csv import accepted
     from aerolap.sources.ingest import parsed_input, read_ingested
 
     if fmt == "parquet":
-        return read_ingested(spark, path)
-    return accepted(parsed_input(spark, path, fmt))
+        return read_ingested(spark, path, needs)
+    return accepted(parsed_input(spark, path, fmt, strict), needs)
 
 
 def write(df: DataFrame, out: str, fmt: str, keys: list[str], values: list[str],
@@ -71,6 +71,12 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--output", required=True)
         s.add_argument("--format", default="parquet", choices=["parquet", "text"])
         s.add_argument("--mode", default="errorifexists")
+        return common(s)
+
+    def common(s):
+        s.add_argument("--strict", action="store_true", help="fail on the first faulty row")
+        s.add_argument("--input-bytes", type=int, default=None,
+                       help="size of the input, to size shuffles and scan splits")
         return s
 
     for name in RANKINGS:
@@ -80,13 +86,14 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--metric", default="sum", choices=["sum", "mean"])
         s.add_argument("--delay", default=None, help="delay column to rank by")
     s = batch("itineraries", "two-leg itineraries with a two-day stop")
-    s.add_argument("--pairs", default="best", choices=["best", "summary", "lists"])
-    s.add_argument("--k", type=int, default=10)
+    s.add_argument("--pairs", default="best", choices=["best", "summary", "k-best"])
+    s.add_argument("--k", type=int, default=None, help="pairs per trip (k-best: required)")
     s.add_argument("--year", type=int, default=None)
     s = sub.add_parser("ingest", help="parse once into Parquet by year/month")
     s.add_argument("--input", required=True)
     s.add_argument("--input-format", default="concise", choices=["concise", "raw", "zip"])
     s.add_argument("--output", required=True)
+    common(s)
     for name in [*STREAMS, "stream-itineraries"]:
         s = sub.add_parser(name, help=f"streaming job {name}")
         s.add_argument("--source", default="files", choices=["files", "kafka"])
@@ -99,23 +106,39 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--mode", default="batch", choices=["batch", "running", "window"])
         s.add_argument("--top", type=int, default=10)
         s.add_argument("--print-rows", type=int, default=None)
+        s.add_argument("--window", default="1 day")
+        s.add_argument("--watermark", default=None,
+                       help="lateness allowed (rankings: 2 days; itineraries: 1 day past the gap)")
+        s.add_argument("--state-partitions", type=int, default=None)
+        s.add_argument("--max-files-per-trigger", type=int, default=None)
+        s.add_argument("--starting-offsets", default="latest")
+        s.add_argument("--max-offsets-per-trigger", type=int, default=None)
+        s.add_argument("--tolerate-data-loss", action="store_true")
+        s.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                       help="further option of the source")
+        common(s)
         s.add_argument("--timeout", type=int, default=None,
                        help="stop after this many seconds (default: run until stopped)")
     return p
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if args.job == "itineraries" and args.pairs == "k-best" and not args.k:
+        parser.error("--pairs k-best needs --k")
     from aerolap.session import build_session
 
-    spark = build_session(app=f"aerolap-{args.job}")
+    spark = build_session(app=f"aerolap-{args.job}", input_bytes=args.input_bytes)
     if args.job == "ingest":
         from aerolap.sources.ingest import ingest
 
-        ingest(spark, args.input, args.output, args.input_format)
+        ingest(spark, args.input, args.output, args.input_format, strict=args.strict)
         return
     if args.job in RANKINGS or args.job == "itineraries":
-        flights = load_flights(spark, args.input, args.input_format)
+        delay = getattr(args, "delay", None)
+        flights = load_flights(spark, args.input, args.input_format,
+                               jobs.needs(args.job, delay), args.strict)
         if args.job == "itineraries":
             _itineraries(flights, args)
             return
@@ -123,8 +146,8 @@ def main(argv: list[str] | None = None) -> None:
         kw = {"ties": args.ties}
         if args.job != "top-airports":
             kw["metric"] = args.metric
-            if args.delay:
-                kw["delay_col"] = args.delay
+            kw["delay_col"] = delay or jobs.needs(args.job)[-1]
+            values = [*values, jobs.measure_name(kw["delay_col"], args.metric)]
         result = fn(flights, args.top, **kw)
         write(result.orderBy(*[k for k in keys if k in result.columns], "rank"),
               args.output, args.format, keys, values, args.mode)
@@ -139,19 +162,19 @@ def _itineraries(flights: DataFrame, args) -> None:
         best = jobs.itinerary_best(flights, year=args.year)
         if args.format == "text":
             lab = itinerary_labels(best)
-            write(lab, args.output, "text", ["path"], ["total_delay"], args.mode)
+            write(lab, args.output, "text", ["day", "leg1", "leg2", "dst"], ["total_delay"], args.mode)
         else:
             best.write.mode(args.mode).parquet(args.output)
     elif args.pairs == "summary":
-        jobs.itinerary_summary(flights, year=args.year).write.mode(args.mode).parquet(args.output)
+        facts = jobs.itinerary_summary(flights, year=args.year)
+        write(facts, args.output, args.format, ["start_date", "src", "mid", "dst"],
+              ["n_pairs", "min_total", "max_total", "sum_total"], args.mode)
     else:
-        lists = jobs.itinerary_pair_lists(flights, k=args.k, year=args.year)
+        lists = jobs.itinerary_k_best(flights, k=args.k, year=args.year)
         if args.format == "text":
-            lists = lists.select(
-                F.concat_ws(",", F.date_format("start_date", "yyyy-MM-dd"), "src", "mid",
-                            "dst").alias("trip"),
-                F.to_json("pairs").alias("pairs"))
-            write(lists, args.output, "text", ["trip"], ["pairs"], args.mode)
+            lists = lists.withColumn("pairs", F.to_json("pairs"))
+            write(lists, args.output, "text", ["start_date", "src", "mid", "dst"],
+                  ["n_pairs", "pairs"], args.mode)
         else:
             lists.write.mode(args.mode).parquet(args.output)
 
@@ -162,22 +185,29 @@ def _stream(spark: SparkSession, args) -> None:
         start_itinerary, start_itinerary_running, start_itinerary_windowed)
     from aerolap.streaming.source import message_stream, parsed_stream
 
+    kafka = {} if args.source != "kafka" else {
+        "starting_offsets": args.starting_offsets, "fail_on_data_loss": not args.tolerate_data_loss,
+        "max_offsets_per_trigger": args.max_offsets_per_trigger}
     messages = message_stream(spark, args.source, path=args.path, topics=args.topics,
-                              bootstrap=args.bootstrap)
-    parsed = parsed_stream(messages)
+                              bootstrap=args.bootstrap, max_files_per_trigger=args.max_files_per_trigger,
+                              options=dict(x.split("=", 1) for x in args.option), **kafka)
+    parsed = parsed_stream(messages, strict=args.strict)
+    wide = {"state_partitions": args.state_partitions}
     if args.job == "stream-itineraries":
         if args.mode == "running":
-            q = start_itinerary_running(parsed, args.output, args.checkpoint, args.trigger)
+            q = start_itinerary_running(parsed, args.output, args.checkpoint, args.trigger, **wide)
         elif args.mode == "window":
             q = start_itinerary_windowed(parsed, args.output, args.checkpoint,
-                                         trigger=args.trigger)
+                                         lateness=args.watermark or "1 day",
+                                         trigger=args.trigger, **wide)
         else:
             q = start_itinerary(parsed, args.output, args.checkpoint, k=args.top,
                                 trigger=args.trigger, print_rows=args.print_rows)
     else:
         job = getattr(R, STREAMS[args.job])
         q = R.start_ranking(parsed, job, args.output, args.checkpoint, mode=args.mode,
-                            k=args.top, trigger=args.trigger)
+                            k=args.top, window=args.window, watermark=args.watermark or "2 days",
+                            trigger=args.trigger, **wide)
     q.awaitTermination(args.timeout)
     if args.timeout:
         q.stop()

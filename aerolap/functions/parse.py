@@ -71,11 +71,12 @@ def dep_label(airport: ColumnOrName, dep_time: ColumnOrName) -> Column:
 
 
 def event_time(day: ColumnOrName, dep_time: ColumnOrName | None = None) -> Column:
-    """Event timestamp = date + HH hours + MM minutes (``2400`` stays valid)."""
+    """Event timestamp = date + HH hours + MM minutes, within the day (``2400``
+    and later count as its last second)."""
     secs = F.unix_date(_col(day)).cast("long") * F.lit(86400)
     if dep_time is not None:
         t = F.coalesce(_col(dep_time), F.lit(0)).cast("long")
-        secs = secs + (F.floor(t / 100) * 60 + F.pmod(t, F.lit(100))) * 60
+        secs = secs + F.least((F.floor(t / 100) * 60 + F.pmod(t, F.lit(100))) * 60, F.lit(86399))
     return F.timestamp_seconds(secs)
 
 

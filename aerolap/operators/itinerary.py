@@ -24,6 +24,8 @@ holds a third of all flights sends only its distinct routes to the join.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +51,14 @@ def leg_candidates(flights: DataFrame, delay_col: str = "arr_delay_min",
     job); rows without it, a departure time, a date or an airport are
     dropped. ``year`` keeps trips starting in that year.
     """
+    if year is not None:
+        # both legs of a trip that starts in ``year``: a plain date range on
+        # the scan, and on the folder column of ingested flights
+        last = dt.date(year, 12, 31) + dt.timedelta(days=gap_days)
+        flights = flights.filter(F.col("flight_date").between(
+            F.lit(dt.date(year, 1, 1)), F.lit(last)))
+        if "year" in flights.columns:
+            flights = flights.filter(F.col("year").between(year, last.year))
     base = require(flights, ["origin", "dest", "dep_time", "flight_date", delay_col])
     am = time_of_day("dep_time", noon, "morning")
     pm = time_of_day("dep_time", noon, "afternoon", noon_inclusive)
@@ -153,21 +163,21 @@ def itinerary_pair_summary(legs: DataFrame) -> DataFrame:
 def _k_best_candidates(legs: DataFrame, k: int) -> DataFrame:
     """Per leg key: its k best flights, each carrying the key's flight count.
 
-    The count (a grouped aggregate) and the top-k (a window with a partial
-    WindowGroupLimit) both start from one exchange of the leg rows, hashed on
-    a per-row id, which Spark reuses for both: one scan of the flights, and
-    no skewed task (a hot key is spread evenly before either step; both steps
-    shrink the data before their own shuffle by the leg key). The row id is
-    a function of the input split and row position, so a recomputed task
-    sends every row to the same place (no sort is needed, unlike round-robin).
-    The join of the two results is co-partitioned.
+    Equal flights (leg key, delay, departure) are counted first, with a
+    partial count before the shuffle. That exchange hashes on six real values,
+    so a hot leg key is spread, a recomputed task sends its rows to the same
+    place, and AQE may resize it; both the count per leg key and the k best
+    start from its (fenced) result. A flight that stands for ``c`` equal ones
+    is expanded to ``least(c, k)`` rows after the top-k.
     """
-    n = int(legs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = _fence(legs.withColumn("_row", F.monotonically_increasing_id())
-                    .repartition(n, "_row").drop("_row"))
+    same = _fence(legs.groupBy(*LEG_KEY, "delay", "dep").agg(F.count(F.lit(1)).alias("c")))
     w = Window.partitionBy(*LEG_KEY).orderBy(F.col("delay").asc(), F.col("dep").asc())
-    top = spread.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
-    counts = spread.groupBy(*LEG_KEY).agg(F.count(F.lit(1)).alias("n"))
+    best = (same.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+            .select(*LEG_KEY, "delay", "dep",
+                    F.explode(F.sequence(F.lit(1), F.least(F.col("c"), F.lit(k)).cast("int"))).alias("_i")))
+    top = (best.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+           .drop("_r", "_i"))
+    counts = same.groupBy(*LEG_KEY).agg(F.sum("c").alias("n"))
     return top.join(counts, LEG_KEY)
 
 

@@ -28,6 +28,28 @@ def top_airports(flights: DataFrame, k: int = 10, ties: str = "rows") -> DataFra
     return top_k(counts, k, by="flights", item=["airport"], ascending=False, ties=ties)
 
 
+def measure_name(delay_col: str, metric: str = "sum") -> str:
+    """``total_arr_delay``, ``mean_dep_delay``, ..."""
+    return f"{'total' if metric == 'sum' else metric}_{delay_col.removesuffix('_min')}"
+
+
+# Columns a job reads: a fault in any other column costs it no row.
+NEEDS = {
+    "top-airports": ["origin", "dest"],
+    "top-airlines": ["airline_id"],
+    "carriers-per-airport": ["origin", "carrier"],
+    "dests-per-airport": ["origin", "dest"],
+    "carriers-per-route": ["origin", "dest", "carrier"],
+    "itineraries": ["origin", "dest", "dep_time", "flight_date"],
+}
+DELAY = {"top-airports": [], "top-airlines": ["arr_delay_min"], "itineraries": ["arr_delay_min"]}
+
+
+def needs(job: str, delay_col: str | None = None) -> list[str]:
+    """Columns that ``job`` reads with the given (or its own) delay column."""
+    return [*NEEDS[job], *([delay_col] if delay_col else DELAY.get(job, ["dep_delay_min"]))]
+
+
 def _measure(f: DataFrame, keys: list[str], delay_col: str, out: str,
              metric: str) -> DataFrame:
     if metric == "sum":
@@ -42,16 +64,18 @@ def top_airlines(flights: DataFrame, k: int = 10, delay_col: str = "arr_delay_mi
     """Q2: airlines by total arrival delay, ascending.
 
     D3: the original measure is the *sum* of delay minutes (few flights win);
-    ``metric="mean"`` ranks by mean delay instead (column name unchanged).
+    ``metric="mean"`` ranks by mean delay instead. The measure's column is
+    named after both (``measure_name``).
     """
     f = require(flights, ["airline_id", delay_col])
-    totals = _measure(f, ["airline_id"], delay_col, "total_arr_delay", metric)
-    return top_k(totals, k, by="total_arr_delay", item=["airline_id"], ties=ties)
+    out = measure_name(delay_col, metric)
+    totals = _measure(f, ["airline_id"], delay_col, out, metric)
+    return top_k(totals, k, by=out, item=["airline_id"], ties=ties)
 
 
 def top_per_group(flights: DataFrame, group: Sequence[str], item: Sequence[str],
                   k: int = 10, delay_col: str = "dep_delay_min",
-                  out: str = "total_dep_delay", ties: str = "rows",
+                  out: str | None = None, ties: str = "rows",
                   missing: str = "drop", metric: str = "sum") -> DataFrame:
     """AGG-3 + TOP-2/3: per group, the k items with least total delay.
 
@@ -60,6 +84,7 @@ def top_per_group(flights: DataFrame, group: Sequence[str], item: Sequence[str],
     ``metric="mean"`` ranks by mean instead of total delay (D3 extension).
     """
     group, item = list(group), list(item)
+    out = out or measure_name(delay_col, metric)
     if missing == "zero":
         f = zero_fill(flights.select(*group, *item, delay_col), [delay_col])
     elif missing == "drop":
@@ -95,8 +120,10 @@ def itinerary_summary(flights: DataFrame, **kw) -> DataFrame:
     return itinerary_pair_summary(leg_candidates(flights, **kw))
 
 
-def itinerary_pair_lists(flights: DataFrame, k: int = 10, **kw) -> DataFrame:
-    """AGG-6: per trip the k best pairs, sorted, and the number of pairs."""
+def itinerary_k_best(flights: DataFrame, k: int, **kw) -> DataFrame:
+    """AGG-6, cut to k: per trip the ``k`` best pairs, sorted, and the exact
+    number of all pairs. The lossless form of a trip's list is its two legs
+    (``split_legs``): every pair of them is one of the list's."""
     return itinerary_lists(leg_candidates(flights, **kw), k)
 
 

@@ -414,3 +414,44 @@ def stream_itinerary_sql(k: int = 10) -> str:
 INGESTED = with_parsed(
     f"SELECT {PARSED_COLS}, CAST(year(flight_date) AS INTEGER) AS year, "
     "CAST(month(flight_date) AS INTEGER) AS month FROM parsed")
+
+STREAM_WINDOW_HOUR = with_parsed(
+    "SELECT CAST(window_start AS TIMESTAMP) AS window_start, "
+    "CAST(window_start + INTERVAL 1 HOUR AS TIMESTAMP) AS window_end, airport, "
+    "top_carriers, top_carriers_depdelay FROM ("
+    + ranking_sql("carriers_per_airport",
+                  "(SELECT *, CAST(flight_date AS TIMESTAMP) "
+                  "+ to_hours(coalesce(dep_time, 0) // 100) AS window_start FROM parsed "
+                  "WHERE flight_date IS NOT NULL)", extra=["window_start"]) + ")")
+
+# The faults of ``tables.faulty_lines`` and what parsing says about them.
+FAULTY = """faulty AS (
+  SELECT carrier, origin, dest, dep_delay_min, dep_time, year, airline_id,
+    CASE WHEN s % 7 = 1 THEN 'abc' ELSE arr_delay_min END AS arr_delay_min,
+    CASE WHEN s % 5 = 2 THEN 'x' ELSE day_of_week END AS day_of_week,
+    CASE WHEN s % 11 = 3 THEN '2' ELSE month END AS month,
+    CASE WHEN s % 11 = 3 THEN '30' ELSE day_of_month END AS day_of_month,
+    CASE WHEN s % 13 = 4 THEN 'short' WHEN s % 17 = 5 THEN 'blank' ELSE 'whole' END AS kind,
+    s % 7 = 1 AS bad_delay, s % 5 = 2 AS bad_week, s % 11 = 3 AS bad_day
+  FROM (SELECT *, CAST(airline_id AS BIGINT) AS s FROM concise)
+)"""
+
+REJECTED_ROWS = "WITH " + ", ".join((CONCISE, FAULTY)) + """
+SELECT CASE kind WHEN 'blank' THEN 'empty message' WHEN 'short' THEN 'too few fields'
+    ELSE CASE WHEN bad_delay OR bad_week THEN 'bad number' ELSE 'invalid date' END END AS reject_reason,
+  CASE kind
+    WHEN 'blank' THEN 'carrier,origin,dest,dep_delay_min,arr_delay_min,dep_time,flight_date,day_of_week,airline_id'
+    WHEN 'short' THEN 'dep_delay_min,arr_delay_min,dep_time,flight_date,day_of_week,airline_id'
+    ELSE concat_ws(',', CASE WHEN bad_delay THEN 'arr_delay_min' END, CASE WHEN bad_day THEN 'flight_date' END,
+      CASE WHEN bad_week THEN 'day_of_week' END) END AS bad_fields,
+  CASE kind WHEN 'blank' THEN '  ' WHEN 'short' THEN carrier || ',' || origin || ',' || dest
+    ELSE carrier || ',' || origin || ',' || dest || ',' || coalesce(dep_delay_min, '') || ','
+      || coalesce(arr_delay_min, '') || ',' || coalesce(dep_time, '') || ',' || year || ',' || month || ','
+      || day_of_month || ',' || day_of_week || ',' || airline_id END AS raw_line
+FROM faulty WHERE kind <> 'whole' OR bad_delay OR bad_week OR bad_day"""
+
+TOP_AIRPORTS_FAULTY = "WITH " + ", ".join((CONCISE, FAULTY)) + " " + topk_sql(
+    "(SELECT airport, CAST(count(*) AS BIGINT) AS flights FROM "
+    "(SELECT origin AS airport FROM faulty WHERE kind <> 'blank' "
+    "UNION ALL SELECT dest FROM faulty WHERE kind <> 'blank') "
+    "GROUP BY airport)", 10, "flights", item=["airport"], ascending=False)

@@ -21,6 +21,7 @@ from aerolap.operators.reshape import unpivot_endpoints
 from aerolap.operators.topk import ranked_arrays, top_k
 from aerolap.plans import jobs
 from aerolap.plans import oracle as O
+from aerolap.schema import FLIGHT_COLUMNS
 from aerolap.sources.csv import parse_concise
 from aerolap.sources.tables import concise_fields, concise_lines, flight_view
 from aerolap.streaming.rankings import CARRIERS_PER_AIRPORT, rank_flights
@@ -78,9 +79,11 @@ def q_itinerary_all(spark, sf_dir):
     return jobs.itinerary_summary(flight_view(spark, sf_dir))
 
 
+@register("q_itinerary_k_best", O.itinerary_lists_sql(k=10))
 @register("q_itinerary_lists", O.itinerary_lists_sql(k=10))
-def q_itinerary_lists(spark, sf_dir):
-    return jobs.itinerary_pair_lists(flight_view(spark, sf_dir), k=10)
+def q_itinerary_k_best(spark, sf_dir):
+    """The ten best pairs per trip (both names: the cut is in k)."""
+    return jobs.itinerary_k_best(flight_view(spark, sf_dir), k=10)
 
 
 @register("q_itinerary_labels", O.itinerary_labels_sql())
@@ -134,7 +137,8 @@ def op_date_parts(spark, sf_dir):
 
 @register("op_parse_message", O.PARSE_MESSAGE)
 def op_parse_message(spark, sf_dir):
-    return parse_concise(concise_lines(spark, sf_dir), keep=("bucket",))
+    return parse_concise(concise_lines(spark, sf_dir), keep=("bucket",)).select(
+        "bucket", *FLIGHT_COLUMNS, "reject_reason")
 
 
 @register("op_filter_required", O.FILTER_REQUIRED)

@@ -16,13 +16,11 @@ from aerolap.plans.registry import register
 from aerolap.schema import FLIGHT_COLUMNS, RAW_HEADER_NAMES
 from aerolap.session import scratch_path
 from aerolap.sources import csv as C
-from aerolap.sources.tables import concise_fields, concise_lines, flight_view
+from aerolap.sources.tables import concise_fields, concise_lines, faulty_lines, flight_view
 from aerolap.streaming import rankings as R
 from aerolap.streaming.replay import replay, run_until_done, stage
 from aerolap.streaming.source import message_stream, parsed_stream
-from aerolap.streaming.upsert import latest_per_key
-
-BUCKETS = [0, 1, 2, 3]
+from aerolap.streaming.upsert import latest_per_key, newest_batch
 
 
 def _cores(spark) -> int:
@@ -44,16 +42,54 @@ def op_kv_roundtrip(spark, sf_dir):
 def op_csv_scan(spark, sf_dir):
     path = scratch_path(spark, "concise")
     C.write_concise(concise_fields(spark, sf_dir), path)
-    return C.read_concise(spark, path)
+    return C.read_concise(spark, path).select(*FLIGHT_COLUMNS, "reject_reason")
 
 
 def _write_raw_two_layouts(spark, sf_dir, path):
     """Buckets 0-1 in the usual column order plus an extra column, 2-3 reversed."""
     fields = concise_fields(spark, sf_dir).withColumn("Extra", F.lit("x"))
-    C.write_raw(fields.filter(F.col("bucket") < 2), f"{path}/layout_a",
-                RAW_HEADER_NAMES + ["Extra"])
-    C.write_raw(fields.filter(F.col("bucket") >= 2), f"{path}/layout_b",
-                list(reversed(RAW_HEADER_NAMES)))
+    late = F.coalesce(F.col("bucket") >= 2, F.lit(False))
+    C.write_raw(fields.filter(~late), f"{path}/layout_a", RAW_HEADER_NAMES + ["Extra"])
+    C.write_raw(fields.filter(late), f"{path}/layout_b", list(reversed(RAW_HEADER_NAMES)))
+
+
+def _zip_tree(spark, src, dst):
+    """Compress every file under ``src`` into ``dst`` at the same place of the
+    tree (``a/m.csv`` -> ``a/m.csv.zip``), one file per task row."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.csv").load(src)
+             .select(F.col("_metadata.file_path").alias("path")))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    root, base = (path(p).getFileSystem(conf).makeQualified(path(p)).toUri().getPath().rstrip("/")
+                  for p in (src, dst))
+    store = path(dst).getFileSystem(conf).getUri().toString().rstrip("/")
+
+    def compress(batches):
+        import zipfile
+
+        import pandas as pd
+        from pyspark import TaskContext
+
+        from aerolap.sources.files import move, open_binary
+
+        attempt = TaskContext.get().taskAttemptId()
+        for pdf in batches:
+            for p in pdf["path"]:
+                below = p[p.index(root) + len(root) + 1:]
+                target = f"{store}{base}/{below}.zip"
+                # an attempt-private name first: a retried task never leaves a
+                # torn archive
+                tmp = f"{store}{base}/{below}._tmp-{attempt}"
+                with open_binary(p) as fin, open_binary(tmp, "wb") as fout, \
+                        zipfile.ZipFile(fout, "w", zipfile.ZIP_DEFLATED) as zf, \
+                        zf.open(below.rsplit("/", 1)[-1], "w") as member:
+                    while buf := fin.read(1 << 20):
+                        member.write(buf)
+                move(tmp, target)
+            yield pd.DataFrame({"path": pdf["path"]})
+
+    return files.mapInPandas(compress, "path STRING").count()
 
 
 @register("op_csv_by_name", O.PARSED_NO_BUCKET)
@@ -66,11 +102,11 @@ def op_csv_by_name(spark, sf_dir):
 
 @register("op_zip_ingest", O.PARSED_NO_BUCKET)
 def op_zip_ingest(spark, sf_dir):
-    from aerolap.sources.files import read_zipped, zip_files
+    from aerolap.sources.files import read_zipped
     raw = scratch_path(spark, "raw")
     zips = scratch_path(spark, "zip")
     _write_raw_two_layouts(spark, sf_dir, raw)
-    zip_files(spark, raw, zips).count()  # the action that writes the archives
+    _zip_tree(spark, raw, zips)
     typed = C.typed_from_fields(read_zipped(spark, zips))
     return typed.select(*FLIGHT_COLUMNS, "reject_reason")
 
@@ -84,6 +120,37 @@ def op_ingest_parquet(spark, sf_dir):
     return read_ingested(spark, f"{base}/parquet")
 
 
+@register("ext_itinerary_best_year_ingested", O.itinerary_best_sql(year=1998, parsed=True))
+def ext_itinerary_best_year_ingested(spark, sf_dir):
+    """EX-5 over ingested flights: the year prunes the folders that are read."""
+    from aerolap.sources.ingest import ingest, read_ingested
+    base = scratch_path(spark, "ingest")
+    C.write_concise(concise_fields(spark, sf_dir), f"{base}/csv")
+    ingest(spark, f"{base}/csv", f"{base}/parquet")
+    flights = read_ingested(spark, f"{base}/parquet", jobs.needs("itineraries"))
+    return jobs.itinerary_best(flights, year=1998)
+
+
+@register("op_rejected_rows", O.REJECTED_ROWS)
+def op_rejected_rows(spark, sf_dir):
+    """Faulty lines through one ingest: reason, bad columns and raw line."""
+    from aerolap.sources.ingest import ingest, read_rejected
+    base = scratch_path(spark, "faults")
+    faulty_lines(spark, sf_dir).write.text(f"{base}/csv")
+    ingest(spark, f"{base}/csv", f"{base}/parquet")
+    return (read_rejected(spark, f"{base}/parquet")
+            .select("reject_reason", F.array_join("bad_fields", ",").alias("bad_fields"), "raw_line"))
+
+
+@register("op_top_airports_from_csv", O.TOP_AIRPORTS_FAULTY)
+def op_top_airports_from_csv(spark, sf_dir):
+    """Q1 loses only lines without readable airports."""
+    base = scratch_path(spark, "faults")
+    faulty_lines(spark, sf_dir).write.text(f"{base}/csv")
+    flights = C.accepted(C.read_concise(spark, f"{base}/csv"), jobs.needs("top-airports"))
+    return jobs.top_airports(flights)
+
+
 def _staged_lines(spark, sf_dir, base):
     return stage(concise_lines(spark, sf_dir), f"{base}/staged")
 
@@ -99,7 +166,7 @@ def op_stream_replay(spark, sf_dir):
         return (parsed.writeStream.format("parquet").option("path", out)
                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
 
-    replay(spark, staged, inp, BUCKETS, start)
+    replay(spark, staged, inp, start)
     return spark.read.parquet(out).select(*FLIGHT_COLUMNS, "bucket", "reject_reason")
 
 
@@ -113,8 +180,8 @@ def _stream_ranking(spark, sf_dir, job, mode, keys):
         return R.start_ranking(parsed, job, out, ckpt, mode=mode, trigger="available_now",
                                state_partitions=_cores(spark))
 
-    replay(spark, staged, inp, BUCKETS, start)
-    return latest_per_key(spark, out, keys)
+    replay(spark, staged, inp, start)
+    return newest_batch(spark, out) if mode == "running" else latest_per_key(spark, out, keys)
 
 
 @register("stream_top_carriers_per_airport", O.STREAM_CARRIERS_PER_AIRPORT)
@@ -145,6 +212,15 @@ _FLUSH_LINE = "FLUSH,,,,,,2999,1,1,,"
 
 @register("stream_window_topk", O.STREAM_WINDOW)
 def stream_window_topk(spark, sf_dir):
+    return _stream_windows(spark, sf_dir, "1 day")
+
+
+@register("stream_window_hour_topk", O.STREAM_WINDOW_HOUR)
+def stream_window_hour_topk(spark, sf_dir):
+    return _stream_windows(spark, sf_dir, "1 hour")
+
+
+def _stream_windows(spark, sf_dir, window):
     base = scratch_path(spark, "stream-window")
     inp, out, ckpt = f"{base}/input", f"{base}/out", f"{base}/ckpt"
     concise_lines(spark, sf_dir).select("value").write.text(f"{inp}/data")
@@ -153,14 +229,16 @@ def stream_window_topk(spark, sf_dir):
     parsed = parsed_stream(message_stream(spark, "files", inp,
                                           options={"recursiveFileLookup": "true"}))
     q = R.start_ranking(parsed, R.CARRIERS_PER_AIRPORT, out, ckpt, mode="window",
-                        window="1 day", watermark="2 days", trigger="available_now",
+                        window=window, watermark="2 days", trigger="available_now",
                         state_partitions=_cores(spark))
     run_until_done(q)
     return spark.read.parquet(out).drop("batch_id")
 
 
-@register("stream_itinerary", O.stream_itinerary_sql())
-def stream_itinerary(spark, sf_dir):
+@register("stream_itinerary_k_best", O.stream_itinerary_sql(k=10))
+@register("stream_itinerary", O.stream_itinerary_sql(k=10))
+def stream_itinerary_k_best(spark, sf_dir):
+    """The ten best pairs per trip and batch (both names: the cut is in k)."""
     from aerolap.streaming.itinerary import start_itinerary
     base = scratch_path(spark, "stream-itin")
     staged = _staged_lines(spark, sf_dir, base)
@@ -168,16 +246,15 @@ def stream_itinerary(spark, sf_dir):
 
     def start():
         parsed = parsed_stream(message_stream(spark, "files", inp))
-        return start_itinerary(parsed, out, ckpt, trigger="available_now")
+        return start_itinerary(parsed, out, ckpt, k=10, trigger="available_now")
 
-    replay(spark, staged, inp, BUCKETS, start)
+    replay(spark, staged, inp, start)
     return spark.read.parquet(out)
 
 
 @register("stream_itinerary_running",
           O.itinerary_best_sql(parsed=True, delay_col="dep_delay_min", noon_inclusive=True))
 def stream_itinerary_running(spark, sf_dir):
-    from aerolap.operators.itinerary import TRIP_KEY
     from aerolap.streaming.itinerary import start_itinerary_running
     base = scratch_path(spark, "stream-itin-run")
     staged = _staged_lines(spark, sf_dir, base)
@@ -188,8 +265,8 @@ def stream_itinerary_running(spark, sf_dir):
         return start_itinerary_running(parsed, out, ckpt, trigger="available_now",
                                        state_partitions=_cores(spark))
 
-    replay(spark, staged, inp, BUCKETS, start)
-    return latest_per_key(spark, out, TRIP_KEY)
+    replay(spark, staged, inp, start)
+    return newest_batch(spark, out)
 
 
 

@@ -15,8 +15,10 @@ fresh folder of its own, as in tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -83,6 +85,7 @@ def build_session(master: str | None = None, app: str = "aerolap",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -122,12 +125,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def local_path(path: str) -> str | None:
-    """Filesystem path for ``file:`` or bare paths, ``None`` for remote URIs."""
+    """Filesystem path for ``file:`` or bare paths, ``None`` for other URIs
+    (with one slash or two)."""
     if path.startswith("file:"):
         p = path[5:]
         while p.startswith("//"):
             p = p[1:]
         return p
-    if "://" in path:
+    if re.match(r"[a-zA-Z][a-zA-Z0-9+.-]+:/", path):
         return None
     return os.path.abspath(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started.
+
+    Functions run by Arrow and pandas maps are sent by name, so every worker
+    needs the package. An installed package (``pip install .``) is found
+    anyway; this sends a copy with the application, once per context.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="aerolap-pkg-"), "aerolap-src.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

@@ -1,22 +1,24 @@
 """Concise and raw CSV: SRC-2, SRC-3, PRJ-1, PRJ-3, SNK-2, rejected rows.
 
 * ``parse_concise`` turns a column of concise lines (a text file line or a
-  stream message) into typed flights plus a ``reject_reason`` (D13, D14,
-  D19): empty message, too few fields, a bad number, an impossible date.
-  Nothing raises unless ``strict=True``, which fails the task on the first
-  rejected row with ``raise_error`` (still lazy, still JVM-side).
+  stream message) into typed flights (D13, D14, D19). Rejection is by field:
+  ``bad_fields`` lists the typed columns whose text could not be read (a bad
+  number, an impossible date, undecodable bytes, or beyond the end of a short
+  line), ``reject_reason`` names the first fault and ``raw_line`` keeps the
+  text of a row with any fault. ``accepted(df, needs)`` drops only rows whose
+  *needed* columns are bad. Nothing raises unless ``strict=True``, which fails
+  the task on the first faulty row with ``raise_error`` (lazy, JVM-side).
 * ``read_concise`` (SRC-3) reads headerless files as text and parses them.
 * ``read_raw`` (SRC-2 + PRJ-1) reads headered files whose column order may
-  differ per file: files are grouped by their header line, each group is one
-  CSV read with ``header=True``, the eleven columns are picked by name, and
-  the groups are ``unionByName``-ed. A single read over mixed headers would
-  silently mislabel columns.
+  differ per file in one text scan: each line meets its file's header, and the
+  eleven columns are picked by the names in it. A single CSV read over mixed
+  headers would silently mislabel columns.
 * ``write_concise`` (SNK-2) writes headerless, CRLF-terminated lines into a
   new folder; the source is never deleted.
 
 CSV dialect: comma, ``"`` quote, ``""`` inside quotes for a quote (RFC 4180,
-the reference's parser default). Spark's own default escape is a backslash,
-so ``escape='"'`` is always set.
+the reference's parser default); a record is one line. Spark's own default
+escape is a backslash, so ``escape='"'`` is always set.
 """
 
 from __future__ import annotations
@@ -48,44 +50,80 @@ def field_count(line: Column) -> Column:
     return F.size(F.split(F.regexp_replace(line, _QUOTED, ""), ",", -1))
 
 
+# Typed column -> the text fields it is read from.
+_READ_FROM = {n: [n] for n in FLIGHT_COLUMNS} | {"flight_date": ["year", "month", "day_of_month"]}
+# What parsing reports beside the flight columns.
+REPORT_COLUMNS = ["reject_reason", "bad_fields", "raw_line"]
+
+
 def typed_from_fields(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Eleven text fields -> typed flight columns + ``reject_reason``."""
+    """Eleven text fields -> typed flight columns + ``REPORT_COLUMNS``.
+
+    ``df`` may carry ``missing_fields`` (text fields beyond the end of a short
+    line) and ``raw_line``; without them no field counts as missing and the
+    raw line is NULL.
+    """
+    missing = (F.col("missing_fields") if "missing_fields" in df.columns
+               else F.array().cast("array<string>"))
+    raw = F.col("raw_line") if "raw_line" in df.columns else F.lit(None).cast("string")
     c = {n: F.nullif(F.col(n), F.lit("")) for n in CONCISE_FIELDS}
-    num_fields = ["dep_delay_min", "arr_delay_min", "dep_time", "year", "month",
-                  "day_of_month", "day_of_week"]
+    day = flight_date(c["year"], c["month"], c["day_of_month"])
     parsed = {
         "dep_delay_min": trunc_minutes(c["dep_delay_min"]),
         "arr_delay_min": trunc_minutes(c["arr_delay_min"]),
         "dep_time": parse_int(c["dep_time"]),
-        "year": parse_int(c["year"]),
-        "month": parse_int(c["month"]),
-        "day_of_month": parse_int(c["day_of_month"]),
         "day_of_week": parse_int(c["day_of_week"]),
+        "flight_date": day,
     }
-    bad_number = F.lit(False)
-    for n in num_fields:
-        bad_number = bad_number | (c[n].isNotNull() & parsed[n].isNull())
-    day = flight_date(c["year"], c["month"], c["day_of_month"])
-    has_parts = c["year"].isNotNull() & c["month"].isNotNull() & c["day_of_month"].isNotNull()
-    reason = (F.when(bad_number, F.lit("bad number"))
-              .when(has_parts & day.isNull(), F.lit("invalid date")))
-    typed = F.struct(
-        c["carrier"].alias("carrier"), c["origin"].alias("origin"), c["dest"].alias("dest"),
-        parsed["dep_delay_min"].alias("dep_delay_min"),
-        parsed["arr_delay_min"].alias("arr_delay_min"),
-        parsed["dep_time"].alias("dep_time"),
-        day.alias("flight_date"),
-        parsed["day_of_week"].alias("day_of_week"),
-        c["airline_id"].alias("airline_id"),
-        reason.alias("reject_reason"))
-    # Generate barrier again: a filter on the reason (accepted / rejected)
+    parts = [(c[n], parse_int(c[n])) for n in _READ_FROM["flight_date"]]
+    bad_part = F.lit(False)
+    for text, number in parts:
+        bad_part = bad_part | (text.isNotNull() & number.isNull())
+    bad_day = day.isNull() & F.lit(True)
+    for text, _ in parts:
+        bad_day = bad_day & text.isNotNull()
+    unread = {n: c[n].isNotNull() & parsed[n].isNull()
+              for n in ("dep_delay_min", "arr_delay_min", "dep_time", "day_of_week")}
+    unread["flight_date"] = bad_part | bad_day
+    garbled = {n: F.coalesce(F.contains(c[n], F.lit("\ufffd")), F.lit(False)) for n in CONCISE_FIELDS}
+
+    def any_of(flags) -> Column:
+        out = F.lit(False)
+        for f in flags:
+            out = out | f
+        return out
+
+    bad = F.array_compact(F.array(*(
+        F.when(any_of([unread.get(n, F.lit(False)), *(garbled[x] for x in _READ_FROM[n]),
+                       *(F.array_contains(missing, x) for x in _READ_FROM[n])]), F.lit(n))
+        for n in FLIGHT_COLUMNS)))
+    reason = (F.when(F.size(missing) == len(CONCISE_FIELDS), F.lit("empty message"))
+              .when(F.size(missing) > 0, F.lit("too few fields"))
+              .when(any_of(garbled.values()), F.lit("bad encoding"))
+              .when(any_of([*(unread[n] for n in unread if n != "flight_date"), bad_part]),
+                    F.lit("bad number"))
+              .when(bad_day, F.lit("invalid date")))
+    typed = F.struct(*(parsed.get(n, c.get(n)).alias(n) for n in FLIGHT_COLUMNS),
+                     reason.alias("reject_reason"), bad.alias("bad_fields"),
+                     F.when(reason.isNotNull(), raw).alias("raw_line"))
+    # Generate barrier again: a filter on the report (accepted / rejected)
     # then reads computed columns instead of re-running every cast.
     return df.select(*keep, F.inline(F.array(typed)))
 
 
+def strict(df: DataFrame) -> DataFrame:
+    """Fail the task on the first row with any fault (a filter, so that no
+    projection can prune the check)."""
+    fault = F.raise_error(F.concat(F.lit("rejected flight row: "), F.col("reject_reason")))
+    return df.filter(F.when(F.col("reject_reason").isNotNull(), fault.cast("boolean")).otherwise(F.lit(True)))
+
+
+_fail_on_faults = strict
+
+
 def parse_concise(lines: DataFrame, value_col: str = "value", keep: Sequence[str] = (),
                   strict: bool = False) -> DataFrame:
-    """PRJ-3: concise CSV lines -> typed flights with ``reject_reason``.
+    """PRJ-3: concise CSV lines -> typed flights + ``REPORT_COLUMNS``.
 
     Only the first record of a line is used (a stream message holds one).
     """
@@ -94,28 +132,28 @@ def parse_concise(lines: DataFrame, value_col: str = "value", keep: Sequence[str
     # the parsed fields cannot be pushed below it, so ``from_csv`` runs once
     # per line (pushed through a plain projection, each field reference
     # would re-run the parser).
-    parsed = F.struct(v.alias("_line"), F.from_csv(v, CONCISE_DDL, CSV_OPTIONS).alias("_f"))
+    parsed = F.struct(v.alias("raw_line"), F.from_csv(v, CONCISE_DDL, CSV_OPTIONS).alias("_f"))
     staged = lines.select(*keep, F.inline(F.array(parsed)))
-    reason_pre = (F.when(F.col("_line").isNull() | (F.trim(F.col("_line")) == ""),
-                         F.lit("empty message"))
-                  .when(field_count(F.col("_line")) < len(CONCISE_FIELDS),
-                        F.lit("too few fields")))
-    typed = typed_from_fields(
-        staged.select(*keep, reason_pre.alias("_pre"), "_f.*"), keep=[*keep, "_pre"])
-    out = typed.select(
-        *keep, *FLIGHT_COLUMNS,
-        F.coalesce(F.col("_pre"), F.col("reject_reason")).alias("reject_reason"))
-    if strict:
-        out = out.withColumn("reject_reason", F.when(
-            F.col("reject_reason").isNotNull(),
-            F.raise_error(F.concat(F.lit("rejected flight row: "), F.col("reject_reason"))))
-            .otherwise(F.col("reject_reason")))
-    return out
-
-
-def accepted(parsed: DataFrame) -> DataFrame:
-    """Rows without a reject reason, reason column dropped."""
-    return parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    names = F.array(*map(F.lit, CONCISE_FIELDS))
+    blank = F.col("raw_line").isNull() | (F.trim(F.col("raw_line")) == "")
+    missing = F.when(blank, names).otherwise(
+        F.slice(names, field_count(F.col("raw_line")) + 1, len(CONCISE_FIELDS)))
+    out = typed_from_fields(staged.select(*keep, "raw_line", missing.alias("missing_fields"), "_f.*"),
+                            keep=keep)
+    return _fail_on_faults(out) if strict else out
+
+
+def accepted(parsed: DataFrame, needs: Sequence[str] | None = None) -> DataFrame:
+    """Rows whose ``needs`` columns (default: all) were read, reports dropped.
+
+    A fault in a column that the job does not name costs it no row; the bad
+    value itself is NULL.
+    """
+    if needs is None:
+        good = F.col("reject_reason").isNull()
+    else:
+        good = ~F.arrays_overlap("bad_fields", F.array(*map(F.lit, needs)))
+    return parsed.filter(good).drop(*REPORT_COLUMNS)
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
@@ -155,18 +193,12 @@ def write_raw(df: DataFrame, path: str, columns: Sequence[str],
      .options(**CSV_OPTIONS).csv(path))
 
 
-def _file_headers(spark: SparkSession, path: str | Sequence[str],
-                  glob: str | None) -> dict[str, list[str]]:
-    """Header line -> files, computed by a distributed scan of first lines.
-
-    Each task reads only its files' first lines; the driver receives one
-    short row per file (the same order of size as a file listing).
-    """
-    paths = [path] if isinstance(path, str) else list(path)
+def _file_headers(spark: SparkSession, paths: list[str], glob: str | None) -> DataFrame:
+    """(file, header) of every file, from a distributed read of first lines."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(paths).select("path")
+    files = reader.load(paths).select(F.col("_metadata.file_path").alias("file"))
 
     def first_lines(batches):
         import pandas as pd
@@ -175,16 +207,50 @@ def _file_headers(spark: SparkSession, path: str | Sequence[str],
 
         for pdf in batches:
             heads = []
-            for p in pdf["path"]:
+            for p in pdf["file"]:
                 with open_binary(p) as fh:
                     heads.append(fh.readline().decode("utf-8", "replace").rstrip("\r\n"))
-            yield pd.DataFrame({"path": pdf["path"], "header": heads})
+            yield pd.DataFrame({"file": pdf["file"], "header": heads})
+
+    return files.mapInPandas(first_lines, "file string, header string")
 
-    rows = files.mapInPandas(first_lines, "path string, header string").collect()
-    groups: dict[str, list[str]] = {}
-    for r in rows:
-        groups.setdefault(r["header"], []).append(r["path"])
-    return groups
+
+def fields_by_header(lines: DataFrame, headers: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``header, value`` lines -> the eleven text fields by name.
+
+    Adds ``missing_fields`` and ``raw_line`` for ``typed_from_fields``. One
+    parse for all layouts: values are split by position, then each field takes
+    the position that its line's header gives it. A layout without one of the
+    eleven columns raises.
+    """
+    places: dict[str, list[int]] = {}
+    width = 1
+    for h in headers:
+        names = _split_header(h.lstrip("\ufeff"))
+        lacking = [c for c in RAW_HEADER_NAMES if c not in names]
+        if lacking:
+            raise ValueError(f"raw files with header {h[:200]!r} lack columns {lacking}")
+        places[h] = [names.index(c) for c in RAW_HEADER_NAMES]
+        width = max(width, len(names))
+    ddl = ", ".join(f"c{i} STRING" for i in range(width))
+    parsed = F.struct(F.col("header"), F.col("value"), field_count(F.col("value")).alias("_n"),
+                      F.from_csv("value", ddl, CSV_OPTIONS | {"maxColumns": str(max(20480, 2 * width))}).alias("_f"))
+    staged = lines.select(*keep, F.inline(F.array(parsed)))
+
+    def by_layout(make):
+        out = F.lit(None)
+        for h, at in places.items():
+            out = F.when(F.col("header") == F.lit(h), make(at)).otherwise(out)
+        return out
+
+    return staged.select(
+        *keep,
+        *(by_layout(lambda at, i=i: F.nullif(F.col(f"_f.c{at[i]}"), F.lit(""))).alias(n)
+          for i, n in enumerate(CONCISE_FIELDS)),
+        by_layout(lambda at: F.array_compact(F.array(*(
+            F.when(F.col("_n") <= at[i], F.lit(n)) for i, n in enumerate(CONCISE_FIELDS)))))
+        .alias("missing_fields"),
+        F.col("value").alias("raw_line"))
 
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], glob: str | None = "*.csv",
@@ -192,29 +258,26 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], glob: str | None =
     """SRC-2 + PRJ-1 + FLT-7: headered raw files -> the eleven text fields.
 
     Columns are resolved by name in each file. ``exclude_suffix`` skips
-    files already converted (the reference's ``*.concise.csv``).
+    files already converted (the reference's ``*.concise.csv``). The driver
+    receives the distinct headers (a handful of layouts); the file -> header
+    table stays distributed and is broadcast only within Spark's size check.
     """
-    groups = _file_headers(spark, path, glob)
-    parts = []
-    for header, files in sorted(groups.items()):
-        if exclude_suffix:
-            files = [f for f in files if not f.endswith(exclude_suffix)]
-        if not files:
-            continue
-        names = _split_header(header)
-        missing = [c for c in RAW_HEADER_NAMES if c not in names]
-        if missing:
-            raise ValueError(f"raw files {files[:3]} lack columns {missing}")
-        df = (spark.read.option("header", True).options(**CSV_OPTIONS)
-              .option("enforceSchema", False).csv(sorted(files)))
-        parts.append(df.select(*[F.col(f"`{r}`").cast("string").alias(n)
-                                 for r, n in zip(RAW_HEADER_NAMES, CONCISE_FIELDS)]))
-    if not parts:
+    paths = [path] if isinstance(path, str) else list(path)
+    heads = _file_headers(spark, paths, glob)
+    if exclude_suffix:
+        heads = heads.filter(~F.col("file").endswith(exclude_suffix))
+    headers = [r.header for r in heads.select("header").distinct().collect()]
+    if not headers:
         raise ValueError(f"no raw CSV files under {path}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    reader = spark.read.option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    lines = (reader.text(paths)
+             .select(F.col("_metadata.file_path").alias("file"),
+                     F.regexp_replace("value", "\r$", "").alias("value"))
+             .join(heads, "file")
+             .filter((F.col("value") != F.col("header")) & (F.trim("value") != "")))
+    return fields_by_header(lines, headers)
 
 
 def _split_header(header: str) -> list[str]:

@@ -6,30 +6,44 @@ converts each CSV with a separate script. Here one Spark job does both:
 * ``binaryFile`` lists the archives (only ``path`` is selected,
   so the scan does not load file bodies into the JVM); Spark packs small
   archives into one task and gives a big archive its own task;
-* ``mapInPandas`` opens each archive where it lives (local path or any
-  ``pyarrow.fs`` URI: HDFS, S3, GCS), streams every ``*.csv`` member through
-  the pandas C parser in bounded chunks, resolves the eleven columns **by
-  name** per member, and yields Arrow batches.
-
-Memory per task is one chunk (``chunk_rows``), not one archive. An archive
-is not splittable, so the largest archive bounds the longest task.
+* ``mapInArrow`` opens each archive where it lives (local path or any
+  ``pyarrow.fs`` URI: HDFS, S3, GCS) and streams the lines of every ``*.csv``
+  member, with the member's header beside each line; the columns are then
+  picked by name in the JVM, as for plain raw files.
+
+Memory per task is one chunk (``chunk_rows`` lines), not one archive. An
+archive is not splittable, so the largest archive bounds the longest task.
+Bytes that are not UTF-8 become U+FFFD and the field is reported as bad.
 """
 
 from __future__ import annotations
 
 import fnmatch
 import os
+import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from aerolap.schema import CONCISE_FIELDS, RAW_HEADER_NAMES
 from aerolap.session import local_path
+from aerolap.sources.csv import fields_by_header
+
+# URI scheme that Spark prints -> the name pyarrow.fs knows it by.
+SCHEMES = {"s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs", "hdfs": "hdfs",
+           "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss", "file": "file"}
 
-ZIP_ROWS_SCHEMA = ("archive STRING, member STRING, "
-                   + ", ".join(f"{n} STRING" for n in CONCISE_FIELDS))
+
+def arrow_uri(uri: str) -> str:
+    """``uri`` with the scheme pyarrow.fs expects; unknown schemes raise."""
+    m = re.match(r"([a-zA-Z][a-zA-Z0-9+.-]+):/", uri)
+    if m is None:
+        return uri
+    scheme = m[1].lower()
+    if scheme not in SCHEMES:
+        raise ValueError(f"cannot open {uri!r} from a task: no file system for scheme "
+                         f"{scheme!r} (known: {', '.join(sorted(SCHEMES))})")
+    return SCHEMES[scheme] + uri[len(m[1]):]
 
 
 def open_binary(uri: str, mode: str = "rb"):
@@ -41,22 +55,23 @@ def open_binary(uri: str, mode: str = "rb"):
         return open(lp, mode)
     import pyarrow.fs as pafs
 
-    fs, p = pafs.FileSystem.from_uri(uri)
+    fs, p = pafs.FileSystem.from_uri(arrow_uri(uri))
     if "w" in mode:
         return fs.open_output_stream(p)
     return fs.open_input_file(p)
 
 
-def _move(src: str, dst: str) -> None:
-    lp_src, lp_dst = local_path(src), local_path(dst)
-    if lp_src is not None and lp_dst is not None:
-        os.replace(lp_src, lp_dst)
+def move(src: str, dst: str) -> None:
+    """Rename a file within one file system."""
+    a, b = local_path(src), local_path(dst)
+    if a is not None and b is not None:
+        os.replace(a, b)
         return
     import pyarrow.fs as pafs
 
-    fs, p_src = pafs.FileSystem.from_uri(src)
-    _, p_dst = pafs.FileSystem.from_uri(dst)
-    fs.move(p_src, p_dst)
+    fs, a = pafs.FileSystem.from_uri(arrow_uri(src))
+    _, b = pafs.FileSystem.from_uri(arrow_uri(dst))
+    fs.move(a, b)
 
 
 def _members(zf, member_glob: str, exclude_suffix: str | None):
@@ -69,80 +84,58 @@ def _members(zf, member_glob: str, exclude_suffix: str | None):
         yield info
 
 
-def _expand(paths: Iterator[str], member_glob: str, exclude_suffix: str | None,
-            chunk_rows: int) -> Iterator[pd.DataFrame]:
+def _lines(paths: Iterator[str], member_glob: str, exclude_suffix: str | None,
+           chunk_rows: int, only_headers: bool) -> Iterator[pa.RecordBatch]:
+    import io
     import zipfile
 
+    names = ["archive", "member", "header", "value"]
     for path in paths:
         with open_binary(path) as fh, zipfile.ZipFile(fh) as zf:
             for info in _members(zf, member_glob, exclude_suffix):
                 with zf.open(info) as member:
-                    reader = pd.read_csv(member, dtype=str, keep_default_na=False,
-                                         usecols=RAW_HEADER_NAMES, chunksize=chunk_rows)
-                    for chunk in reader:
-                        out = chunk[RAW_HEADER_NAMES].copy()
-                        out.columns = CONCISE_FIELDS
-                        out = out.mask(out == "", None)
-                        out.insert(0, "member", info.filename)
-                        out.insert(0, "archive", path)
-                        yield out
+                    text = io.TextIOWrapper(member, encoding="utf-8", errors="replace")
+                    header = text.readline().rstrip("\r\n")
+                    chunk = [header] if only_headers else []
+                    for line in () if only_headers else text:
+                        line = line.rstrip("\r\n")
+                        if line.strip():
+                            chunk.append(line)
+                        if len(chunk) >= chunk_rows:
+                            yield _batch(path, info.filename, header, chunk, names)
+                            chunk = []
+                    if chunk:
+                        yield _batch(path, info.filename, header, chunk, names)
+
+
+def _batch(path, member, header, values, names):
+    n = len(values)
+    return pa.record_batch([pa.array([path] * n), pa.array([member] * n), pa.array([header] * n),
+                            pa.array(values)], names=names)
 
 
 def read_zipped(spark: SparkSession, path: str, member_glob: str = "*.csv",
                 exclude_suffix: str | None = ".concise.csv",
-                chunk_rows: int = 100_000) -> DataFrame:
+                chunk_rows: int = 20_000) -> DataFrame:
     """SRC-1 + SRC-2 + FLT-7: raw CSV inside ``*.zip`` archives -> text fields.
 
-    Output: ``archive, member`` and the eleven concise text fields; feed it to
-    ``csv.typed_from_fields`` for typed flights with reject reasons.
+    Output: ``archive, member``, the eleven concise text fields,
+    ``missing_fields`` and ``raw_line``; feed it to ``csv.typed_from_fields``
+    for typed flights. A first pass reads the members' header lines; the
+    driver receives the distinct ones.
     """
     archives = (spark.read.format("binaryFile")
                 .option("recursiveFileLookup", True)
                 .option("pathGlobFilter", "*.zip")
                 .load(path).select("path"))
+    schema = "archive STRING, member STRING, header STRING, value STRING"
 
-    def expand(batches):
-        for pdf in batches:
-            yield from _expand(pdf["path"].tolist(), member_glob, exclude_suffix, chunk_rows)
-
-    return archives.mapInPandas(expand, ZIP_ROWS_SCHEMA)
+    def lines(only_headers: bool) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                yield from _lines(batch.column(0).to_pylist(), member_glob, exclude_suffix,
+                                  chunk_rows, only_headers)
+        return archives.mapInArrow(run, schema)
 
-
-def zip_files(spark: SparkSession, src: str, dst: str, glob: str = "*.csv") -> DataFrame:
-    """Compress every file under ``src`` into its own ``dst/<name>.zip``.
-
-    A distributed job (one file per row, written by the task that holds it);
-    returns the written archive paths. Used to make zipped inputs from data
-    that Spark wrote.
-    """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", glob).load(src).select("path"))
-    base = dst.rstrip("/")
-
-    def compress(batches):
-        import zipfile
-
-        from pyspark import TaskContext
-
-        attempt = TaskContext.get().taskAttemptId() if TaskContext.get() else 0
-        for pdf in batches:
-            written = []
-            for p in pdf["path"]:
-                name = os.path.basename(p)
-                target = f"{base}/{name}.zip"
-                # write under an attempt-private name, then move into place:
-                # a retried or speculative task never leaves a torn archive
-                tmp = f"{base}/_tmp-{attempt}-{name}.zip"
-                with open_binary(p) as fin, open_binary(tmp, "wb") as fout, \
-                        zipfile.ZipFile(fout, "w", zipfile.ZIP_DEFLATED) as zf, \
-                        zf.open(name, "w") as member:
-                    while True:
-                        buf = fin.read(1 << 20)
-                        if not buf:
-                            break
-                        member.write(buf)
-                _move(tmp, target)
-                written.append(target)
-            yield pd.DataFrame({"archive": written})
-
-    return files.mapInPandas(compress, "archive STRING").select(F.col("archive"))
+    headers = [r.header for r in lines(True).select("header").distinct().collect()]
+    return fields_by_header(lines(False), headers, keep=("archive", "member"))

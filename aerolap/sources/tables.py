@@ -181,3 +181,21 @@ def concise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = concise_fields(spark, sf_dir)
     return df.select(to_concise_line(*CONCISE_FIELDS).alias("value"), "bucket")
 
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The concise lines (``value``) with faults that follow from the fields:
+    unreadable numbers, impossible days, lines cut after three fields, and
+    blank lines. The DuckDB text is ``oracle.FAULTY``."""
+    from aerolap.sources.csv import to_concise_line
+
+    df = concise_fields(spark, sf_dir)
+    supplier = F.col("airline_id").cast("bigint")
+    f = (df.withColumn("arr_delay_min", F.when(supplier % 7 == 1, F.lit("abc")).otherwise(F.col("arr_delay_min")))
+         .withColumn("day_of_week", F.when(supplier % 5 == 2, F.lit("x")).otherwise(F.col("day_of_week")))
+         .withColumn("month", F.when(supplier % 11 == 3, F.lit("2")).otherwise(F.col("month")))
+         .withColumn("day_of_month", F.when(supplier % 11 == 3, F.lit("30")).otherwise(F.col("day_of_month"))))
+    line = (F.when(supplier % 13 == 4, to_concise_line("carrier", "origin", "dest"))
+            .when(supplier % 17 == 5, F.lit("  "))
+            .otherwise(to_concise_line(*CONCISE_FIELDS)))
+    return f.select(line.alias("value"))

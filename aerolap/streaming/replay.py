@@ -29,27 +29,35 @@ def stage(lines: DataFrame, path: str, part_col: str = "bucket") -> str:
 def feed(spark: SparkSession, staged: str, input_dir: str, part,
          part_col: str = "bucket") -> None:
     """Make one part's lines appear under ``input_dir/<part_col>=<part>``."""
-    (spark.read.parquet(staged).filter(F.col(part_col) == F.lit(part))
+    (spark.read.parquet(staged).filter(F.col(part_col).eqNullSafe(F.lit(part)))
      .select("value").write.text(f"{input_dir.rstrip('/')}/{part_col}={part}"))
 
 
-def run_until_done(query: StreamingQuery, timeout_s: int = 900) -> None:
+def parts_of(spark: SparkSession, staged: str, part_col: str = "bucket") -> list:
+    """The parts that are staged, in order (a NULL part first)."""
+    found = [r[0] for r in spark.read.parquet(staged).select(part_col).distinct().collect()]
+    return sorted(found, key=lambda p: (p is not None, p))
+
+
+def run_until_done(query: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for an ``available_now`` query, without limit by default."""
     finished = query.awaitTermination(timeout_s)
-    if not finished:
+    if timeout_s is not None and not finished:
         query.stop()
         raise TimeoutError(f"stream {query.id} did not finish in {timeout_s}s")
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
 
 
-def replay(spark: SparkSession, staged: str, input_dir: str, parts: Sequence,
-           start: Callable[[], StreamingQuery], part_col: str = "bucket",
-           timeout_s: int = 900) -> None:
-    """For each part in order: feed it, then run the query until caught up.
+def replay(spark: SparkSession, staged: str, input_dir: str,
+           start: Callable[[], StreamingQuery], parts: Sequence | None = None,
+           part_col: str = "bucket", timeout_s: int | None = None) -> None:
+    """For each part in order (default: all that are staged): feed it, then run
+    the query until caught up.
 
     ``start`` must build and start an ``available_now`` query over
     ``input_dir`` with a fixed checkpoint, so each run reads only new files.
     """
-    for p in parts:
+    for p in parts_of(spark, staged, part_col) if parts is None else parts:
         feed(spark, staged, input_dir, p, part_col)
         run_until_done(start(), timeout_s)

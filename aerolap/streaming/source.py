@@ -20,19 +20,33 @@ from pyspark.sql import functions as F
 from aerolap.sources.csv import parse_concise
 
 
+def kafka_options(topics: str, bootstrap: str, starting_offsets: str = "latest",
+                  max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True,
+                  options: dict | None = None) -> dict[str, str]:
+    """Options of the Kafka reader: topics (comma list), where a new query
+    starts, how much a micro-batch may take, and whether lost offsets stop it.
+    ``options`` are passed on and win."""
+    out = {"kafka.bootstrap.servers": bootstrap, "subscribe": topics,
+           "startingOffsets": starting_offsets,
+           "failOnDataLoss": str(fail_on_data_loss).lower()}
+    if max_offsets_per_trigger:
+        out["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return out | {k: str(v) for k, v in (options or {}).items()}
+
+
 def message_stream(spark: SparkSession, kind: str = "files", path: str | None = None,
                    topics: str | None = None, bootstrap: str | None = None,
                    max_files_per_trigger: int | None = None,
-                   options: dict | None = None) -> DataFrame:
-    """Streaming ``value STRING`` (plus partition columns of a file folder)."""
+                   options: dict | None = None, **kafka) -> DataFrame:
+    """Streaming ``value STRING`` (plus partition columns of a file folder).
+
+    ``kafka``: the further settings of ``kafka_options``.
+    """
     if kind == "kafka":
         if not (topics and bootstrap):
             raise ValueError("kafka needs topics and bootstrap servers")
-        r = (spark.readStream.format("kafka")
-             .option("kafka.bootstrap.servers", bootstrap)
-             .option("subscribe", topics))
-        for k, v in (options or {}).items():
-            r = r.option(k, v)
+        r = spark.readStream.format("kafka").options(
+            **kafka_options(topics, bootstrap, options=options, **kafka))
         return r.load().select(F.col("value").cast("string").alias("value"))
     if kind != "files" or not path:
         raise ValueError("kind must be 'files' (with path) or 'kafka'")
@@ -44,6 +58,6 @@ def message_stream(spark: SparkSession, kind: str = "files", path: str | None =
     return r.load(path)
 
 
-def parsed_stream(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """PRJ-3 on a stream: typed flights with ``reject_reason``."""
-    return parse_concise(messages, keep=keep)
+def parsed_stream(messages: DataFrame, keep: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
+    """PRJ-3 on a stream: typed flights with their parse report."""
+    return parse_concise(messages, keep=keep, strict=strict)

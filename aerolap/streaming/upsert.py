@@ -6,27 +6,77 @@ so a key's row is replaced by the latest batch that produced it. Here:
 * ``batch_writer`` turns a per-batch builder into a ``foreachBatch`` function
   that writes ``<out>/batch_id=<N>`` with overwrite: a replayed batch (after
   a failure, from the checkpoint) rewrites the same folder, so output is
-  exactly-once;
+  exactly-once. A builder that reads its batch more than once gets it stored
+  first, so the source and the state operator run once. With
+  ``complete=True`` (every batch holds the whole result) folders older than
+  the previous one are removed: readers see the newest, storage stays bounded;
 * ``latest_per_key`` is the table a reader sees: per key, the row of the
-  highest version (``max_by`` over the version column). A JDBC or Cassandra
-  writer can replace the folder write; neither jar is in this container.
+  highest version (``max_by`` over the version column);
+* ``fold_batches`` folds the closed batches of a long stream into one snapshot
+  folder, so a reader touches the snapshot and the newer batches only;
+* ``newest_batch`` reads the last batch of a ``complete`` stream.
+
+A JDBC or Cassandra writer can replace the folder write; neither jar is in
+this container.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolap.session import scratch_path
+
+
+def _folders(spark: SparkSession, base: str, prefix: str) -> dict[int, str]:
+    """Number -> path of the ``<prefix><N>`` folders below ``base``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return {}
+    out = {}
+    for status in fs.listStatus(path):
+        m = re.fullmatch(re.escape(prefix) + r"(\d+)", status.getPath().getName())
+        if m and status.isDirectory():
+            out[int(m[1])] = status.getPath().toString()
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
-def batch_writer(out_path: str, build: Callable[[DataFrame, int], DataFrame]
+
+def batch_writer(out_path: str | None, build: Callable[[DataFrame, int], DataFrame],
+                 complete: bool = False, reread: bool = False,
+                 show: Callable[[DataFrame, int], None] | None = None
                  ) -> Callable[[DataFrame, int], None]:
-    base = out_path.rstrip("/")
+    """``reread``: the builder reads its batch more than once; ``show`` gets
+    the rows that were built."""
+    base = out_path.rstrip("/") if out_path else None
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        build(batch_df, batch_id).write.mode("overwrite").parquet(
-            f"{base}/batch_id={batch_id}")
+        spark = batch_df.sparkSession
+        work = f"{base or scratch_path(spark, 'stream')}/_work"
+        if reread:
+            # stored, not cached: a self-join reads a cached micro-batch from
+            # the source again on one side
+            batch_df.write.mode("overwrite").parquet(f"{work}/in")
+            batch_df = spark.read.schema(batch_df.schema).parquet(f"{work}/in")
+        rows = build(batch_df, batch_id)
+        target = f"{base}/batch_id={batch_id}" if base else f"{work}/out"
+        rows.write.mode("overwrite").parquet(target)
+        if show is not None:
+            show(spark.read.schema(rows.schema).parquet(target), batch_id)
+        if reread or base is None:
+            _remove(spark, work)
+        if complete and base is not None:
+            for n, path in _folders(spark, base, "batch_id=").items():
+                if n < batch_id - 1:          # the previous one may still be read
+                    _remove(spark, path)
 
     return write
 
@@ -44,7 +94,68 @@ def latest_rows(df: DataFrame, keys: Sequence[str], version_col: str = "batch_id
     return latest.select(*cols)
 
 
+def _snapshot(spark: SparkSession, base: str) -> tuple[int, str | None]:
+    """(last folded batch, snapshot folder); (-1, None) without one."""
+    done = {n: p for n, p in _folders(spark, f"{base}/_snapshot", "upto=").items()
+            if spark._jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS").getFileSystem(
+                spark._jsc.hadoopConfiguration()).exists(
+                    spark._jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS"))}
+    return max(done.items(), default=(-1, None))
+
+
+def _versions(spark: SparkSession, base: str, version_col: str,
+              upto: int | None = None) -> DataFrame:
+    """Snapshot rows and the batches after it (up to ``upto``)."""
+    folded, snapshot = _snapshot(spark, base)
+    parts = [spark.read.parquet(snapshot)] if snapshot else []
+    newer = [p for n, p in sorted(_folders(spark, base, "batch_id=").items())
+             if n > folded and (upto is None or n <= upto)]
+    if newer:
+        parts.append(spark.read.option("basePath", base).parquet(*newer)
+                     .withColumn(version_col, F.col("batch_id").cast("bigint")))
+    if not parts:
+        raise ValueError(f"no batches under {base}")
+    out = parts[0].withColumn(version_col, F.col(version_col).cast("bigint"))
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def latest_per_key(spark: SparkSession, out_path: str, keys: Sequence[str],
                    version_col: str = "batch_id") -> DataFrame:
-    """The upserted table over all ``batch_id=N`` folders under ``out_path``."""
-    return latest_rows(spark.read.parquet(out_path), keys, version_col)
+    """The upserted table: the snapshot, if any, and the batches after it."""
+    return latest_rows(_versions(spark, out_path.rstrip("/"), version_col), keys, version_col)
+
+
+def fold_batches(spark: SparkSession, out_path: str, keys: Sequence[str],
+                 keep: int = 1, version_col: str = "batch_id") -> int:
+    """Fold all but the ``keep`` newest batches into a new snapshot.
+
+    Returns the last folded batch (-1: nothing to fold). The batches folded
+    and older snapshots are removed once the snapshot is complete; the last
+    batch stays, since a restarted stream may write it again.
+    """
+    base = out_path.rstrip("/")
+    batches = sorted(_folders(spark, base, "batch_id="))
+    folded, old = _snapshot(spark, base)
+    upto = batches[-1 - max(1, keep)] if len(batches) > max(1, keep) else -1
+    if upto <= folded:
+        return folded
+    latest = latest_rows(_versions(spark, base, version_col, upto), keys, version_col,
+                         keep_version=True)
+    latest.write.mode("overwrite").parquet(f"{base}/_snapshot/upto={upto}")
+    for n, path in _folders(spark, base, "batch_id=").items():
+        if n <= upto:
+            _remove(spark, path)
+    if old:
+        _remove(spark, old)
+    return upto
+
+
+def newest_batch(spark: SparkSession, out_path: str) -> DataFrame:
+    """The rows of the newest batch folder: the whole result of a stream that
+    writes it complete each time."""
+    folders = _folders(spark, out_path.rstrip("/"), "batch_id=")
+    if not folders:
+        raise ValueError(f"no batches under {out_path}")
+    return spark.read.parquet(folders[max(folders)])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from aerolap.__main__ import main
 
 LINES = [
@@ -44,6 +46,35 @@ def test_cli_batch_jobs(spark, tmp_dir):
     assert [(r.airline_id, r.total_arr_delay) for r in rows] == [("19806", 1), ("19805", 5)]
 
 
+def test_cli_options_and_names(spark, tmp_dir, capsys):
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    with open(f"{src}/flights.csv", "w") as fh:
+        fh.write("\n".join([*LINES, "CC,ORD,LAX,abc,1,0800,2008,1,5,6,1"]) + "\n")
+    main(["itineraries", "--pairs", "summary", "--input", src, "--output", f"{tmp_dir}/s", "--format", "text"])
+    assert _read_text(f"{tmp_dir}/s") == ["2008-01-05,ORD,LAX,SFO\t3,3,5,11"]
+    main(["itineraries", "--pairs", "k-best", "--k", "1", "--input", src, "--output", f"{tmp_dir}/k"])
+    assert spark.read.parquet(f"{tmp_dir}/k").first().n_pairs == 3
+    with pytest.raises(SystemExit):
+        main(["itineraries", "--pairs", "k-best", "--input", src, "--output", f"{tmp_dir}/x"])
+    main(["top-airlines", "--input", src, "--output", f"{tmp_dir}/m", "--metric", "mean", "--delay", "dep_delay_min"])
+    assert "mean_dep_delay" in spark.read.parquet(f"{tmp_dir}/m").columns
+    with pytest.raises(Exception, match="rejected flight row"):
+        main(["top-airports", "--input", src, "--output", f"{tmp_dir}/y", "--strict"])
+
+
+def test_cli_stream_windows(spark, tmp_dir):
+    src = f"{tmp_dir}/msgs"
+    os.makedirs(src)
+    with open(f"{src}/a.txt", "w") as fh:
+        fh.write("\n".join([*LINES, "FLUSH,X,Y,0,0,0900,2999,1,1,2,0"]) + "\n")
+    main(["stream-carriers-per-airport", "--path", src, "--output", f"{tmp_dir}/w", "--checkpoint", f"{tmp_dir}/ck",
+          "--trigger", "available_now", "--mode", "window", "--window", "1 hour", "--watermark", "0 seconds",
+          "--state-partitions", "2", "--max-files-per-trigger", "1"])
+    hours = {(r.airport, r.window_start.hour) for r in spark.read.parquet(f"{tmp_dir}/w").collect()}
+    assert hours == {("ORD", 9), ("ORD", 8), ("LAX", 13)}
+
+
 def test_cli_stream_job(spark, tmp_dir):
     from aerolap.streaming.upsert import latest_per_key
 

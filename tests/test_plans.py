@@ -86,3 +86,14 @@ def test_without_broadcast_falls_back_to_sort_merge(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_k_best_shuffles_no_raw_row_and_fixes_no_width(spark):
+    from aerolap.operators.itinerary import itinerary_lists, leg_candidates
+    from aerolap.sources.tables import flight_view
+    from conftest import SF_SMALL
+
+    df = itinerary_lists(leg_candidates(flight_view(spark, SF_SMALL)), 10)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY" not in plan and "monotonically" not in plan
+    assert "partial_count" in plan

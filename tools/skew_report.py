@@ -54,7 +54,7 @@ def main():
         "top_carriers_per_airport": jobs.top_carriers_per_airport(f),
         "top_carriers_per_route": jobs.top_carriers_per_route(f),
         "itinerary_best": jobs.itinerary_best(f),
-        "itinerary_lists": jobs.itinerary_pair_lists(f, k=10),
+        "itinerary_lists": jobs.itinerary_k_best(f, k=10),
     }
     total = f.count()
     for name, df in runs.items():
