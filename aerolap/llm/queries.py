@@ -125,7 +125,45 @@ def op9_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@register("op10_sharding")
+# The least largest shard by dynamic programming over the prefix sums, then the
+# greedy walk; CRC-32 byte by byte from its polynomial.
+OP10_SQL = r"""
+WITH RECURSIVE
+d AS (SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, '')) + 1 AS size FROM documents),
+g AS (SELECT t, min(doc_id) AS first_id, CAST(sum(size) AS BIGINT) AS bytes FROM d GROUP BY t),
+p AS (SELECT t, CAST(sum(bytes) OVER (ORDER BY first_id) AS BIGINT) AS e FROM g),
+points AS (SELECT e FROM p UNION ALL SELECT 0),
+best AS (
+  SELECT 1 AS s, e, e AS c FROM points
+  UNION ALL
+  SELECT s + 1, e, min(c) FROM (
+    SELECT b.s, q.e, greatest(b.c, q.e - b.e) AS c FROM best b JOIN points q ON b.e <= q.e WHERE b.s < 8)
+  GROUP BY s, e),
+cap AS (SELECT min(c) AS c FROM best WHERE s = 8 AND e = (SELECT max(e) FROM points)),
+walk AS (
+  SELECT 0 AS i, CAST(0 AS BIGINT) AS pos
+  UNION ALL
+  SELECT i + 1, (SELECT max(e) FROM points WHERE e <= walk.pos + (SELECT c FROM cap)) FROM walk WHERE i < 8),
+cuts AS (SELECT i, pos FROM walk WHERE i BETWEEN 1 AND 7),
+placed AS (
+  SELECT d.*, (SELECT count(*) FROM cuts WHERE pos < p.e) AS shard FROM d JOIN p ON d.t = p.t),
+tab AS (
+  SELECT list(v ORDER BY b) AS tab FROM (
+    SELECT b, list_reduce(list_concat([b], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM (SELECT unnest(range(0, 256)) AS b))),
+crc AS (
+  SELECT t, xor(list_reduce(list_concat([4294967295], list_transform(range(0, strlen(t)),
+      lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+      lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) AS crc
+  FROM (SELECT t, hex(encode(t)) AS h FROM g), tab)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id, crc, size) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed JOIN crc ON placed.t = crc.t
+"""
+
+
+@register("op10_sharding", OP10_SQL)
 def op10_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = shard(docs, shards=8)

@@ -97,8 +97,8 @@ def smallest_capacity(prefix: DataFrame, size: str, shards: int, bins: int = 409
             lo, hi = (c, hi) if index.cuts(c, shards, True)[-1] < total else (lo, c)
         bad = lo
         cuts = index.cuts(good, shards, False)
-        if good - bad <= 1 and cuts[-1] >= total:
-            return good, cuts
+        if good - bad <= 1 and cuts == index.cuts(good, shards, True):
+            return good, cuts                 # and each cut is the greedy walk's own
         spans = zip(index.cuts(bad + 1, shards, False), index.cuts(good, shards, True))
         ranges = sorted({r for a, b in spans for r in index.open if r[0] <= b and r[1] >= a})
 
