@@ -1,14 +1 @@
 """Scalar column functions (FN-1..FN-10). All are built-in Spark expressions."""
-
-from aerolap.functions.parse import (  # noqa: F401
-    dep_label,
-    event_time,
-    fill_zero,
-    flight_date,
-    format_day,
-    pack_min_key,
-    parse_int,
-    trunc_minutes,
-    unpack_hi,
-    unpack_lo,
-)

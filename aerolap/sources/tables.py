@@ -20,10 +20,12 @@ broadcasts and lineitem is read once in one pipeline; at cluster scale
 orders, customer, part and supplier grow with the data and become sort-merge
 joins on their keys, while nation (25 rows) always broadcasts.
 
-Joining orders to customer first would be cheaper at cluster scale (one
-lineitem shuffle on the order key instead of one per partner), but Spark's
-static estimate of a join's size is multiplicative, so such a subtree would
-look huge and the planner would broadcast lineitem instead.
+When customer is past the broadcast limit, the partners are joined among
+themselves first: orders to customer to nation, supplier to nation. Lineitem
+is then shuffled three times (order, supplier and part key) instead of four
+and never on a nation key. Spark's static estimate of a join's size is
+multiplicative, so a broadcast of such a subtree would rest on a bad number:
+those joins carry a ``merge`` hint.
 """
 
 from __future__ import annotations
@@ -78,6 +80,13 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.col("n_name").alias("dest"))
     origin_nation = nation.select(F.col("n_nationkey").alias("s_nk"),
                                   F.col("n_name").alias("origin"))
+    if _past_broadcast(spark, customer):
+        placed = (orders.join(customer.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
+                  .join(dest_nation, F.col("c_nationkey") == F.col("c_nk")))
+        based = supplier.join(origin_nation, F.col("s_nationkey") == F.col("s_nk"))
+        return (li.join(placed.hint("merge"), li.l_orderkey == F.col("o_orderkey"))
+                .join(based.hint("merge"), li.l_suppkey == F.col("s_suppkey"))
+                .join(part, li.l_partkey == part.p_partkey))
     # lineitem stays the streamed (probe) side of every join; each partner
     # is a base table, so the size check sees its real file size.
     return (li
@@ -89,6 +98,16 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(part, li.l_partkey == part.p_partkey))
 
 
+def _limit(spark: SparkSession) -> int:
+    """Bytes that Spark may broadcast; the view's join order depends on it."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def _past_broadcast(spark: SparkSession, df: DataFrame) -> bool:
+    """Whether Spark would not broadcast ``df`` (its plan's size estimate)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > _limit(spark)
+
+
 # Derived-value expressions, the same text as the DuckDB fixture view.
 _DEP_DELAY = "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice / 1000.0 END"
 _ARR_DELAY = "CASE WHEN l_linenumber = 6 THEN NULL ELSE l_quantity END"
@@ -127,7 +146,7 @@ def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
 
 def flight_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed flights (``schema.FLIGHT_SCHEMA`` columns + ``bucket``)."""
-    return _memo("flights", spark, sf_dir, lambda: _flight_view(spark, sf_dir))
+    return _memo(f"flights{_limit(spark)}", spark, sf_dir, lambda: _flight_view(spark, sf_dir))
 
 
 def _flight_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +172,7 @@ def concise_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     exercised (the text truncates to the same minute as ``flight_view``); departure time is zero-padded (``0930``); blanks are NULL,
     which the CSV writer prints as an empty field.
     """
-    return _memo("concise", spark, sf_dir, lambda: _concise_fields(spark, sf_dir))
+    return _memo(f"concise{_limit(spark)}", spark, sf_dir, lambda: _concise_fields(spark, sf_dir))
 
 
 def _concise_fields(spark: SparkSession, sf_dir: str) -> DataFrame:

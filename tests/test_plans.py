@@ -97,3 +97,33 @@ def test_k_best_shuffles_no_raw_row_and_fixes_no_width(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY" not in plan and "monotonically" not in plan
     assert "partial_count" in plan
+
+
+def test_flight_view_without_broadcast_shuffles_lineitem_three_times(spark):
+    from aerolap.sources.tables import flight_view
+    from conftest import SF_SMALL
+
+    want = sorted(map(tuple, flight_view(spark, SF_SMALL).collect()), key=repr)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = flight_view(spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, df.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+    assert got == want
+    lines = plan.splitlines()
+    shuffles = 0
+    for n, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            depth = line.index("Exchange")
+            below = []
+            for x in lines[n + 1:]:
+                if len(x) - len(x.lstrip(" :+-")) <= depth:
+                    break
+                below.append(x)
+            shuffles += any("FileScan parquet [l_orderkey" in x for x in below)
+    assert shuffles == 3
