@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 NONE = np.int64(1) << 62
 SIDE_BY_SIDE = 64                        # longest pretoken (bytes) merged in rows
+SEGMENT = 1 << 20                        # characters of a very long text encoded at once
+_SAFE_CUT = regex.compile(r"(?<=\p{L}) (?=\p{L})")
 CACHE = 1 << 18                          # pretokens remembered, in each of two generations
 
 
@@ -267,6 +269,8 @@ class Encoder:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         added = self.vocabulary.added
+        if len(texts) == 1 and len(texts[0]) > 2 * SEGMENT:
+            return [b"".join(x for part in segments(texts[0]) for x in self.encode_all([part]))]
         cut: list[list[list[str] | bytes]] = []
         words: set[str] = set()
         for t in texts:
@@ -290,11 +294,30 @@ class Encoder:
         return raw.decode("utf-8", errors="replace")
 
 
+def segments(text: str) -> Iterator[str]:
+    """A very long text in parts whose pretokens are those of the whole.
+
+    A part ends before a single space between two letters: the pattern always
+    starts a pretoken there (added tokens hold no space).
+    """
+    start = 0
+    while len(text) - start > 2 * SEGMENT:
+        m = _SAFE_CUT.search(text, start + SEGMENT)
+        if m is None:
+            break
+        yield text[start: m.start()]
+        start = m.start()
+    yield text[start:]
+
+
 def text_slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[list[str]]:
     """Whole texts (null: empty) in lists of about ``limit`` characters."""
     part, size = [], 0
     for i in range(len(column)):
         t = column[i].as_py() or ""
+        if part and size + len(t) > 2 * limit:
+            yield part                    # a very long text is a slice of its own
+            part, size = [], 0
         part.append(t)
         size += len(t)
         if size >= limit:

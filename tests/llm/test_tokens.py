@@ -50,6 +50,16 @@ def test_cache_generations_do_not_change_ids(encoder, reference, monkeypatch):
         assert small.encode_all(part) == encoder.encode_all(part)
 
 
+def test_very_long_texts_in_segments(encoder, reference, monkeypatch):
+    rng = random.Random(4)
+    text = "".join(rng.choice(["a b", " cd", "'s ", "\n", "  ", "12 ", "é x", "<|endoftext|>"]) for _ in range(3000))
+    monkeypatch.setattr(bpe, "SEGMENT", 100)
+    assert len(list(bpe.segments(text))) > 20 and "".join(bpe.segments(text)) == text
+    ids = np.frombuffer(encoder.encode_all([text])[0], "<u4").tolist()
+    assert ids == reference.encode(text, add_special_tokens=False).ids
+    assert list(bpe.segments("x" * 1000)) == ["x" * 1000]
+
+
 def test_incomplete_bytes_decode_like_the_library(encoder, reference):
     ids = [*reference.encode("漢", add_special_tokens=False).ids, 0]
     for cut in ([ids[0]], ids[:-1], ids[1:], ids):
