@@ -60,19 +60,18 @@ class BlockIndex:
         values = np.column_stack([self.vectors, lift]) @ along
         # all arrays in one: projection i is shifted by i * span, past the others
         order = np.argsort(values, axis=0, kind="stable").T
-        self.order = order.astype(np.int32).reshape(-1)
+        self.order = order.astype(np.intp).reshape(-1)
         low, high = float(values.min()), float(values.max())
         self.span = 4 * (high - low) + 4
         self.shift = np.arange(projections) * self.span - low
         self.low, self.high = low, high
         self.sorted = (np.take_along_axis(values.T, order, axis=1) + self.shift[:, None]).reshape(-1)
         self.along = along[:-1]
-        self.first = self._first_radius()
+        self.first = self._nearest_radius()
 
-    def _first_radius(self) -> float:
+    def _nearest_radius(self) -> float:
         """Half the usual distance of a nearest neighbour, from a few rows."""
-        n = len(self.ids)
-        some = np.linspace(0, n - 1, min(n, 32)).astype(np.int64)
+        some = self._some(32)
         part = self.vectors[some]
         gap = (part ** 2).sum(axis=1)[:, None] + (self.vectors ** 2).sum(axis=1) - 2 * part @ self.vectors.T
         gap[np.arange(len(some)), some] = np.inf
@@ -80,42 +79,64 @@ class BlockIndex:
         usual = float(np.median(nearest[np.isfinite(nearest)])) if np.isfinite(nearest).any() else 0.0
         return max(usual / 2, 0.02 * math.sqrt(self.top))
 
-    def search(self, query_id: int, query: np.ndarray, k: int, enough: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, scores) of the k best verified vectors other than the query's own."""
+    def _some(self, count: int) -> np.ndarray:
+        n = len(self.ids)
+        return np.linspace(0, n - 1, min(n, count)).astype(np.int64)
+
+    def start_near(self, enough: int) -> None:
+        """Let searches open at the radius where a quarter of a few searches
+        ended: most then need one or two widenings."""
+        ends = [self.search(-1, self.vectors[i], 1, enough)[2] for i in self._some(12)]
+        self.first = float(np.quantile(ends, 0.25))
+
+    def _count(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Collisions of every vector with the windows [lo, hi)."""
         n, m = len(self.ids), len(self.shift)
-        others = n - int((self.ids == query_id).sum())
+        starts = np.arange(m) * n
+        if 2 * int((hi - lo).sum()) <= n * m:
+            pieces = [self.order[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
+            return np.bincount(np.concatenate(pieces), minlength=n)
+        # wide windows: what they leave out is less
+        pieces = [self.order[a:b] for a, b in zip(starts.tolist(), lo.tolist())]
+        pieces += [self.order[a:b] for a, b in zip(hi.tolist(), (starts + n).tolist())]
+        return m - np.bincount(np.concatenate(pieces), minlength=n)
+
+    def search(self, query_id: int, query: np.ndarray, k: int, enough: int) -> tuple[np.ndarray, np.ndarray, float]:
+        """(rows, scores) of the k best verified vectors other than the
+        query's own, and the radius at the end."""
+        n, m = len(self.ids), len(self.shift)
+        others = n - int(np.searchsorted(self.ids, query_id, side="right") - np.searchsorted(self.ids, query_id))
         least = threshold(m)
         centre = query @ self.along
-        starts = np.arange(m) * n
-        lo = hi = np.searchsorted(self.sorted, np.clip(centre, self.low, self.high) + self.shift)
-        counts = np.zeros(n, dtype=np.int64)
-        verified = np.zeros(n, dtype=bool)
-        rows, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
         radius, half = self.first, window_width() / 2
+        counts, lo, hi = None, None, None
         while True:
             # no further than one past the block's own values
             edge = np.clip([centre - half * radius, centre + half * radius],
                            self.low - 1, self.high + 1) + self.shift
             new_lo = np.searchsorted(self.sorted, edge[0])
             new_hi = np.searchsorted(self.sorted, edge[1], side="right")
-            covered = [self.order[a:b] for a, b in zip(new_lo.tolist(), lo.tolist()) if b > a]
-            covered += [self.order[a:b] for a, b in zip(hi.tolist(), new_hi.tolist()) if b > a]
-            if covered:
+            if counts is None:
+                counts = self._count(new_lo, new_hi)
+            else:
+                covered = [self.order[a:b] for a, b in zip(new_lo.tolist(), lo.tolist())]
+                covered += [self.order[a:b] for a, b in zip(hi.tolist(), new_hi.tolist())]
                 counts += np.bincount(np.concatenate(covered), minlength=n)
-            lo, hi = np.minimum(lo, new_lo), np.maximum(hi, new_hi)
-            new = np.flatnonzero((counts >= least) & ~verified)
-            if len(new):
-                verified[new] = True
-                new = new[self.ids[new] != query_id]
-                rows = np.concatenate([rows, new])
-                scores = np.concatenate([scores, (self.vectors[new] * query).sum(axis=1)])
-            if (hi - lo == n).all() and (lo == starts).all():
-                break
-            if len(rows) >= min(enough, others):
-                break
+            lo, hi = new_lo, new_hi
+            rows = np.flatnonzero(counts >= least)
+            if len(rows) >= min(enough, others) or (hi - lo == n).all():
+                rows = rows[self.ids[rows] != query_id]
+                if len(rows) >= min(enough, others) or (hi - lo == n).all():
+                    break
             radius *= RATIO
+        if len(rows) > k:
+            # exact scores for the k best and all that rounding could confuse with them
+            rough = self.vectors[rows] @ query
+            kth = np.partition(rough, len(rough) - k)[len(rough) - k]
+            rows = rows[rough >= kth - 1e-9 * (1 + abs(kth))]
+        scores = (self.vectors[rows] * query).sum(axis=1)
         best = np.lexsort((self.ids[rows], -scores))[:k]
-        return rows[best], scores[best]
+        return rows[best], scores[best], radius
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -148,18 +169,20 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _probe(batches: Iterator[pa.RecordBatch], top: float, projections: int, k: int,
            share: float, least: int) -> Iterator[pa.RecordBatch]:
-    last, index = None, None
+    last, index, enough = None, None, 0
     for batch in batches:
         for r in batch.to_pylist():
             ids = np.frombuffer(r["ids"], "<i8")
             if last != r["block"]:
                 index = BlockIndex(ids, np.frombuffer(r["vectors"], "<f8").reshape(len(ids), -1), top, projections)
+                enough = k + max(math.ceil(share * len(ids)), least)
+                index.start_near(enough)
                 last = r["block"]
             queries = np.frombuffer(r["q_ids"], "<i8")
             points = np.frombuffer(r["q_vectors"], "<f8").reshape(len(queries), -1)
             out = ([], [], [])
             for q, point in zip(queries.tolist(), points):
-                rows, scores = index.search(q, point, k, k + max(math.ceil(share * len(ids)), least))
+                rows, scores, _ = index.search(q, point, k, enough)
                 for part, x in zip(out, (np.full(len(rows), q), index.ids[rows], scores)):
                     part.append(x)
             yield pa.record_batch([pa.array(np.concatenate(x)) for x in out],

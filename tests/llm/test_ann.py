@@ -81,5 +81,5 @@ def test_awkward_vectors_take_no_part(spark):
 
 def test_windows_end_when_a_block_is_covered():
     index = BlockIndex(np.arange(30), np.random.default_rng(3).normal(size=(30, 4)), 40.0, 16)
-    rows, scores = index.search(-1, np.ones(4), 50, 1000)
+    rows, scores, _ = index.search(-1, np.ones(4), 50, 1000)
     assert len(rows) == 30 and (np.diff(scores) <= 0).all()
