@@ -28,7 +28,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 #: Bytes of text worked on at once (a longer document is a block of its own).
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240607))
