@@ -194,7 +194,32 @@ def op3_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end=2)
 
 
-@register("op7_near_dedup")
+OP7_SQL = r"""
+WITH RECURSIVE
+w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.r = edges.a)
+SELECT reach.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles,
+  min(r) AS component_id, reach.doc_id = min(r) AS kept
+FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id
+"""
+
+
+@register("op7_near_dedup", OP7_SQL)
 def op7_near_dedup(spark, sf_dir):
     return classes(table(spark, sf_dir, "documents"), width=3, similarity=(85, 100))
 
