@@ -174,11 +174,12 @@ def remove_lines(docs: DataFrame, *, min_points: int = 20, min_docs: int = 3) ->
     spark = docs.sparkSession
     segments = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = docs.select("doc_id", "text")
-    suspects = (text.where("doc_id IS NOT NULL")
-                .mapInArrow(lambda it: _fold(it, min_points, segments),
-                            "segment int, entries binary, marks binary, known binary")
-                .repartition(segments, "segment")
-                .mapInArrow(_suspects, _SUSPECTS))
+    # stored: counted and joined below, and the texts are not folded again
+    suspects = spool(text.where("doc_id IS NOT NULL")
+                     .mapInArrow(lambda it: _fold(it, min_points, segments),
+                                 "segment int, entries binary, marks binary, known binary")
+                     .repartition(segments, "segment")
+                     .mapInArrow(_suspects, _SUSPECTS), "suspects")
     # stored, so that both sides of the join below are plain shuffles and AQE
     # can split a line that very many documents hold
     repeated = spool(suspects.groupBy("h1", "h2")
