@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 import corpus_pipeline  # noqa: E402
 from aerolap.llm import quality  # noqa: E402
 from aerolap.llm.queries import ORACLE, QUERIES  # noqa: E402
-from test_dedup import brute_classes, brute_lines, brute_repeats, WORDS  # noqa: E402
+from .test_dedup import brute_classes, brute_lines, brute_repeats, WORDS  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
