@@ -1,8 +1,8 @@
 """Connected components of an edge list by alternating large and small stars.
 
 Each step is one grouped minimum per node (partial before the shuffle) and a
-join back; a node with very many neighbours is split by AQE's skew join. Every
-round is written to the shared folder, so lineage stays short.
+join back; a node with very many neighbours is split by AQE's skew join. Minima and
+rounds are written to the shared folder, so lineage stays short.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges
     least = (both.groupBy("u").agg(F.min("v").alias("m"))
              .select("u", F.least("u", "m").alias("m")))
+    if large:
+        # stored: both sides of the join are plain shuffles then, and AQE can
+        # split the edges of a node with very many neighbours
+        least = spool(least, "least")
     joined = both.join(least, "u")
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

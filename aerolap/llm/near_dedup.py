@@ -192,7 +192,9 @@ def classes(docs: DataFrame, *, width: int = 5, similarity: tuple[int, int] = (8
                   "equal")
     reps = equal.select("rep", "bands")
     keys = reps.select("rep", F.posexplode("bands").alias("band", "key"))
-    full = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key", "c")
+    # stored, like every small side below that a hot key may meet: with plain
+    # shuffles on both sides AQE can split the key's rows
+    full = spool(keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key", "c"), "full")
     shared = spool(keys.join(full, "key"), "buckets")          # rep, band, key, c
 
     involved = shared.select(F.col("rep").alias("doc_id")).distinct()

@@ -183,9 +183,11 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, k: int = 12,
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
         F.min_by("start", "doc_id").alias("start"), F.max("n").alias("n"),
         F.min("edge").alias("edge")), "paths")
-    branching = (paths.groupBy("edge")
-                 .agg(F.count("*").alias("c"), F.min("lo").alias("l"), F.max("hi").alias("h"))
-                 .where("c > 1 AND l < h").select("edge"))
+    # stored, like the other small sides below: with plain shuffles on both
+    # sides of a join AQE can split what very many documents hold
+    branching = spool(paths.groupBy("edge")
+                      .agg(F.count("*").alias("c"), F.min("lo").alias("l"), F.max("hi").alias("h"))
+                      .where("c > 1 AND l < h").select("edge"), "branching")
     listed = (paths.select("edge", "h1", "h2", "lo", "start", "n")
               .join(branching, "edge", "left_semi")
               .groupBy(F.col("lo").alias("doc_id"))
@@ -194,16 +196,14 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, k: int = 12,
                     .mapInArrow(lambda it: _windows(it, window),
                                 "w1 bigint, w2 bigint, h1 bigint, h2 bigint, lo bigint, off int"),
                     "windows")
-    least = (windows.groupBy("w1", "w2")
-             .agg(F.min("lo").alias("least"), F.max("lo").alias("most"))
-             .where("least < most").select("w1", "w2", "least"))
+    least = spool(windows.groupBy("w1", "w2")
+                  .agg(F.min("lo").alias("least"), F.max("lo").alias("most"))
+                  .where("least < most").select("w1", "w2", "least"), "least")
     # windows of a path that an even smaller document holds in other company
     extra = (windows.join(least, ["w1", "w2"]).where("least < lo")
              .groupBy("h1", "h2").agg(F.min("lo").alias("lo_"),
                                       F.collect_set(F.struct("off", "least")).alias("extra")))
 
-    # stored, so that both sides of the join below are plain shuffles and AQE
-    # can split a passage that very many documents hold
     judged = spool(paths.where("lo < hi").select("h1", "h2", "lo")
                    .join(extra, ["h1", "h2"], "full")
                    .select("h1", "h2", F.coalesce("lo", "lo_").alias("lo"), "extra"), "judged")
