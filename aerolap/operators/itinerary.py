@@ -168,15 +168,16 @@ def _k_best_candidates(legs: DataFrame, k: int) -> DataFrame:
     so a hot leg key is spread, a recomputed task sends its rows to the same
     place, and AQE may resize it; both the count per leg key and the k best
     start from its (fenced) result. A flight that stands for ``c`` equal ones
-    is expanded to ``least(c, k)`` rows after the top-k.
+    is expanded to as many rows as the k best still have room for.
     """
     same = _fence(legs.groupBy(*LEG_KEY, "delay", "dep").agg(F.count(F.lit(1)).alias("c")))
     w = Window.partitionBy(*LEG_KEY).orderBy(F.col("delay").asc(), F.col("dep").asc())
-    best = (same.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-            .select(*LEG_KEY, "delay", "dep",
-                    F.explode(F.sequence(F.lit(1), F.least(F.col("c"), F.lit(k)).cast("int"))).alias("_i")))
-    top = (best.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-           .drop("_r", "_i"))
+    before = F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("c")
+    top = (same.select("*", F.row_number().over(w).alias("_r"), before.alias("_before"))
+           .filter((F.col("_r") <= k) & (F.col("_before") < k))
+           .select(*LEG_KEY, "delay", "dep", F.explode(F.sequence(
+               F.lit(1), F.least(F.col("c"), F.lit(k) - F.col("_before")).cast("int"))).alias("_i"))
+           .drop("_i"))
     counts = same.groupBy(*LEG_KEY).agg(F.sum("c").alias("n"))
     return top.join(counts, LEG_KEY)
 
