@@ -5,9 +5,11 @@ paragraph; its points (one, one per comma, up to three for length) pass to the
 enclosing elements, whole to the nearest, half to the next and less further
 up. A container's points are discounted by the share of its text that lies in
 links, and raised or lowered by what its tag and class names say. The best
-container is kept with those siblings that read like text too. Menus, headers,
-footers, sidebars, notices, adverts, forms, scripts and reader comments never
-enter the tree's text.
+container only says where the main text is: its whole article or main element
+is kept, with what reads like text beside it. Without such an element the
+whole page is kept, less the blocks beside the best container or its ancestors
+that are mostly links. Menus, headers, footers, sidebars, notices, adverts,
+forms, scripts and reader comments never enter the tree's text.
 
 Pages are independent of each other: one Arrow map pass, no shuffle.
 """
@@ -95,6 +97,7 @@ class _Page:
     def __init__(self):
         self.root = self.at = Node("#root", None)
         self.paragraphs: list[str] = []
+        self.linked: list[int] = []       # code points in links, by paragraph
         self.run: list[str] = []
         self.links = 0                    # open <a> elements
         self.run_linked = 0
@@ -117,6 +120,7 @@ class _Page:
             return
         s = " ".join(words)
         self.paragraphs.append(s)
+        self.linked.append(min(linked, len(s)))
         points = 1 + s.count(",") + min(len(s) / 100, 3)
         node, level = self.at, 0
         while node is not None:
@@ -244,8 +248,40 @@ def _score(node: Node) -> float:
     return (node.points + node.bonus) * (1 - _density(node))
 
 
+def _text_like(linked: int, length: int) -> bool:
+    return 2 * linked < length
+
+
+def _kept(tree: _Page, best: Node) -> list[int]:
+    """Paragraphs of the best container's article or main, else of the whole
+    page, less what consists of links beside the way up to it."""
+    node, top, core = best, None, None
+    while node is not None:
+        if node.tag in ("article", "main"):
+            core, top = node if core is None or node.tag == "article" else core, node
+        node = node.parent
+    core, top = core or best, top or tree.root
+    kept = set(range(core.first, core.last))
+    node = core
+    while node is not top:
+        inner, node = node, node.parent
+        own = set(range(node.first, node.last))
+        for other in node.children:
+            span = range(other.first, other.last)
+            own.difference_update(span)
+            if other is not inner and _text_like(other.linked, other.length):
+                kept.update(span)
+        kept.update(i for i in own if _text_like(tree.linked[i], len(tree.paragraphs[i])))
+    if top.parent is not None:            # an article or main: what reads like text beside it
+        for other in top.parent.children:
+            prose = other.tag in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", top.tag)
+            if other is not top and _density(other) < 0.25 and (prose or _score(other) >= 10):
+                kept.update(range(other.first, other.last))
+    return sorted(kept)
+
+
 def main_text(page: str) -> str:
-    """The paragraphs of the best container and its text-like siblings."""
+    """The paragraphs around the best container."""
     tree = parse(page)
     best, todo = None, [tree.root]
     while todo:
@@ -255,16 +291,7 @@ def main_text(page: str) -> str:
             best = node
     if best is None:
         return ""
-    kept = [(best.first, best.last)]
-    if best.parent is not None:
-        for other in best.parent.children:
-            if other is best or not other.length:
-                continue
-            prose = other.tag in ("p", "pre", "blockquote") or re.fullmatch("h[1-6]", other.tag)
-            if _density(other) < 0.25 and (prose or other.tag == best.tag and _score(other) >= 0.2 * _score(best)
-                                           or _score(other) >= max(10, 0.2 * _score(best))):
-                kept.append((other.first, other.last))
-    return "\n".join(p for a, b in sorted(kept) for p in tree.paragraphs[a:b])
+    return "\n".join(tree.paragraphs[i] for i in _kept(tree, best))
 
 
 def _extract(batches: Iterator[pa.RecordBatch], html_at: int) -> Iterator[pa.RecordBatch]:

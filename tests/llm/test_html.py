@@ -41,6 +41,27 @@ def test_cases(page, want):
     assert main_text(page) == want
 
 
+SECTION = "".join(f"<p>{i}, {LONG}</p>" for i in range(20))
+SECTION_TEXT = "\n".join(f"{i}, {LONG.strip()}" for i in range(20))
+
+
+@pytest.mark.parametrize("n", [1, 3])
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_short_sections_beside_a_long_one(outer, n):
+    short = "".join(f"<p>Short {i}.</p>" for i in range(n))
+    page = (f"<nav><a href=x>Menu</a></nav><{outer}><h1>T</h1><section>{SECTION}</section>"
+            f"<section><h2>H</h2>{short}</section><ul><li>a<li>b</ul><table><tr><td>c</table>"
+            f"<figure><figcaption>d</figcaption></figure><div>e</div>bare</{outer}>")
+    want = ["T", SECTION_TEXT, "H", *(f"Short {i}." for i in range(n)), "a", "b", "c", "d", "e", "bare"]
+    assert main_text(page) == "\n".join(want)
+
+
+def test_sections_below_wrappers_and_a_plain_menu():
+    page = (f"<body><div><a href=x>Home</a> | <a href=y>About us</a></div><div><div><section>{SECTION}</section></div>"
+            "<div><section><p>Short.</p></section></div></div></body>")
+    assert main_text(page) == f"{SECTION_TEXT}\nShort."
+
+
 def test_links_cost_a_container_its_place():
     menu = "".join(f"<p><a href=x>Item {i}, with, many, commas, here</a></p>" for i in range(30))
     assert main_text(f"<div>{menu}</div><div><p>{LONG}</p></div>") == LONG.strip()
