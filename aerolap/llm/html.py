@@ -9,7 +9,8 @@ container only says where the main text is: its whole article or main element
 is kept, with what reads like text beside it. Without such an element the
 whole page is kept, less the blocks beside the best container or its ancestors
 that are mostly links. Menus, headers, footers, sidebars, notices, adverts,
-forms, scripts and reader comments never enter the tree's text.
+forms, scripts and reader comments are taken out of the tree before; where an
+element ends is the same for them as for others, end tags left out included.
 
 Pages are independent of each other: one Arrow map pass, no shuffle.
 """
@@ -30,6 +31,9 @@ BLOCKS = frozenset("""
     figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre
     section summary table tbody td tfoot th thead tr ul caption
     """.split())
+ROWS = frozenset("thead tbody tfoot tr".split())
+CELLS = frozenset("td th".split())
+IN_CELLS = BLOCKS - ROWS - {"table"}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math object canvas audio video textarea title select".split())
 UNWANTED_TAGS = frozenset("nav header footer aside form menu dialog button fieldset head".split())
@@ -57,7 +61,8 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "points", "length", "linked", "bonus", "first", "last")
+    __slots__ = ("tag", "parent", "children", "points", "length", "linked", "bonus", "first", "last",
+                 "inline", "unwanted", "links")
 
     def __init__(self, tag: str, parent: Node | None, bonus: float = 0.0):
         self.tag, self.parent, self.bonus = tag, parent, bonus
@@ -65,6 +70,8 @@ class Node:
         self.points = 0.0                 # from paragraphs below
         self.length = self.linked = 0     # code points of text, and in links
         self.first = self.last = 0        # range of paragraphs
+        self.inline = self.unwanted = False
+        self.links = 0                    # open <a> elements before an unwanted one
         if parent is not None:
             parent.children.append(self)
 
@@ -98,13 +105,14 @@ class _Page:
         self.root = self.at = Node("#root", None)
         self.paragraphs: list[str] = []
         self.linked: list[int] = []       # code points in links, by paragraph
+        self.owners: list[Node] = []      # innermost element, by paragraph
         self.run: list[str] = []
         self.links = 0                    # open <a> elements
         self.run_linked = 0
-        self.skipped: list[str] = []      # open elements from an unwanted one on
+        self.inline = 0                   # open inline nodes: an unwanted one and those in it
 
     def text(self, s: str) -> None:
-        if not self.skipped and s:
+        if s:
             self.run.append(s)
             if self.links:
                 self.run_linked += len(s)
@@ -121,19 +129,9 @@ class _Page:
         s = " ".join(words)
         self.paragraphs.append(s)
         self.linked.append(min(linked, len(s)))
-        points = 1 + s.count(",") + min(len(s) / 100, 3)
-        node, level = self.at, 0
-        while node is not None:
-            node.length += len(s)
-            node.linked += min(linked, len(s))
-            node.points += points / (1, 2, 6, 9, 12, 15)[min(level, 5)]
-            node, level = node.parent, level + 1
+        self.owners.append(self.at)
 
     def start(self, tag: str, rest: str) -> None:
-        if self.skipped:
-            if tag not in VOID and not rest.endswith("/"):
-                self.skipped.append(tag)
-            return
         if tag == "br":
             self.run.append(" ")
             return
@@ -141,49 +139,75 @@ class _Page:
             self.links += 1
             return
         block = tag in BLOCKS
-        if not block and tag != "button" and not rest:
+        if not block and tag != "button" and tag != "head" and not rest and not self.inline:
             return
         wanted, bonus = _wanted(tag, rest)
-        if not wanted and tag not in ("html", "body"):
-            self.flush()
-            if tag not in VOID:
-                self.skipped.append(tag)
+        wanted = wanted or tag in ("html", "body")
+        if tag in VOID:
+            if block or not wanted:
+                self.flush()
             return
-        if not block:
+        if wanted and not block:
+            if self.inline and not rest.endswith("/"):
+                self._push(Node(tag, self.at), inline=True)
             return
         self.flush()
-        if tag in VOID:
-            return
-        self._close_implied(tag)
-        self.at = Node(tag, self.at, TAG_POINTS.get(tag, 0) + bonus)
-        self.at.first = len(self.paragraphs)
+        if block:
+            self._close_implied(tag)
+        node = Node(tag, self.at, TAG_POINTS.get(tag, 0) + bonus)
+        node.unwanted, node.links = not wanted, self.links
+        self._push(node, inline=not block)
+
+    def _push(self, node: Node, inline: bool) -> None:
+        node.inline = inline
+        node.first = len(self.paragraphs)
+        self.inline += inline
+        self.at = node
 
     def _close_implied(self, tag: str) -> None:
-        """An open <p> ends at any block; list items and cells end at the next."""
-        if self.at.tag == "p":
-            self._pop()
-        same = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
-                "td": ("td", "th"), "th": ("td", "th")}.get(tag, ())
-        while self.at.tag in same:
+        """An open <p> or <head> ends at any block; list items, cells and rows
+        end at the next, whatever inline elements are open in them."""
+        self._close(("p", "head"), ())
+        if tag in ("li", "dt", "dd"):
+            self._close(("li",) if tag == "li" else ("dt", "dd"), ("p", "div", "address"))
+        elif tag in ROWS or tag in CELLS:
+            same = CELLS if tag in CELLS else CELLS | {"tr"} if tag == "tr" else CELLS | ROWS
+            while self._close(same, IN_CELLS):
+                pass
+
+    def _close(self, tags, through) -> bool:
+        """End the innermost element of ``tags``, if only inline elements and
+        ``through`` are open in it."""
+        node = self.at
+        while node.tag not in tags and (node.inline or node.tag in through):
+            node = node.parent
+        if node.tag not in tags:
+            return False
+        while self.at is not node:
             self._pop()
+        self._pop()
+        return True
 
     def _pop(self) -> None:
-        self.at.last = len(self.paragraphs)
-        self.at = self.at.parent
+        node = self.at
+        node.last = len(self.paragraphs)
+        self.inline -= node.inline
+        if node.unwanted:
+            self.links = node.links
+        self.at = node.parent
 
     def end(self, tag: str) -> None:
-        if self.skipped:
-            if tag in self.skipped:
-                while self.skipped.pop() != tag:
-                    pass
-            elif self._open(tag) and tag in BLOCKS and tag != "p":
-                self.skipped = []         # the wanted element around ends: so does this
-                self.end(tag)
-            return
         if tag == "a":
             self.links = max(0, self.links - 1)
-        elif tag in BLOCKS:
-            self.flush()
+        elif tag in BLOCKS or self.inline:
+            node = self.at
+            if tag not in BLOCKS:         # ends an inline node of the block it is in
+                while node.inline and node.tag != tag:
+                    node = node.parent
+                if node.tag != tag:
+                    return
+            if tag in BLOCKS or node.unwanted:
+                self.flush()
             if self._open(tag):
                 while self.at.tag != tag:
                     self._pop()
@@ -197,11 +221,38 @@ class _Page:
 
     def done(self) -> None:
         self.flush()
-        while self.at is not None:
-            self.at.last = len(self.paragraphs)
-            if self.at.parent is None:
-                break
-            self.at = self.at.parent
+        while self.at.parent is not None:
+            self._pop()
+        self.root.last = len(self.paragraphs)
+        self._drop()
+        self._score()
+
+    def _drop(self) -> None:
+        """Take the unwanted elements out of the tree, with their paragraphs."""
+        gone, todo = bytearray(len(self.paragraphs)), [self.root]
+        while todo:
+            node = todo.pop()
+            for child in node.children:
+                if child.unwanted:
+                    gone[child.first: child.last] = b"\1" * (child.last - child.first)
+            node.children = [child for child in node.children if not child.unwanted]
+            todo += node.children
+        # the ranges that are left keep their ends: dropped paragraphs are empty
+        for i, out in enumerate(gone):
+            if out:
+                self.paragraphs[i], self.linked[i] = "", 0
+
+    def _score(self) -> None:
+        """Lengths and points of the elements around each paragraph."""
+        for s, linked, node in zip(self.paragraphs, self.linked, self.owners):
+            if not s:
+                continue
+            points, level = 1 + s.count(",") + min(len(s) / 100, 3), 0
+            while node is not None:
+                node.length += len(s)
+                node.linked += linked
+                node.points += points / (1, 2, 6, 9, 12, 15)[min(level, 5)]
+                node, level = node.parent, level + 1
 
 
 def parse(page: str) -> _Page:
@@ -291,7 +342,7 @@ def main_text(page: str) -> str:
             best = node
     if best is None:
         return ""
-    return "\n".join(tree.paragraphs[i] for i in _kept(tree, best))
+    return "\n".join(tree.paragraphs[i] for i in _kept(tree, best) if tree.paragraphs[i])
 
 
 def _extract(batches: Iterator[pa.RecordBatch], html_at: int) -> Iterator[pa.RecordBatch]:

@@ -62,6 +62,24 @@ def test_sections_below_wrappers_and_a_plain_menu():
     assert main_text(page) == f"{SECTION_TEXT}\nShort."
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><p class=ad>Buy<p>Text one</p><p>Text two</p></article>", "Text one\nText two"),
+    ("<article><p class=ad>Buy<div>Text one</div><p>Text two</article>", "Text one\nText two"),
+    ("<article><ul><li class=ad>x<li>real<li class=ad><p>x<li>more</ul><p>end</p></article>", "real\nmore\nend"),
+    ("<article><dl><dt class=ad>x<dd>real<dd class=ad>y<dt>more</dl></article>", "real\nmore"),
+    ("<article><table><tr class=ad><td>x<td>y<tr><td>real<td class=ad><div>z<td>more</table>end</article>",
+     "real\nmore\nend"),
+    ("<article><table><tbody><tr class=ad><td>x<tbody><tr><td>real</table></article>", "real"),
+    ("<article><table><tr class=ad><td><table><tr><td>x</table>y<tr><td>real</table></article>", "real"),
+    ("<article><p>a <span class=ad>x<p>real</p></article>", "a\nreal"),
+    ("<article><p>a <span class=ad>x <span>y</span> <b>z</b></span> b</p><p>c</p></article>", "a\nb\nc"),
+    ("<article><div class=ad><a href=x>Buy</div><p>real, not linked</p></article>", "real, not linked"),
+    ("<head><meta charset=utf-8><body><article><p>real</p></article>", "real"),
+])
+def test_unwanted_elements_end_where_others_do(page, want):
+    assert main_text(page) == want
+
+
 def test_links_cost_a_container_its_place():
     menu = "".join(f"<p><a href=x>Item {i}, with, many, commas, here</a></p>" for i in range(30))
     assert main_text(f"<div>{menu}</div><div><p>{LONG}</p></div>") == LONG.strip()
