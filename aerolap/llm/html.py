@@ -9,8 +9,11 @@ container only says where the main text is: its whole article or main element
 is kept, with what reads like text beside it. Without such an element the
 whole page is kept, less the blocks beside the best container or its ancestors
 that are mostly links. Menus, headers, footers, sidebars, notices, adverts,
-forms, scripts and reader comments are taken out of the tree before; where an
-element ends is the same for them as for others, end tags left out included.
+forms, scripts and reader comments are taken out of the tree before, known by
+tag, role or whole class and id names, and hidden elements; but not an element
+that holds most of the page's unlinked text while no other article has any.
+Where an element ends is the same for them as for others, end tags left out
+included.
 
 Pages are independent of each other: one Arrow map pass, no shuffle.
 """
@@ -20,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,6 +49,15 @@ UNWANTED_NAMES = frozenset("""
     notification pagination pager popup promo promoted recommended related replies reply respond search
     share sharing sidebar sidebars signup social sponsor sponsored subscribe toolbar topbar widget widgets
     """.split())
+# Words that leave the meaning of an unwanted one beside them in a name, and other unwanted names.
+NEUTRAL_WORDS = frozenset("""
+    area bar block bottom box button buttons container global group inner item items left link links list
+    lower outer primary right secondary section site top upper wrap wrapper
+    """.split())
+UNWANTED_COMPOUNDS = frozenset("""
+    article-comments entry-comments post-comments main-menu main-nav main-navigation page-footer
+    related-articles related-posts related-stories
+    """.split())
 WANTED_NAMES = frozenset("article body content entry main page post story text".split())
 TAG_POINTS = {"article": 30, "main": 25, "div": 5, "pre": 3, "td": 3, "blockquote": 3,
               "ol": -3, "ul": -3, "dl": -3, "li": -3, "h1": -5, "h2": -5, "h3": -5, "th": -5}
@@ -54,15 +67,15 @@ _MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*?)(?:>|\Z)", re.S)
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_HIDDEN_STYLE = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 _PART = re.compile(r"[a-z]+", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
     __slots__ = ("tag", "parent", "children", "points", "length", "linked", "bonus", "first", "last",
-                 "inline", "unwanted", "links")
+                 "inline", "unwanted", "hidden", "links")
 
     def __init__(self, tag: str, parent: Node | None, bonus: float = 0.0):
         self.tag, self.parent, self.bonus = tag, parent, bonus
@@ -70,34 +83,46 @@ class Node:
         self.points = 0.0                 # from paragraphs below
         self.length = self.linked = 0     # code points of text, and in links
         self.first = self.last = 0        # range of paragraphs
-        self.inline = self.unwanted = False
+        self.inline = self.unwanted = self.hidden = False
         self.links = 0                    # open <a> elements before an unwanted one
         if parent is not None:
             parent.children.append(self)
 
 
-def _wanted(tag: str, rest: str) -> tuple[bool, float]:
-    """(whether the element may hold main text, points of its names)."""
-    if tag in UNWANTED_TAGS:
-        return False, 0.0
-    bonus = 0.0
-    if rest:
-        if "hid" in rest or "none" in rest:
-            if _HIDDEN.search(rest):
-                return False, 0.0
-        for m in _NAMES.finditer(rest):
-            value = m[2] or m[3] or m[4] or ""
-            if m[1].lower() == "role":
-                if value.strip().lower() in UNWANTED_ROLES:
-                    return False, 0.0
-                bonus += 25 if value.strip().lower() in ("main", "article") else 0
-                continue
-            parts = {p.lower() for name in value.split() for p in _PART.findall(_CAMEL.sub(" ", name))}
-            wanted = parts & WANTED_NAMES
-            if parts & UNWANTED_NAMES and not (wanted and tag in ("article", "main", "body")):
-                return False, 0.0
-            bonus += 25 if wanted else 0
-    return True, bonus
+def _unwanted_name(name: str, words: list[str], alone: bool) -> bool:
+    """Whether a whole class or id name is an unwanted one; unless ``alone``,
+    neutral words may stand beside it."""
+    if name.lower() in UNWANTED_NAMES or name.lower() in UNWANTED_COMPOUNDS:
+        return True
+    return not alone and any(w in UNWANTED_NAMES for w in words) \
+        and all(w in UNWANTED_NAMES or w in NEUTRAL_WORDS for w in words)
+
+
+def _judge(tag: str, rest: str, code: bool) -> tuple[bool, bool, float]:
+    """(whether the element may hold main text, whether it is hidden, points of
+    its names). Names of elements in ``code`` say nothing about the page."""
+    wanted, hidden, bonus = tag not in UNWANTED_TAGS, False, 0.0
+    for m in _ATTRIBUTE.finditer(rest) if rest else ():
+        attribute, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if attribute == "hidden":
+            hidden |= value.strip().lower() != "false"
+        elif attribute == "aria-hidden":
+            hidden |= value.strip().lower() == "true"
+        elif attribute == "style":
+            hidden |= _HIDDEN_STYLE.search(value) is not None
+        elif attribute == "role":
+            role = value.strip().lower()
+            wanted &= role not in UNWANTED_ROLES
+            bonus += 25 if role in ("main", "article") else 0
+        elif attribute in ("class", "id") and not code:
+            named, unwanted = False, False
+            for name in value.split():
+                words = [w.lower() for w in _PART.findall(_CAMEL.sub(" ", name))]
+                named = named or not WANTED_NAMES.isdisjoint(words)
+                unwanted = unwanted or _unwanted_name(name, words, tag in ("article", "main"))
+            wanted &= not unwanted or named and tag in ("article", "main")
+            bonus += 25 if named else 0
+    return wanted and not hidden, hidden, bonus
 
 
 class _Page:
@@ -110,6 +135,7 @@ class _Page:
         self.links = 0                    # open <a> elements
         self.run_linked = 0
         self.inline = 0                   # open inline nodes: an unwanted one and those in it
+        self.pres = self.codes = 0        # open <pre>, and <code> of this block
 
     def text(self, s: str) -> None:
         if s:
@@ -138,10 +164,11 @@ class _Page:
         if tag == "a":
             self.links += 1
             return
+        self.codes += tag == "code"
         block = tag in BLOCKS
         if not block and tag != "button" and tag != "head" and not rest and not self.inline:
             return
-        wanted, bonus = _wanted(tag, rest)
+        wanted, hidden, bonus = _judge(tag, rest, not block and self.pres + self.codes > 0)
         wanted = wanted or tag in ("html", "body")
         if tag in VOID:
             if block or not wanted:
@@ -155,13 +182,15 @@ class _Page:
         if block:
             self._close_implied(tag)
         node = Node(tag, self.at, TAG_POINTS.get(tag, 0) + bonus)
-        node.unwanted, node.links = not wanted, self.links
+        node.unwanted, node.hidden, node.links = not wanted, hidden, self.links
         self._push(node, inline=not block)
 
     def _push(self, node: Node, inline: bool) -> None:
         node.inline = inline
         node.first = len(self.paragraphs)
         self.inline += inline
+        self.pres += node.tag == "pre"
+        self.codes *= inline
         self.at = node
 
     def _close_implied(self, tag: str) -> None:
@@ -192,6 +221,8 @@ class _Page:
         node = self.at
         node.last = len(self.paragraphs)
         self.inline -= node.inline
+        self.pres -= node.tag == "pre"
+        self.codes *= node.inline
         if node.unwanted:
             self.links = node.links
         self.at = node.parent
@@ -199,7 +230,10 @@ class _Page:
     def end(self, tag: str) -> None:
         if tag == "a":
             self.links = max(0, self.links - 1)
-        elif tag in BLOCKS or self.inline:
+            return
+        if tag == "code":
+            self.codes = max(0, self.codes - 1)
+        if tag in BLOCKS or self.inline:
             node = self.at
             if tag not in BLOCKS:         # ends an inline node of the block it is in
                 while node.inline and node.tag != tag:
@@ -230,9 +264,13 @@ class _Page:
     def _drop(self) -> None:
         """Take the unwanted elements out of the tree, with their paragraphs."""
         gone, todo = bytearray(len(self.paragraphs)), [self.root]
+        plain = [len(s) - linked for s, linked in zip(self.paragraphs, self.linked)]
+        before = [0, *accumulate(plain)]
         while todo:
             node = todo.pop()
             for child in node.children:
+                if child.unwanted and 2 * (before[child.last] - before[child.first]) > before[-1]:
+                    child.unwanted = not self._is_the_text(child, plain)
                 if child.unwanted:
                     gone[child.first: child.last] = b"\1" * (child.last - child.first)
             node.children = [child for child in node.children if not child.unwanted]
@@ -242,6 +280,28 @@ class _Page:
             if out:
                 self.paragraphs[i], self.linked[i] = "", 0
 
+    def _is_the_text(self, node: Node, plain: list[int]) -> bool:
+        """Whether an element with most of the page's unlinked text stays: no
+        other article or main has any. A hidden one needs most paragraphs too."""
+        if node.hidden and 2 * sum(n > 0 for n in plain[node.first: node.last]) <= sum(n > 0 for n in plain):
+            return False
+        around, up = set(), node.parent
+        while up is not None:
+            around.add(id(up))
+            up = up.parent
+        todo = [(self.root, False)]
+        while todo:
+            at, inside = todo.pop()
+            inside = inside or at.tag in ("article", "main") and id(at) not in around
+            if inside:
+                own = set(range(at.first, at.last))
+                for child in at.children:
+                    own.difference_update(range(child.first, child.last))
+                if any(plain[i] > 0 for i in own):
+                    return False
+            todo += [(child, inside) for child in at.children if not child.unwanted]
+        return True
+
     def _score(self) -> None:
         """Lengths and points of the elements around each paragraph."""
         for s, linked, node in zip(self.paragraphs, self.linked, self.owners):

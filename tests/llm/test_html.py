@@ -72,7 +72,7 @@ def test_sections_below_wrappers_and_a_plain_menu():
     ("<article><table><tbody><tr class=ad><td>x<tbody><tr><td>real</table></article>", "real"),
     ("<article><table><tr class=ad><td><table><tr><td>x</table>y<tr><td>real</table></article>", "real"),
     ("<article><p>a <span class=ad>x<p>real</p></article>", "a\nreal"),
-    ("<article><p>a <span class=ad>x <span>y</span> <b>z</b></span> b</p><p>c</p></article>", "a\nb\nc"),
+    ("<article><p>a <span class=ad>x <span>y</span> <b>z</b></span> b</p><p>c, longer</p></article>", "a\nb\nc, longer"),
     ("<article><div class=ad><a href=x>Buy</div><p>real, not linked</p></article>", "real, not linked"),
     ("<head><meta charset=utf-8><body><article><p>real</p></article>", "real"),
 ])
@@ -80,6 +80,39 @@ def test_unwanted_elements_end_where_others_do(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("names", [
+    "style='overflow:hidden'", "class='overflow-hidden'", "class='content has-sidebar'", "class='no-sidebar'",
+    "class='post with-comments'", "data-class='ad'", "title='hidden class=ad'", "data-state=hidden",
+    "class='card--no-footer'", "id='hasComments'"])
+@pytest.mark.parametrize("tag", ["article", "main", "div", "section"])
+def test_names_that_only_contain_an_unwanted_word(tag, names):
+    """Beside a longer text, so that only the name decides."""
+    page = f"<div><{tag} {names}><p>Kept.</p></{tag}><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(page) == "\n".join(["Kept.", LONG.strip(), LONG.strip()])
+
+
+@pytest.mark.parametrize("names", [
+    "class=sidebar", "class='left-sidebar'", "id=sidebarLeft", "class='x comments'", "class='comment-list'",
+    "class='site-footer'", "class='main-nav'", "id='ad-container'", "hidden", "hidden=''", "aria-hidden=true",
+    "style='color:red; display : none'", "style='visibility:hidden'", "role=navigation"])
+def test_unwanted_names(names):
+    assert main_text(f"<article><p>{LONG}</p><div {names}><p>Gone.</p></div></article>") == LONG.strip()
+
+
+@pytest.mark.parametrize("opening", [
+    "<div class=widget>", "<form action=x>", "<article class=sidebar>", "<div class=widget><div id=share>",
+    "<div style='display:none'>", "<div role=dialog>", "<article><h1>T</h1><div class=promo>"])
+def test_an_element_with_most_of_the_text_stays(opening):
+    page = f"<nav><p><a href=x>{LONG * 9}</a></p></nav>{opening}<p>{LONG}</p><p class=ad>Buy</p><p>{LONG}</p>"
+    assert main_text(page).removeprefix("T\n") == f"{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_comments_in_code():
+    code = "<pre><code>x = 1 <span class='comment'># one</span>\n<b class=ad>y</b></code></pre>"
+    page = f"<article><p>{LONG}</p>{code}<p>a <code>b <i class=comment>c</i></code> d <i class=ad>e</i></p></article>"
+    assert main_text(page) == f"{LONG.strip()}\nx = 1 # one y\na b c d"
+
+
 def test_links_cost_a_container_its_place():
     menu = "".join(f"<p><a href=x>Item {i}, with, many, commas, here</a></p>" for i in range(30))
     assert main_text(f"<div>{menu}</div><div><p>{LONG}</p></div>") == LONG.strip()
