@@ -11,7 +11,7 @@
   member with the smallest share of shingles that no other candidate has. Full
   sets are joined to the distinct pairs and compared; links make components.
 * The rest. Buckets that still hold several components are finished exactly:
-  split into blocks of bounded size, all pairs of different components are
+  split into blocks bounded in members and in bytes of sets, all pairs of different components are
   tested inside the tasks that hold two blocks, first by an upper bound from
   set sizes and unshared shingles, then on full sets, and only links that join
   components leave the task. No list of pairs is ever made, and no bucket is
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolap.llm.common import signed, spool
@@ -33,7 +33,8 @@ from aerolap.llm.graph import components
 from aerolap.llm.shingles import set_rows, signature_rows
 
 PERMUTATIONS = 96
-BLOCK = 512                              # members of a bucket compared in one task
+BLOCK = 512                              # members of a bucket compared in one task,
+BLOCK_BYTES = 32 << 20                   # and bytes of their full sets
 
 
 def rows_per_band(similarity: float, values: int = 2 * PERMUTATIONS, miss: float = 1e-6) -> int:
@@ -65,6 +66,23 @@ def _compare(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[
         yield pa.record_batch([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _one(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """The rows of all batches as one; byte columns get wide offsets, since
+    their sum may pass 2 GiB."""
+    schema = pa.schema([f.with_type(pa.large_binary()) if pa.types.is_binary(f.type) else f
+                        for f in held[0].schema])
+    out = pa.Table.from_batches(held).cast(schema).combine_chunks().to_batches()
+    if len(out) != 1:
+        raise ValueError(f"a group of {sum(b.num_rows for b in held)} rows does not fit one batch")
+    return out[0]
+
+
+def _blocks(count: Column, size: Column) -> Column:
+    """Blocks of a bucket of ``count`` members with ``size`` shingles in all;
+    one member a block at the least."""
+    return F.greatest(F.ceil(count / BLOCK), F.least(count, F.ceil(8 * size / BLOCK_BYTES))).cast("int")
+
+
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
     """The groups of equal first ``keys`` columns of a sorted partition."""
     held: list[pa.RecordBatch] = []
@@ -80,12 +98,12 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordB
                 continue
             key = tuple(c[a] for c in columns)
             if held and key != last:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                yield _one(held)
                 held = []
             held.append(batch.slice(a, b - a))
             last = key
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield _one(held)
 
 
 def _possible(g: pa.RecordBatch, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -226,9 +244,10 @@ def classes(docs: DataFrame, *, width: int = 5, similarity: tuple[int, int] = (8
     placed = (members.join(found, F.col("rep") == F.col("node"), "left")
               .select("key", "band", "c", "rep", "n", "unshared", F.coalesce("component", "rep").alias("component")))
     placed = spool(placed, "placed")
-    mixed = spool(placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                  .where("x < y").select("key"), "mixed")
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    mixed = spool(placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
+                                                F.sum("n").alias("total"))
+                  .where("x < y").select("key", "total"), "mixed")
+    blocks = _blocks(F.col("c"), F.col("total"))
     blocked = (placed.join(mixed, "key").join(reps, "rep")
                .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))

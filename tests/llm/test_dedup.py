@@ -183,6 +183,48 @@ def test_chain_of_near_copies_is_one_class(make_docs, monkeypatch):
     assert len({w[1] for w in want.values()}) < 10
 
 
+def test_blocks_are_bounded_by_bytes_too(make_docs, monkeypatch, spark):
+    from pyspark.sql import functions as F
+
+    from aerolap.llm import near_dedup
+
+    buckets = spark.createDataFrame([(1, 10), (1000, 10 ** 6), (1000, 270 * 10 ** 6), (3, 10 ** 9)], "c int, n bigint")
+    got = [r[0] for r in buckets.select(near_dedup._blocks(F.col("c"), F.col("n"))).collect()]
+    assert got == [1, 2, 65, 3]
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 4000)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(40):
+        w = list(base)
+        for _ in range(rng.randint(1, 9)):
+            w[rng.randrange(120)] = f"n{rng.random()}"
+        rows.append((i, " ".join(w)))
+    got = by_id(classes(make_docs(rows), width=3, similarity=(85, 100)))
+    want = brute_classes(rows, 3, 85, 100)
+    assert {i: r["component_id"] for i, r in got.items()} == {i: w[1] for i, w in want.items()}
+
+
+def test_a_group_past_2_gib_stays_whole():
+    """Sets of 100 MB each, the last two alike: their link is found."""
+    import numpy as np
+    import pyarrow as pa
+
+    from aerolap.llm.near_dedup import _finish, _groups
+
+    sets = pa.array([bytes(100 << 20)], pa.binary())
+    batch = pa.record_batch([pa.array([1]), sets], names=["key", "shingles"])
+    assert [g.num_rows for g in _groups([batch] * 22, 1)] == [22]
+    # members that sizes rule out hold the bytes
+    n = np.r_[np.arange(20, 0, -1) * 10 ** 9, 3, 3]
+    small = pa.array([np.arange(3, dtype="<u8").tobytes()], pa.binary())
+    rows = [pa.record_batch(
+        [pa.array([v]) for v in (5, 0, 0, 0, i, int(n[i]), 0 if i > 19 else int(n[i]), i, 0)] + [small if i > 19 else sets],
+        names=["key", "i", "j", "band", "rep", "n", "unshared", "component", "block", "shingles"]) for i in range(22)]
+    rows = rows[:20] + [rows[0]] * 2 + rows[20:]
+    assert [b.to_pylist() for b in _finish(rows, 80, 100)] == [[{"u": 20, "v": 21}]]
+
+
 def test_group_around_one_original(make_docs):
     """Copies near the threshold of each other: every link counts."""
     rng = random.Random(6)
