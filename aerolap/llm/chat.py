@@ -124,18 +124,22 @@ def from_columns(df: DataFrame, key: str) -> DataFrame:
 def from_json(df: DataFrame, key: str, record: str) -> DataFrame:
     """(``key``, turns, layout) of JSON records of mixed layouts.
 
-    Each row is fingerprinted by its own field paths. Null, broken and unknown
+    Each row is fingerprinted by its own field paths, those of a list by all
+    its elements together, so turns may lack fields. Null, broken and unknown
     records come back with no turns and a null layout.
     """
     arrays = sorted({x.turns for x in LAYOUTS if x.turns})
     raw = F.col(record)
+    none = F.array().cast("array<string>")
+    own = F.coalesce(F.json_object_keys(raw), none)
 
     def nested(top: str) -> Column:
-        keys = F.json_object_keys(F.get_json_object(raw, f"$.{top}[0]"))
-        return F.transform(F.coalesce(keys, F.array().cast("array<string>")),
+        items = F.from_json(raw, f"`{top}` array<string>")[top]
+        keys = F.array_distinct(F.flatten(F.transform(items, lambda x: F.coalesce(F.json_object_keys(x), none))))
+        return F.transform(F.when(F.array_contains(own, top) & keys.isNotNull(), keys).otherwise(none),
                            lambda k: F.concat(F.lit(f"{top}[]."), k))
 
-    paths = F.concat(F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>")), *map(nested, arrays))
+    paths = F.concat(own, *map(nested, arrays))
     chosen, name = F.lit(None).cast(TURNS), F.lit(None).cast("string")
     for layout in sorted(LAYOUTS, key=lambda x: len(x.paths)):
         shared = F.array_sort(F.array_distinct(

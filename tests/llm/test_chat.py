@@ -56,6 +56,22 @@ def test_json_records_of_mixed_layouts(spark):
     assert [tuple(t) for t in got[len(rows) - 1]["turns"]] == [("user", ""), ("assistant", "a")]
 
 
+def test_json_records_whose_turns_lack_fields(spark):
+    records = [
+        ({"messages": [{"role": "system"}, {"role": "user", "content": "q"}]}, [("system", ""), ("user", "q")]),
+        ({"messages": [{"content": "q"}, {"role": "bot"}]}, [("", "q"), ("assistant", "")]),
+        ({"conversations": [{}, {"from": "gpt", "value": "a"}]}, [("", ""), ("assistant", "a")]),
+        ({"turns": [None, {"role": "user", "text": "q"}]}, [("", ""), ("user", "q")]),
+        ({"turns": [{"role": "user"}, {"role": "bot"}]}, []),
+        ({"messages": "[{\"role\": \"user\", \"content\": \"q\"}]"}, []),
+        ({"messages": 5, "turns": [{"text": "q"}, {"role": "bot", "text": "a"}]}, [("", "q"), ("assistant", "a")])]
+    rows = [(i, json.dumps(r)) for i, (r, _) in enumerate(records)]
+    got = {r["k"]: r for r in chat.from_json(spark.createDataFrame(rows, "k int, raw string"), "k", "raw").collect()}
+    for i, (record, want) in enumerate(records):
+        assert [tuple(t) for t in got[i]["turns"]] == want, record
+        assert (got[i]["layout"] is None) == (want == []), record
+
+
 def test_table_layout_by_schema(spark):
     df = spark.createDataFrame([(1, "q", "more", None)], "id int, instruction string, input string, output string")
     r = chat.from_columns(df, "id").first()
