@@ -36,6 +36,21 @@ def test_recall_and_scores_on_the_table(spark):
     assert len(hits) == int((ids % 20 == 0).sum()) and np.mean(hits) >= 0.9
 
 
+def test_recall_on_full_blocks(spark):
+    """Two blocks of BLOCK_ROWS vectors, of which about a tenth is verified."""
+    from aerolap.llm.ann import BLOCK_ROWS
+
+    df = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").orderBy("vec_id").limit(2 * BLOCK_ROWS)
+    pdf = df.where("embedding IS NOT NULL").toPandas()
+    ids, vectors = pdf.vec_id.to_numpy(), np.stack(pdf.embedding.to_numpy()).astype(float)
+    assert len(ids) == 2 * BLOCK_ROWS
+    out, hits = nearest(df, df.where("vec_id % 100 = 0"), k=20).toPandas(), []
+    for q, found in out.groupby("query_id"):
+        want = brute(ids, vectors, q, vectors[np.flatnonzero(ids == q)[0]], 20)
+        hits.append(len({i for i, _ in want} & set(found.vec_id)) / 20)
+    assert len(hits) == int((ids % 100 == 0).sum()) and np.mean(hits) >= 0.95
+
+
 def test_several_blocks_and_unequal_norms(spark, monkeypatch):
     from aerolap.llm import ann
 
