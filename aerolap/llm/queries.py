@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolap.llm import chat
-from aerolap.llm.common import table
+from aerolap.llm.common import spool, table
 from aerolap.llm.ann import nearest
 from aerolap.llm.bpe import encode_digests
 from aerolap.llm.html import extract
 from aerolap.llm.line_dedup import remove_lines
 from aerolap.llm.near_dedup import classes
 from aerolap.llm.packing import pack
+from aerolap.llm.pivot_search import top_k
 from aerolap.llm.quality import judge, train
 from aerolap.llm.sharding import shard
+from aerolap.llm.spelling import count_words, runs, variants
 from aerolap.llm.substring_dedup import remove_repeats
+from aerolap.llm.trie import prefix_trie, thin_turns
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -228,3 +231,152 @@ def op7_near_dedup(spark, sf_dir):
 def op1_ann(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+OP11_SQL = r"""
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+
+@register("op11_exact_top_k", OP11_SQL)
+def op11_exact_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
+# CRC-32 byte by byte from its polynomial, over the UTF-8 bytes of column x.
+_CRC_TABLE = """tab AS (
+  SELECT list(v ORDER BY b) AS tab FROM (
+    SELECT b, list_reduce(list_concat([b], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM (SELECT unnest(range(0, 256)) AS b)))"""
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(range(0, strlen(x)),
+      lambda i: CAST('0x' || substr(hex(encode(x)), 2 * i + 1, 2) AS BIGINT))),
+      lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"""
+
+OP12_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+o AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[a-zA-Z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+d AS (SELECT doc_id, run, count(*) AS c FROM o WHERE length(run) >= 6 GROUP BY doc_id, run),
+h AS (SELECT run, c, {_CRC} AS h FROM (SELECT *, doc_id || ':' || run AS x FROM d), tab),
+w AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT))
+      || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, c FROM h),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cut AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (
+  SELECT DISTINCT a.word AS word, b.word AS other FROM cut a JOIN cut b
+    ON a.i = b.i AND a.rest = b.rest AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT cut.word, v.word FROM cut JOIN v ON cut.rest = v.word
+  UNION SELECT v.word, cut.word FROM cut JOIN v ON cut.rest = v.word),
+b AS (
+  SELECT near.word, count(*) AS n_near, max(v.n) AS top,
+    min(struct_pack(less := -v.n, other := v.word)).other AS best
+  FROM near JOIN v ON near.other = v.word GROUP BY near.word),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN top >= 5 * v.n THEN best END AS form, CASE WHEN top >= 5 * v.n THEN top END AS form_n
+  FROM v LEFT JOIN b ON v.word = b.word),
+walk AS (
+  SELECT word, word AS root FROM f
+  UNION ALL
+  SELECT walk.word, f.form FROM walk JOIN f ON walk.root = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.root FROM walk JOIN f ON walk.root = f.word WHERE f.form IS NULL)
+SELECT f.word, f.form, ends.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM f JOIN ends ON f.word = ends.word
+"""
+
+
+def misspelt(found: DataFrame) -> DataFrame:
+    """(word) for (doc_id, run): a 199th of the runs, by a hash of the document
+    and the run, lose one code point. A null doc_id counts as an empty text."""
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    at = (h % F.char_length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
+    return found.select(F.when(h % 199 == 0, cut).otherwise(F.col("run")).alias("word"))
+
+
+@register("op12_spelling_variants", OP12_SQL)
+def op12_spelling_variants(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants(count_words(misspelt(runs(docs, 6)), min_points=6, min_count=5), ratio=5)
+
+
+OP13_SQL = rf"""
+WITH {_CRC_TABLE},
+t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, CAST({_CRC} % 9 AS BIGINT) AS h, conv_id - conv_id % 5 AS base
+  FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS x FROM t), tab),
+r AS (
+  SELECT c.conv_id, 0 AS own, place, role, text FROM c JOIN t ON t.conv_id = c.base AND place <= h
+  UNION ALL SELECT c.conv_id, 1, place, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND place > h),
+p AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth, strlen(text) AS size,
+    string_agg(sha256(strlen(role) || chr(10) || role || text), '')
+      OVER (PARTITION BY conv_id ORDER BY own, place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size FROM p GROUP BY path, depth),
+l AS (SELECT conv_id, max(depth) AS last FROM p GROUP BY conv_id),
+e AS (
+  SELECT path, string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) AS ends
+  FROM p JOIN l ON p.conv_id = l.conv_id AND p.depth = l.last GROUP BY path),
+k AS (SELECT substr(path, 1, 64 * (depth - 1)) AS up, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+pairs AS (
+  SELECT substr(y.path, 1, 64 * d) AS path, y.path AS below, (y.n_convs - 1) * y.size AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM n) y),
+s AS (
+  SELECT pairs.path, CAST(sum(saved) AS BIGINT) AS saved_tokens,
+    CAST(sum(CASE WHEN k.up IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves
+  FROM pairs LEFT JOIN k ON pairs.below = k.up GROUP BY pairs.path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs,
+  coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM n JOIN s ON n.path = s.path LEFT JOIN k ON n.path = k.up LEFT JOIN e ON n.path = e.path
+  LEFT JOIN n u ON n.depth > 0 AND u.path = substr(n.path, 1, 64 * (n.depth - 1))
+"""
+
+
+def rebuilt(thin: DataFrame, family: int = 5, most: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Conversations that share beginnings: (turns, conv_ids).
+
+    Conversation c gets the first h turns of c - c % family (h = crc32(c) %
+    (most + 1)), then its own turns after its first h.
+    """
+    own = thin.groupBy("conv_id").agg(F.max("turns").alias("own"))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % (most + 1)
+    convs = own.select("conv_id", "own", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % family).alias("base"))
+    base = own.select(F.col("conv_id").alias("base"), F.col("own").alias("there"))
+    convs = spool(convs.join(base, "base", "left").withColumn(
+        "kept", F.least("h", F.coalesce("there", F.lit(0)))).select(
+        "conv_id", "h", "base", "kept", (F.col("kept") + F.greatest(F.col("own") - F.col("h"), F.lit(0))).alias("turns")),
+        "rebuilt")
+    first = thin.where(F.col("place") <= most).select(F.col("conv_id").alias("base"), "place", "digest", "size")
+    borrowed = (convs.select("conv_id", "base", "kept", "turns").join(first, "base").where("place <= kept")
+                .select("conv_id", "place", "digest", "size", "turns"))
+    rest = (thin.drop("turns").join(convs.select("conv_id", "h", "kept", "turns"), "conv_id").where("place > h")
+            .select("conv_id", (F.col("place") - F.col("h") + F.col("kept")).alias("place"), "digest", "size", "turns"))
+    return spool(borrowed.union(rest), "turns"), convs.select("conv_id")
+
+
+@register("op13_prefix_trie", OP13_SQL)
+def op13_prefix_trie(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie(*rebuilt(spool(thin_turns(rows), "thin")))
