@@ -202,7 +202,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, projections:
 
     Null and zero vectors, those with null or non-finite components, those
     with another length than most, and rows without vec_id take no part.
-    Repeated rows are candidates of their own. Fewer than k candidates give
+    Repeated rows are candidates of their own; repeated query rows are one
+    query. Fewer than k candidates give
     them all; no candidates or an empty table give no rows. Other columns are
     not read.
     """
@@ -220,7 +221,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, projections:
              .orderBy(F.desc("n"), "dims").limit(1).collect())
     dims, n, top = facts[0] if facts else (0, 0, 0.0)
     blocks = max(1, -(-n // BLOCK_ROWS))
-    asked = usable(queries).where(F.size("v") == dims)
+    asked = spool(usable(queries).where(F.size("v") == dims).groupBy("vec_id", "v").agg(F.lit(1)).drop("1"), "asked")
     q_blocks = max(1, -(-asked.count() // QUERY_ROWS))
 
     def packed(df, count):

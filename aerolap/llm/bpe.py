@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from aerolap.llm.common import mapped, quoted
+
 # Fixed value: the pre-tokenizing pattern of the byte-level files.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 NONE = np.int64(1) << 62
@@ -382,11 +384,11 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """
     vocabulary, key = load(tokenizer_path)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    source = docs.select(*[c for c in docs.columns if c not in ("ids", "decoded")])
+    source = docs.select(*quoted(c for c in docs.columns if c not in ("ids", "decoded")))
     at = source.columns.index("text")
-    schema = T.StructType([*source.drop("text").schema.fields, T.StructField("ids", T.BinaryType()),
+    schema = T.StructType([*(f for f in source.schema if f.name != "text"), T.StructField("ids", T.BinaryType()),
                            T.StructField("decoded", T.StringType())])
-    return source.mapInArrow(lambda it: _encode(it, shared, key, at), schema)
+    return mapped(source, lambda it: _encode(it, shared, key, at), schema)
 
 
 def encode_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:

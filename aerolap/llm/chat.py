@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolap.llm.common import quoted
+
 TURNS = "array<struct<role:string,text:string>>"
 
 
@@ -117,7 +119,7 @@ def from_columns(df: DataFrame, key: str) -> DataFrame:
     layout = layout_of(field_paths(df.schema))
     if layout is None:
         raise ValueError(f"no layout for fields {sorted(field_paths(df.schema))}")
-    return df.select(F.col(key), _canonical(layout.canonical(F.struct(*df.columns))).alias("turns"),
+    return df.select(F.col(key), _canonical(layout.canonical(F.struct(*quoted(df.columns)))).alias("turns"),
                      F.lit(layout.name).alias("layout"))
 
 

@@ -8,6 +8,7 @@ from prefix sums, so no per-word Python object is made.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,15 +58,37 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def quoted(names) -> list[str]:
+    """Column names as references (a name may hold a dot or a back tick)."""
+    return ["`" + n.replace("`", "``") + "`" for n in names]
+
+
+def mapped(df: DataFrame, fn, schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` for columns of any name: they are numbered
+    on the way, since Spark reads a dot or a back tick in a name as syntax."""
+    names = df.columns
+    numbered = T.StructType([T.StructField(f"r{i}", f.dataType, f.nullable) for i, f in enumerate(schema)])
+
+    def run(batches):
+        for batch in fn(x.rename_columns(names) for x in batches):
+            yield batch.rename_columns(numbered.names)
+
+    return df.toDF(*(f"c{i}" for i in range(len(names)))).mapInArrow(run, numbered).toDF(*schema.names)
+
+
 def marked_texts(docs: DataFrame, marks: DataFrame, name: str,
-                 added: list[str]) -> tuple[DataFrame, T.StructType, int]:
+                 added: list[str], row: str | None = None) -> tuple[DataFrame, T.StructType, int]:
     """Join ``marks`` (doc_id, ``name``) to the documents, as the last column
-    (null where there are none). Returns the join, the schema of the documents
-    followed by the ``added`` counts, and the index of ``text``."""
-    key, mark = fresh(docs, "_key"), fresh(docs, "_marks")
+    (null where there are none). With ``row``, marks also hold the 64-bit hash
+    of their row's text in that column. Returns the join, the schema of the
+    documents followed by the ``added`` counts, and the index of ``text``."""
+    key, mark, text = fresh(docs, "_key"), fresh(docs, "_marks"), fresh(docs, "_text")
     kept = [c for c in docs.columns if c not in added]
-    side = marks.select(F.col("doc_id").alias(key), F.col(name).alias(mark))
-    joined = docs.select(*kept).join(side, F.col("doc_id") == F.col(key), "left").select(*kept, mark)
+    side = marks.select(F.col("doc_id").alias(key), F.col(name).alias(mark), *([F.col(row).alias(text)] if row else []))
+    same = F.col("doc_id") == F.col(key)
+    if row:
+        same = same & (F.xxhash64("text") == F.col(text))
+    joined = docs.select(*quoted(kept)).join(side, same, "left").select(*quoted([*kept, mark]))
     schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(c, T.LongType()) for c in added)])
     return joined, schema, kept.index("text")
 
@@ -112,6 +135,31 @@ def span_hash(codes: np.ndarray, start: np.ndarray, end: np.ndarray, which: int)
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+#: Longest span of bytes that is hashed by the polynomial of ``span_hash``.
+SHORT = 64
+
+
+def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """BLAKE2b digests (two 64-bit halves) of many spans of bytes."""
+    raw = data.tobytes()
+    joined = b"".join(hashlib.blake2b(raw[i:j], digest_size=16).digest() for i, j in zip(start.tolist(), end.tolist()))
+    return np.frombuffer(joined, "<u8").reshape(-1, 2)
+
+
+def text_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
+    """Hash of many spans of bytes; 0 and 1 give independent hashes.
+
+    A polynomial modulo a power of two takes some different long strings for
+    equal, whatever its base (Thue-Morse sequences of 1,024 letters), so spans
+    over ``SHORT`` bytes get half of a digest instead.
+    """
+    out = span_hash(byte_codes(data, which), start, end, which)
+    long = np.flatnonzero(end - start > SHORT)
+    if len(long):
+        out[long] = digests(data, start[long], end[long])[:, which]
+    return out
+
+
 def byte_codes(data: np.ndarray, which: int = 0) -> np.ndarray:
     return _BYTE_CODES[which][data]
 

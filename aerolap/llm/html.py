@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from aerolap.llm.common import mapped, quoted
+
 # HTML element names by what they do here.
 BLOCKS = frozenset("""
     address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
@@ -422,7 +424,7 @@ def extract(pages: DataFrame) -> DataFrame:
     ends with its parent. Rows are independent (repeats give equal rows); a
     column ``text`` in ``pages`` is replaced; an empty table stays empty.
     """
-    source = pages.select(*[c for c in pages.columns if c != "text"])
+    source = pages.select(*quoted(c for c in pages.columns if c != "text"))
     at = source.columns.index("html")
-    schema = T.StructType([*source.drop("html").schema.fields, T.StructField("text", T.StringType())])
-    return source.mapInArrow(lambda it: _extract(it, at), schema)
+    schema = T.StructType([*(f for f in source.schema if f.name != "html"), T.StructField("text", T.StringType())])
+    return mapped(source, lambda it: _extract(it, at), schema)

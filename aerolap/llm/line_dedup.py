@@ -26,23 +26,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolap.llm.common import (
-    LOWER, U64, Block, blocks, byte_codes, marked_texts, replaced, signed, span_hash, spool)
+    LOWER, U64, Block, blocks, digests, mapped, marked_texts, replaced, signed, spool)
 
 _ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8")])
 _SUSPECTS = "h1 bigint, h2 bigint, doc_id bigint"
 
 
-def line_keys(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per line of the block: row, start, code points of the key, two hashes.
+def line_keys(block: Block, min_points: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per line of the block: row, whether its key is long enough, and the two
+    halves of the key's digest (0 for short ones).
 
     The key is the line without white space at its ends, A-Z lower-cased.
     """
-    row, start, _, a, b = block.lines()
+    row, _, _, a, b = block.lines()
     points = np.zeros(len(block.data) + 1, dtype=np.int64)
     np.cumsum((block.data & 0xC0) != 0x80, out=points[1:])
-    lower = LOWER[block.data]
-    return (row, start, points[b] - points[a],
-            span_hash(byte_codes(lower, 0), a, b, 0), span_hash(byte_codes(lower, 1), a, b, 1))
+    long = points[b] - points[a] >= min_points
+    halves = np.zeros((len(row), 2), dtype=np.uint64)
+    halves[long] = digests(LOWER[block.data], a[long], b[long])
+    return row, long, halves[:, 0], halves[:, 1]
 
 
 def _fold(batches: Iterator[pa.RecordBatch], min_points: int, segments: int) -> Iterator[pa.RecordBatch]:
@@ -51,8 +53,8 @@ def _fold(batches: Iterator[pa.RecordBatch], min_points: int, segments: int) ->
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         found = []
         for block in blocks(batch.column(1)):
-            row, _, points, h1, h2 = line_keys(block)
-            long = np.flatnonzero(points >= min_points)
+            row, is_long, h1, h2 = line_keys(block, min_points)
+            long = np.flatnonzero(is_long)
             e = np.empty(len(long), dtype=_ENTRY)
             e["h1"], e["h2"], e["doc"] = h1[long], h2[long], block.lo + row[long]
             found.append(e)
@@ -137,14 +139,14 @@ def _cut(batches: Iterator[pa.RecordBatch], text_at: int, min_points: int) -> It
             raw = [block.bytes_of(r) for r in range(block.rows)]
             gone = np.zeros(block.rows, dtype=np.int64)
             if listed:
-                _, _, points, h1, h2 = line_keys(block)
+                _, long, h1, h2 = line_keys(block, min_points)
                 first = np.cumsum(n) - n
                 for r in listed:
                     d = drops[block.lo + r].values
                     d1, d2 = (d.field(c).to_numpy() for c in ("h1", "h2"))
                     at = slice(first[r], first[r] + n[r])
                     pairs = set(zip(d1.tolist(), d2.tolist()))
-                    maybe = np.flatnonzero(np.isin(h1[at].view(np.int64), d1) & (points[at] >= min_points))
+                    maybe = np.flatnonzero(np.isin(h1[at].view(np.int64), d1) & long[at])
                     out = {i for i in maybe.tolist()
                            if (int(h1[at][i].view(np.int64)), int(h2[at][i].view(np.int64))) in pairs}
                     gone[r] = len(out)
@@ -188,4 +190,4 @@ def remove_lines(docs: DataFrame, *, min_points: int = 20, min_docs: int = 3) ->
     drops = (suspects.join(repeated, ["h1", "h2"]).where("doc_id < keeper")
              .groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("drops")))
     marked, schema, at = marked_texts(docs, drops, "drops", ["n_lines", "n_dropped"])
-    return marked.mapInArrow(lambda it: _cut(it, at, min_points), schema)
+    return mapped(marked, lambda it: _cut(it, at, min_points), schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolap.llm.common import signed, spool
+from aerolap.llm.common import quoted, signed, spool
 from aerolap.llm.graph import components
 from aerolap.llm.shingles import set_rows, signature_rows
 
@@ -284,5 +284,5 @@ def keep_one(docs: DataFrame, *, width: int = 5, similarity: tuple[int, int] = (
     stay."""
     gone = (classes(docs, width=width, similarity=similarity)
             .where("NOT kept").select("doc_id").distinct())
-    return docs.join(spool(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(spool(gone, "gone"), "doc_id", "left_anti").select(*quoted(docs.columns))
 

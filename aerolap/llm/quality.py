@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolap.llm.common import U64, WORD_BREAK, Block, blocks, byte_codes, mix, span_hash
+from aerolap.llm.common import U64, WORD_BREAK, Block, blocks, mapped, mix, quoted, span_hash, text_hash
 
 # The symbols of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -47,13 +47,13 @@ def counts(block: Block, width: int = 5) -> dict[str, np.ndarray]:
         return np.diff(total[at])
 
     row, start, end, a, b = block.lines()
-    line = span_hash(byte_codes(data), start, end, 0) ^ mix(row.astype(np.uint64) + U64(1))
+    line = text_hash(data, start, end, 0) ^ mix(row.astype(np.uint64) + U64(1))
     worded = b > a
     lines = np.bincount(row[worded], minlength=rows)
     _, kept = np.unique(line[worded], return_index=True)
     distinct = np.bincount(row[worded][kept], minlength=rows)
 
-    words = span_hash(byte_codes(data), starts, ends, 0)
+    words = text_hash(data, starts, ends, 0)
     word_row = np.repeat(np.arange(rows), n)
     same = np.zeros(len(words), dtype=bool)
     same[1:] = (words[1:] == words[:-1]) & (word_row[1:] == word_row[:-1])
@@ -241,7 +241,7 @@ def judge(docs: DataFrame, rules: Rules | None, *, only_kept: bool = False) -> D
     """
     added = [*COUNTS, "base_failed", "kept"]
     inputs = docs.columns if only_kept else [c for c in docs.columns if c not in added]
-    source = docs.select(*inputs)
+    source = docs.select(*quoted(inputs))
     text_at = inputs.index("text")
 
     def run(batches):
@@ -262,4 +262,4 @@ def judge(docs: DataFrame, rules: Rules | None, *, only_kept: bool = False) -> D
     if not only_kept:
         schema += [T.StructField(n, T.LongType()) for n in COUNTS]
         schema += [T.StructField(n, T.BooleanType()) for n in ("base_failed", "kept")]
-    return source.mapInArrow(run, T.StructType(schema))
+    return mapped(source, run, T.StructType(schema))

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from aerolap.llm.common import LOWER, U64, Block, blocks, byte_codes, mix, signed, span_hash
+from aerolap.llm.common import LOWER, U64, Block, blocks, mix, signed, span_hash, text_hash
 
 
 def shingles(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -18,7 +18,7 @@ def shingles(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
     sequence as one shingle; a row without words has none.
     """
     starts, ends, first = block.words()
-    words = span_hash(byte_codes(LOWER[block.data]), starts, ends, 0)
+    words = text_hash(LOWER[block.data], starts, ends, 0)
     n = np.diff(first)
     count = np.where(n >= width, n - width + 1, (n > 0).astype(np.int64))
     offsets = np.concatenate([[0], np.cumsum(count)])

@@ -32,15 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolap.llm.common import (
-    Block, blocks, byte_codes, marked_texts, replaced, signed, span_hash, spool)
+    Block, blocks, mapped, marked_texts, replaced, signed, span_hash, spool, text_hash)
 
-_PATHS = "doc_id bigint, start int, n int, edge bigint, h1 bigint, h2 bigint"
+_PATHS = "doc_id bigint, row bigint, start int, n int, edge bigint, h1 bigint, h2 bigint"
 
 
 def word_hashes(block: Block, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit hashes per word."""
-    return (span_hash(byte_codes(block.data, 0), starts, ends, 0),
-            span_hash(byte_codes(block.data, 1), starts, ends, 1))
+    return text_hash(block.data, starts, ends, 0), text_hash(block.data, starts, ends, 1)
 
 
 def smallest_in_window(values: np.ndarray, width: int) -> np.ndarray:
@@ -60,7 +59,7 @@ def smallest_in_window(values: np.ndarray, width: int) -> np.ndarray:
 
 def _paths(batches: Iterator[pa.RecordBatch], window: int, k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
         for block in blocks(batch.column(1)):
             starts, ends, first = block.words()
             if len(starts) < window:
@@ -84,13 +83,13 @@ def _paths(batches: Iterator[pa.RecordBatch], window: int, k: int) -> Iterator[p
             end = begin + n + window - 1
             rows = row[head]
             yield pa.record_batch([
-                pa.array(ids[block.lo + rows]),
+                pa.array(ids[block.lo + rows]), pa.array(keys[block.lo + rows]),
                 pa.array((begin - first[rows]).astype(np.int32)),
                 pa.array(n.astype(np.int32)),
                 signed(edges[chosen[head]]),
                 signed(span_hash(w1, begin, end, 2)),
                 signed(span_hash(w2, begin, end, 3)),
-            ], names=["doc_id", "start", "n", "edge", "h1", "h2"])
+            ], names=["doc_id", "row", "start", "n", "edge", "h1", "h2"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -169,11 +168,11 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, k: int = 12,
 
     Null text counts as no words and comes back empty; texts shorter than a
     window stay. Repeats inside one document stay. Rows that share a doc_id
-    count as one document: they are no source for each other, and a span
-    found in one is cut from all at the same word positions. A row without
-    doc_id is neither a source nor cut. An empty table gives an empty table.
+    count as one document: they are no source for each other; each is cut by
+    its own windows. A row without doc_id is neither a source nor cut. An empty table gives an empty table.
     """
-    text = docs.select("doc_id", "text")
+    # rows that share a doc_id are told apart by their text
+    text = docs.select("doc_id", "text", F.xxhash64("text").alias("row"))
     found = text.where("doc_id IS NOT NULL").mapInArrow(
         lambda it: _paths(it, window, k), _PATHS)
 
@@ -181,18 +180,18 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, k: int = 12,
     # coordinates in the smallest
     paths = spool(found.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-        F.min_by("start", "doc_id").alias("start"), F.max("n").alias("n"),
+        F.min_by("start", "doc_id").alias("start"), F.min_by("row", "doc_id").alias("row"), F.max("n").alias("n"),
         F.min("edge").alias("edge")), "paths")
     # stored, like the other small sides below: with plain shuffles on both
     # sides of a join AQE can split what very many documents hold
     branching = spool(paths.groupBy("edge")
                       .agg(F.count("*").alias("c"), F.min("lo").alias("l"), F.max("hi").alias("h"))
                       .where("c > 1 AND l < h").select("edge"), "branching")
-    listed = (paths.select("edge", "h1", "h2", "lo", "start", "n")
+    listed = (paths.select("edge", "h1", "h2", "lo", "row", "start", "n")
               .join(branching, "edge", "left_semi")
-              .groupBy(F.col("lo").alias("doc_id"))
+              .groupBy(F.col("lo").alias("doc_id"), "row")
               .agg(F.collect_list(F.struct("start", "n", "h1", "h2", "lo")).alias("paths")))
-    windows = spool(text.join(listed, "doc_id").select("text", "paths")
+    windows = spool(text.join(listed, ["doc_id", "row"]).select("text", "paths")
                     .mapInArrow(lambda it: _windows(it, window),
                                 "w1 bigint, w2 bigint, h1 bigint, h2 bigint, lo bigint, off int"),
                     "windows")
@@ -211,11 +210,11 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, k: int = 12,
     parts = F.transform(
         F.filter("extra", lambda x: x["least"] < F.col("doc_id")),
         lambda x: F.struct((F.col("start") + x["off"]).alias("start"), F.lit(1).alias("n")))
-    spans = (found.select("doc_id", "start", "n", "h1", "h2").join(judged, ["h1", "h2"])
-             .select("doc_id", F.when(F.col("doc_id") > F.col("lo"), whole)
+    spans = (found.select("doc_id", "row", "start", "n", "h1", "h2").join(judged, ["h1", "h2"])
+             .select("doc_id", "row", F.when(F.col("doc_id") > F.col("lo"), whole)
                      .otherwise(F.coalesce(parts, F.array().cast("array<struct<start:int,n:int>>")))
                      .alias("s"))
              .where("size(s) > 0")
-             .groupBy("doc_id").agg(F.flatten(F.collect_list("s")).alias("spans")))
-    marked, schema, at = marked_texts(docs, spans, "spans", ["n_words", "n_removed"])
-    return marked.mapInArrow(lambda it: _cut(it, at, window, one_space), schema)
+             .groupBy("doc_id", "row").agg(F.flatten(F.collect_list("s")).alias("spans")))
+    marked, schema, at = marked_texts(docs, spans, "spans", ["n_words", "n_removed"], row="row")
+    return mapped(marked, lambda it: _cut(it, at, window, one_space), schema)

@@ -40,10 +40,13 @@ def test_recall_on_full_blocks(spark):
     """Two blocks of BLOCK_ROWS vectors, of which about a tenth is verified."""
     from aerolap.llm.ann import BLOCK_ROWS
 
-    df = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").orderBy("vec_id").limit(2 * BLOCK_ROWS)
-    pdf = df.where("embedding IS NOT NULL").toPandas()
-    ids, vectors = pdf.vec_id.to_numpy(), np.stack(pdf.embedding.to_numpy()).astype(float)
-    assert len(ids) == 2 * BLOCK_ROWS
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(200, 64))
+    vectors = centres[rng.integers(0, 200, size=2 * BLOCK_ROWS)] + 0.7 * rng.normal(size=(2 * BLOCK_ROWS, 64))
+    vectors = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
+    ids = np.arange(len(vectors))
+    df = spark.createDataFrame(list(zip(ids.tolist(), vectors.tolist())), "vec_id bigint, embedding array<float>")
+    vectors = vectors.astype(float)
     out, hits = nearest(df, df.where("vec_id % 100 = 0"), k=20).toPandas(), []
     for q, found in out.groupby("query_id"):
         want = brute(ids, vectors, q, vectors[np.flatnonzero(ids == q)[0]], 20)
@@ -98,3 +101,12 @@ def test_windows_end_when_a_block_is_covered():
     index = BlockIndex(np.arange(30), np.random.default_rng(3).normal(size=(30, 4)), 40.0, 16)
     rows, scores, _ = index.search(-1, np.ones(4), 50, 1000)
     assert len(rows) == 30 and (np.diff(scores) <= 0).all()
+
+
+def test_repeated_query_rows_are_one_query(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=8)], "x", "x", "x") for i in range(200)]
+    out = nearest(table(spark, rows), table(spark, [rows[0], rows[0], rows[7]]), k=20).toPandas()
+    for _, found in out.groupby("query_id"):
+        assert len(found) == 20 and found.vec_id.nunique() == 20
+    assert set(out.query_id) == {0, 7}

@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from aerolap.llm.graph import components
 from aerolap.llm.line_dedup import remove_lines
@@ -268,3 +269,40 @@ def test_components(spark):
     assert {i: got[i] for i in range(101, 141)} == {i: 100 for i in range(101, 141)}
     assert {i: got[i] for i in (7, 9)} == {7: 5, 9: 5} and got[60] == 50
     assert components(df.limit(0)).collect() == []
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two different strings that agree in every polynomial modulo 2^64."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_different_long_words_and_lines_are_not_equal(make_docs):
+    from aerolap.llm.quality import judge, train
+
+    a, b = thue_morse(2048)
+    out = {r.doc_id: r.n_dropped for r in remove_lines(make_docs([(1, a), (2, a), (3, b)])).collect()}
+    assert out == {1: 0, 2: 0, 3: 0}
+    out = {r.doc_id: r.component_id for r in classes(make_docs([(1, a), (2, b), (3, f"{a} {a}")]), width=3,
+                                                     similarity=(85, 100)).collect()}
+    assert out == {1: 1, 2: 2, 3: 3}
+    out = {r.doc_id: r.n_removed for r in remove_repeats(make_docs([(1, " ".join([a] * 60)), (2, " ".join([b] * 60))]))
+           .collect()}
+    assert out == {1: 0, 2: 0}
+    docs = make_docs([(1, f"{a}\n{b}"), (2, f"{a}\n{a}")], clash=False)
+    labels = docs.select("doc_id").selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    out = {r.doc_id: r.n_dup_lines for r in judge(docs, train(docs, labels)).collect()}
+    assert out == {1: 0, 2: 1}
+
+
+def test_rows_that_share_an_id_are_cut_by_their_own_windows(make_docs):
+    p, q = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
+    out = sorted((r.doc_id, r.n_removed, r.text) for r in remove_repeats(
+        make_docs([(1, p), (2, p), (2, q), (3, q), (3, None)])).collect())
+    assert out == [(1, 0, p), (2, 0, q), (2, 60, ""), (3, 0, ""), (3, 60, "")]
+
+
+def test_column_names_with_dots(make_docs):
+    docs = make_docs([(1, "some text"), (2, "some text")]).withColumn("meta.src", F.lit("x")).withColumn("a`b", F.lit(1))
+    for out in (remove_lines(docs), remove_repeats(docs), keep_one(docs)):
+        assert {"meta.src", "a`b"} <= set(out.columns) and out.count() >= 1
