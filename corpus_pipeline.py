@@ -5,6 +5,11 @@ Every stage takes (spark, docs, sf_dir); all but the last return the columns
 of ``documents`` with ``text`` cut and ``n_chars`` counted again. Between the
 stages the rows are stored as Parquet in the shared folder, so a lost executor
 costs one stage's work at most.
+
+Null and empty texts fail the quality rules and go with the first stage. Rows
+that share a doc_id are rows of one document: line dedup cuts each, near-dedup
+keeps or drops them together, substring dedup cuts each by its own words. Rows
+without doc_id are never repeats of others. An empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolap.llm.common import spool, table
+from aerolap.llm.common import quoted, spool, table
 from aerolap.llm.line_dedup import remove_lines
 from aerolap.llm.near_dedup import keep_one
 from aerolap.llm.packing import pack
@@ -25,7 +30,7 @@ def _as_documents(docs: DataFrame, cut: DataFrame) -> DataFrame:
     """The columns of ``docs`` from ``cut``, with the texts counted again."""
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.char_length("text").cast("bigint"))
-    return cut.select(*docs.columns)
+    return cut.select(*quoted(docs.columns))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
