@@ -189,6 +189,22 @@ def stream_top_carriers_per_airport(spark, sf_dir):
     return _stream_ranking(spark, sf_dir, R.CARRIERS_PER_AIRPORT, "batch", ["airport"])
 
 
+@register("stream_log_top_carriers", O.STREAM_RUNNING)
+def stream_log_top_carriers(spark, sf_dir):
+    """Running carriers per airport over a message log: the stream is started,
+    the log grows, and the stream is started again from its checkpoint."""
+    from aerolap.sources.log import append
+    base = scratch_path(spark, "stream-log")
+    log, out, ckpt = f"{base}/log", f"{base}/out", f"{base}/ckpt"
+    lines = concise_lines(spark, sf_dir)
+    for late in (False, True):
+        append(lines.where((F.coalesce(F.col("bucket"), F.lit(0)) >= 2) == F.lit(late)), log, partitions=_cores(spark))
+        parsed = parsed_stream(message_stream(spark, "log", log, starting_offsets="earliest"))
+        run_until_done(R.start_ranking(parsed, R.CARRIERS_PER_AIRPORT, out, ckpt, mode="running",
+                                       trigger="available_now", state_partitions=_cores(spark)))
+    return newest_batch(spark, out)
+
+
 @register("stream_top_dests_per_airport", O.STREAM_DESTS_PER_AIRPORT)
 def stream_top_dests_per_airport(spark, sf_dir):
     return _stream_ranking(spark, sf_dir, R.DESTS_PER_AIRPORT, "batch", ["source_airport"])

@@ -1,8 +1,10 @@
 """SRC-5 / SRC-6: flight messages as a streaming DataFrame.
 
-Each message value is one concise CSV line (the key is ignored). Two inputs
+Each message value is one concise CSV line (the key is ignored). Three inputs
 give the same ``value`` column:
 
+* ``kind="log"``: a partitioned message log in the shared folder, read by
+  offsets (``aerolap.sources.log``); also gives ``partition`` and ``offset``.
 * ``kind="kafka"``: ``readStream.format("kafka")`` subscribed to a comma list
   of topics. The Kafka connector jar is not in this container, so this path
   is written but not run here.
@@ -40,7 +42,8 @@ def message_stream(spark: SparkSession, kind: str = "files", path: str | None =
                    options: dict | None = None, **kafka) -> DataFrame:
     """Streaming ``value STRING`` (plus partition columns of a file folder).
 
-    ``kafka``: the further settings of ``kafka_options``.
+    ``kafka``: the further settings of ``kafka_options``; a log takes
+    ``starting_offsets``, ``max_offsets_per_trigger`` and ``reader``.
     """
     if kind == "kafka":
         if not (topics and bootstrap):
@@ -48,8 +51,13 @@ def message_stream(spark: SparkSession, kind: str = "files", path: str | None =
         r = spark.readStream.format("kafka").options(
             **kafka_options(topics, bootstrap, options=options, **kafka))
         return r.load().select(F.col("value").cast("string").alias("value"))
+    if kind == "log" and path:
+        from aerolap.sources.log import log_stream
+
+        return log_stream(spark, path, kafka.get("starting_offsets", "latest"), kafka.get("max_offsets_per_trigger"),
+                          kafka.get("reader"))
     if kind != "files" or not path:
-        raise ValueError("kind must be 'files' (with path) or 'kafka'")
+        raise ValueError("kind must be 'files' or 'log' (with path), or 'kafka'")
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
