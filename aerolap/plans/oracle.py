@@ -254,6 +254,15 @@ PARSE_MESSAGE = with_parsed(
 PARSED_NO_BUCKET = with_parsed(
     f"SELECT {PARSED_COLS}, CAST(NULL AS VARCHAR) AS reject_reason FROM parsed")
 
+# Every flight twice (both layouts), and the three header-like rows of each.
+_LIKE_HEADER = (
+    "SELECT 'Carrier' AS carrier, 'Origin' AS origin, 'Dest' AS dest, CAST(NULL AS INTEGER) AS dep_delay_min, "
+    "CAST(NULL AS INTEGER) AS arr_delay_min, CAST(NULL AS INTEGER) AS dep_time, CAST(NULL AS DATE) AS flight_date, "
+    "CAST(NULL AS INTEGER) AS day_of_week, 'AirlineID' AS airline_id, 'bad number' AS reject_reason FROM range(6)")
+CSV_MULTILINE = with_parsed(
+    f"SELECT {PARSED_COLS}, CAST(NULL AS VARCHAR) AS reject_reason FROM parsed CROSS JOIN range(2)"
+    f" UNION ALL {_LIKE_HEADER}")
+
 TRUNC_MINUTES = with_parsed(
     f"SELECT dep_delay_min AS dep_delay_text, {trunc_sql('dep_delay_min')} AS dep_minutes, "
     f"arr_delay_min AS arr_delay_text, {trunc_sql('arr_delay_min')} AS arr_minutes "

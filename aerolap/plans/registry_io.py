@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from aerolap.plans import jobs
 from aerolap.plans import oracle as O
 from aerolap.plans.registry import register
-from aerolap.schema import FLIGHT_COLUMNS, RAW_HEADER_NAMES
+from aerolap.schema import CONCISE_FIELDS, FLIGHT_COLUMNS, RAW_HEADER_NAMES
 from aerolap.session import scratch_path
 from aerolap.sources import csv as C
 from aerolap.sources.tables import concise_fields, concise_lines, faulty_lines, flight_view
@@ -100,6 +100,24 @@ def op_csv_by_name(spark, sf_dir):
     return typed.select(*FLIGHT_COLUMNS, "reject_reason")
 
 
+@register("op_csv_multiline", O.CSV_MULTILINE)
+def op_csv_multiline(spark, sf_dir):
+    """Raw files with a byte order mark, line breaks, commas and doubled quotes
+    in a quoted column, and data rows equal to the header."""
+    path = scratch_path(spark, "raw")
+    fields = concise_fields(spark, sf_dir)
+    note = F.concat(F.lit('said "'), F.col("origin"), F.lit('",\r\nthen\n\nleft ' ), F.col("carrier"), F.lit('\n"'))
+    like_header = spark.range(3).select(*(F.lit(h).alias(c) for h, c in zip(RAW_HEADER_NAMES, CONCISE_FIELDS)),
+                                        F.lit("Note").alias("Note"))
+    rows = fields.withColumn("Note", note).select(*CONCISE_FIELDS, "Note").unionByName(like_header)
+    header = [*RAW_HEADER_NAMES, "Note"]
+    mark = rows.withColumnRenamed("Note", "\ufeffNote").select("\ufeffNote", *CONCISE_FIELDS)
+    C.write_raw(rows, f"{path}/plain", header)
+    C.write_raw(mark, f"{path}/marked", ["\ufeffNote", *RAW_HEADER_NAMES])
+    typed = C.typed_from_fields(C.read_raw(spark, path))
+    return typed.select(*FLIGHT_COLUMNS, "reject_reason")
+
+
 @register("op_zip_ingest", O.PARSED_NO_BUCKET)
 def op_zip_ingest(spark, sf_dir):
     from aerolap.sources.files import read_zipped

@@ -10,15 +10,15 @@
   the task on the first faulty row with ``raise_error`` (lazy, JVM-side).
 * ``read_concise`` (SRC-3) reads headerless files as text and parses them.
 * ``read_raw`` (SRC-2 + PRJ-1) reads headered files whose column order may
-  differ per file in one text scan: each line meets its file's header, and the
-  eleven columns are picked by the names in it. A single CSV read over mixed
+  differ per file: each record (``records``: line breaks inside quotes belong
+  to it) meets its file's header, and the eleven columns are picked by the names in it. A single CSV read over mixed
   headers would silently mislabel columns.
 * ``write_concise`` (SNK-2) writes headerless, CRLF-terminated lines into a
   new folder; the source is never deleted.
 
 CSV dialect: comma, ``"`` quote, ``""`` inside quotes for a quote (RFC 4180,
-the reference's parser default); a record is one line. Spark's own default
-escape is a backslash, so ``escape='"'`` is always set.
+the reference's parser default); a concise record is one line. Spark's own
+default escape is a backslash, so ``escape='"'`` is always set.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from aerolap.functions.parse import flight_date, parse_int, trunc_minutes
 from aerolap.schema import CONCISE_DDL, CONCISE_FIELDS, FLIGHT_COLUMNS, RAW_HEADER_NAMES
+from aerolap.sources.records import records
 
 # Spark's CSV writer trims leading/trailing spaces by default; field text
 # must survive a write and a read unchanged, so trimming is off both ways.
@@ -203,16 +204,16 @@ def _file_headers(spark: SparkSession, paths: list[str], glob: str | None) -> Da
     def first_lines(batches):
         import pandas as pd
 
-        from aerolap.sources.files import open_binary
+        from aerolap.sources.files import first_record, open_binary
 
         for pdf in batches:
             heads = []
             for p in pdf["file"]:
                 with open_binary(p) as fh:
-                    heads.append(fh.readline().decode("utf-8", "replace").rstrip("\r\n"))
+                    heads.append(first_record(fh))
             yield pd.DataFrame({"file": pdf["file"], "header": heads})
 
-    return files.mapInPandas(first_lines, "file string, header string")
+    return files.mapInPandas(first_lines, "file string, header string").where("header IS NOT NULL")
 
 
 def fields_by_header(lines: DataFrame, headers: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -226,7 +227,7 @@ def fields_by_header(lines: DataFrame, headers: Sequence[str], keep: Sequence[st
     places: dict[str, list[int]] = {}
     width = 1
     for h in headers:
-        names = _split_header(h.lstrip("\ufeff"))
+        names = _split_header(h)
         lacking = [c for c in RAW_HEADER_NAMES if c not in names]
         if lacking:
             raise ValueError(f"raw files with header {h[:200]!r} lack columns {lacking}")
@@ -257,8 +258,10 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], glob: str | None =
              exclude_suffix: str | None = ".concise.csv") -> DataFrame:
     """SRC-2 + PRJ-1 + FLT-7: headered raw files -> the eleven text fields.
 
-    Columns are resolved by name in each file. ``exclude_suffix`` skips
-    files already converted (the reference's ``*.concise.csv``). The driver
+    Columns are resolved by name in each file. A record may span lines inside
+    quotes (``records``); the header is a file's first record, by position, and
+    a byte order mark is none of its text. Empty files have no rows.
+    ``exclude_suffix`` skips files already converted (``*.concise.csv``). The driver
     receives the distinct headers (a handful of layouts); the file -> header
     table stays distributed and is broadcast only within Spark's size check.
     """
@@ -269,14 +272,8 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], glob: str | None =
     headers = [r.header for r in heads.select("header").distinct().collect()]
     if not headers:
         raise ValueError(f"no raw CSV files under {path}")
-    reader = spark.read.option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    lines = (reader.text(paths)
-             .select(F.col("_metadata.file_path").alias("file"),
-                     F.regexp_replace("value", "\r$", "").alias("value"))
-             .join(heads, "file")
-             .filter((F.col("value") != F.col("header")) & (F.trim("value") != "")))
+    lines = (records(spark, paths, glob).where("number > 1").join(heads, "file")
+             .filter(F.trim("value") != ""))
     return fields_by_header(lines, headers)
 
 

@@ -61,6 +61,22 @@ def open_binary(uri: str, mode: str = "rb"):
     return fs.open_input_file(p)
 
 
+def first_record(fh) -> str | None:
+    """The first CSV record of a binary file as one line of CSV, without a byte
+    order mark; None for an empty file."""
+    import csv
+    import io
+
+    text = io.TextIOWrapper(fh, encoding="utf-8-sig", errors="replace", newline="")
+    names = next(csv.reader(text), None)
+    text.detach()
+    if names is None:
+        return None
+    out = io.StringIO()
+    csv.writer(out, lineterminator="").writerow(names)
+    return out.getvalue()
+
+
 def move(src: str, dst: str) -> None:
     """Rename a file within one file system."""
     a, b = local_path(src), local_path(dst)
