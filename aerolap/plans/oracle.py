@@ -263,6 +263,13 @@ CSV_MULTILINE = with_parsed(
     f"SELECT {PARSED_COLS}, CAST(NULL AS VARCHAR) AS reject_reason FROM parsed CROSS JOIN range(2)"
     f" UNION ALL {_LIKE_HEADER}")
 
+ZIP_MEMBERS = with_parsed(
+    f"SELECT {PARSED_COLS}, CAST(NULL AS VARCHAR) AS reject_reason FROM parsed UNION ALL "
+    + "SELECT " + ", ".join(f"CAST(NULL AS {'DATE' if c == 'flight_date' else t}) AS {c}" for t, cs in (
+        ("VARCHAR", "carrier origin dest"), ("INTEGER", "dep_delay_min arr_delay_min dep_time flight_date day_of_week"),
+        ("VARCHAR", "airline_id")) for c in cs.split())
+    + ", 'unreadable archive' AS reject_reason FROM range(2)")
+
 TRUNC_MINUTES = with_parsed(
     f"SELECT dep_delay_min AS dep_delay_text, {trunc_sql('dep_delay_min')} AS dep_minutes, "
     f"arr_delay_min AS arr_delay_text, {trunc_sql('arr_delay_min')} AS arr_minutes "

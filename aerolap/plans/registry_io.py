@@ -129,6 +129,55 @@ def op_zip_ingest(spark, sf_dir):
     return typed.select(*FLIGHT_COLUMNS, "reject_reason")
 
 
+def _zip_folders(spark, src, dst):
+    """One archive per folder of CSV files below ``src``; the archive of
+    ``cut`` loses its second half, that of ``none`` all its bytes."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.csv").load(src).select(F.col("_metadata.file_path").alias("path")))
+    folders = files.groupBy(F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("folder")).agg(
+        F.sort_array(F.collect_list("path")).alias("paths"))
+
+    def compress(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        from aerolap.sources.files import open_binary
+
+        for pdf in batches:
+            for folder, paths in zip(pdf["folder"], pdf["paths"]):
+                buffer = io.BytesIO()
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as zf:
+                    for p in paths:
+                        with open_binary(p) as fin:
+                            zf.writestr(f"{folder}/{p.rsplit('/', 1)[-1]}", fin.read())
+                data = buffer.getvalue()
+                data = {"cut": data[:len(data) // 2], "none": b""}.get(folder, data)
+                with open_binary(f"{dst}/{folder}.zip", "wb") as out:
+                    out.write(data)
+            yield pd.DataFrame({"folder": pdf["folder"]})
+
+    return folders.mapInPandas(compress, "folder STRING").count()
+
+
+@register("op_zip_members", O.ZIP_MEMBERS)
+def op_zip_members(spark, sf_dir):
+    """A tree with one large member, many small ones, an archive cut off in the
+    middle and an empty one: all flights, and a rejected row for each fault."""
+    from aerolap.sources.files import read_zipped
+    raw, zips = scratch_path(spark, "raw"), scratch_path(spark, "zip")
+    fields = concise_fields(spark, sf_dir)
+    few = F.coalesce(F.col("bucket") == 3, F.lit(False))
+    C.write_raw(fields.where(~few).coalesce(1), f"{raw}/large", RAW_HEADER_NAMES)
+    C.write_raw(fields.where(few).repartition(24, "origin", "dest", "carrier"), f"{raw}/small", list(reversed(RAW_HEADER_NAMES)))
+    for name in ("cut", "none"):
+        C.write_raw(fields.where(few), f"{raw}/{name}", RAW_HEADER_NAMES)
+    _zip_folders(spark, raw, zips)
+    typed = C.typed_from_fields(read_zipped(spark, zips))
+    return typed.select(*FLIGHT_COLUMNS, "reject_reason")
+
+
 @register("op_ingest_parquet", O.INGESTED)
 def op_ingest_parquet(spark, sf_dir):
     from aerolap.sources.ingest import ingest, read_ingested

@@ -61,12 +61,14 @@ def typed_from_fields(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Eleven text fields -> typed flight columns + ``REPORT_COLUMNS``.
 
     ``df`` may carry ``missing_fields`` (text fields beyond the end of a short
-    line) and ``raw_line``; without them no field counts as missing and the
-    raw line is NULL.
+    line), ``raw_line`` and ``fault`` (why a whole file could not be read, up to
+    a colon the reject reason); without them no field counts as missing and
+    the raw line is NULL.
     """
     missing = (F.col("missing_fields") if "missing_fields" in df.columns
                else F.array().cast("array<string>"))
     raw = F.col("raw_line") if "raw_line" in df.columns else F.lit(None).cast("string")
+    fault = F.col("fault") if "fault" in df.columns else F.lit(None).cast("string")
     c = {n: F.nullif(F.col(n), F.lit("")) for n in CONCISE_FIELDS}
     day = flight_date(c["year"], c["month"], c["day_of_month"])
     parsed = {
@@ -98,7 +100,8 @@ def typed_from_fields(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.when(any_of([unread.get(n, F.lit(False)), *(garbled[x] for x in _READ_FROM[n]),
                        *(F.array_contains(missing, x) for x in _READ_FROM[n])]), F.lit(n))
         for n in FLIGHT_COLUMNS)))
-    reason = (F.when(F.size(missing) == len(CONCISE_FIELDS), F.lit("empty message"))
+    reason = (F.when(fault.isNotNull(), F.substring_index(fault, ":", 1))
+              .when(F.size(missing) == len(CONCISE_FIELDS), F.lit("empty message"))
               .when(F.size(missing) > 0, F.lit("too few fields"))
               .when(any_of(garbled.values()), F.lit("bad encoding"))
               .when(any_of([*(unread[n] for n in unread if n != "flight_date"), bad_part]),
