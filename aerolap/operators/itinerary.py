@@ -182,6 +182,18 @@ def _k_best_candidates(legs: DataFrame, k: int) -> DataFrame:
     return top.join(counts, LEG_KEY)
 
 
+def _k_best_pairs(legs: DataFrame, k: int) -> DataFrame:
+    """Candidate pairs of each trip: at most k first and k second legs meet."""
+    j = _pair_up(_k_best_candidates(legs, k), {"dep": "dep1", "delay": "delay1", "n": "n1"},
+                 {"dep": "dep2", "delay": "delay2", "n": "n2"})
+    return j.withColumns({"total_delay": F.col("delay1").cast("long") + F.col("delay2"),
+                          "n_pairs": F.col("n1") * F.col("n2")})
+
+
+def _by_rank():
+    return Window.partitionBy(*TRIP_KEY).orderBy("total_delay", "dep1", "dep2", "delay1")
+
+
 def k_best_itineraries(legs: DataFrame, k: int) -> DataFrame:
     """The k best pairs per trip, ranked by (total, dep1, dep2), exact.
 
@@ -191,30 +203,24 @@ def k_best_itineraries(legs: DataFrame, k: int) -> DataFrame:
     the same second leg (ties are identical output rows), so the result is
     the exact k-best multiset of all pairs. Also carries n_pairs.
     """
-    cand = _k_best_candidates(legs, k)
-    j = _pair_up(cand, {"dep": "dep1", "delay": "delay1", "n": "n1"},
-                 {"dep": "dep2", "delay": "delay2", "n": "n2"})
-    j = j.withColumn("total_delay", F.col("delay1").cast("long") + F.col("delay2"))
-    w = Window.partitionBy(*TRIP_KEY).orderBy("total_delay", "dep1", "dep2", "delay1")
-    return (j.withColumn("rank", F.row_number().over(w))
+    return (_k_best_pairs(legs, k).withColumn("rank", F.row_number().over(_by_rank()))
             .filter(F.col("rank") <= k)
-            .select(*TRIP_KEY, "dep1", "dep2", "delay1", "delay2", "total_delay", "rank",
-                    (F.col("n1") * F.col("n2")).alias("n_pairs")))
+            .select(*TRIP_KEY, "dep1", "dep2", "delay1", "delay2", "total_delay", "rank", "n_pairs"))
 
 
 def itinerary_lists(legs: DataFrame, k: int) -> DataFrame:
     """AGG-6: per trip, the k best pairs as a sorted ``ARRAY<STRUCT<total,
     dep1, dep2>>`` plus the exact number of all pairs.
 
-    The collect runs after the k-best step (same partitioning, no extra
-    shuffle), so an array never holds more than k elements.
+    The list is the frame of k rows that begins at a trip's best pair, so it
+    comes sorted out of the same window that ranks, with no aggregate after it
+    and never more than k elements.
     """
-    best = k_best_itineraries(legs, k)
-    return best.groupBy(*TRIP_KEY).agg(
-        F.max("n_pairs").alias("n_pairs"),
-        F.array_sort(F.collect_list(F.struct(
-            F.col("total_delay").alias("total"), F.col("dep1"), F.col("dep2"))))
-        .alias("pairs"))
+    pair = F.struct(F.col("total_delay").alias("total"), F.col("dep1"), F.col("dep2"))
+    return (_k_best_pairs(legs, k)
+            .withColumns({"pairs": F.collect_list(pair).over(_by_rank().rowsBetween(0, k - 1)),
+                          "rank": F.row_number().over(_by_rank())})
+            .filter(F.col("rank") == 1).select(*TRIP_KEY, "n_pairs", "pairs"))
 
 
 def itinerary_labels(best: DataFrame) -> DataFrame:
