@@ -20,7 +20,7 @@ from aerolap.sources.tables import concise_fields, concise_lines, faulty_lines,
 from aerolap.streaming import rankings as R
 from aerolap.streaming.replay import replay, run_until_done, stage
 from aerolap.streaming.source import message_stream, parsed_stream
-from aerolap.streaming.upsert import latest_per_key, newest_batch
+from aerolap.streaming.upsert import latest_per_key, newest_batch, read_batches
 
 
 def _cores(spark) -> int:
@@ -315,7 +315,7 @@ def _stream_windows(spark, sf_dir, window):
                         window=window, watermark="2 days", trigger="available_now",
                         state_partitions=_cores(spark))
     run_until_done(q)
-    return spark.read.parquet(out).drop("batch_id")
+    return read_batches(spark, out).drop("batch_id")
 
 
 @register("stream_itinerary_k_best", O.stream_itinerary_sql(k=10))
@@ -332,7 +332,7 @@ def stream_itinerary_k_best(spark, sf_dir):
         return start_itinerary(parsed, out, ckpt, k=10, trigger="available_now")
 
     replay(spark, staged, inp, start)
-    return spark.read.parquet(out)
+    return read_batches(spark, out)
 
 
 @register("stream_itinerary_running",
@@ -370,4 +370,4 @@ def stream_itinerary_window(spark, sf_dir):
                                           options={"recursiveFileLookup": "true"}))
     run_until_done(start_itinerary_windowed(parsed, out, ckpt, trigger="available_now",
                                             state_partitions=_cores(spark)))
-    return spark.read.parquet(out).drop("batch_id")
+    return read_batches(spark, out).drop("batch_id")

@@ -109,13 +109,14 @@ def start_ranking(parsed: DataFrame, job: RankingJob, out_path: str, checkpoint:
                   mode: str = "batch", k: int = 10, window: str = "1 day",
                   watermark: str = "2 days", trigger: str | None = None,
                   query_name: str | None = None,
-                  state_partitions: int | None = None) -> StreamingQuery:
+                  state_partitions: int | None = None, fold_every: int = 100) -> StreamingQuery:
     """Start one streaming ranking; results land under ``out_path``.
 
     ``parsed`` is a stream from ``source.parsed_stream`` (typed flights with
     ``reject_reason``). ``trigger``: a processing-time interval (default
     ``"10 seconds"``, the reference's batch interval), ``"available_now"``
-    or ``"once"``. ``state_partitions``: see ``start_stream``.
+    or ``"once"``. ``state_partitions``: see ``start_stream``. In mode
+    "batch" the keyed table is folded every ``fold_every`` batches.
     """
     keys = [*job.group, job.item]
     by_day = re.fullmatch(r"\s*\d+\s+(day|week)s?\s*", window) is not None
@@ -145,7 +146,8 @@ def start_ranking(parsed: DataFrame, job: RankingJob, out_path: str, checkpoint:
     else:
         raise ValueError("mode must be 'batch', 'running' or 'window'")
     writer = (src.writeStream.outputMode(output_mode)
-              .foreachBatch(batch_writer(out_path, build, complete=output_mode == "complete"))
+              .foreachBatch(batch_writer(out_path, build, complete=output_mode == "complete", fold_every=fold_every,
+                                         keys=job.group_out if mode == "batch" else None))
               .option("checkpointLocation", checkpoint))
     if query_name:
         writer = writer.queryName(query_name)
