@@ -5,17 +5,23 @@ paragraph; its points (one, one per comma, up to three for length) pass to the
 enclosing elements, whole to the nearest, half to the next and less further
 up. A container's points are discounted by the share of its text that lies in
 links, and raised or lowered by what its tag and class names say. The best
-container only says where the main text is: its whole article or main element
-is kept, with what reads like text beside it. Without such an element the
-whole page is kept, less the blocks beside the best container or its ancestors
-that are mostly links. Menus, headers, footers, sidebars, notices, adverts,
+container says where the main text is. Inside an article or main element
+that whole element is kept, with what reads like text beside it. Without one
+the best container is kept and, on the way up from it, siblings that are not
+mostly links; but a plain container (a div or cell) under other class or id
+names than the one on the way is another part of the page, and stays only if
+its score is a fifth of the best (and 10), or its names are an article's. Below
+the nearest ancestor named as an article, all siblings but links stay. Menus, headers, footers, sidebars, notices, adverts,
 forms, scripts and reader comments are taken out of the tree before, known by
 tag, role or whole class and id names, and hidden elements; but not an element
 that holds most of the page's unlinked text while no other article has any.
 Where an element ends is the same for them as for others, end tags left out
 included.
 
-Pages are independent of each other: one Arrow map pass, no shuffle.
+Pages are independent of each other: one Arrow map pass, no shuffle. The time
+for a page grows with its length, however deep its elements are nested: open
+elements are found by tag and by pointers to the nearest one that ends an
+implied close, sums are made bottom-up, ranges of paragraphs by prefix sums.
 """
 
 from __future__ import annotations
@@ -24,6 +30,7 @@ import re
 from collections.abc import Iterator
 from html import unescape
 from itertools import accumulate
+from operator import add, mul
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +46,7 @@ BLOCKS = frozenset("""
     """.split())
 ROWS = frozenset("thead tbody tfoot tr".split())
 CELLS = frozenset("td th".split())
-IN_CELLS = BLOCKS - ROWS - {"table"}
+IN_ITEMS = frozenset("address div p".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math object canvas audio video textarea title select".split())
 UNWANTED_TAGS = frozenset("nav header footer aside form menu dialog button fieldset head".split())
@@ -61,6 +68,11 @@ UNWANTED_COMPOUNDS = frozenset("""
     related-articles related-posts related-stories
     """.split())
 WANTED_NAMES = frozenset("article body content entry main page post story text".split())
+ARTICLE_NAMES = WANTED_NAMES - {"body", "main", "page"}       # may not enclose the whole page
+PLAIN_CONTAINERS = frozenset("center div td th".split())
+# Share of a paragraph's points, in 180ths, for the nearest element and those further up.
+LEVELS = (180, 90, 30, 20, 15, 12)
+LEAST_SCORE, SIBLING_SHARE = 10, 0.2
 TAG_POINTS = {"article": 30, "main": 25, "div": 5, "pre": 3, "td": 3, "blockquote": 3,
               "ol": -3, "ul": -3, "dl": -3, "li": -3, "h1": -5, "h2": -5, "h3": -5, "th": -5}
 
@@ -72,21 +84,29 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _HIDDEN_STYLE = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 _PART = re.compile(r"[a-z]+", re.I)
+_DIGITS = re.compile(r"\d+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "points", "length", "linked", "bonus", "first", "last",
-                 "inline", "unwanted", "hidden", "links")
+    __slots__ = ("tag", "parent", "children", "points", "length", "linked", "bonus", "first", "last", "own",
+                 "inline", "unwanted", "hidden", "links", "names", "named", "block", "item", "cell")
 
-    def __init__(self, tag: str, parent: Node | None, bonus: float = 0.0):
-        self.tag, self.parent, self.bonus = tag, parent, bonus
+    def __init__(self, tag: str, parent: Node | None, bonus: float = 0.0, inline: bool = False):
+        self.tag, self.parent, self.bonus, self.inline = tag, parent, bonus, inline
         self.children: list[Node] = []
+        self.own: list[int] = []          # paragraphs of no element below
         self.points = 0.0                 # from paragraphs below
         self.length = self.linked = 0     # code points of text, and in links
         self.first = self.last = 0        # range of paragraphs
-        self.inline = self.unwanted = self.hidden = False
+        self.unwanted = self.hidden = self.named = False
+        self.names: frozenset[str] = frozenset()
         self.links = 0                    # open <a> elements before an unwanted one
+        # this element, or the nearest around it, that is no inline one; that
+        # a list item and a table cell cannot end beyond
+        self.block = parent.block if inline else self
+        self.item = parent.item if inline or tag in IN_ITEMS and parent else self
+        self.cell = self if tag in CELLS or tag in ROWS or tag == "table" or parent is None else parent.cell
         if parent is not None:
             parent.children.append(self)
 
@@ -100,10 +120,11 @@ def _unwanted_name(name: str, words: list[str], alone: bool) -> bool:
         and all(w in UNWANTED_NAMES or w in NEUTRAL_WORDS for w in words)
 
 
-def _judge(tag: str, rest: str, code: bool) -> tuple[bool, bool, float]:
+def _judge(tag: str, rest: str, code: bool) -> tuple[bool, bool, float, bool, frozenset[str]]:
     """(whether the element may hold main text, whether it is hidden, points of
-    its names). Names of elements in ``code`` say nothing about the page."""
-    wanted, hidden, bonus = tag not in UNWANTED_TAGS, False, 0.0
+    its names, whether they are an article's, the names without digits). Names
+    of elements in ``code`` say nothing about the page."""
+    wanted, hidden, bonus, article, names = tag not in UNWANTED_TAGS, False, 0.0, False, set()
     for m in _ATTRIBUTE.finditer(rest) if rest else ():
         attribute, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if attribute == "hidden":
@@ -116,23 +137,26 @@ def _judge(tag: str, rest: str, code: bool) -> tuple[bool, bool, float]:
             role = value.strip().lower()
             wanted &= role not in UNWANTED_ROLES
             bonus += 25 if role in ("main", "article") else 0
+            article |= role in ("main", "article")
         elif attribute in ("class", "id") and not code:
             named, unwanted = False, False
             for name in value.split():
                 words = [w.lower() for w in _PART.findall(_CAMEL.sub(" ", name))]
                 named = named or not WANTED_NAMES.isdisjoint(words)
+                article = article or not ARTICLE_NAMES.isdisjoint(words)
                 unwanted = unwanted or _unwanted_name(name, words, tag in ("article", "main"))
+                names.add(_DIGITS.sub("", name.lower()))
             wanted &= not unwanted or named and tag in ("article", "main")
             bonus += 25 if named else 0
-    return wanted and not hidden, hidden, bonus
+    return wanted and not hidden, hidden, bonus, article, frozenset(names)
 
 
 class _Page:
     def __init__(self):
         self.root = self.at = Node("#root", None)
+        self.open: dict[str, list[Node]] = {}        # open elements by tag, innermost last
         self.paragraphs: list[str] = []
         self.linked: list[int] = []       # code points in links, by paragraph
-        self.owners: list[Node] = []      # innermost element, by paragraph
         self.run: list[str] = []
         self.links = 0                    # open <a> elements
         self.run_linked = 0
@@ -157,7 +181,7 @@ class _Page:
         s = " ".join(words)
         self.paragraphs.append(s)
         self.linked.append(min(linked, len(s)))
-        self.owners.append(self.at)
+        self.at.own.append(len(self.paragraphs) - 1)
 
     def start(self, tag: str, rest: str) -> None:
         if tag == "br":
@@ -170,7 +194,7 @@ class _Page:
         block = tag in BLOCKS
         if not block and tag != "button" and tag != "head" and not rest and not self.inline:
             return
-        wanted, hidden, bonus = _judge(tag, rest, not block and self.pres + self.codes > 0)
+        wanted, hidden, bonus, named, names = _judge(tag, rest, not block and self.pres + self.codes > 0)
         wanted = wanted or tag in ("html", "body")
         if tag in VOID:
             if block or not wanted:
@@ -178,49 +202,49 @@ class _Page:
             return
         if wanted and not block:
             if self.inline and not rest.endswith("/"):
-                self._push(Node(tag, self.at), inline=True)
+                self._push(Node(tag, self.at, inline=True))
             return
         self.flush()
         if block:
             self._close_implied(tag)
-        node = Node(tag, self.at, TAG_POINTS.get(tag, 0) + bonus)
+        node = Node(tag, self.at, TAG_POINTS.get(tag, 0) + bonus, inline=not block)
         node.unwanted, node.hidden, node.links = not wanted, hidden, self.links
-        self._push(node, inline=not block)
+        node.named, node.names = named, names
+        self._push(node)
 
-    def _push(self, node: Node, inline: bool) -> None:
-        node.inline = inline
+    def _push(self, node: Node) -> None:
         node.first = len(self.paragraphs)
-        self.inline += inline
+        self.open.setdefault(node.tag, []).append(node)
+        self.inline += node.inline
         self.pres += node.tag == "pre"
-        self.codes *= inline
+        self.codes *= node.inline
         self.at = node
 
     def _close_implied(self, tag: str) -> None:
         """An open <p> or <head> ends at any block; list items, cells and rows
         end at the next, whatever inline elements are open in them."""
-        self._close(("p", "head"), ())
+        head = self.open.get("head")
+        if head and head[-1].block is self.at.block:
+            self._pop_to(head[-1])
+        elif self.at.block.tag == "p":
+            self._pop_to(self.at.block)
         if tag in ("li", "dt", "dd"):
-            self._close(("li",) if tag == "li" else ("dt", "dd"), ("p", "div", "address"))
+            if self.at.item.tag in (("li",) if tag == "li" else ("dt", "dd")):
+                self._pop_to(self.at.item)
         elif tag in ROWS or tag in CELLS:
             same = CELLS if tag in CELLS else CELLS | {"tr"} if tag == "tr" else CELLS | ROWS
-            while self._close(same, IN_CELLS):
-                pass
+            while self.at.cell.tag in same:
+                self._pop_to(self.at.cell)
 
-    def _close(self, tags, through) -> bool:
-        """End the innermost element of ``tags``, if only inline elements and
-        ``through`` are open in it."""
-        node = self.at
-        while node.tag not in tags and (node.inline or node.tag in through):
-            node = node.parent
-        if node.tag not in tags:
-            return False
+    def _pop_to(self, node: Node) -> None:
+        """End ``node`` and the elements open in it."""
         while self.at is not node:
             self._pop()
         self._pop()
-        return True
 
     def _pop(self) -> None:
         node = self.at
+        self.open[node.tag].pop()
         node.last = len(self.paragraphs)
         self.inline -= node.inline
         self.pres -= node.tag == "pre"
@@ -235,25 +259,15 @@ class _Page:
             return
         if tag == "code":
             self.codes = max(0, self.codes - 1)
-        if tag in BLOCKS or self.inline:
-            node = self.at
-            if tag not in BLOCKS:         # ends an inline node of the block it is in
-                while node.inline and node.tag != tag:
-                    node = node.parent
-                if node.tag != tag:
-                    return
-            if tag in BLOCKS or node.unwanted:
-                self.flush()
-            if self._open(tag):
-                while self.at.tag != tag:
-                    self._pop()
-                self._pop()
-
-    def _open(self, tag: str) -> bool:
-        node = self.at
-        while node is not None and node.tag != tag:
-            node = node.parent
-        return node is not None
+        if tag not in BLOCKS and not self.inline:
+            return
+        node = self.open[tag][-1] if self.open.get(tag) else None
+        if tag not in BLOCKS and (node is None or node.block is not self.at.block):
+            return                        # an inline element ends in the block it is in
+        if tag in BLOCKS or node.unwanted:
+            self.flush()
+        if node is not None:
+            self._pop_to(node)
 
     def done(self) -> None:
         self.flush()
@@ -264,15 +278,22 @@ class _Page:
         self._score()
 
     def _drop(self) -> None:
-        """Take the unwanted elements out of the tree, with their paragraphs."""
-        gone, todo = bytearray(len(self.paragraphs)), [self.root]
+        """Take the unwanted elements out of the tree, with their paragraphs.
+
+        An unwanted element with most of the page's unlinked text may stay
+        (``_is_the_text``). Such elements lie in each other, so what was looked
+        through around the outer one (``seen``) is not looked through again.
+        """
+        gone, todo, seen = bytearray(len(self.paragraphs)), [self.root], self.root
         plain = [len(s) - linked for s, linked in zip(self.paragraphs, self.linked)]
         before = [0, *accumulate(plain)]
+        some = [0, *accumulate(n > 0 for n in plain)]
         while todo:
             node = todo.pop()
             for child in node.children:
                 if child.unwanted and 2 * (before[child.last] - before[child.first]) > before[-1]:
-                    child.unwanted = not self._is_the_text(child, plain)
+                    child.unwanted = not self._is_the_text(child, seen, plain, some)
+                    seen = child
                 if child.unwanted:
                     gone[child.first: child.last] = b"\1" * (child.last - child.first)
             node.children = [child for child in node.children if not child.unwanted]
@@ -282,44 +303,55 @@ class _Page:
             if out:
                 self.paragraphs[i], self.linked[i] = "", 0
 
-    def _is_the_text(self, node: Node, plain: list[int]) -> bool:
+    def _is_the_text(self, node: Node, seen: Node, plain: list[int], some: list[int]) -> bool:
         """Whether an element with most of the page's unlinked text stays: no
-        other article or main has any. A hidden one needs most paragraphs too."""
-        if node.hidden and 2 * sum(n > 0 for n in plain[node.first: node.last]) <= sum(n > 0 for n in plain):
+        other article or main has any (those outside ``seen`` have none). A
+        hidden one needs most paragraphs too."""
+        if node.hidden and 2 * (some[node.last] - some[node.first]) <= some[-1]:
             return False
-        around, up = set(), node.parent
-        while up is not None:
-            around.add(id(up))
-            up = up.parent
-        todo = [(self.root, False)]
-        while todo:
-            at, inside = todo.pop()
-            inside = inside or at.tag in ("article", "main") and id(at) not in around
-            if inside:
-                own = set(range(at.first, at.last))
-                for child in at.children:
-                    own.difference_update(range(child.first, child.last))
-                if any(plain[i] > 0 for i in own):
+        inner = node
+        while inner is not seen:
+            todo = [(child, False) for child in inner.parent.children if child is not inner and not child.unwanted]
+            while todo:
+                at, inside = todo.pop()
+                inside = inside or at.tag in ("article", "main")
+                if inside and any(plain[i] > 0 for i in at.own):
                     return False
-            todo += [(child, inside) for child in at.children if not child.unwanted]
+                todo += [(child, inside) for child in at.children if not child.unwanted]
+            inner = inner.parent
         return True
 
     def _score(self) -> None:
-        """Lengths and points of the elements around each paragraph."""
-        for s, linked, node in zip(self.paragraphs, self.linked, self.owners):
-            if not s:
-                continue
-            points, level = 1 + s.count(",") + min(len(s) / 100, 3), 0
-            while node is not None:
-                node.length += len(s)
-                node.linked += linked
-                node.points += points / (1, 2, 6, 9, 12, 15)[min(level, 5)]
-                node, level = node.parent, level + 1
+        """Lengths and points of all elements, from the innermost up."""
+        nodes = [self.root]
+        for node in nodes:
+            nodes += node.children
+        sums: dict[Node, list[int]] = {}  # points by distance, times 100
+        for node in reversed(nodes):
+            here = sums.pop(node, None) or [0] * len(LEVELS)
+            for i in node.own:
+                s = self.paragraphs[i]
+                if s:
+                    here[0] += 100 + 100 * s.count(",") + min(len(s), 300)
+                    node.length += len(s)
+                    node.linked += self.linked[i]
+            node.points = sum(map(mul, here, LEVELS)) / (100 * LEVELS[0])
+            up = node.parent
+            if up is not None:
+                up.length += node.length
+                up.linked += node.linked
+                there = sums.get(up)
+                if there is None:
+                    sums[up] = [0, *here[:-2], here[-2] + here[-1]]
+                else:
+                    sums[up] = [there[0], *map(add, there[1:], here[:-1])]
+                    sums[up][-1] += here[-1]
 
 
 def parse(page: str) -> _Page:
     out, at, size = _Page(), 0, len(page)
     lower = None
+    endless = set()                       # raw elements with no end tag ahead
     find = _MARKUP.search
     while True:
         m = find(page, at)
@@ -334,8 +366,9 @@ def parse(page: str) -> _Page:
             if tag in RAW:
                 if lower is None:
                     lower = page.lower() if len(page.lower()) == size else None
-                where = (lower or page).find(f"</{tag}", at)
+                where = -1 if tag in endless else (lower or page).find(f"</{tag}", at)
                 if where < 0:
+                    endless.add(tag)
                     # no end: a raw element runs to the end of the page
                     at = size if tag in ("script", "style", "textarea", "title") else at
                 else:
@@ -366,31 +399,41 @@ def _text_like(linked: int, length: int) -> bool:
 
 
 def _kept(tree: _Page, best: Node) -> list[int]:
-    """Paragraphs of the best container's article or main, else of the whole
-    page, less what consists of links beside the way up to it."""
+    """Paragraphs of the best container's article or main, or of the best
+    container and the siblings of the elements on the way up from it."""
     node, top, core = best, None, None
     while node is not None:
         if node.tag in ("article", "main"):
             core, top = node if core is None or node.tag == "article" else core, node
         node = node.parent
-    core, top = core or best, top or tree.root
-    kept = set(range(core.first, core.last))
-    node = core
-    while node is not top:
+    kept = bytearray(len(tree.paragraphs))
+
+    def keep(node: Node) -> None:
+        kept[node.first: node.last] = b"\1" * (node.last - node.first)
+
+    least = max(LEAST_SCORE, SIBLING_SHARE * _score(best))
+    node = core or best
+    named = core or best                  # the nearest element that is or is named an article
+    while core is None and named is not None and (not named.named or named.tag in ("html", "body")):
+        named = named.parent
+    apart = named is None or named is node          # names tell siblings apart from here on
+    keep(node)
+    while node is not (top or tree.root):
         inner, node = node, node.parent
-        own = set(range(node.first, node.last))
         for other in node.children:
-            span = range(other.first, other.last)
-            own.difference_update(span)
-            if other is not inner and _text_like(other.linked, other.length):
-                kept.update(span)
-        kept.update(i for i in own if _text_like(tree.linked[i], len(tree.paragraphs[i])))
-    if top.parent is not None:            # an article or main: what reads like text beside it
+            if other is not inner and _text_like(other.linked, other.length) and not (
+                    apart and top is None and other.tag in PLAIN_CONTAINERS and other.names
+                    and other.names != inner.names and not other.named and _score(other) < least):
+                keep(other)
+        for i in node.own:
+            kept[i] |= _text_like(tree.linked[i], len(tree.paragraphs[i]))
+        apart = apart or node is named
+    if top is not None and top.parent is not None:   # what reads like text beside an article or main
         for other in top.parent.children:
             prose = other.tag in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", top.tag)
-            if other is not top and _density(other) < 0.25 and (prose or _score(other) >= 10):
-                kept.update(range(other.first, other.last))
-    return sorted(kept)
+            if other is not top and _density(other) < 0.25 and (prose or _score(other) >= LEAST_SCORE):
+                keep(other)
+    return [i for i, kept_one in enumerate(kept) if kept_one]
 
 
 def main_text(page: str) -> str:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import re
+import time
 from html import unescape
 
 import pytest
 
-from aerolap.llm.html import extract, main_text
+from aerolap.llm.html import LEVELS, extract, main_text, parse
 
 LONG = "A sentence of the article, with commas, and more words than a menu has. " * 3
 
@@ -124,6 +126,76 @@ def test_a_very_long_and_deep_page():
     assert main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
 
 
+BIO = "<p>Jo writes about ships, and lives by the sea.</p>"
+TEXT = LONG.strip()
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<div id=content><p>{LONG}</p><p>{LONG}</p></div><div class=bio>{BIO}</div>", [TEXT, TEXT]),
+    (f"<div class=x>Buy this</div><div id=content><p>{LONG}</p></div><div class=bio>{BIO}</div>", [TEXT]),
+    (f"<div class=row><div class=col-a><p>{LONG}</p><p>{LONG}</p></div><div class=col-b>{BIO}</div></div>", [TEXT] * 2),
+    (f"<div class=part1><p>{LONG}</p><p>{LONG}</p></div><div class=part2><p>Short.</p></div>", [TEXT, TEXT, "Short."]),
+    (f"<div><p>{LONG}</p><p>{LONG}</p></div><div><p>Short.</p></div><div class=bio>{BIO}</div>", [TEXT, TEXT, "Short."]),
+    (f"<h1>T</h1><div class=a><p>{LONG}</p></div><p>Between.</p><div class=b>{BIO}</div>", ["T", TEXT, "Between."]),
+    (f"<div class=entry><div class=a><p>{LONG}</p><p>{LONG}</p></div><div class=note>Note.</div></div>"
+     f"<div class=b>{BIO}</div>", [TEXT, TEXT, "Note."]),
+    (f"<div class=entry><div class=a><p>{LONG}</p></div></div><div class=entry-end>End.</div>", [TEXT, "End."]),
+    (f"<table><tr><td class=left>{BIO}<td class=mid><p>{LONG}</p><p>{LONG}</p><td>Plain</table>", [TEXT, TEXT, "Plain"]),
+    (f"<div class=left><p>{LONG}</p><p>{LONG}</p></div><div class=right><p>{LONG}</p><p>{LONG}</p></div>", [TEXT] * 4),
+    (f"<div>One, {LONG}</div><div>Two, {LONG}</div><div>Three, {LONG}</div><div>4.</div>",
+     [f"One, {TEXT}", f"Two, {TEXT}", f"Three, {TEXT}", "4."]),
+    (f"<body class=page><div><a href=x>Home</a> <a href=y>News</a></div><div id=text>{LONG}</div></body>", [TEXT]),
+    (f"<div role=main><div class=a><p>{LONG}</p></div><div class=b>Kept.</div></div><div class=c>Gone.</div>",
+     [TEXT, "Kept."]),
+    (f"<section id=a><p>{LONG}</p></section><section id=b><p>Short.</p></section>", [TEXT, "Short."]),
+    (f"<div id=content><p>{LONG}</p><div class=quote>Said.</div><pre class=x>code</pre></div>", [TEXT, "Said.", "code"]),
+    (f"<div class=a><p>{LONG}</p><p>{LONG}</p></div><h2 id=s>H</h2><ul class=l><li>i</ul>", [TEXT, TEXT, "H", "i"]),
+])
+def test_pages_without_an_article(page, want):
+    assert main_text(page) == "\n".join(want)
+
+
+def test_points_by_brute_force():
+    """Sums over ancestors of every paragraph, on random trees."""
+    rng = random.Random(3)
+    for _ in range(200):
+        page = "".join(rng.choice(["<div>", "<section>", "<div>", "</div>", "</section>", "a, b, c", LONG,
+                                   "<a href=x>link</a>", "<p>", "<ul><li>", "</ul>"]) for _ in range(40))
+        tree = parse(page)
+        nodes = [tree.root]
+        for node in nodes:
+            nodes += node.children
+        points, length, linked = ({id(n): 0 for n in nodes} for _ in range(3))
+        for node in nodes:
+            for i in node.own:
+                s, up, level = tree.paragraphs[i], node, 0
+                while up is not None:
+                    share = LEVELS[min(level, len(LEVELS) - 1)] / LEVELS[0]
+                    points[id(up)] += (1 + s.count(",") + min(len(s) / 100, 3)) * share
+                    length[id(up)] += len(s)
+                    linked[id(up)] += tree.linked[i]
+                    up, level = up.parent, level + 1
+        assert sum(len(n.own) for n in nodes) == len(tree.paragraphs)
+        for node in nodes:
+            assert node.points == pytest.approx(points[id(node)])
+            assert (node.length, node.linked) == (length[id(node)], linked[id(node)])
+
+
+@pytest.mark.parametrize("page", [
+    "<div>x" * 100_000, "<div class=ad>x" * 100_000, "<span class=ad>x" * 100_000, "<li><div>" * 50_000 + "x",
+    "<svg>" * 100_000, "<div>" * 100_000 + "</p></li><li>x</li>" * 20_000,
+    "<span class=ad>" * 50_000 + "<div></div>" * 50_000, "<div class=ad><article>x" * 50_000])
+def test_time_grows_with_length_not_depth(page):
+    begin = time.process_time()
+    main_text(page)
+    assert time.process_time() - begin < 20           # quadratic: hours
+
+
+def test_an_unwanted_article_beside_the_text_is_no_article():
+    page = f"<nav><p>{LONG}</p><p>{LONG}</p></nav><article><nav>{BIO}</nav></article>"
+    assert main_text(page) == f"{TEXT}\n{TEXT}"
+
+
 def test_pages_table(spark):
     """The table's articles, cut out by pattern: its pages are made of one
     article, its heading and paragraphs."""
