@@ -6,7 +6,7 @@
     python -m aerolap itineraries --input ... --output out/q6 [--year 2008] [--pairs best|summary|k-best --k 10]
     python -m aerolap ingest --input raw/ --input-format zip --output ingested/
     python -m aerolap stream-carriers-per-airport --source kafka --bootstrap host:9092 \\
-        --topics flights --output out/q7 --checkpoint ckpt/q7 [--mode batch|running|window]
+        --topics flights --output out/q7 --checkpoint ckpt/q7 [--mode batch|running|changes|window]
 
 ``--format text`` writes the reference's ``key<TAB>value`` lines (composite
 parts joined by commas); the default is Parquet. Batch inputs: concise CSV
@@ -103,7 +103,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--output", required=True)
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--trigger", default="10 seconds")
-        s.add_argument("--mode", default="batch", choices=["batch", "running", "window"])
+        s.add_argument("--mode", default="batch", choices=["batch", "running", "changes", "window"])
         s.add_argument("--top", type=int, default=10)
         s.add_argument("--print-rows", type=int, default=None)
         s.add_argument("--window", default="1 day")

@@ -285,7 +285,8 @@ def stream_top_carriers_per_route(spark, sf_dir):
 
 @register("stream_running_topk", O.STREAM_RUNNING)
 def stream_running_topk(spark, sf_dir):
-    return _stream_ranking(spark, sf_dir, R.CARRIERS_PER_AIRPORT, "running", ["airport"])
+    """Running totals, ranked again where they changed."""
+    return _stream_ranking(spark, sf_dir, R.CARRIERS_PER_AIRPORT, "changes", ["airport"])
 
 
 # A control line far past any flight date: it moves the watermark so every

@@ -36,6 +36,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolap.session import scratch_path
 from aerolap.sources import commits
@@ -99,11 +100,12 @@ def batch_writer(out_path: str | None, build: Callable[[DataFrame, int], DataFra
                  complete: bool = False, reread: bool = False,
                  show: Callable[[DataFrame, int], None] | None = None,
                  keys: Sequence[str] | None = None, fold_every: int | None = None,
-                 retain_s: float | None = None) -> Callable[[DataFrame, int], None]:
+                 retain_s: float | None = None, folders: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """``reread``: the builder reads its batch more than once; ``show`` gets
     the rows that were built. With ``keys`` and ``fold_every`` the table is
     folded whenever that many batches lie beside the snapshot. ``retain_s``:
-    default none for ``complete`` tables, ``RETAIN_S`` for others."""
+    default none for ``complete`` tables, ``RETAIN_S`` for others. ``folders``:
+    columns by whose values a batch's files lie in folders of their own."""
     base = out_path.rstrip("/") if out_path else None
     retain = (0.0 if complete else RETAIN_S) if retain_s is None else retain_s
 
@@ -128,7 +130,7 @@ def batch_writer(out_path: str | None, build: Callable[[DataFrame, int], DataFra
             batch_df = spark.read.schema(batch_df.schema).parquet(f"{work}/in")
         rows = build(batch_df, batch_id)
         target = target or f"{work}/out"
-        rows.write.mode("overwrite").parquet(target)
+        rows.write.mode("overwrite").parquet(target, partitionBy=list(folders) or None)
         if show is not None:
             show(spark.read.schema(rows.schema).parquet(target), batch_id)
         if reread or base is None:
@@ -140,11 +142,12 @@ def batch_writer(out_path: str | None, build: Callable[[DataFrame, int], DataFra
             old = doc["batches"] if complete else {}
             kept = {} if complete else doc["batches"]
             return doc | {"batches": kept | {str(batch_id): f"batch_id={batch_id}"}, "run": run,
+                          **({"schema": rows.schema.jsonValue()} if folders else {}),
                           "retired": _retire(doc, old.values())}
 
         published = _publish(spark, base, add)
         if keys and fold_every and len(published["batches"]) > fold_every:
-            fold_batches(spark, base, keys, retain_s=retain)
+            fold_batches(spark, base, keys, retain_s=retain, folders=folders)
         remove_retired(spark, base, retain, keep_last=complete)
 
     return write
@@ -163,6 +166,13 @@ def latest_rows(df: DataFrame, keys: Sequence[str], version_col: str = "batch_id
     return latest.select(*cols)
 
 
+def _reader(spark: SparkSession, doc: dict, *more: T.StructField):
+    """A reader with the schema that a version notes, if any: a batch without
+    rows has no files where files lie in folders by value."""
+    noted = doc.get("schema")
+    return spark.read.schema(T.StructType([*T.StructType.fromJson(noted).fields, *more])) if noted else spark.read
+
+
 def read_batches(spark: SparkSession, out_path: str, pinned: dict | None = None) -> DataFrame:
     """The rows of all batches of a version (default: the newest) with their
     ``batch_id``, without those folded into a snapshot."""
@@ -171,12 +181,13 @@ def read_batches(spark: SparkSession, out_path: str, pinned: dict | None = None)
     if not doc["batches"]:
         raise ValueError(f"no batches under {out_path}")
     folders = [f"{base}/{f}" for _, f in sorted(doc["batches"].items(), key=lambda x: int(x[0]))]
-    return spark.read.option("basePath", base).parquet(*folders)
+    return _reader(spark, doc).option("basePath", base).parquet(*folders)
 
 
 def _versions(spark: SparkSession, base: str, version_col: str, doc: dict) -> DataFrame:
     """Snapshot rows and the batches after it."""
-    parts = [spark.read.parquet(f"{base}/{doc['snapshot']['folder']}")] if doc["snapshot"] else []
+    parts = [_reader(spark, doc, T.StructField(version_col, T.LongType()))
+             .parquet(f"{base}/{doc['snapshot']['folder']}")] if doc["snapshot"] else []
     if doc["batches"]:
         parts.append(read_batches(spark, base, doc).withColumn(version_col, F.col("batch_id").cast("bigint")))
     if not parts:
@@ -188,15 +199,19 @@ def _versions(spark: SparkSession, base: str, version_col: str, doc: dict) -> Da
 
 
 def latest_per_key(spark: SparkSession, out_path: str, keys: Sequence[str],
-                   version_col: str = "batch_id", pinned: dict | None = None) -> DataFrame:
+                   version_col: str = "batch_id", pinned: dict | None = None,
+                   only: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The upserted table of a version (default: the newest): the snapshot, if
-    any, and the batches after it."""
+    any, and the batches after it. ``only`` leaves out keys before the latest
+    row of each is sought."""
     base = out_path.rstrip("/")
-    return latest_rows(_versions(spark, base, version_col, pinned or version(spark, base)), keys, version_col)
+    rows = _versions(spark, base, version_col, pinned or version(spark, base))
+    return latest_rows(only(rows) if only else rows, keys, version_col)
 
 
 def fold_batches(spark: SparkSession, out_path: str, keys: Sequence[str],
-                 keep: int = 1, version_col: str = "batch_id", retain_s: float = 0.0) -> int:
+                 keep: int = 1, version_col: str = "batch_id", retain_s: float = 0.0,
+                 folders: Sequence[str] = ()) -> int:
     """Fold all but the ``keep`` newest batches into a new snapshot.
 
     Returns the last folded batch (-1: nothing to fold). The batches folded
@@ -213,7 +228,7 @@ def fold_batches(spark: SparkSession, out_path: str, keys: Sequence[str],
     closed = doc | {"batches": {n: f for n, f in doc["batches"].items() if int(n) <= upto}}
     latest = latest_rows(_versions(spark, base, version_col, closed), keys, version_col, keep_version=True)
     folder = f"_snapshot/upto={upto}"
-    latest.write.mode("overwrite").parquet(f"{base}/{folder}")
+    latest.write.mode("overwrite").parquet(f"{base}/{folder}", partitionBy=list(folders) or None)
     gone = _named(closed)
 
     def swap(now: dict) -> dict:

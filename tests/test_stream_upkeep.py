@@ -46,6 +46,58 @@ def test_complete_streams_keep_few_folders(spark, tmp_dir):
     assert newest_batch(spark, f"{tmp_dir}/out").first().top_carriers_depdelay == [10]
 
 
+def test_changes_write_only_the_groups_that_changed(spark, tmp_dir):
+    """Rows and bytes of a trigger follow from its groups, not from all groups;
+    the table equals running totals, through folds and an idle trigger."""
+    totals, sizes = {}, {}
+
+    def run(i, lines):
+        feed(tmp_dir, f"f{i}", lines)
+        run_until_done(R.start_ranking(stream(spark, tmp_dir), R.CARRIERS_PER_AIRPORT, f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                                       mode="changes", k=2, trigger="available_now", state_partitions=2, fold_every=2))
+        for line in lines:
+            c, o, _, d = line.split(",")[:4]
+            totals.setdefault(o, {}).setdefault(c, 0)
+            totals[o][c] += int(d)
+        want = {o: sorted(((v, c) for c, v in cs.items()))[:2] for o, cs in totals.items()}
+        got = {r.airport: list(zip(r.top_carriers_depdelay, r.top_carriers))
+               for r in latest_per_key(spark, f"{tmp_dir}/out", ["airport"]).collect()}
+        assert got == want
+
+    def flight(c, o, d):
+        return f"{c},{o},LAX,{d},1,0900,2008,1,5,6,1"
+
+    def written(table, i):
+        folder = f"{tmp_dir}/{table}/batch_id={i}"
+        files = [os.path.join(r, f) for r, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet")]
+        return spark.read.parquet(folder).count(), sum(map(os.path.getsize, files))
+
+    run(0, [flight(c, f"P{i}", i) for i in range(300) for c in ("AA", "BB", "CC")])
+    sizes[0] = written("out", 0), written("out_totals", 0)
+    run(1, [flight("AA", "P7", 500), flight("DD", "P8", -3)])
+    sizes[1] = written("out", 1), written("out_totals", 1)
+    assert [n for n, _ in sizes[0]] == [300, 900] and [n for n, _ in sizes[1]] == [2, 2]
+    assert sizes[1][1][1] * 10 < sizes[0][1][1]
+    for i in range(2, 6):
+        run(i, [flight("BB", f"P{i}", -i), flight("EE", "NEW", i)])
+    folders = [f for f in os.listdir(f"{tmp_dir}/out_totals") if f.startswith("_snapshot")]
+    assert folders == ["_snapshot"]
+    run(6, [])
+    run(7, [flight("AA", "P7", -1000)])
+
+
+def test_changes_begin_with_an_empty_batch(spark, tmp_dir):
+    def run(name, *lines):
+        feed(tmp_dir, name, lines)
+        run_until_done(R.start_ranking(stream(spark, tmp_dir), R.CARRIERS_PER_AIRPORT, f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                                       mode="changes", trigger="available_now", state_partitions=2))
+
+    run("a", "too,few")
+    run("b", *LEGS)
+    assert {r.airport: r.top_carriers for r in latest_per_key(spark, f"{tmp_dir}/out", ["airport"]).collect()} == {
+        "X": ["AA", "BB"], "Y": ["AA"]}
+
+
 def test_folding_bounds_what_a_reader_touches(spark, tmp_dir):
     def run(i):
         feed(tmp_dir, f"f{i}", [f"AA,P{i % 3},LAX,{i},1,0900,2008,1,5,6,1"])
