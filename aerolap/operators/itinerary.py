@@ -160,7 +160,12 @@ def itinerary_pair_summary(legs: DataFrame) -> DataFrame:
         (F.col("n2") * F.col("sum1") + F.col("n1") * F.col("sum2")).alias("sum_total"))
 
 
-def _k_best_candidates(legs: DataFrame, k: int) -> DataFrame:
+def counted_legs(legs: DataFrame) -> DataFrame:
+    """Equal flights of a leg (key, delay, departure) with their number ``c``."""
+    return legs.groupBy(*LEG_KEY, "delay", "dep").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _k_best_candidates(counted: DataFrame, k: int) -> DataFrame:
     """Per leg key: its k best flights, each carrying the key's flight count.
 
     Equal flights (leg key, delay, departure) are counted first, with a
@@ -170,7 +175,7 @@ def _k_best_candidates(legs: DataFrame, k: int) -> DataFrame:
     start from its (fenced) result. A flight that stands for ``c`` equal ones
     is expanded to as many rows as the k best still have room for.
     """
-    same = _fence(legs.groupBy(*LEG_KEY, "delay", "dep").agg(F.count(F.lit(1)).alias("c")))
+    same = _fence(counted)
     w = Window.partitionBy(*LEG_KEY).orderBy(F.col("delay").asc(), F.col("dep").asc())
     before = F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("c")
     top = (same.select("*", F.row_number().over(w).alias("_r"), before.alias("_before"))
@@ -182,9 +187,9 @@ def _k_best_candidates(legs: DataFrame, k: int) -> DataFrame:
     return top.join(counts, LEG_KEY)
 
 
-def _k_best_pairs(legs: DataFrame, k: int) -> DataFrame:
+def _k_best_pairs(counted: DataFrame, k: int) -> DataFrame:
     """Candidate pairs of each trip: at most k first and k second legs meet."""
-    j = _pair_up(_k_best_candidates(legs, k), {"dep": "dep1", "delay": "delay1", "n": "n1"},
+    j = _pair_up(_k_best_candidates(counted, k), {"dep": "dep1", "delay": "delay1", "n": "n1"},
                  {"dep": "dep2", "delay": "delay2", "n": "n2"})
     return j.withColumns({"total_delay": F.col("delay1").cast("long") + F.col("delay2"),
                           "n_pairs": F.col("n1") * F.col("n2")})
@@ -203,7 +208,7 @@ def k_best_itineraries(legs: DataFrame, k: int) -> DataFrame:
     the same second leg (ties are identical output rows), so the result is
     the exact k-best multiset of all pairs. Also carries n_pairs.
     """
-    return (_k_best_pairs(legs, k).withColumn("rank", F.row_number().over(_by_rank()))
+    return (_k_best_pairs(counted_legs(legs), k).withColumn("rank", F.row_number().over(_by_rank()))
             .filter(F.col("rank") <= k)
             .select(*TRIP_KEY, "dep1", "dep2", "delay1", "delay2", "total_delay", "rank", "n_pairs"))
 
@@ -216,8 +221,13 @@ def itinerary_lists(legs: DataFrame, k: int) -> DataFrame:
     comes sorted out of the same window that ranks, with no aggregate after it
     and never more than k elements.
     """
+    return lists_of_counted(counted_legs(legs), k)
+
+
+def lists_of_counted(counted: DataFrame, k: int) -> DataFrame:
+    """``itinerary_lists`` of legs that are counted already (``counted_legs``)."""
     pair = F.struct(F.col("total_delay").alias("total"), F.col("dep1"), F.col("dep2"))
-    return (_k_best_pairs(legs, k)
+    return (_k_best_pairs(counted, k)
             .withColumns({"pairs": F.collect_list(pair).over(_by_rank().rowsBetween(0, k - 1)),
                           "rank": F.row_number().over(_by_rank())})
             .filter(F.col("rank") == 1).select(*TRIP_KEY, "n_pairs", "pairs"))

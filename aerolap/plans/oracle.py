@@ -411,20 +411,21 @@ STREAM_WINDOW = with_parsed(
                   "WHERE flight_date IS NOT NULL)", extra=["window_start"]) + ")")
 
 
+def stream_itinerary_lists_sql(k: int = 10, source: str = "parsed") -> str:
+    leg1, leg2 = legs_sql(delay_col="dep_delay_min", noon_inclusive=True, source=source)
+    return with_parsed(
+        f"SELECT start_date, src, mid, dst, CAST(count(*) AS BIGINT) AS n_pairs, "
+        f"list({{'total': total_delay, 'dep1': dep1, 'dep2': dep2}} "
+        f"ORDER BY total_delay, dep1, dep2) FILTER (WHERE _rn <= {k}) AS pairs "
+        f"FROM (SELECT *, row_number() OVER (PARTITION BY start_date, src, mid, dst "
+        f"ORDER BY total_delay, dep1, dep2, delay1) AS _rn FROM pairs) "
+        f"GROUP BY start_date, src, mid, dst", leg1, leg2, _PAIRS)
+
+
 def stream_itinerary_sql(k: int = 10) -> str:
-    out = []
-    for b in range(4):
-        leg1, leg2 = legs_sql(delay_col="dep_delay_min", noon_inclusive=True,
-                              source=f"(SELECT * FROM parsed WHERE bucket = {b})")
-        out.append(
-            f"SELECT {b} AS batch_id, * FROM (" + with_parsed(
-                f"SELECT start_date, src, mid, dst, CAST(count(*) AS BIGINT) AS n_pairs, "
-                f"list({{'total': total_delay, 'dep1': dep1, 'dep2': dep2}} "
-                f"ORDER BY total_delay, dep1, dep2) FILTER (WHERE _rn <= {k}) AS pairs "
-                f"FROM (SELECT *, row_number() OVER (PARTITION BY start_date, src, mid, dst "
-                f"ORDER BY total_delay, dep1, dep2, delay1) AS _rn FROM pairs) "
-                f"GROUP BY start_date, src, mid, dst", leg1, leg2, _PAIRS) + ")")
-    return " UNION ALL ".join(out)
+    return " UNION ALL ".join(
+        f"SELECT {b} AS batch_id, * FROM ("
+        + stream_itinerary_lists_sql(k, f"(SELECT * FROM parsed WHERE bucket = {b})") + ")" for b in range(4))
 
 
 INGESTED = with_parsed(

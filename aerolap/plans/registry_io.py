@@ -372,3 +372,22 @@ def stream_itinerary_window(spark, sf_dir):
     run_until_done(start_itinerary_windowed(parsed, out, ckpt, trigger="available_now",
                                             state_partitions=_cores(spark)))
     return read_batches(spark, out).drop("batch_id")
+
+
+@register("stream_itinerary_join", O.stream_itinerary_lists_sql(k=10))
+def stream_itinerary_join(spark, sf_dir):
+    """The ten best pairs per trip over legs from different batches: half of
+    the flights, the stream again with the other half, and a line that closes
+    all days. Flights come in no order of time, hence the lateness."""
+    from aerolap.streaming.itinerary import start_itinerary_lists
+    base = scratch_path(spark, "stream-itin-join")
+    inp, out, ckpt = f"{base}/input", f"{base}/out", f"{base}/ckpt"
+    lines = concise_lines(spark, sf_dir)
+    late = F.coalesce(F.col("bucket"), F.lit(0)) >= 2
+    for name, part in (("early", lines.where(~late)), ("late", lines.where(late)),
+                       ("flush", spark.createDataFrame([(_FLUSH_LEG,)], "value string"))):
+        part.select("value").write.text(f"{inp}/{name}")
+        parsed = parsed_stream(message_stream(spark, "files", inp, options={"recursiveFileLookup": "true"}))
+        run_until_done(start_itinerary_lists(parsed, out, ckpt, k=10, lateness="10000 days", trigger="available_now",
+                                             state_partitions=_cores(spark)))
+    return read_batches(spark, out).drop("batch_id")

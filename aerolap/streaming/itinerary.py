@@ -14,15 +14,19 @@ rankings. ``start_itinerary_running``: the best itinerary per trip over the
 whole stream so far, from a stateful per-leg minimum.
 ``start_itinerary_windowed``: event time with a watermark; each start day's
 best itineraries are emitted once, when final, and its state is evicted.
+``start_itinerary_lists``: the same for the lists of k best pairs, so trips
+whose legs come in different batches have theirs too.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from aerolap.functions.parse import day_of_instant, event_time, pack_min_key
 from aerolap.operators.itinerary import (
-    itinerary_lists, leg_candidates, leg_minima, pair_leg_minima)
+    LEG_KEY, itinerary_lists, leg_candidates, leg_minima, lists_of_counted, pair_leg_minima)
 from aerolap.sources.csv import accepted
 from aerolap.streaming.rankings import _trigger, start_stream
 from aerolap.streaming.upsert import batch_writer
@@ -97,21 +101,44 @@ def start_itinerary_windowed(parsed: DataFrame, out_path: str, checkpoint: str,
     days are evicted); flights later than the watermark are dropped, as in
     any event-time aggregation.
     """
-    from pyspark.sql import functions as F
-
-    from aerolap.functions.parse import day_of_instant, event_time, pack_min_key
-
-    legs = leg_candidates(accepted(parsed, _NEEDS), delay_col="dep_delay_min",
-                          noon_inclusive=True, gap_days=gap_days)
-    delay = f"{gap_days} days {lateness}" if lateness else f"{gap_days} days"
-    minima = (legs.withColumn("start_ts", event_time("start_date"))
-              .withWatermark("start_ts", delay)
-              .groupBy(F.window("start_ts", "1 day").alias("w"), "leg", "other", "mid")
-              .agg(F.min(pack_min_key("delay", "dep")).alias("_b"))
-              .select("leg", "other", "mid",
-                      day_of_instant("w.start").alias("start_date"), "_b"))
+    minima = _closed_days(parsed, [], F.min(pack_min_key("delay", "dep")).alias("_b"), lateness, gap_days)
     build = lambda df, _id: pair_leg_minima(df)
     writer = (minima.writeStream.outputMode("append")
               .foreachBatch(batch_writer(out_path, build, reread=True))
               .option("checkpointLocation", checkpoint))
     return start_stream(_trigger(writer, trigger), parsed.sparkSession, state_partitions)
+
+
+def start_itinerary_lists(parsed: DataFrame, out_path: str, checkpoint: str, k: int,
+                          lateness: str = "1 day", gap_days: int = 2,
+                          trigger: str | None = None,
+                          state_partitions: int | None = None) -> StreamingQuery:
+    """Per trip the ``k`` best pairs and the number of all pairs, emitted once
+    per start day when it is final, whatever batches its legs came in.
+
+    State holds one row per distinct flight (leg, route, start day, delay,
+    departure) of the open days, with the number of equal ones; both legs of a
+    trip carry the trip's start day, so they close and leave the state in the
+    same trigger, and ``foreachBatch`` pairs the closed days with the batch
+    code (at most k by k candidates a trip). A join of two streams would keep
+    the same rows and form all pairs before any list is cut.
+    """
+    counted = _closed_days(parsed, ["delay", "dep"], F.count(F.lit(1)).alias("c"), lateness, gap_days)
+    build = lambda df, _id: lists_of_counted(df, k)
+    writer = (counted.writeStream.outputMode("append")
+              .foreachBatch(batch_writer(out_path, build, reread=True))
+              .option("checkpointLocation", checkpoint))
+    return start_stream(_trigger(writer, trigger), parsed.sparkSession, state_partitions)
+
+
+def _closed_days(parsed: DataFrame, also: list[str], value, lateness: str, gap_days: int) -> DataFrame:
+    """``value`` per leg key (and the columns ``also``), once the watermark has
+    passed the start day."""
+    legs = leg_candidates(accepted(parsed, _NEEDS), delay_col="dep_delay_min",
+                          noon_inclusive=True, gap_days=gap_days)
+    delay = f"{gap_days} days {lateness}" if lateness else f"{gap_days} days"
+    key = [c for c in LEG_KEY if c != "start_date"]
+    return (legs.withColumn("start_ts", event_time("start_date"))
+            .withWatermark("start_ts", delay)
+            .groupBy(F.window("start_ts", "1 day").alias("w"), *key, *also).agg(value)
+            .withColumn("start_date", day_of_instant("w.start")).drop("w"))

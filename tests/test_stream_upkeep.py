@@ -8,10 +8,10 @@ import os
 import pytest
 
 from aerolap.streaming import rankings as R
-from aerolap.streaming.itinerary import start_itinerary, start_itinerary_running
+from aerolap.streaming.itinerary import start_itinerary, start_itinerary_lists, start_itinerary_running
 from aerolap.streaming.replay import run_until_done
 from aerolap.streaming.source import kafka_options, message_stream, parsed_stream
-from aerolap.streaming.upsert import fold_batches, latest_per_key, newest_batch
+from aerolap.streaming.upsert import fold_batches, latest_per_key, newest_batch, read_batches
 
 
 def feed(tmp_dir, name, lines):
@@ -137,6 +137,29 @@ def test_late_rows_inside_and_beyond_the_watermark(spark, tmp_dir):
     assert got == {9: [11], 11: [1], 23: [1]}
 
 
+def test_lists_over_legs_from_different_batches(spark, tmp_dir):
+    """Each list comes once, when its start day is closed, and its rows leave
+    the state; a leg that comes after that is dropped."""
+    def run(name, *lines):
+        feed(tmp_dir, name, lines)
+        q = start_itinerary_lists(stream(spark, tmp_dir), f"{tmp_dir}/out", f"{tmp_dir}/ck", k=2, lateness="1 day",
+                                  trigger="available_now", state_partitions=2)
+        run_until_done(q)
+        state = q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+        rows = read_batches(spark, f"{tmp_dir}/out").collect()
+        return state, {(str(r.start_date), r.src, r.mid, r.dst):
+                       (r.n_pairs, [(p.total, p.dep1, p.dep2) for p in r.pairs]) for r in rows}, len(rows)
+
+    first = ["AA,X,Y,4,1,0900,2008,1,5,6,1", "BB,X,Y,2,1,1000,2008,1,5,6,1", "BB,X,Y,2,1,1000,2008,1,5,6,1"]
+    second = ["AA,Y,Z,1,1,1500,2008,1,7,1,1", "CC,Y,Z,0,1,1300,2008,1,7,1,1"]
+    assert run("a", *first) == (2, {}, 0)                  # equal flights are one row of state
+    assert run("b", *second) == (4, {}, 0)
+    trip = {("2008-01-05", "X", "Y", "Z"): (6, [(2, 1000, 1300), (2, 1000, 1300)])}
+    assert run("c", "AA,U,V,0,0,0900,2008,1,10,1,1") == (1, trip, 1)
+    assert run("d", "AA,X,Y,-50,1,0900,2008,1,5,6,1") == (1, trip, 1)
+    assert run("e", "FLUSH,S,T,0,0,0900,2999,1,1,2,0") == (1, trip, 1)
+
+
 def test_console_shows_rows_of_one_evaluation(spark, tmp_dir, capsys):
     feed(tmp_dir, "a", [*(f"AA,X{i},Y,1,1,0900,2008,1,5,6,1" for i in range(50)), LEGS[2]])
     run_until_done(start_itinerary(stream(spark, tmp_dir), f"{tmp_dir}/out", f"{tmp_dir}/ck", k=3,
