@@ -23,6 +23,10 @@ from aerolap.streaming.source import message_stream, parsed_stream
 from aerolap.streaming.upsert import latest_per_key, newest_batch, read_batches
 
 
+#: Seconds that a registered replay of a recording takes by its clock.
+PACED_SECONDS = 8.0
+
+
 def _cores(spark) -> int:
     """State partitions for the registered streams: one per core."""
     return spark.sparkContext.defaultParallelism
@@ -272,6 +276,26 @@ def stream_log_top_carriers(spark, sf_dir):
     return newest_batch(spark, out)
 
 
+@register("stream_paced_replay", O.STREAM_RUNNING)
+def stream_paced_replay(spark, sf_dir):
+    """Running carriers per airport over recorded flights in the order of their
+    event times, all of them within some seconds: one query, many batches."""
+    from aerolap.functions.parse import event_time
+    from aerolap.sources.recording import record
+    base = scratch_path(spark, "stream-paced")
+    flights = C.parse_concise(concise_lines(spark, sf_dir), keep=("value",))
+    whole = record(flights, event_time("flight_date", "dep_time"), f"{base}/recording")
+    messages = message_stream(spark, "recording", f"{base}/recording", reader="carriers",
+                              speed=max(1.0, (whole["last"] - whole["first"]) / 1e6 / PACED_SECONDS))
+    q = R.start_ranking(parsed_stream(messages), R.CARRIERS_PER_AIRPORT, f"{base}/out", f"{base}/ckpt", mode="running",
+                        trigger="0 seconds", state_partitions=_cores(spark))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return newest_batch(spark, f"{base}/out")
+
+
 @register("stream_top_dests_per_airport", O.STREAM_DESTS_PER_AIRPORT)
 def stream_top_dests_per_airport(spark, sf_dir):
     return _stream_ranking(spark, sf_dir, R.DESTS_PER_AIRPORT, "batch", ["source_airport"])

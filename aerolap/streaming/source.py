@@ -1,10 +1,12 @@
 """SRC-5 / SRC-6: flight messages as a streaming DataFrame.
 
-Each message value is one concise CSV line (the key is ignored). Three inputs
+Each message value is one concise CSV line (the key is ignored). Four inputs
 give the same ``value`` column:
 
 * ``kind="log"``: a partitioned message log in the shared folder, read by
   offsets (``aerolap.sources.log``); also gives ``partition`` and ``offset``.
+* ``kind="recording"``: recorded messages in the order of their event times, at
+  a chosen speed (``aerolap.sources.recording``); also gives ``at``.
 * ``kind="kafka"``: ``readStream.format("kafka")`` subscribed to a comma list
   of topics. The Kafka connector jar is not in this container, so this path
   is written but not run here.
@@ -43,7 +45,8 @@ def message_stream(spark: SparkSession, kind: str = "files", path: str | None =
     """Streaming ``value STRING`` (plus partition columns of a file folder).
 
     ``kafka``: the further settings of ``kafka_options``; a log takes
-    ``starting_offsets``, ``max_offsets_per_trigger`` and ``reader``.
+    ``starting_offsets``, ``max_offsets_per_trigger`` and ``reader``, a
+    recording ``speed`` and ``reader``.
     """
     if kind == "kafka":
         if not (topics and bootstrap):
@@ -56,8 +59,12 @@ def message_stream(spark: SparkSession, kind: str = "files", path: str | None =
 
         return log_stream(spark, path, kafka.get("starting_offsets", "latest"), kafka.get("max_offsets_per_trigger"),
                           kafka.get("reader"))
+    if kind == "recording" and path:
+        from aerolap.sources.recording import paced_stream
+
+        return paced_stream(spark, path, kafka.get("speed", 1.0), kafka.get("reader", ""))
     if kind != "files" or not path:
-        raise ValueError("kind must be 'files' or 'log' (with path), or 'kafka'")
+        raise ValueError("kind must be 'files', 'log' or 'recording' (with path), or 'kafka'")
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
