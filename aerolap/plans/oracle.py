@@ -411,6 +411,26 @@ STREAM_WINDOW = with_parsed(
                   "WHERE flight_date IS NOT NULL)", extra=["window_start"]) + ")")
 
 
+#: Days of lateness of the ledger queries; a batch is a bucket.
+LEDGER_DAYS = 1500
+# Per bucket: the latest day of the buckets before it, less the lateness.
+_LEDGER = f"""marks AS (
+  SELECT bucket, max(latest) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - INTERVAL {LEDGER_DAYS} DAY AS mark, max(latest) OVER () - INTERVAL {LEDGER_DAYS} DAY AS last_mark
+  FROM (SELECT bucket, max(flight_date) AS latest FROM parsed GROUP BY bucket)),
+ledger AS (
+  SELECT p.*, last_mark, CAST(flight_date AS TIMESTAMP) AS window_start,
+    CAST(flight_date + INTERVAL 1 DAY AS TIMESTAMP) AS window_end,
+    CASE WHEN flight_date IS NULL THEN 'undated' WHEN flight_date + INTERVAL 1 DAY <= mark THEN 'late' END AS reason
+  FROM parsed p JOIN marks USING (bucket))"""
+STREAM_LATE = with_parsed(
+    f"SELECT {PARSED_COLS}, window_start, window_end, reason, CAST(bucket AS INTEGER) AS batch_id "
+    "FROM ledger WHERE reason IS NOT NULL", _LEDGER)
+STREAM_LEDGER = with_parsed(
+    ranking_sql("carriers_per_airport", "(SELECT * FROM ledger WHERE reason IS NULL AND window_end <= last_mark)",
+                extra=["window_start", "window_end"]), _LEDGER)
+
+
 def stream_itinerary_lists_sql(k: int = 10, source: str = "parsed") -> str:
     leg1, leg2 = legs_sql(delay_col="dep_delay_min", noon_inclusive=True, source=source)
     return with_parsed(

@@ -343,6 +343,35 @@ def _stream_windows(spark, sf_dir, window):
     return read_batches(spark, out).drop("batch_id")
 
 
+def _stream_ledger(spark, sf_dir):
+    """Day windows with a ledger, a bucket of flights a batch; where the
+    results lie."""
+    from aerolap.streaming.ledger import start_ledger_ranking
+    base = scratch_path(spark, "stream-ledger")
+    staged = _staged_lines(spark, sf_dir, base)
+    inp, out, ckpt = f"{base}/input", f"{base}/out", f"{base}/ckpt"
+
+    def start():
+        parsed = parsed_stream(message_stream(spark, "files", inp))
+        return start_ledger_ranking(parsed, R.CARRIERS_PER_AIRPORT, out, ckpt, lateness=f"{O.LEDGER_DAYS} days",
+                                    trigger="available_now")
+
+    replay(spark, staged, inp, start)
+    return out
+
+
+@register("stream_late_ledger", O.STREAM_LATE)
+def stream_late_ledger(spark, sf_dir):
+    """Every row beyond the watermark, with its window and batch."""
+    return read_batches(spark, _stream_ledger(spark, sf_dir) + "_late")
+
+
+@register("stream_ledger_topk", O.STREAM_LEDGER)
+def stream_ledger_topk(spark, sf_dir):
+    """Carriers per airport and day over the on-time rows of closed days."""
+    return read_batches(spark, _stream_ledger(spark, sf_dir)).drop("batch_id")
+
+
 @register("stream_itinerary_k_best", O.stream_itinerary_sql(k=10))
 @register("stream_itinerary", O.stream_itinerary_sql(k=10))
 def stream_itinerary_k_best(spark, sf_dir):
