@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolap.llm.common import quoted
+from aerolap.llm.common import fresh, quoted
 
 TURNS = "array<struct<role:string,text:string>>"
 
@@ -119,7 +119,7 @@ def from_columns(df: DataFrame, key: str) -> DataFrame:
     layout = layout_of(field_paths(df.schema))
     if layout is None:
         raise ValueError(f"no layout for fields {sorted(field_paths(df.schema))}")
-    return df.select(F.col(key), _canonical(layout.canonical(F.struct(*quoted(df.columns)))).alias("turns"),
+    return df.select(F.col(*quoted([key])), _canonical(layout.canonical(F.struct(*quoted(df.columns)))).alias("turns"),
                      F.lit(layout.name).alias("layout"))
 
 
@@ -131,7 +131,7 @@ def from_json(df: DataFrame, key: str, record: str) -> DataFrame:
     records come back with no turns and a null layout.
     """
     arrays = sorted({x.turns for x in LAYOUTS if x.turns})
-    raw = F.col(record)
+    raw, found = F.col(*quoted([record])), fresh(df, "_paths")
     none = F.array().cast("array<string>")
     own = F.coalesce(F.json_object_keys(raw), none)
 
@@ -145,12 +145,12 @@ def from_json(df: DataFrame, key: str, record: str) -> DataFrame:
     chosen, name = F.lit(None).cast(TURNS), F.lit(None).cast("string")
     for layout in sorted(LAYOUTS, key=lambda x: len(x.paths)):
         shared = F.array_sort(F.array_distinct(
-            F.array_intersect("_paths", F.array(*map(F.lit, sorted(layout.paths))))))
+            F.array_intersect(found, F.array(*map(F.lit, sorted(layout.paths))))))
         is_it = F.sha2(F.array_join(shared, "\n"), 256) == layout.fingerprint
         chosen, name = F.when(is_it, layout.canonical(F.from_json(raw, layout.schema))).otherwise(chosen), \
             F.when(is_it, layout.name).otherwise(name)
-    return (df.withColumn("_paths", paths)
-            .select(F.col(key), _canonical(chosen).alias("turns"), name.alias("layout")))
+    return (df.withColumn(found, paths)
+            .select(F.col(*quoted([key])), _canonical(chosen).alias("turns"), name.alias("layout")))
 
 
 def gather_turns(rows: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -187,16 +187,18 @@ def format_turns(df: DataFrame, trained: tuple[str, ...] = ("assistant",)) -> Da
 
     One turn is ``<turn ROLE>TEXT</turn>`` and a line break, role and text
     escaped. The loss mask covers the escaped text of ``trained`` roles only.
-    No turns give an empty string.
+    No turns give an empty string. Other columns stay, but for two of these
+    names, which are replaced.
     """
+    found, widths = fresh(df, "_parts"), fresh(df, "_sizes")
     parts = F.transform("turns", lambda x: F.struct(
         F.concat(F.lit(OPEN), escape(x["role"]), F.lit(CLOSE_HEAD)).alias("head"),
         escape(x["text"]).alias("body"), x["role"].isin(*trained).alias("trained")))
-    sizes = F.transform("_parts", lambda p: F.struct(
+    sizes = F.transform(found, lambda p: F.struct(
         F.char_length(p["head"]).alias("head"), F.char_length(p["body"]).alias("body"),
         p["trained"].alias("trained")))
     walk = F.aggregate(
-        "_sizes",
+        widths,
         F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
         lambda acc, s: F.struct(
             (acc["at"] + s["head"] + s["body"] + F.lit(len(END))).alias("at"),
@@ -204,10 +206,10 @@ def format_turns(df: DataFrame, trained: tuple[str, ...] = ("assistant",)) -> Da
                 (acc["at"] + s["head"]).alias("start"), s["body"].alias("length"))))
             .otherwise(acc["spans"]).alias("spans")),
         lambda acc: acc["spans"])
-    return (df.withColumn("_parts", parts).withColumn("_sizes", sizes)
+    return (df.withColumn(found, parts).withColumn(widths, sizes)
             .withColumn("formatted", F.array_join(F.transform(
-                "_parts", lambda p: F.concat(p["head"], p["body"], F.lit(END))), ""))
-            .withColumn("loss", walk).drop("_parts", "_sizes"))
+                found, lambda p: F.concat(p["head"], p["body"], F.lit(END))), ""))
+            .withColumn("loss", walk).drop(found, widths))
 
 
 def read_turns(formatted: Column) -> Column:

@@ -85,7 +85,7 @@ def test_turn_rows_with_nulls_ties_and_repeats(spark):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", None), (1, 1, "assistant", "b"), (1, None, None, "z"),
             (None, 0, "user", "x"), (2, 0, "user", "t")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    df = df.withColumn("turns", F.lit("clash")).select("conv_id", "turn", "role", "text")
+    df = df.withColumn("turns", F.lit("clash")).withColumn("a.b", F.lit(1))
     got = {r["conv_id"]: [tuple(t) for t in r["turns"]]
            for r in chat.from_columns(chat.gather_turns(df), "conv_id").collect()}
     assert got == {1: [("", "z"), ("user", ""), ("assistant", "b"), ("assistant", "b")],
@@ -100,3 +100,22 @@ def test_a_long_conversation(spark):
     done = chat.format_turns(chat.from_columns(chat.gather_turns(df), "conv_id"))
     r = done.select(chat.read_loss(F.col("formatted"), F.col("loss")).alias("x")).first()
     assert r["x"] == "".join(t for *_, role, t in rows if role == "assistant")
+
+
+def test_columns_of_callers_stay(spark):
+    """Columns named like the operator's own, with dots, and keys of such names."""
+    df = turns_df(spark, [(1, [("user", "q"), ("assistant", "a")])])
+    plain = chat.format_turns(df).first()
+    more = {"_parts": 7, "_sizes": 8, "__parts": 9, "a.b": 10}
+    clash = df
+    for name, value in more.items():
+        clash = clash.withColumn(name, F.lit(value))
+    got = chat.format_turns(clash).first()
+    assert {n: got[n] for n in more} == more
+    assert (got["formatted"], got["loss"]) == (plain["formatted"], plain["loss"])
+    raw = json.dumps({"messages": [{"role": "user", "content": "q"}]})
+    for key in ("_paths", "__paths", "meta.id"):
+        r = chat.from_json(spark.createDataFrame([(3, raw)], f"`{key}` int, `raw.text` string"), key, "raw.text").first()
+        assert r[key] == 3 and [tuple(t) for t in r["turns"]] == [("user", "q")]
+    table = spark.createDataFrame([(4, "i", "x", "o")], "`meta.id` int, instruction string, input string, output string")
+    assert chat.from_columns(table, "meta.id").first()["meta.id"] == 4
