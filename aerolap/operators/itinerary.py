@@ -13,12 +13,13 @@ that trip, so:
   then join one row per leg key (``best_itineraries``);
 * the **k best** pairs only involve each leg's k best flights (any pair using
   a worse first leg is beaten by k pairs with the same second leg), so the
-  join sees at most k x k candidates per trip (``k_best_itineraries``);
+  join sees one row with at most k flights per leg key, and a trip's pairs are
+  made and cut inside its own row (``k_best_itineraries``);
 * **all pairs** are summarised exactly from per-leg aggregates: number of
   pairs n1*n2, min and max total, sum of totals n2*S1 + n1*S2
   (``itinerary_pair_summary``).
 
-Every join input is one row (or k rows) per leg route and day, so a hub that
+Every join input is one row per leg route and day, so a hub that
 holds a third of all flights sends only its distinct routes to the join.
 """
 
@@ -107,10 +108,9 @@ def _fence(df: DataFrame) -> DataFrame:
 def _pair_up(per_leg: DataFrame, cols1: dict, cols2: dict) -> DataFrame:
     """Join first-leg rows with second-leg rows of the same (Y, start day).
 
-    Both sides are filters of one fenced frame, so Spark computes (and
-    shuffles) that frame once and reuses the exchange for both sides.
+    Both sides are filters of one frame that holds a fence, so Spark computes
+    (and shuffles) what lies below the fence once for both sides.
     """
-    per_leg = _fence(per_leg)
     a = _as_first(per_leg).select(*LEG1_KEY, *[F.col(c).alias(n) for c, n in cols1.items()])
     b = _as_second(per_leg).select(*LEG2_KEY, *[F.col(c).alias(n) for c, n in cols2.items()])
     return a.join(b, ["mid", "start_date"])
@@ -134,7 +134,7 @@ def leg_minima(legs: DataFrame) -> DataFrame:
 
 def pair_leg_minima(best: DataFrame) -> DataFrame:
     """Join the per-leg minima of both legs into best itineraries."""
-    j = _pair_up(best, {"_b": "_b1"}, {"_b": "_b2"})
+    j = _pair_up(_fence(best), {"_b": "_b1"}, {"_b": "_b2"})
     d1, d2 = unpack_hi("_b1"), unpack_hi("_b2")
     return j.select(
         "start_date", "src", "mid", "dst",
@@ -150,7 +150,7 @@ def itinerary_pair_summary(legs: DataFrame) -> DataFrame:
     stats = legs.groupBy(*LEG_KEY).agg(
         F.count(F.lit(1)).alias("n"), F.min("delay").alias("lo"),
         F.max("delay").alias("hi"), F.sum("delay").alias("s"))
-    j = _pair_up(stats, {"n": "n1", "lo": "min1", "hi": "max1", "s": "sum1"},
+    j = _pair_up(_fence(stats), {"n": "n1", "lo": "min1", "hi": "max1", "s": "sum1"},
                  {"n": "n2", "lo": "min2", "hi": "max2", "s": "sum2"})
     return j.select(
         *TRIP_KEY,
@@ -165,72 +165,71 @@ def counted_legs(legs: DataFrame) -> DataFrame:
     return legs.groupBy(*LEG_KEY, "delay", "dep").agg(F.count(F.lit(1)).alias("c"))
 
 
-def _k_best_candidates(counted: DataFrame, k: int) -> DataFrame:
-    """Per leg key: its k best flights, each carrying the key's flight count.
+def _k_best_legs(counted: DataFrame, k: int) -> DataFrame:
+    """Per leg key: the sorted list ``best`` of its k best flights (delay, dep)
+    and the number ``n`` of all its flights.
 
     Equal flights (leg key, delay, departure) are counted first, with a
     partial count before the shuffle. That exchange hashes on six real values,
     so a hot leg key is spread, a recomputed task sends its rows to the same
-    place, and AQE may resize it; both the count per leg key and the k best
-    start from its (fenced) result. A flight that stands for ``c`` equal ones
-    is expanded to as many rows as the k best still have room for.
+    place, and AQE may resize it. A flight that stands for ``c`` equal ones
+    is in the list as often as the k best still have room for. The fence lies
+    above that count: each side of the join ranks its own leg only.
     """
-    same = _fence(counted)
-    w = Window.partitionBy(*LEG_KEY).orderBy(F.col("delay").asc(), F.col("dep").asc())
-    before = F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("c")
-    top = (same.select("*", F.row_number().over(w).alias("_r"), before.alias("_before"))
-           .filter((F.col("_r") <= k) & (F.col("_before") < k))
-           .select(*LEG_KEY, "delay", "dep", F.explode(F.sequence(
-               F.lit(1), F.least(F.col("c"), F.lit(k) - F.col("_before")).cast("int"))).alias("_i"))
-           .drop("_i"))
-    counts = same.groupBy(*LEG_KEY).agg(F.sum("c").alias("n"))
-    return top.join(counts, LEG_KEY)
+    key = Window.partitionBy(*LEG_KEY)
+    before = (F.sum("c").over(key.orderBy("delay", "dep").rowsBetween(Window.unboundedPreceding, 0)) - F.col("c"))
+    top = (_fence(counted).select("*", F.sum("c").over(key).alias("n"), before.alias("_before"))
+           .filter(F.col("_before") < k)
+           .withColumn("_times", F.least(F.col("c"), F.lit(k) - F.col("_before")).cast("int")))
+    best = F.sort_array(F.collect_list(F.struct("delay", "dep", "_times")))
+    return top.groupBy(*LEG_KEY).agg(F.max("n").alias("n"), best.alias("_best")).select(
+        *LEG_KEY, "n", F.flatten(F.transform("_best", lambda x: F.array_repeat(
+            F.struct(x["delay"].alias("delay"), x["dep"].alias("dep")), x["_times"]))).alias("best"))
 
 
 def _k_best_pairs(counted: DataFrame, k: int) -> DataFrame:
-    """Candidate pairs of each trip: at most k first and k second legs meet."""
-    j = _pair_up(_k_best_candidates(counted, k), {"dep": "dep1", "delay": "delay1", "n": "n1"},
-                 {"dep": "dep2", "delay": "delay2", "n": "n2"})
-    return j.withColumns({"total_delay": F.col("delay1").cast("long") + F.col("delay2"),
-                          "n_pairs": F.col("n1") * F.col("n2")})
+    """One row per trip: ``n_pairs`` and ``_pairs``, its k best pairs in order of
+    (total, dep1, dep2, delay1).
 
-
-def _by_rank():
-    return Window.partitionBy(*TRIP_KEY).orderBy("total_delay", "dep1", "dep2", "delay1")
+    One row per leg key meets the other leg's rows, and a trip's pairs are
+    made and sorted inside its row, so no pair is shuffled or spilled. Pair
+    (i, j) of the two sorted lists has i * j - 1 pairs before it that are no
+    worse, so only those with i * j <= k are made (27 for k = 10).
+    """
+    j = _pair_up(_k_best_legs(counted, k), {"best": "best1", "n": "n1"}, {"best": "best2", "n": "n2"})
+    made = F.flatten(F.transform("best1", lambda a, i: F.transform(
+        F.slice("best2", F.lit(1), F.floor(F.lit(k) / (i + 1)).cast("int")),
+        lambda b: F.struct((a["delay"].cast("long") + b["delay"]).alias("total"), a["dep"].alias("dep1"),
+                           b["dep"].alias("dep2"), a["delay"].alias("delay1"), b["delay"].alias("delay2")))))
+    return j.select(*TRIP_KEY, (F.col("n1") * F.col("n2")).alias("n_pairs"),
+                    F.slice(F.sort_array(made), 1, k).alias("_pairs"))
 
 
 def k_best_itineraries(legs: DataFrame, k: int) -> DataFrame:
     """The k best pairs per trip, ranked by (total, dep1, dep2), exact.
 
-    Each leg keeps its k best flights per (route, day), the join sees at most
-    k*k candidates per trip, and a per-trip row_number keeps k. Any pair
-    using a first leg outside its k best is beaten or tied by k pairs with
-    the same second leg (ties are identical output rows), so the result is
-    the exact k-best multiset of all pairs. Also carries n_pairs.
+    Each leg keeps its k best flights per (route, day). Any pair using a first
+    leg outside its k best is beaten or tied by k pairs with the same second
+    leg (ties are identical output rows), so the result is the exact k-best
+    multiset of all pairs. Also carries n_pairs.
     """
-    return (_k_best_pairs(counted_legs(legs), k).withColumn("rank", F.row_number().over(_by_rank()))
-            .filter(F.col("rank") <= k)
-            .select(*TRIP_KEY, "dep1", "dep2", "delay1", "delay2", "total_delay", "rank", "n_pairs"))
+    return (_k_best_pairs(counted_legs(legs), k)
+            .select(*TRIP_KEY, "n_pairs", F.posexplode("_pairs").alias("_at", "_p"))
+            .select(*TRIP_KEY, "_p.dep1", "_p.dep2", "_p.delay1", "_p.delay2", F.col("_p.total").alias("total_delay"),
+                    (F.col("_at") + 1).alias("rank"), "n_pairs"))
 
 
 def itinerary_lists(legs: DataFrame, k: int) -> DataFrame:
     """AGG-6: per trip, the k best pairs as a sorted ``ARRAY<STRUCT<total,
-    dep1, dep2>>`` plus the exact number of all pairs.
-
-    The list is the frame of k rows that begins at a trip's best pair, so it
-    comes sorted out of the same window that ranks, with no aggregate after it
-    and never more than k elements.
-    """
+    dep1, dep2>>`` plus the exact number of all pairs."""
     return lists_of_counted(counted_legs(legs), k)
 
 
 def lists_of_counted(counted: DataFrame, k: int) -> DataFrame:
     """``itinerary_lists`` of legs that are counted already (``counted_legs``)."""
-    pair = F.struct(F.col("total_delay").alias("total"), F.col("dep1"), F.col("dep2"))
-    return (_k_best_pairs(counted, k)
-            .withColumns({"pairs": F.collect_list(pair).over(_by_rank().rowsBetween(0, k - 1)),
-                          "rank": F.row_number().over(_by_rank())})
-            .filter(F.col("rank") == 1).select(*TRIP_KEY, "n_pairs", "pairs"))
+    pairs = F.transform("_pairs", lambda p: F.struct(p["total"].alias("total"), p["dep1"].alias("dep1"),
+                                                     p["dep2"].alias("dep2")))
+    return _k_best_pairs(counted, k).select(*TRIP_KEY, "n_pairs", pairs.alias("pairs"))
 
 
 def itinerary_labels(best: DataFrame) -> DataFrame:

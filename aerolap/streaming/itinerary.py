@@ -120,7 +120,7 @@ def start_itinerary_lists(parsed: DataFrame, out_path: str, checkpoint: str, k:
     departure) of the open days, with the number of equal ones; both legs of a
     trip carry the trip's start day, so they close and leave the state in the
     same trigger, and ``foreachBatch`` pairs the closed days with the batch
-    code (at most k by k candidates a trip). A join of two streams would keep
+    code (no pair leaves its trip's row). A join of two streams would keep
     the same rows and form all pairs before any list is cut.
     """
     counted = _closed_days(parsed, ["delay", "dep"], F.count(F.lit(1)).alias("c"), lateness, gap_days)

@@ -127,3 +127,15 @@ def test_flight_view_without_broadcast_shuffles_lineitem_three_times(spark):
                 below.append(x)
             shuffles += any("FileScan parquet [l_orderkey" in x for x in below)
     assert shuffles == 3
+
+
+def test_no_pair_is_sorted_or_shuffled(spark):
+    """A trip's pairs are made inside its row: no window, sort or exchange above
+    the join of the two legs."""
+    from aerolap.operators.itinerary import k_best_itineraries
+
+    legs = leg_candidates(flight_view(spark, SF_SMALL))
+    for df in (itinerary_lists(legs, 10), k_best_itineraries(legs, 10)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[:plan.index("Join Inner")]
+        assert "Window" not in above and "Sort" not in above and "Aggregate" not in above
