@@ -139,3 +139,16 @@ def test_no_pair_is_sorted_or_shuffled(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         above = plan[:plan.index("Join Inner")]
         assert "Window" not in above and "Sort" not in above and "Aggregate" not in above
+
+
+def test_parsing_is_compiled_not_interpreted(spark):
+    """Generators are evaluated row by row by an interpreter: the parse barriers
+    hold column references only."""
+    from aerolap.sources.csv import fields_by_header, parse_concise, typed_from_fields
+    from aerolap.schema import RAW_HEADER_NAMES
+
+    lines = spark.createDataFrame([("AA,ORD,LAX,1,2,0800,2008,1,5,6,1", "")], "value string, header string")
+    for df in (parse_concise(lines), typed_from_fields(fields_by_header(lines, [",".join(RAW_HEADER_NAMES)]))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        barriers = [line for line in plan.splitlines() if "Generate inline" in line]
+        assert barriers and not any("cast(" in b or "from_csv" in b or "filter(" in b for b in barriers)

@@ -130,3 +130,23 @@ def test_key_value_parts_survive(spark, tmp_dir):
     with open(f"{tmp_dir}/short.txt", "w") as fh:
         fh.write("only\n")
     assert tuple(read_kv_text(spark, f"{tmp_dir}/short.txt", ["a", "b"], ["n"]).first()) == ("only", None, None)
+
+
+def test_split_lines_are_what_the_csv_parser_reads(spark):
+    """Lines that are split at their commas against the parser's fields."""
+    from pyspark.sql import functions as F
+
+    from aerolap.schema import CONCISE_DDL, CONCISE_FIELDS
+    from aerolap.sources.csv import CSV_OPTIONS, field_at, field_count, split_line
+
+    row = "AA,ORD,LAX,5.00,7.00,0930,2008,1,2,3,19805"
+    lines = [row, row + ",x,", row[:9], "a", ",", ",,,", "\t", " a ,\t, b", "é�,\\,'", 'a,"b,c",d', 'a"b,c', '"open,',
+             "a,b\nc,d", "a\rb,c", "\0a,b", "#a,b", ",".join("ab" * 30), "x" * 25_000 + ",b", "", "  "]
+    df = split_line(spark.createDataFrame([(x,) for x in lines], "v string"), "v", CONCISE_DDL, CSV_OPTIONS)
+    both = df.select(
+        "v", "_n", field_count(F.col("v")).alias("count"), F.col("_parts").isNotNull().alias("split"),
+        F.struct(*(F.nullif(field_at(i, n), F.lit("")).alias(n) for i, n in enumerate(CONCISE_FIELDS))).alias("got"),
+        F.from_csv("v", CONCISE_DDL, CSV_OPTIONS).alias("want")).collect()
+    assert sum(r.split for r in both) == 11
+    for r in both:
+        assert tuple(r.got) == tuple(x or None for x in r.want) and r._n == r["count"], r.v
