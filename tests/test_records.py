@@ -77,3 +77,28 @@ def test_raw_files_with_a_mark_and_rows_like_the_header(spark, tmp_dir, tiny_spl
     open(f"{tmp_dir}/none.csv", "w").close()
     got = sorted((r.origin, r.reject_reason) for r in typed_from_fields(read_raw(spark, tmp_dir)).collect())
     assert got == [("ORD", None)] * 2 + [("Origin", "bad number")] * 2
+
+
+def test_records_within_a_block_are_not_shuffled(spark, tmp_dir):
+    with open(f"{tmp_dir}/n.csv", "w") as f:
+        f.write("head,note\n" + 'a,"two\nlines"\nb,plain\n' * 500)
+    df = records(spark, tmp_dir)
+    assert "Exchange hashpartitioning(file" not in df._jdf.queryExecution().executedPlan().toString().split("Broadcast")[0]
+    got = by_file(df)["n.csv"]
+    assert got == [(1, "head,note")] + [(n + 2, 'a,"two\nlines"' if n % 2 == 0 else "b,plain") for n in range(1000)]
+
+
+def test_long_records_amid_short_ones(spark, tmp_dir, tiny_splits):
+    """Records longer than ``max_lines`` are given by line, in one block or not."""
+    rng = random.Random(3)
+    text, want = "", []
+    for n in range(1, 120):
+        lines = rng.choice([1, 2, 5, 6, 7, 30])
+        record = [f"{n}"] if lines == 1 else ['"a', *(["x"] * (lines - 2)), f'{n}"']
+        text += "".join(f"{x}\n" for x in record)
+        want += [(n, x) for x in record] if lines > 6 else [(n, "\n".join(record))]
+    with open(f"{tmp_dir}/l.csv", "w") as f:
+        f.write(text)
+    assert by_file(records(spark, tmp_dir, max_lines=6))["l.csv"] == sorted(want)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10m")
+    assert by_file(records(spark, tmp_dir, max_lines=6))["l.csv"] == sorted(want)
