@@ -8,6 +8,7 @@ stay in place.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aerolap.plans import jobs
@@ -133,48 +134,107 @@ def op_zip_ingest(spark, sf_dir):
     return typed.select(*FLIGHT_COLUMNS, "reject_reason")
 
 
-def _zip_folders(spark, src, dst):
-    """One archive per folder of CSV files below ``src``; the archive of
-    ``cut`` loses its second half, that of ``none`` all its bytes."""
+class _Sink:
+    """A stream for zipfile that counts what is written and passes on the first
+    ``upto`` bytes (all without it)."""
+
+    def __init__(self, out=None, upto: int | None = None):
+        self.out, self.upto, self.size = out, upto, 0
+
+    def write(self, data) -> int:
+        if self.out is not None:
+            keep = data if self.upto is None else bytes(data)[:max(0, self.upto - self.size)]
+            if keep:
+                self.out.write(keep)
+        self.size += len(data)
+        return len(data)
+
+    def flush(self) -> None:
+        pass
+
+
+def _zip_into(sink: _Sink, folder: str, paths) -> int:
+    """An archive of files, a megabyte at a time; its size in bytes."""
+    import zipfile
+
+    from aerolap.sources.files import open_binary
+
+    with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as zf:
+        for p in paths:
+            with open_binary(p) as fin, zf.open(f"{folder}/{p.rsplit('/', 1)[-1]}", "w", force_zip64=True) as member:
+                while buf := fin.read(1 << 20):
+                    member.write(buf)
+    return sink.size
+
+
+#: Bytes of files in one archive, beyond which a folder's files go on in another.
+ARCHIVE_BYTES = 256 << 20
+
+
+def _zip_folders(spark, src, dst, archive_bytes=ARCHIVE_BYTES):
+    """Archives of the folders of CSV files below ``src``, a task an archive:
+    one per folder, and another for each further ``archive_bytes`` of its files.
+    The archive of ``cut`` loses its second half, that of ``none`` all its
+    bytes; each is a single one, so that it is one fault."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.csv").load(src).select(F.col("_metadata.file_path").alias("path")))
-    folders = files.groupBy(F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("folder")).agg(
-        F.sort_array(F.collect_list("path")).alias("paths"))
+             .option("pathGlobFilter", "*.csv").load(src)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+             .withColumn("folder", F.regexp_extract("path", "([^/]+)/[^/]+$", 1)))
+    before = F.sum("size").over(Window.partitionBy("folder").orderBy("path")) - F.col("size")
+    part = F.when(F.col("folder").isin("cut", "none"), F.lit(0)).otherwise(F.floor(before / archive_bytes))
+    archives = (files.withColumn("part", part).groupBy("folder", "part")
+                .agg(F.sort_array(F.collect_list("path")).alias("paths"), F.sum("size").alias("size")))
+    # few rows, each much work: one a task, whatever AQE would merge
+    tasks = archives.count()
+    order = Window.orderBy(F.desc("size"), "folder", "part")
+    dealt = (archives.withColumn("task", F.row_number().over(order) - 1).repartitionById(max(1, tasks), "task")
+             .select("folder", "part", "paths"))
 
     def compress(batches):
-        import io
-        import zipfile
-
         import pandas as pd
+        from pyspark import TaskContext
 
-        from aerolap.sources.files import open_binary
+        from aerolap.sources.files import move, open_binary
 
+        attempt = TaskContext.get().taskAttemptId()
         for pdf in batches:
-            for folder, paths in zip(pdf["folder"], pdf["paths"]):
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as zf:
-                    for p in paths:
-                        with open_binary(p) as fin:
-                            zf.writestr(f"{folder}/{p.rsplit('/', 1)[-1]}", fin.read())
-                data = buffer.getvalue()
-                data = {"cut": data[:len(data) // 2], "none": b""}.get(folder, data)
-                with open_binary(f"{dst}/{folder}.zip", "wb") as out:
-                    out.write(data)
+            for folder, n, paths in zip(pdf["folder"], pdf["part"], pdf["paths"]):
+                target = f"{dst}/{folder}{f'-{n}' if n else ''}.zip"
+                tmp = f"{target}._tmp-{attempt}"
+                upto = {"cut": lambda: _zip_into(_Sink(), folder, paths) // 2, "none": lambda: 0}.get(folder)
+                with open_binary(tmp, "wb") as out:
+                    if folder != "none":
+                        _zip_into(_Sink(out, upto() if upto else None), folder, paths)
+                move(tmp, target)
             yield pd.DataFrame({"folder": pdf["folder"]})
 
-    return folders.mapInPandas(compress, "folder STRING").count()
+    return dealt.mapInPandas(compress, "folder STRING").count()
+
+
+#: Rows of a large member and of a small one, beyond which there are more of them.
+LARGE_ROWS, SMALL_ROWS = 2_000_000, 100_000
 
 
 @register("op_zip_members", O.ZIP_MEMBERS)
 def op_zip_members(spark, sf_dir):
-    """A tree with one large member, many small ones, an archive cut off in the
-    middle and an empty one: all flights, and a rejected row for each fault."""
+    """A tree with large members, many small ones, an archive cut off in the
+    middle and an empty one: all flights, and a rejected row for each fault.
+
+    No member can be read by two tasks, so one that held a share of all flights
+    would grow with the tables: there is one large member per ``LARGE_ROWS``."""
     from aerolap.sources.files import read_zipped
     raw, zips = scratch_path(spark, "raw"), scratch_path(spark, "zip")
-    fields = concise_fields(spark, sf_dir)
+    staged = scratch_path(spark, "fields")
+    concise_fields(spark, sf_dir).write.parquet(staged)      # joined once for the four folders
+    fields = spark.read.parquet(staged)
     few = F.coalesce(F.col("bucket") == 3, F.lit(False))
-    C.write_raw(fields.where(~few).coalesce(1), f"{raw}/large", RAW_HEADER_NAMES)
-    C.write_raw(fields.where(few).repartition(24, "origin", "dest", "carrier"), f"{raw}/small", list(reversed(RAW_HEADER_NAMES)))
+    n_few = fields.where(few).count()
+    n_large = fields.count() - n_few
+    large = fields.where(~few)
+    pieces = max(1, -(-n_large // LARGE_ROWS))
+    C.write_raw(large.coalesce(1) if pieces == 1 else large.repartition(pieces), f"{raw}/large", RAW_HEADER_NAMES)
+    C.write_raw(fields.where(few).repartition(max(24, -(-n_few // SMALL_ROWS)), "origin", "dest", "carrier", "airline_id"),
+                f"{raw}/small", list(reversed(RAW_HEADER_NAMES)))
     for name in ("cut", "none"):
         C.write_raw(fields.where(few), f"{raw}/{name}", RAW_HEADER_NAMES)
     _zip_folders(spark, raw, zips)

@@ -72,3 +72,24 @@ def test_members_are_dealt_largest_first(spark, tmp_dir):
 def test_an_empty_tree_has_no_members(spark, tmp_dir):
     archive(f"{tmp_dir}/none.zip", {})
     assert read_zipped(spark, tmp_dir).count() == 0
+
+
+def test_a_folder_of_any_size_is_zipped_piece_by_piece(spark, tmp_dir):
+    """Archives are bounded by their files' bytes and written as a stream."""
+    from aerolap.plans.registry_io import _zip_folders
+
+    for folder in ("large", "cut", "none"):
+        os.makedirs(f"{tmp_dir}/raw/{folder}")
+        for i in range(6):
+            with open(f"{tmp_dir}/raw/{folder}/{i}.csv", "w") as f:
+                f.write(csv_text(100))
+    size = os.path.getsize(f"{tmp_dir}/raw/large/0.csv")
+    _zip_folders(spark, f"{tmp_dir}/raw", f"{tmp_dir}/zip", archive_bytes=2 * size)
+    assert sorted(os.listdir(f"{tmp_dir}/zip")) == sorted(
+        x for x in os.listdir(f"{tmp_dir}/zip") if x.endswith(".zip") or x.endswith(".crc"))
+    names = sorted(x for x in os.listdir(f"{tmp_dir}/zip") if x.endswith(".zip"))
+    assert names == ["cut.zip", "large-1.zip", "large-2.zip", "large.zip", "none.zip"]
+    assert os.path.getsize(f"{tmp_dir}/zip/none.zip") == 0
+    rows = read_zipped(spark, f"{tmp_dir}/zip")
+    assert accepted(typed_from_fields(rows)).count() == 600
+    assert sorted(os.path.basename(r.archive) for r in quarantined(rows).collect()) == ["cut.zip", "none.zip"]
