@@ -42,15 +42,20 @@ def record(messages: DataFrame, at: Column, path: str, rows_per_file: int = 1_00
     the timestamp ``at``. Returns ``span(path)``.
 
     One range shuffle on (time, hash of the message): a time that holds many
-    messages is spread over several files. A path takes one recording.
+    messages is spread over several files. Its bounds take a pass of their own,
+    so the messages are stored before, and made once. A path takes one recording.
     """
     spark, path = messages.sparkSession, path.rstrip("/")
     if commits.numbers(f"{path}/_index"):
         raise ValueError(f"{path} holds a recording")
     data = f"{path}/data-{uuid.uuid4().hex[:12]}"
-    (messages.select("value", F.unix_micros(at).alias("at"))
+    made = f"{path}/made-{uuid.uuid4().hex[:12]}"
+    messages.select("value", F.unix_micros(at).alias("at")).write.parquet(made)
+    (spark.read.schema(SCHEMA).parquet(made)
      .repartitionByRange(F.col("at"), F.xxhash64("value")).sortWithinPartitions("at")
      .write.option("maxRecordsPerFile", rows_per_file).parquet(data))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(made)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     # one row per file of the recording
     files = [[r["file"], r["lo"], r["hi"], r["undated"] > 0, r["n"]] for r in
              spark.read.schema(SCHEMA).parquet(data).groupBy(F.col("_metadata.file_name").alias("file"))

@@ -98,3 +98,20 @@ def test_empty_recordings_and_wrong_use(spark, tmp_dir):
     for wrong in ({"reader": ""}, {"reader": "r", "speed": "0"}):
         with pytest.raises(ValueError):
             RecordingReader({"path": path} | wrong)
+
+
+def test_messages_of_a_recording_are_made_once(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from aerolap.sources.recording import record
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    messages = spark.range(500).select(F.col("id").cast("string").alias("value")).mapInArrow(count, "value string")
+    whole = record(messages, F.timestamp_seconds(F.col("value").cast("bigint")), f"{tmp_dir}/r")
+    assert whole["messages"] == 500 and made.value == 500
