@@ -51,8 +51,13 @@ def flight_date(year: ColumnOrName, month: ColumnOrName,
 
 
 def date_of_parts(year: Column, month: Column, day: Column) -> Column:
-    """``flight_date`` of parts that are integers already."""
-    return F.concat_ws("-", year, month, day).try_cast("date")
+    """``flight_date`` of parts that are integers already.
+
+    Days that every month has are made from the numbers; only the others (and
+    unusual years) go through text, which tells impossible dates.
+    """
+    usual = year.between(1000, 9999) & month.between(1, 12) & day.between(1, 28)
+    return F.when(usual, F.make_date(year, month, day)).otherwise(F.concat_ws("-", year, month, day).try_cast("date"))
 
 
 def format_day(c: ColumnOrName) -> Column:

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolap.functions.parse import date_of_parts, parse_int, trunc_minutes
+from aerolap.functions.parse import date_of_parts
 from aerolap.schema import CONCISE_DDL, CONCISE_FIELDS, FLIGHT_COLUMNS, RAW_HEADER_NAMES
 from aerolap.session import scratch_path
 from aerolap.sources.records import records
@@ -61,7 +61,8 @@ def split_line(lines: DataFrame, line: str, ddl: str, options: dict) -> DataFram
     parser too, whose rules for them are not those of a split.
     """
     v = F.col(line)
-    plain = (F.length(v) < 20_000) & (F.trim(v) != "")
+    # octets are known, characters are counted: only for lines that may be too long
+    plain = ((F.octet_length(v) < 20_000) | (F.length(v) < 20_000)) & (F.trim(v) != "")
     for special in ('"', "\n", "\r", "\0"):
         plain = plain & ~F.contains(v, F.lit(special))
     split = lines.select("*", F.when(plain, F.split(v, ",", -1)).alias("_parts"))
@@ -85,22 +86,25 @@ def typed_from_fields(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Eleven text fields -> typed flight columns + ``REPORT_COLUMNS``.
 
     ``df`` may carry ``missing_fields`` (text fields beyond the end of a short
-    line), ``raw_line`` and ``fault`` (why a whole file could not be read, up to
-    a colon the reject reason); without them no field counts as missing and
-    the raw line is NULL.
+    line), ``raw_line``, ``fault`` (why a whole file could not be read, up to
+    a colon the reject reason) and ``suspect`` (whether any field may hold
+    undecodable bytes); without them no field counts as missing, the raw line is
+    NULL and every field is looked at.
     """
     missing = (F.col("missing_fields") if "missing_fields" in df.columns
                else F.array().cast("array<string>"))
     raw = F.col("raw_line") if "raw_line" in df.columns else F.lit(None).cast("string")
     fault = F.col("fault") if "fault" in df.columns else F.lit(None).cast("string")
+    suspect = F.col("suspect") if "suspect" in df.columns else F.lit(True)
     # Steps of plain projections: what a later step reads more than once is a
     # column of an earlier one, so it is computed once a row (Catalyst does not
     # merge such projections).
-    texts = df.select(*keep, raw.alias("_raw"), fault.alias("_fault"), missing.alias("_missing"),
+    texts = df.select(*keep, raw.alias("_raw"), fault.alias("_fault"), missing.alias("_missing"), suspect.alias("_suspect"),
                       *(F.nullif(F.col(n), F.lit("")).alias(f"_{n}") for n in CONCISE_FIELDS))
     c = {n: F.col(f"_{n}") for n in CONCISE_FIELDS}
-    read = {n: trunc_minutes(c[n]) for n in ("dep_delay_min", "arr_delay_min")}
-    read |= {n: parse_int(c[n]) for n in ("dep_time", "day_of_week", *_READ_FROM["flight_date"])}
+    # these casts skip blanks at both ends by themselves
+    read = {n: c[n].try_cast("float").try_cast("int") for n in ("dep_delay_min", "arr_delay_min")}
+    read |= {n: c[n].try_cast("int") for n in ("dep_time", "day_of_week", *_READ_FROM["flight_date"])}
     numbers = texts.select("*", *(value.alias(f"_{n}_read") for n, value in read.items()))
     garbled = {n: F.coalesce(F.contains(c[n], F.lit("\ufffd")), F.lit(False)) for n in CONCISE_FIELDS}
 
@@ -115,7 +119,7 @@ def typed_from_fields(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     day = date_of_parts(*(F.col(f"_{n}_read") for n in _READ_FROM["flight_date"]))
     flagged = numbers.select("*", day.alias("_day"), bad_part.alias("_bad_part"),
                              any_of(unread[n] for n in read if n not in _READ_FROM["flight_date"]).alias("_bad_number"),
-                             any_of(garbled.values()).alias("_garbled"))
+                             (F.col("_suspect") & any_of(garbled.values())).alias("_garbled"))
     bad_day = F.col("_day").isNull()
     for n in _READ_FROM["flight_date"]:
         bad_day = bad_day & c[n].isNotNull()
@@ -171,7 +175,8 @@ def parse_concise(lines: DataFrame, value_col: str = "value", keep: Sequence[str
     blank = F.col("raw_line").isNull() | (F.trim(F.col("raw_line")) == "")
     missing = (F.when(blank, names).when(F.col("_n") >= len(CONCISE_FIELDS), F.array().cast("array<string>"))
                .otherwise(F.slice(names, F.col("_n") + 1, len(CONCISE_FIELDS))))
-    out = typed_from_fields(split.select(*keep, "raw_line", missing.alias("missing_fields"),
+    suspect = F.coalesce(F.contains("raw_line", F.lit("\ufffd")), F.lit(False))
+    out = typed_from_fields(split.select(*keep, "raw_line", missing.alias("missing_fields"), suspect.alias("suspect"),
                                          *(field_at(i, n).alias(n) for i, n in enumerate(CONCISE_FIELDS))), keep=keep)
     return _fail_on_faults(out) if strict else out
 

@@ -116,3 +116,18 @@ def test_strict_mode_raises(spark):
     df = parse_concise(lines_df(spark, ["AA,ORD"]), strict=True)
     with pytest.raises((PySparkException, Py4JJavaError)):
         df.collect()
+
+
+def test_numbers_with_blanks_and_garbled_lines_are_read_as_before(spark):
+    """Blanks around numbers do not count; undecodable bytes are reported for
+    the field that holds them, quoted or not."""
+    from aerolap.sources.csv import parse_concise
+    lines = [b"AA,ORD,LAX, 12.9 , -3.7, 0930 , 2008, 05 ,29 , 4 ,1", b"AA,ORD,LAX,  ,x, ,2008,2,30,4,1",
+             b"AA,\xff,LAX,1,2,0930,2008,5,6,1,1", b'"A,A",ORD,"\xfe",1,2,0930,2008,5,6,1,1']
+    df = spark.createDataFrame([(bytearray(x),) for x in lines], "b binary").selectExpr("CAST(b AS STRING) AS value")
+    a, b, c, d = parse_concise(df).collect()
+    assert (a.dep_delay_min, a.arr_delay_min, a.dep_time, str(a.flight_date), a.day_of_week) == (12, -3, 930, "2008-05-29", 4)
+    assert a.reject_reason is None and a.bad_fields == []
+    assert b.bad_fields == ["dep_delay_min", "arr_delay_min", "dep_time", "flight_date"] and b.reject_reason == "bad number"
+    assert (c.bad_fields, c.reject_reason) == (["origin"], "bad encoding")
+    assert (d.carrier, d.bad_fields, d.reject_reason) == ("A,A", ["dest"], "bad encoding")

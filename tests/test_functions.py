@@ -69,3 +69,22 @@ def test_concise_line_roundtrip(spark, rows):
     back = parse_concise(lines).select("carrier", "origin", "dest", "reject_reason").collect()
     assert sorted((r.carrier, r.origin, r.dest) for r in back) == sorted(rows)
     assert all(r.reject_reason is None or r.reject_reason == "invalid date" for r in back)
+
+
+def test_date_of_parts_makes_the_days_that_text_makes(spark):
+    """All months' ends, missing and impossible parts: the same day as through text."""
+    from aerolap.functions.parse import date_of_parts
+    odd = [None, -1, 0, 1, 2, 4, 12, 13, 28, 29, 30, 31, 32, 999, 1000, 1900, 2000, 2008, 9999, 10000, 123456]
+    n = spark.createDataFrame([(v,) for v in odd], "n int")
+    rows = n.toDF("y").crossJoin(n.toDF("m")).crossJoin(n.toDF("d"))
+    text = F.concat_ws("-", "y", "m", "d").try_cast("date")
+    got = rows.where(~date_of_parts(F.col("y"), F.col("m"), F.col("d")).eqNullSafe(text))
+    assert got.count() == 0
+    assert rows.where(text.isNotNull()).count() > 100
+
+
+def test_usual_days_are_made_without_text(spark):
+    from aerolap.functions.parse import date_of_parts
+    rows = spark.createDataFrame([(2008, 5, 6)], "y int, m int, d int")
+    plan = rows.select(date_of_parts(F.col("y"), F.col("m"), F.col("d")))._jdf.queryExecution().analyzed().toString()
+    assert "make_date(" in plan
