@@ -193,3 +193,20 @@ def test_replay_takes_every_staged_part(spark, tmp_dir):
 
     replay(spark, staged, f"{tmp_dir}/in", start)
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 3
+
+
+def test_parts_are_found_without_a_look_at_their_lines(spark, tmp_dir):
+    """The folders name the parts: files that cannot be read still tell them."""
+    import glob
+
+    from aerolap.streaming.replay import parts_of, stage
+
+    lines = spark.createDataFrame([(f"line {i}", i % 3) for i in range(30)], "value string, bucket int").coalesce(1)
+    staged = stage(lines, f"{tmp_dir}/staged")
+    for path in glob.glob(f"{staged}/bucket=*/*.parquet"):
+        with open(path, "wb") as f:
+            f.write(b"no parquet")
+        crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    assert parts_of(spark, staged) == [0, 1, 2]
