@@ -121,14 +121,15 @@ def start_itinerary_lists(parsed: DataFrame, out_path: str, checkpoint: str, k:
     trip carry the trip's start day, so they close and leave the state in the
     same trigger, and ``foreachBatch`` pairs the closed days with the batch
     code (no pair leaves its trip's row). A join of two streams would keep
-    the same rows and form all pairs before any list is cut.
+    the same rows and form all pairs before any list is cut. The state grows
+    with the flights of the open days, so it lies on disk (``start_stream``).
     """
     counted = _closed_days(parsed, ["delay", "dep"], F.count(F.lit(1)).alias("c"), lateness, gap_days)
     build = lambda df, _id: lists_of_counted(df, k)
     writer = (counted.writeStream.outputMode("append")
               .foreachBatch(batch_writer(out_path, build, reread=True))
               .option("checkpointLocation", checkpoint))
-    return start_stream(_trigger(writer, trigger), parsed.sparkSession, state_partitions)
+    return start_stream(_trigger(writer, trigger), parsed.sparkSession, state_partitions, state_on_disk=True)
 
 
 def _closed_days(parsed: DataFrame, also: list[str], value, lateness: str, gap_days: int) -> DataFrame:

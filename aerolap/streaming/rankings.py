@@ -126,7 +126,14 @@ def _trigger(writer, trigger):
     return writer.trigger(processingTime=trigger or "10 seconds")
 
 
-def start_stream(writer, spark, state_partitions: int | None = None) -> StreamingQuery:
+# State in RocksDB, each commit as a log of its changes.
+_STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+def start_stream(writer, spark, state_partitions: int | None = None, state_on_disk: bool = False) -> StreamingQuery:
     """Start ``writer``; ``state_partitions`` sets the state store width.
 
     A stateful query fixes its number of state partitions from
@@ -135,16 +142,25 @@ def start_stream(writer, spark, state_partitions: int | None = None) -> Streamin
     partitions; a stream's state usually wants about one per core. The
     stream copies the session's settings when it starts, so the value is
     set only around ``start()``.
+
+    ``state_on_disk``: the state lies in RocksDB on the executors' disks, not in
+    their heaps: for streams whose state grows with the rows. A checkpoint that
+    was begun with the other kind keeps it.
     """
-    if state_partitions is None:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+    conf = dict(_STATE_ON_DISK) if state_on_disk else {}
+    if state_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    old = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
     try:
         return writer.start()
     finally:
-        spark.conf.set(key, old)
+        for key, value in old.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def start_ranking(parsed: DataFrame, job: RankingJob, out_path: str, checkpoint: str,

@@ -160,6 +160,21 @@ def test_lists_over_legs_from_different_batches(spark, tmp_dir):
     assert run("e", "FLUSH,S,T,0,0,0900,2999,1,1,2,0") == (1, trip, 1)
 
 
+def test_flights_of_open_days_are_kept_on_disk(spark, tmp_dir):
+    """The lists' state has a row per flight: it is not held in the heap, and the
+    session's own settings are as before."""
+    names = ("spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions",
+             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")
+    before = [spark.conf.get(n, None) for n in names]
+    feed(tmp_dir, "a", LEGS)
+    q = start_itinerary_lists(stream(spark, tmp_dir), f"{tmp_dir}/out", f"{tmp_dir}/ck", k=2,
+                              trigger="available_now", state_partitions=2)
+    assert [spark.conf.get(n, None) for n in names] == before
+    run_until_done(q)
+    state = q.recentProgress[0]["stateOperators"][0]
+    assert state["numShufflePartitions"] == 2 and any(m.startswith("rocksdb") for m in state["customMetrics"])
+
+
 def test_console_shows_rows_of_one_evaluation(spark, tmp_dir, capsys):
     feed(tmp_dir, "a", [*(f"AA,X{i},Y,1,1,0900,2008,1,5,6,1" for i in range(50)), LEGS[2]])
     run_until_done(start_itinerary(stream(spark, tmp_dir), f"{tmp_dir}/out", f"{tmp_dir}/ck", k=3,
