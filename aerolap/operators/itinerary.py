@@ -4,7 +4,7 @@ A first leg X->Y departs before noon on day d; a second leg Y->Z departs
 after noon on day d+2. A pair joins on (Y, d): the second leg's date is moved
 back by ``gap_days`` so both legs carry the trip's start date.
 
-Nothing here enumerates all flight pairs. The pairs of one (X, Y, Z, d) are
+No join here is over flight pairs. The pairs of one (X, Y, Z, d) are
 the product of the X->Y morning flights and the Y->Z afternoon flights of
 that trip, so:
 
@@ -15,6 +15,10 @@ that trip, so:
   a worse first leg is beaten by k pairs with the same second leg), so the
   join sees one row with at most k flights per leg key, and a trip's pairs are
   made and cut inside its own row (``k_best_itineraries``);
+* the **whole lists** are the output that grows with the pairs, so all are
+  made, but only there: one row with all its flights per leg key meets the
+  other leg, and a trip's list is made inside its row (``itinerary_lists``
+  without a ``k``);
 * **all pairs** are summarised exactly from per-leg aggregates: number of
   pairs n1*n2, min and max total, sum of totals n2*S1 + n1*S2
   (``itinerary_pair_summary``).
@@ -219,10 +223,23 @@ def k_best_itineraries(legs: DataFrame, k: int) -> DataFrame:
                     (F.col("_at") + 1).alias("rank"), "n_pairs"))
 
 
-def itinerary_lists(legs: DataFrame, k: int) -> DataFrame:
-    """AGG-6: per trip, the k best pairs as a sorted ``ARRAY<STRUCT<total,
-    dep1, dep2>>`` plus the exact number of all pairs."""
-    return lists_of_counted(counted_legs(legs), k)
+def itinerary_lists(legs: DataFrame, k: int | None) -> DataFrame:
+    """AGG-6: per trip, its pairs as a sorted ``ARRAY<STRUCT<total, dep1, dep2>>``
+    (the k best; all of them if ``k`` is None) plus the exact number of all pairs."""
+    return _whole_lists(legs) if k is None else lists_of_counted(counted_legs(legs), k)
+
+
+def _whole_lists(legs: DataFrame) -> DataFrame:
+    """Every pair of every trip. A leg key's flights are collected into one row
+    (partly before the shuffle), and a trip's list is made and sorted inside its
+    row, so no pair is shuffled or spilled: a task holds one trip's list. That
+    list is one value, so a row's limit of 2 GB (some 60 million pairs) holds."""
+    per_leg = legs.groupBy(*LEG_KEY).agg(F.collect_list(F.struct("delay", "dep")).alias("flights"))
+    j = _pair_up(_fence(per_leg), {"flights": "flights1"}, {"flights": "flights2"})
+    made = F.flatten(F.transform("flights1", lambda a: F.transform("flights2", lambda b: F.struct(
+        (a["delay"].cast("long") + b["delay"]).alias("total"), a["dep"].alias("dep1"), b["dep"].alias("dep2")))))
+    return j.select(*TRIP_KEY, (F.size("flights1").cast("long") * F.size("flights2")).alias("n_pairs"),
+                    F.sort_array(made).alias("pairs"))
 
 
 def lists_of_counted(counted: DataFrame, k: int) -> DataFrame:

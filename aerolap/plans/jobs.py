@@ -127,6 +127,11 @@ def itinerary_k_best(flights: DataFrame, k: int, **kw) -> DataFrame:
     return itinerary_lists(leg_candidates(flights, **kw), k)
 
 
+def itinerary_whole_lists(flights: DataFrame, **kw) -> DataFrame:
+    """AGG-6: per trip all its pairs, sorted, and their number."""
+    return itinerary_lists(leg_candidates(flights, **kw), None)
+
+
 def days_of_week(flights: DataFrame) -> DataFrame:
     """EX-1: days of the week ranked by total arrival delay (mean alongside)."""
     f = require(flights, ["day_of_week", "arr_delay_min"])

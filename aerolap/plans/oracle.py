@@ -193,9 +193,17 @@ def itinerary_summary_sql(**kw) -> str:
     return with_flights(body, leg1, leg2, _PAIRS)
 
 
-def itinerary_lists_sql(k: int = 10, source_ctes: Sequence[str] | None = None,
+# A trip's whole list.
+_WHOLE_LISTS = ("SELECT start_date, src, mid, dst, CAST(count(*) AS BIGINT) AS n_pairs, "
+                "list({'total': total_delay, 'dep1': dep1, 'dep2': dep2} "
+                "ORDER BY total_delay, dep1, dep2) AS pairs FROM pairs GROUP BY start_date, src, mid, dst")
+
+
+def itinerary_lists_sql(k: int | None = 10, source_ctes: Sequence[str] | None = None,
                         extra_key: Sequence[str] = (), **kw) -> str:
     leg1, leg2 = legs_sql(**kw)
+    if k is None:
+        return with_flights(_WHOLE_LISTS, leg1, leg2, _PAIRS)
     body = (f"SELECT start_date, src, mid, dst, CAST(count(*) AS BIGINT) AS n_pairs, "
             f"list({{'total': total_delay, 'dep1': dep1, 'dep2': dep2}} "
             f"ORDER BY total_delay, dep1, dep2) FILTER (WHERE _rn <= {k}) AS pairs "

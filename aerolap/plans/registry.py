@@ -79,10 +79,15 @@ def q_itinerary_all(spark, sf_dir):
     return jobs.itinerary_summary(flight_view(spark, sf_dir))
 
 
+@register("q_itinerary_lists", O.itinerary_lists_sql(k=None))
+def q_itinerary_lists(spark, sf_dir):
+    """Per trip the sorted list of all its pairs."""
+    return jobs.itinerary_whole_lists(flight_view(spark, sf_dir))
+
+
 @register("q_itinerary_k_best", O.itinerary_lists_sql(k=10))
-@register("q_itinerary_lists", O.itinerary_lists_sql(k=10))
 def q_itinerary_k_best(spark, sf_dir):
-    """The ten best pairs per trip (both names: the cut is in k)."""
+    """The ten best pairs per trip."""
     return jobs.itinerary_k_best(flight_view(spark, sf_dir), k=10)
 
 
