@@ -233,7 +233,7 @@ def _whole_lists(legs: DataFrame) -> DataFrame:
     """Every pair of every trip. A leg key's flights are collected into one row
     (partly before the shuffle), and a trip's list is made and sorted inside its
     row, so no pair is shuffled or spilled: a task holds one trip's list. That
-    list is one value, so a row's limit of 2 GB (some 60 million pairs) holds."""
+    list is one value, so a row's limit of 2 GB (some 50 million pairs) holds."""
     per_leg = legs.groupBy(*LEG_KEY).agg(F.collect_list(F.struct("delay", "dep")).alias("flights"))
     j = _pair_up(_fence(per_leg), {"flights": "flights1"}, {"flights": "flights2"})
     made = F.flatten(F.transform("flights1", lambda a: F.transform("flights2", lambda b: F.struct(

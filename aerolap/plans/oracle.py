@@ -439,8 +439,10 @@ STREAM_LEDGER = with_parsed(
                 extra=["window_start", "window_end"]), _LEDGER)
 
 
-def stream_itinerary_lists_sql(k: int = 10, source: str = "parsed") -> str:
+def stream_itinerary_lists_sql(k: int | None = 10, source: str = "parsed") -> str:
     leg1, leg2 = legs_sql(delay_col="dep_delay_min", noon_inclusive=True, source=source)
+    if k is None:
+        return with_parsed(_WHOLE_LISTS, leg1, leg2, _PAIRS)
     return with_parsed(
         f"SELECT start_date, src, mid, dst, CAST(count(*) AS BIGINT) AS n_pairs, "
         f"list({{'total': total_delay, 'dep1': dep1, 'dep2': dep2}} "
@@ -450,7 +452,7 @@ def stream_itinerary_lists_sql(k: int = 10, source: str = "parsed") -> str:
         f"GROUP BY start_date, src, mid, dst", leg1, leg2, _PAIRS)
 
 
-def stream_itinerary_sql(k: int = 10) -> str:
+def stream_itinerary_sql(k: int | None = 10) -> str:
     return " UNION ALL ".join(
         f"SELECT {b} AS batch_id, * FROM ("
         + stream_itinerary_lists_sql(k, f"(SELECT * FROM parsed WHERE bucket = {b})") + ")" for b in range(4))

@@ -432,10 +432,19 @@ def stream_ledger_topk(spark, sf_dir):
     return read_batches(spark, _stream_ledger(spark, sf_dir)).drop("batch_id")
 
 
+@register("stream_itinerary", O.stream_itinerary_sql(k=None))
+def stream_itinerary(spark, sf_dir):
+    """All pairs per trip and batch, sorted."""
+    return _stream_itinerary(spark, sf_dir, None)
+
+
 @register("stream_itinerary_k_best", O.stream_itinerary_sql(k=10))
-@register("stream_itinerary", O.stream_itinerary_sql(k=10))
 def stream_itinerary_k_best(spark, sf_dir):
-    """The ten best pairs per trip and batch (both names: the cut is in k)."""
+    """The ten best pairs per trip and batch."""
+    return _stream_itinerary(spark, sf_dir, 10)
+
+
+def _stream_itinerary(spark, sf_dir, k):
     from aerolap.streaming.itinerary import start_itinerary
     base = scratch_path(spark, "stream-itin")
     staged = _staged_lines(spark, sf_dir, base)
@@ -443,7 +452,7 @@ def stream_itinerary_k_best(spark, sf_dir):
 
     def start():
         parsed = parsed_stream(message_stream(spark, "files", inp))
-        return start_itinerary(parsed, out, ckpt, k=10, trigger="available_now")
+        return start_itinerary(parsed, out, ckpt, k=k, trigger="available_now")
 
     replay(spark, staged, inp, start)
     return read_batches(spark, out)

@@ -8,8 +8,8 @@ Two modes. ``start_itinerary`` (per batch, like the reference): each
 micro-batch runs the batch itinerary code: legs split with the
 streaming noon rule (1200 goes to the afternoon, D7), departure delay as the
 measure (D8), joined on (Y, start date). Per trip the batch output holds the
-exact number of pairs and the k best pairs, sorted (``itinerary_lists``);
-no step enumerates all pairs. Output lands per ``batch_id`` like the
+exact number of pairs and all of them or the k best, sorted
+(``itinerary_lists``); no step shuffles a pair. Output lands per ``batch_id`` like the
 rankings. ``start_itinerary_running``: the best itinerary per trip over the
 whole stream so far, from a stateful per-leg minimum.
 ``start_itinerary_windowed``: event time with a watermark; each start day's
@@ -36,15 +36,16 @@ from aerolap.streaming.upsert import batch_writer
 _NEEDS = ["origin", "dest", "dep_time", "flight_date", "dep_delay_min"]
 
 
-def itinerary_batch(flights: DataFrame, k: int) -> DataFrame:
+def itinerary_batch(flights: DataFrame, k: int | None) -> DataFrame:
     legs = leg_candidates(flights, delay_col="dep_delay_min", noon_inclusive=True)
     return itinerary_lists(legs, k)
 
 
-def start_itinerary(parsed: DataFrame, out_path: str | None, checkpoint: str, k: int,
+def start_itinerary(parsed: DataFrame, out_path: str | None, checkpoint: str, k: int | None,
                     trigger: str | None = None, print_rows: int | None = None
                     ) -> StreamingQuery:
-    """Start the itinerary stream: per trip the ``k`` best pairs of a batch.
+    """Start the itinerary stream: per trip the sorted list of a batch's pairs
+    (the ``k`` best; all of them if ``k`` is None).
 
     ``out_path`` receives each batch's rows (``batch_id=N`` folders);
     ``print_rows`` also prints that many rows of each batch to the driver's

@@ -31,13 +31,13 @@ def trip_tables(folder):
     return sorted((a[0] + b[0], a[1], b[1]) for a, b in itertools.product(first, second))
 
 
-@pytest.mark.parametrize("name", ["q_itinerary_lists"])
+@pytest.mark.parametrize("name", ["q_itinerary_lists", "stream_itinerary"])
 def test_registered_lists_hold_every_pair(spark, tmp_dir, name):
     want = trip_tables(tmp_dir)
     (row,) = E.queries()[name](spark, tmp_dir).collect()
     assert (str(row.start_date), row.src, row.mid, row.dst, row.n_pairs) == ("1998-03-01", "A", "B", "C", 20)
     assert [tuple(p) for p in row.pairs] == want
-    (row,) = E.queries()["q_itinerary_k_best"](spark, tmp_dir).collect()
+    (row,) = E.queries()[{"q_itinerary_lists": "q_itinerary_k_best"}.get(name, "stream_itinerary_k_best")](spark, tmp_dir).collect()
     assert row.n_pairs == 20 and [tuple(p) for p in row.pairs] == want[:10]
 
 
