@@ -102,3 +102,35 @@ def test_long_records_amid_short_ones(spark, tmp_dir, tiny_splits):
     assert by_file(records(spark, tmp_dir, max_lines=6))["l.csv"] == sorted(want)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10m")
     assert by_file(records(spark, tmp_dir, max_lines=6))["l.csv"] == sorted(want)
+
+
+def test_raw_text_lies_on_disk_a_piece_at_a_time(spark, tmp_dir, monkeypatch):
+    """The registered query gives the rows of one whole read, whatever the size of
+    a piece, and holds the text of one piece."""
+    import glob
+    import uuid
+    from collections import Counter
+
+    import __spark_entry__ as E
+    from aerolap.plans import registry_io
+    from conftest import SF_SMALL
+
+    texts = []
+
+    def read_raw(spark, path, read=registry_io.C.read_raw):
+        files = glob.glob(f"{tmp_dir}/raw-*/**/*.csv", recursive=True)
+        assert {f.split("/")[-2] for f in files} == {"plain", "marked"}
+        texts.append(sum(map(os.path.getsize, files)))
+        return read(spark, path)
+
+    monkeypatch.setattr(registry_io, "scratch_path", lambda spark, name: f"{tmp_dir}/{name}-{uuid.uuid4().hex}")
+    monkeypatch.setattr(registry_io.C, "read_raw", read_raw)
+    run = lambda: Counter(map(tuple, E.queries()["op_csv_multiline"](spark, SF_SMALL).collect()))
+    whole = run()
+    one, texts[:] = texts[0], []
+    for f in glob.glob(f"{tmp_dir}/raw-*/**/*.csv", recursive=True):
+        os.remove(f)
+    monkeypatch.setattr(registry_io, "PIECE_ROWS", 1600)
+    assert run() == whole and sum(whole.values()) % 2 == 0
+    assert len(texts) >= 3 and max(texts) < one / 2
+    assert not glob.glob(f"{tmp_dir}/fields-*")
